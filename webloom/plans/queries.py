@@ -149,3 +149,195 @@ def batch_results(spark, sf_dir):
                                  _batch_captures(spark, sf_dir), "text")
     return results.select(F.col("job_id").cast("long").alias("job_id"), "url", "title",
                           F.col("word_count").cast("long").alias("word_count"))
+
+
+# ---------------------------------------------------------- robots, pacing ---
+
+from webloom.operators import crawl as _crawl  # noqa: E402
+from webloom.operators import pacing as _pacing  # noqa: E402
+from webloom.operators import robots as _robots  # noqa: E402
+from webloom.options import CrawlOptions, MapOptions  # noqa: E402
+
+
+def _rules(spark, sf_dir):
+    return _robots.parse_robots(fx.robots_captures(spark, sf_dir))
+
+
+@query("robots_rules")
+def robots_rules(spark, sf_dir):
+    """Directive lines of every captured robots.txt."""
+    return _rules(spark, sf_dir).select(
+        "host", F.col("group_id").cast("long").alias("group_id"),
+        F.col("line_no").cast("long").alias("line_no"), "agent", "kind", "pattern", "delay_sec")
+
+
+@query("robots_check")
+def robots_check(spark, sf_dir):
+    """R2: verdict for every captured page URL."""
+    urls = _cap(spark, sf_dir).select("page_id", "url")
+    return _robots.robots_check(urls, _rules(spark, sf_dir)).select(
+        "page_id", "url", "allowed", "robots_reason")
+
+
+@query("crawl_delay")
+def crawl_delay(spark, sf_dir):
+    """Crawl-delay per host (NULL when none applies)."""
+    d = _robots.crawl_delays(_rules(spark, sf_dir))
+    return fx.hosts(spark, sf_dir).join(d, "host", "left").select("host", "delay_sec")
+
+
+@query("robots_asof")
+def robots_asof(spark, sf_dir):
+    """Each fetch judged by the robots capture fresh at fetch time (TTL
+    10 minutes)."""
+    req = _cap(spark, sf_dir).select("page_id", "url", F.col("fetched_at").alias("requested_at"))
+    r = _robots.robots_asof(req, fx.robots_captures(spark, sf_dir))
+    return r.select("page_id", "allowed", "robots_known",
+                    iso_ts("robots_fetched_at").alias("robots_fetched_at"))
+
+
+PACING_COMPRESSION = 20000  # 30 days of events replayed in ~2 minutes
+
+
+def _requests(spark, sf_dir):
+    """Fetch requests: event i asks for page (i % n); arrival is the event
+    time compressed toward 2024-01-01."""
+    n = fx.page_count(spark, sf_dir)
+    ev = fx.read_table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("ts"))
+    urls = fx.pages(spark, sf_dir).select(F.col("page_id").alias("pid"), "url")
+    base = F.lit(fx.EPOCH_2024_MS * 1000)
+    arrival = F.timestamp_micros(base + F.floor((F.unix_micros("ts") - base) / PACING_COMPRESSION))
+    return (ev.withColumn("pid", F.col("event_id") % n).join(urls, "pid")
+            .select(url_host("url").alias("host"), "url", arrival.alias("arrival"),
+                    F.col("event_id").alias("seq")))
+
+
+@query("fetch_schedule")
+def fetch_schedule(spark, sf_dir):
+    """L1: earliest start per request under per-host delays (robots
+    Crawl-delay replaces the 1 s default)."""
+    delays = _robots.crawl_delays(_rules(spark, sf_dir))
+    s = _pacing.fetch_schedule(_requests(spark, sf_dir), delays, bucket_seconds=10)
+    return s.select(F.col("seq").alias("event_id"), "host",
+                    F.unix_micros("arrival").alias("arrival_us"),
+                    F.unix_micros("start_at").alias("start_us"))
+
+
+@query("pacing_audit")
+def pacing_audit(spark, sf_dir):
+    """L2: captured fetches closer to the previous fetch of their host than
+    the host's delay."""
+    f = _cap(spark, sf_dir).select(url_host("url").alias("host"), "url", "fetched_at")
+    delays = _robots.crawl_delays(_rules(spark, sf_dir))
+    v = _pacing.pacing_audit(f, delays, bucket_seconds=30)
+    return v.select("host", "url", "gap_ms", "delay_ms")
+
+
+# ----------------------------------------------------------------- crawl ---
+
+CRAWL_OPTS = CrawlOptions(depth=3, max_pages=500, exclude=("/de/",))
+CAPPED_OPTS = CrawlOptions(depth=3, max_pages=5)
+
+
+def _crawl_run(spark, sf_dir, opts):
+    return _crawl.crawl(fx.seeds(spark, sf_dir), _cap(spark, sf_dir), opts,
+                        edges=fx.edges(spark, sf_dir),
+                        robots_captures=fx.robots_captures(spark, sf_dir))
+
+
+@query("url_filter_chain")
+def url_filter_chain(spark, sf_dir):
+    """Every link of the edge table judged for a crawl seeded at the
+    source page's host (domain, exclude, include, robots, fetch)."""
+    e = fx.edges(spark, sf_dir)
+    frontier = e.select(F.concat_ws("#", "src", F.col("pos").cast("string")).alias("crawl_id"),
+                        F.col("dst").alias("url"), F.lit(1).alias("depth"),
+                        F.array(F.col("pos")).alias("key"), url_host("src").alias("seed_host"))
+    opts = CrawlOptions(exclude=(r"\?utm_source=",), include=("/(en|fr|es)/",))
+    c = _crawl.classify(frontier, _cap(spark, sf_dir), opts, _rules(spark, sf_dir))
+    return c.select(F.col("crawl_id").alias("edge_id"), "url", "reason", "detail")
+
+
+@query("crawl_depths")
+def crawl_depths(spark, sf_dir):
+    """Every processed URL with its BFS depth and outcome."""
+    r = _crawl_run(spark, sf_dir, CRAWL_OPTS)
+    return r.nodes.select("crawl_id", "url", F.col("depth").cast("long").alias("depth"),
+                          "reason", "detail")
+
+
+@query("crawl_capped")
+def crawl_capped(spark, sf_dir):
+    """The same crawl capped at 5 pages per crawl."""
+    r = _crawl_run(spark, sf_dir, CAPPED_OPTS)
+    return r.nodes.select("crawl_id", "url", F.col("depth").cast("long").alias("depth"),
+                          "reason")
+
+
+@query("crawl_skips")
+def crawl_skips(spark, sf_dir):
+    """C11: skipped URLs with reason and detail."""
+    r = _crawl_run(spark, sf_dir, CRAWL_OPTS)
+    return r.skips.select("crawl_id", "url", "reason", "detail",
+                          F.col("depth").cast("long").alias("depth"))
+
+
+@query("crawl_summary")
+def crawl_summary(spark, sf_dir):
+    """Counters and status per crawl."""
+    r = _crawl_run(spark, sf_dir, CRAWL_OPTS)
+    return r.summary.select("crawl_id", "seed_url", "status", "pages_crawled", "pages_skipped",
+                            "pages_discovered")
+
+
+@query("skip_counts")
+def skip_counts(spark, sf_dir):
+    """Skips counted by reason per crawl."""
+    r = _crawl_run(spark, sf_dir, CRAWL_OPTS)
+    return _crawl.skip_counts(r.skips)
+
+
+@query("crawl_pages")
+def crawl_pages(spark, sf_dir):
+    """C8 + E14: the crawled pages, scraped to text."""
+    opts = CrawlOptions(depth=2, max_pages=20, format="text")
+    r = _crawl_run(spark, sf_dir, opts)
+    return r.pages.select("crawl_id", "url", F.col("depth").cast("long").alias("depth"), "title",
+                          F.col("word_count").cast("long").alias("word_count"))
+
+
+# ------------------------------------------------------------------- map ---
+
+MAP_OPTS = MapOptions(depth=2)
+
+
+@query("sitemap_urls")
+def sitemap_urls(spark, sf_dir):
+    """M1: <loc> entries of the captured sitemaps."""
+    return _crawl.sitemap_urls(fx.sitemap_captures(spark, sf_dir)).select(
+        "host", F.col("pos").cast("long").alias("pos"), "url")
+
+
+@query("discover_urls")
+def discover_urls(spark, sf_dir):
+    """M3: link discovery from every seed, depth 2, same host."""
+    d = _crawl.discover(fx.seeds(spark, sf_dir), _cap(spark, sf_dir), fx.edges(spark, sf_dir),
+                        MAP_OPTS)
+    return d.select("site", "url", F.col("depth").cast("long").alias("depth"))
+
+
+@query("map_sites")
+def map_sites(spark, sf_dir):
+    """M4: sitemap when it lists anything, else discovery."""
+    m = _crawl.map_sites(fx.seeds(spark, sf_dir), fx.sitemap_captures(spark, sf_dir),
+                         _cap(spark, sf_dir), fx.edges(spark, sf_dir), MAP_OPTS)
+    return m.select("site", "url", "source")
+
+
+@query("map_summary")
+def map_summary(spark, sf_dir):
+    """M5: URL total per site."""
+    m = _crawl.map_sites(fx.seeds(spark, sf_dir), fx.sitemap_captures(spark, sf_dir),
+                         _cap(spark, sf_dir), fx.edges(spark, sf_dir), MAP_OPTS)
+    return _crawl.map_summary(m)
