@@ -341,3 +341,79 @@ def map_summary(spark, sf_dir):
     m = _crawl.map_sites(fx.seeds(spark, sf_dir), fx.sitemap_captures(spark, sf_dir),
                          _cap(spark, sf_dir), fx.edges(spark, sf_dir), MAP_OPTS)
     return _crawl.map_summary(m)
+
+
+# ---------------------------------------------------------------- search ---
+
+from webloom.operators import search as _search  # noqa: E402
+
+SERP_LIMIT = 10
+
+
+def _serp(spark, sf_dir):
+    return _search.parse_serps(fx.serp_captures(spark, sf_dir), SERP_LIMIT)
+
+
+@query("build_query")
+def build_query(spark, sf_dir):
+    """Q1: provider query strings with site / after / before operators."""
+    b = fx.read_table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    q = b.select(
+        "query_id", "query",
+        F.when(F.col("query_id") % 3 == 0, F.lit("example.com")).alias("site"),
+        F.when(F.col("query_id") % 4 == 1, F.lit("2023-06-01T00:00:00Z")).alias("after"),
+        F.when(F.col("query_id") % 5 == 2, F.lit("2024-06-30T12:00:00Z")).alias("before"))
+    return _search.build_query(q).select("query_id", "q", "error")
+
+
+@query("serp_results")
+def serp_results(spark, sf_dir):
+    """Q2-Q8: ranked organic results per captured result page."""
+    r, _ = _serp(spark, sf_dir)
+    return r.select("query_id", F.col("position").cast("long").alias("position"), "url", "title",
+                    "description", "published_at")
+
+
+@query("serp_dates")
+def serp_dates(spark, sf_dir):
+    """Q7: dates found in snippets (ISO or relative to the capture time)."""
+    r, _ = _serp(spark, sf_dir)
+    return r.filter(F.col("published_at").isNotNull()).select(
+        "query_id", F.col("position").cast("long").alias("position"), "published_at")
+
+
+@query("serp_filtered")
+def serp_filtered(spark, sf_dir):
+    """Q11: results published between two dates."""
+    r, _ = _serp(spark, sf_dir)
+    f = _search.filter_results(r, after="2023-06-01", before="2024-02-15")
+    return f.select("query_id", F.col("position").cast("long").alias("position"), "url",
+                    "published_at")
+
+
+@query("search_enriched")
+def search_enriched(spark, sf_dir):
+    """Q9: results with the scraped page attached."""
+    r, _ = _serp(spark, sf_dir)
+    e = _search.enrich(r, _cap(spark, sf_dir), "text")
+    return e.select("query_id", F.col("position").cast("long").alias("position"), "url",
+                    "page_title", F.col("page_word_count").cast("long").alias("page_word_count"))
+
+
+@query("search_summary")
+def search_summary(spark, sf_dir):
+    """Q10: result count and error per query."""
+    serps = fx.serp_captures(spark, sf_dir)
+    r, errors = _search.parse_serps(serps, SERP_LIMIT)
+    return _search.search_summary(r, serps, errors)
+
+
+@query("corpus_search")
+def corpus_search(spark, sf_dir):
+    """Q12: BM25 top 10 documents for every benchmark text."""
+    q = fx.read_table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query_id"), F.col("text").alias("query"))
+    d = fx.read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return _search.corpus_search(q, d, 10).select(
+        "query_id", "doc_id", "score", F.col("rank").cast("long").alias("rank"))
