@@ -226,7 +226,7 @@ def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame,
         if f.isEmpty():
             break
     found = reduce(DataFrame.unionByName, levels)
-    return found.select(F.col("crawl_id").alias("site"), "url", "depth")
+    return found.select(F.col("crawl_id").alias("site"), "url", "depth", "key")
 
 
 def map_sites(seeds: DataFrame, sitemap_captures: DataFrame, captures: DataFrame,
@@ -239,12 +239,17 @@ def map_sites(seeds: DataFrame, sitemap_captures: DataFrame, captures: DataFrame
     from_map = s.join(locs, "host")
     if not opts.include_external:
         from_map = from_map.filter(url_host("url") == F.col("host"))
-    from_map = from_map.select("site", "url", F.lit("sitemap").alias("source"))
+    from_map = from_map.select("site", "url", F.lit("sitemap").alias("source"),
+                               F.struct(F.lit(0).alias("depth"),
+                                        F.array(F.col("pos")).alias("key")).alias("ord"))
     with_map = s.join(locs.select("host").distinct(), "host", "left_semi").select("site")
     rest = seeds.withColumnRenamed("crawl_id", "site").join(with_map, "site", "left_anti")
     disc = discover(rest.withColumnRenamed("site", "crawl_id"), captures, edges, opts)
-    disc = disc.select("site", "url", F.lit("links").alias("source"))
-    return from_map.unionByName(disc).dropDuplicates(["site", "url"])
+    disc = disc.select("site", "url", F.lit("links").alias("source"),
+                       F.struct("depth", "key").alias("ord"))
+    both = from_map.unionByName(disc)
+    return both.groupBy("site", "url").agg(
+        F.min_by("source", "ord").alias("source"), F.min("ord").alias("ord"))
 
 
 def map_summary(mapped: DataFrame) -> DataFrame:

@@ -417,3 +417,180 @@ def corpus_search(spark, sf_dir):
     d = fx.read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return _search.corpus_search(q, d, 10).select(
         "query_id", "doc_id", "score", F.col("rank").cast("long").alias("rank"))
+
+
+# ------------------------------------------------------------- monitoring ---
+
+from webloom.operators import compliance as _comp  # noqa: E402
+from webloom.operators import documents as _docs  # noqa: E402
+from webloom.operators import monitor as _mon  # noqa: E402
+
+
+def _snaps(spark, sf_dir):
+    return (_mon.snapshot(_cap(spark, sf_dir)), _mon.snapshot(fx.snapshot2(spark, sf_dir)))
+
+
+@query("monitor_snapshot")
+def monitor_snapshot(spark, sf_dir):
+    """Normalised text and SHA-256 per captured page."""
+    s = _mon.snapshot(_cap(spark, sf_dir))
+    return s.select("page_id", "url", "hash", "content", "status_code",
+                    iso_ts("fetched_at").alias("fetched_at"))
+
+
+@query("monitor_selector", rows_only=True)
+def monitor_selector(spark, sf_dir):
+    """Snapshot scoped to a CSS selector (first paragraph of the article)."""
+    s = _mon.snapshot(_cap(spark, sf_dir), selector="article p")
+    return s.select("page_id", "url", "hash", "content")
+
+
+@query("monitor_compare")
+def monitor_compare(spark, sf_dir):
+    """Hash comparison of two snapshots (missing side = empty)."""
+    a, b = _snaps(spark, sf_dir)
+    return _mon.compare(a, b).select("url", "changed", "old_hash", "new_hash")
+
+
+@query("monitor_history")
+def monitor_history(spark, sf_dir):
+    """Snapshots whose hash changed since the previous one of the URL."""
+    a, b = _snaps(spark, sf_dir)
+    cols = ["url", "fetched_at", "hash"]
+    h = _mon.snapshot_history(a.select(*cols).unionByName(b.select(*cols)))
+    return h.select("url", iso_ts("fetched_at").alias("fetched_at"), "prev_hash", "hash")
+
+
+@query("line_diff", rows_only=True)
+def line_diff(spark, sf_dir):
+    """LCS line diff of every changed page."""
+    a, b = _snaps(spark, sf_dir)
+    _, lines, _ = _mon.diff(a, b)
+    return lines.select("url", F.col("pos").cast("long").alias("pos"), "type", "value")
+
+
+@query("diff_summary")
+def diff_summary(spark, sf_dir):
+    """Added / removed line counts and the summary text."""
+    a, b = _snaps(spark, sf_dir)
+    _, _, summary = _mon.diff(a, b)
+    return summary.select("url", F.col("n_added").cast("long").alias("n_added"),
+                          F.col("n_removed").cast("long").alias("n_removed"), "summary")
+
+
+# ------------------------------------------------------------- compliance ---
+
+def _documents(spark, sf_dir):
+    return fx.read_table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+
+
+@query("pii_redact")
+def pii_redact(spark, sf_dir):
+    """G1: emails, SSNs and phone numbers redacted from every document."""
+    d = _documents(spark, sf_dir).select("doc_id", F.col("text").alias("content"))
+    r = _comp.redact_pii(d, "content")
+    return r.select("doc_id", "n_email", "n_ssn", "n_phone", "pii_redacted", "content")
+
+
+@query("tos_flags")
+def tos_flags(spark, sf_dir):
+    """Lexicon clauses found in every document."""
+    d = _documents(spark, sf_dir)
+    return _comp.tos_flags(d, fx.tos_lexicon(spark), key_col="doc_id", text_col="text")
+
+
+@query("compliance_gate")
+def compliance_gate(spark, sf_dir):
+    """Compliant flag per source (documents of a source = one crawl)."""
+    d = _documents(spark, sf_dir)
+    flags = _comp.tos_flags(d, fx.tos_lexicon(spark), key_col="doc_id", text_col="text")
+    summary, _ = _comp.compliance_gate(
+        d.select(F.col("source").alias("crawl_id"), "doc_id"), flags, key_col="doc_id")
+    return summary.select("crawl_id", "n_pages", "n_blocked", "n_warned", "compliant")
+
+
+# ------------------------------------------------------------ projections ---
+
+def _meta_captures(spark, sf_dir):
+    c = _cap(spark, sf_dir).select("page_id", "status_code", "fetched_at", "error")
+    return fx.meta_pages(spark, sf_dir).join(c, "page_id")
+
+
+@query("documents_typed")
+def documents_typed(spark, sf_dir):
+    """Pages as typed documents."""
+    pg = scrape(_meta_captures(spark, sf_dir), "text")
+    return _docs.to_documents(pg)
+
+
+@query("documents_string")
+def documents_string(spark, sf_dir):
+    """Pages as all-string documents (metadata map flattened here)."""
+    pg = scrape(_meta_captures(spark, sf_dir), "text")
+    d = _docs.to_string_documents(pg)
+    m = F.col("metadata")
+    return d.select("id", "text", *[F.element_at(m, k).alias(f"m_{k}") for k in
+                                    ("url", "title", "description", "wordCount", "crawledAt",
+                                     "source")])
+
+
+@query("render_search")
+def render_search(spark, sf_dir):
+    """Search results rendered as text (bracket and dash styles)."""
+    r, _ = _serp(spark, sf_dir)
+    e = _search.enrich(r, _cap(spark, sf_dir), "text")
+    q = fx.serp_captures(spark, sf_dir).select("query_id", "query")
+    out = [_docs.render_search(e, q, style).withColumn("style", F.lit(style))
+           for style in ("bracket", "dash")]
+    return out[0].unionByName(out[1]).select("query_id", "style", "text")
+
+
+@query("render_page")
+def render_page(spark, sf_dir):
+    """P5: a scraped page as one text."""
+    return _docs.render_page(scrape(_cap(spark, sf_dir), "text"))
+
+
+DIGEST_OPTS = CrawlOptions(depth=2, max_pages=20, format="text")
+
+
+@query("crawl_digest")
+def crawl_digest(spark, sf_dir):
+    """One text per crawl (at most 20 pages each)."""
+    r = _crawl_run(spark, sf_dir, DIGEST_OPTS)
+    return _docs.crawl_digest(r, DIGEST_OPTS.max_pages)
+
+
+@query("map_digest", rows_only=True)
+def map_digest(spark, sf_dir):
+    """First 100 mapped URLs per site and the total."""
+    m = _crawl.map_sites(fx.seeds(spark, sf_dir), fx.sitemap_captures(spark, sf_dir),
+                         _cap(spark, sf_dir), fx.edges(spark, sf_dir), MAP_OPTS)
+    return _docs.map_digest(m, fx.seeds(spark, sf_dir))
+
+
+def _digest_batches(spark, sf_dir):
+    p = fx.pages(spark, sf_dir).select("page_id", "url")
+    real = p.select((F.col("page_id") / 20).cast("long").alias("job_id"), "url",
+                    (F.col("page_id") * 2).alias("seq"))
+    missing = p.filter(F.col("page_id") % 10 == 0).select(
+        (F.col("page_id") / 20).cast("long").alias("job_id"),
+        F.concat("url", F.lit("/missing")).alias("url"), (F.col("page_id") * 2 + 1).alias("seq"))
+    return real.unionByName(missing)
+
+
+@query("batch_digest")
+def batch_digest(spark, sf_dir):
+    """One text per batch of 20 URLs."""
+    req = _digest_batches(spark, sf_dir)
+    results, failed, summary = batch_scrape(req, _batch_captures(spark, sf_dir), "text")
+    seq = req.select("job_id", "url", "seq")
+    return _docs.batch_digest(results.join(seq, ["job_id", "url"]),
+                              failed.join(seq, ["job_id", "url"]), summary)
+
+
+@query("context_caps")
+def context_caps(spark, sf_dir):
+    """Crawl-style content cap (3000 characters + marker)."""
+    pg = _docs.context_caps(scrape(_cap(spark, sf_dir), "text"), "crawl")
+    return pg.select("url", "content")
