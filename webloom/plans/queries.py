@@ -594,3 +594,54 @@ def context_caps(spark, sf_dir):
     """Crawl-style content cap (3000 characters + marker)."""
     pg = _docs.context_caps(scrape(_cap(spark, sf_dir), "text"), "crawl")
     return pg.select("url", "content")
+
+
+# ------------------------------------------------------------- streaming ---
+
+from webloom.streaming import streams as _streams  # noqa: E402
+from webloom import schemas as _schemas  # noqa: E402
+from pyspark.sql import types as _T  # noqa: E402
+
+_PAGES_SCHEMA = _T.StructType([_T.StructField("page_id", _T.LongType()),
+                               _T.StructField("url", _T.StringType()),
+                               _T.StructField("html", _T.StringType())])
+
+
+@query("stream_scrape")
+def stream_scrape(spark, sf_dir):
+    """Pages scraped as a stream over the pages table, drained with
+    availableNow into Parquet; equals the batch scrape."""
+    wd = _streams.work_dir(spark, "stream_scrape")
+    src = _streams.read_stream(spark, sf_dir, _PAGES_SCHEMA, glob="pages.parquet")
+    pages = scrape(src, "text").select("page_id", "url", "title", "word_count")
+    _streams.run_to_table(pages, f"{wd}/out", f"{wd}/ckpt")
+    return spark.read.parquet(f"{wd}/out").select(
+        "page_id", "url", "title", F.col("word_count").cast("long").alias("word_count"))
+
+
+@query("stream_dedupe")
+def stream_dedupe(spark, sf_dir):
+    """Every (crawl, url) of the link stream once."""
+    wd = _streams.work_dir(spark, "stream_dedupe")
+    e = fx.edges(spark, sf_dir).select(url_host("src").alias("crawl_id"),
+                                       F.col("dst").alias("url"))
+    e.write.parquet(f"{wd}/in")
+    schema = _T.StructType([_T.StructField("crawl_id", _T.StringType()),
+                            _T.StructField("url", _T.StringType())])
+    src = _streams.read_stream(spark, f"{wd}/in", schema, files_per_trigger=2)
+    _streams.run_to_table(_streams.visited_once(src), f"{wd}/out", f"{wd}/ckpt")
+    return spark.read.parquet(f"{wd}/out").select("crawl_id", "url")
+
+
+@query("stream_monitor")
+def stream_monitor(spark, sf_dir):
+    """Change events of two capture rounds streamed one after the
+    other through per-URL state; equals the batch history."""
+    wd = _streams.work_dir(spark, "stream_monitor")
+    cols = ["url", "html", "status_code", "fetched_at", "error"]
+    _cap(spark, sf_dir).select(*cols).write.parquet(f"{wd}/in")
+    fx.snapshot2(spark, sf_dir).select(*cols).write.mode("append").parquet(f"{wd}/in")
+    src = _streams.read_stream(spark, f"{wd}/in", _schemas.CAPTURES, files_per_trigger=4)
+    _streams.run_to_table(_streams.stream_monitor(src), f"{wd}/out", f"{wd}/ckpt")
+    return spark.read.parquet(f"{wd}/out").select(
+        "url", iso_ts("fetched_at").alias("fetched_at"), "prev_hash", "hash")
