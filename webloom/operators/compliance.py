@@ -10,11 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Redaction patterns (Java and RE2 compatible) and their tokens,
-# applied in this order.
+# applied in this order, each with a cheap necessary condition that lets most
+# texts skip the full pattern (exact: no match is possible without it).
 PII_RULES = (
-    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]"),
-    ("ssn", r"\b\d{3}-\d{2}-\d{4}\b", "[SSN]"),
-    ("phone", r"(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\b\d{3}[ .-])\d{3}[ .-]\d{4}\b", "[PHONE]"),
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "[EMAIL]", ("contains", "@")),
+    ("ssn", r"\b\d{3}-\d{2}-\d{4}\b", "[SSN]", ("rlike", r"\d-\d\d-\d")),
+    ("phone", r"(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\b\d{3}[ .-])\d{3}[ .-]\d{4}\b", "[PHONE]",
+     ("rlike", r"\d[ .-]\d{4}")),
 )
 MAX_LEXICON = 1000
 
@@ -22,13 +24,15 @@ MAX_LEXICON = 1000
 def redact_pii(df: DataFrame, text_col: str = "content") -> DataFrame:
     """G1: replaces emails, SSNs and phone numbers (in that order) and counts
     each kind; adds n_email, n_ssn, n_phone, pii_redacted."""
-    out = df
+    from webloom.session import spread
+    out = spread(df)
     cur = F.col(text_col)
     counts = []
-    for kind, pat, token in PII_RULES:
-        n = F.regexp_count(cur, F.lit(pat))
+    for kind, pat, token, (how, probe) in PII_RULES:
+        maybe = cur.contains(probe) if how == "contains" else cur.rlike(probe)
+        n = F.when(maybe, F.regexp_count(cur, F.lit(pat))).otherwise(F.lit(0))
         out = out.withColumn(f"n_{kind}", n.cast("long"))
-        cur = F.regexp_replace(cur, pat, token)
+        cur = F.when(F.col(f"n_{kind}") > 0, F.regexp_replace(cur, pat, token)).otherwise(cur)
         out = out.withColumn(text_col, cur)
         cur = F.col(text_col)
         counts.append(F.col(f"n_{kind}"))
@@ -49,7 +53,8 @@ def tos_flags(df: DataFrame, lexicon: DataFrame, key_col: str = "url",
         F.struct(F.lit(r["clause"]).alias("clause"), F.lit(r["severity"]).alias("severity"),
                  F.col(text_col).rlike(r["pattern"]).alias("hit")) for r in rules]),
         lambda x: x["hit"])
-    return (df.select(key_col, F.explode(hits).alias("f"))
+    from webloom.session import spread
+    return (spread(df.select(key_col, text_col), key_col).select(key_col, F.explode(hits).alias("f"))
             .select(key_col, F.col("f.clause").alias("clause"), F.col("f.severity").alias("severity")))
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from webloom.functions.html import Selector
+from webloom.session import spread
 
 _S = T.StringType()
 _AS = T.ArrayType(T.StringType())
@@ -97,4 +98,4 @@ def extract_parts(df: DataFrame, parts, html_col: str = "html", url_col: str = "
                        for n in added_names]
             yield pa.RecordBatch.from_arrays(arrays, names=keep_names + added_names)
 
-    return df.mapInArrow(run, out_schema)
+    return spread(df, url_col).mapInArrow(run, out_schema)

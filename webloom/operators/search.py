@@ -123,7 +123,8 @@ def _parse_serp(serps: DataFrame) -> DataFrame:
             arrays += [pa.array(blocks_col, type=block_t), pa.array(anchors_col, type=anchor_t)]
             yield pa.RecordBatch.from_arrays(arrays, names=keep + ["blocks", "anchors"])
 
-    return serps.mapInArrow(run, schema)
+    from webloom.session import spread
+    return spread(serps, "query_id").mapInArrow(run, schema)
 
 
 def _ancestors_within(node, stop):
@@ -257,7 +258,8 @@ def corpus_search(queries: DataFrame, corpus: DataFrame, limit: int = 10,
     documents sharing a term; the top ``limit`` per query is a window-group
     limit (partial top-k before the shuffle)."""
     SearchOptions(limit=limit)
-    toks = _terms(corpus, "doc_id", "text")
+    from webloom.session import spread
+    toks = _terms(spread(corpus.select("doc_id", "text"), "doc_id"), "doc_id", "text")
     dl = toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("dl"))
     # Two corpus-wide scalars (a single aggregate row).
     n_docs, avgdl = dl.agg(F.count(F.lit(1)), F.avg("dl")).first()

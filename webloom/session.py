@@ -63,3 +63,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="webloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
+
+
+def spread(df, *keys):
+    """Spread CPU-heavy per-row work (HTML parsing, regex scans, tokenising)
+    over the cluster when the input arrives in fewer partitions than
+    2 x default parallelism (e.g. one large row group). Hash-partitions on
+    the row key (deterministic on retry, no sort). Large inputs already have
+    many more splits than cores, so this is a no-op at scale."""
+    if df.isStreaming:
+        return df
+    target = df.sparkSession.sparkContext.defaultParallelism * 2
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
