@@ -259,18 +259,22 @@ def corpus_search(queries: DataFrame, corpus: DataFrame, limit: int = 10,
     limit (partial top-k before the shuffle)."""
     SearchOptions(limit=limit)
     from webloom.session import spread
-    toks = _terms(spread(corpus.select("doc_id", "text"), "doc_id"), "doc_id", "text")
-    dl = toks.groupBy("doc_id").agg(F.count(F.lit(1)).alias("dl"))
-    # Two corpus-wide scalars (a single aggregate row).
-    n_docs, avgdl = dl.agg(F.count(F.lit(1)), F.avg("dl")).first()
+    toks = F.filter(F.split(F.lower(F.col("text")), TOKEN_SPLIT), lambda t: t != "")
+    docs = spread(corpus.select("doc_id", "text"), "doc_id").select(
+        "doc_id", toks.alias("toks"))
+    # Two corpus-wide scalars (one aggregate row): number of documents and
+    # average length.
+    n_docs, avgdl = docs.agg(F.count(F.lit(1)), F.avg(F.size("toks"))).first()
     qt = _terms(queries, "query_id", "query").distinct()
     vocab = qt.select("term").distinct()
-    tf = (toks.join(vocab, "term", "left_semi")
-          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
+    # One tokenising pass: postings of query terms with the document length.
+    tf = (docs.select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
+          .join(vocab, "term", "left_semi")
+          .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl")))
     idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
            .select("term", F.ln(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
                    .alias("idf")))
-    contrib = (qt.join(idf, "term").join(tf, "term").join(dl, "doc_id")
+    contrib = (qt.join(idf, "term").join(tf, "term")
                .select("query_id", "doc_id",
                        (F.col("idf") * F.col("tf") * (k1 + 1)
                         / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl))))
