@@ -81,27 +81,34 @@ def classify(frontier: DataFrame, captures: DataFrame, opts: CrawlOptions,
         pre = F.when(cond, F.lit("excluded")).otherwise(pre)
         pre_detail = F.when(cond, F.lit(detail)).otherwise(pre_detail)
     cols = ["crawl_id", "url", "depth", "key", "seed_host"]
-    c = frontier.select(*cols, pre.alias("reason"), pre_detail.alias("detail"))
-    skipped_pre = c.filter(F.col("reason").isNotNull()).withColumn(
-        "status_code", F.lit(None).cast("int"))
-    passing = c.filter(F.col("reason").isNull()).select(*cols)
+    c = frontier.select(*cols, pre.alias("_pre"), pre_detail.alias("_pre_detail"))
     if opts.respect_robots and rules is not None:
-        passing = robots_check(passing, rules, opts.user_agent)
+        c = robots_check(c, rules, opts.user_agent)
     else:
-        passing = passing.withColumn("allowed", F.lit(True)).withColumn(
+        c = c.withColumn("allowed", F.lit(True)).withColumn(
             "robots_reason", F.lit(None).cast("string"))
-    blocked = passing.filter(~F.col("allowed")).select(
-        *cols, F.lit("robots").alias("reason"), F.col("robots_reason").alias("detail"),
-        F.lit(None).cast("int").alias("status_code"))
-    allowed = passing.filter("allowed").select(*cols)
-    cap = captures.select("url", "status_code", "error")
-    hit = allowed.join(cap, "url").select(
-        *cols, F.when(F.col("error").isNotNull(), F.lit("error")).alias("reason"),
-        F.col("error").alias("detail"), "status_code")
-    miss = allowed.join(captures.select("url"), "url", "left_anti").select(
-        *cols, F.lit("error").alias("reason"), F.lit("not captured").alias("detail"),
-        F.lit(None).cast("int").alias("status_code"))
-    return skipped_pre.unionByName(blocked).unionByName(hit).unionByName(miss)
+    cap = captures.select("url", "status_code", "error", F.lit(True).alias("_captured"))
+    j = c.join(cap, "url", "left")
+    pre_ok = F.col("_pre").isNull()
+    reason = (F.when(~pre_ok, F.col("_pre"))
+              .when(~F.col("allowed"), F.lit("robots"))
+              .when(F.col("_captured").isNull() | F.col("error").isNotNull(), F.lit("error")))
+    detail = (F.when(~pre_ok, F.col("_pre_detail"))
+              .when(~F.col("allowed"), F.col("robots_reason"))
+              .when(F.col("_captured").isNull(), F.lit("not captured"))
+              .when(F.col("error").isNotNull(), F.col("error")))
+    status = F.when(pre_ok & F.col("allowed"), F.col("status_code"))
+    return j.select(*cols, reason.alias("reason"), detail.alias("detail"),
+                    status.cast("int").alias("status_code"))
+
+
+def prepare_captures(captures: DataFrame) -> DataFrame:
+    """The narrow capture columns a crawl joins on every level, hash
+    partitioned by url once and materialised, so each level only shuffles its
+    frontier."""
+    n = captures.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    return _checkpoint(captures.select("url", "status_code", "error")
+                       .repartition(int(n), "url"))
 
 
 def _expand(ok_nodes: DataFrame, edges: DataFrame, visited: DataFrame, depth: int,
@@ -151,9 +158,11 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
         rules = _checkpoint(rules)
     link_table = edges if edges is not None else _checkpoint(links_of(captures))
     levels: list[DataFrame] = []
-    frontier = _checkpoint(frontier)
+    cap_index = prepare_captures(captures)
     for d in range(opts.depth + 1):
-        level = _checkpoint(classify(frontier, captures, opts, rules))
+        level = _checkpoint(classify(frontier, cap_index, opts, rules))
+        if d > 0 and level.isEmpty():
+            break
         levels.append(level)
         if d == opts.depth:
             break
@@ -162,9 +171,7 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
                   .filter(F.col("count") >= opts.max_pages).select("crawl_id"))
         ok_nodes = level.filter(F.col("reason").isNull()).join(capped, "crawl_id", "left_anti")
         visited = done.select("crawl_id", "url")
-        frontier = _checkpoint(_expand(ok_nodes, link_table, visited, d + 1, False))
-        if frontier.isEmpty():
-            break
+        frontier = _expand(ok_nodes, link_table, visited, d + 1, False)
     nodes = reduce(DataFrame.unionByName, levels)
     cut = _cap_cut(nodes, opts.max_pages)
     in_cap = (F.col("cut_depth").isNull()
