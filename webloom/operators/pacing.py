@@ -14,10 +14,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from webloom.options import DEFAULT_DELAY_MS
+from webloom.session import ensure_checkpoint_dir
 
 BUCKET_SECONDS = 3600
 
 
+def _materialise(df: DataFrame) -> DataFrame:
+    """The scan reads its input in several branches (rows and per-bucket
+    summaries); materialise it once in the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _bucket(ts_col: str, seconds: int) -> F.Column:
     return F.floor(F.unix_micros(F.col(ts_col)) / F.lit(seconds * 1_000_000)).cast("long")
 
@@ -45,10 +53,9 @@ def fetch_schedule(requests: DataFrame, delays: DataFrame | None = None,
     wl = Window.partitionBy("host", "_b").orderBy("_a", "seq")
     run = wl.rowsBetween(Window.unboundedPreceding, 0)
     # Within a bucket: delays summed from the bucket start (inclusive).
-    r = r.withColumn("_dl", F.sum("_d").over(run))
+    r = _materialise(r.withColumn("_dl", F.sum("_d").over(run)))
     # The host's very first row waits for nobody: subtract its own delay
     # later through the offset (first bucket offset = -delay of that row).
-    r = r.withColumn("_first_in_b", F.row_number().over(wl) == 1)
     b = (r.groupBy("host", "_b")
          .agg(F.sum("_d").alias("_bd"),
               F.min_by("_d", F.struct("_a", "seq")).alias("_d0")))
@@ -85,7 +92,7 @@ def pacing_audit(fetches: DataFrame, delays: DataFrame | None = None,
         f = f.withColumn("delay_sec", F.lit(None).cast("double"))
     f = f.withColumn("_b", _bucket("fetched_at", bucket_seconds))
     wl = Window.partitionBy("host", "_b").orderBy("fetched_at", "url")
-    f = f.withColumn("_prev", F.lag("fetched_at").over(wl))
+    f = _materialise(f.withColumn("_prev", F.lag("fetched_at").over(wl)))
     last = f.groupBy("host", "_b").agg(F.max("fetched_at").alias("_last"))
     wb = Window.partitionBy("host").orderBy("_b")
     last = last.withColumn("_prev_b_last", F.lag("_last").over(wb))

@@ -51,34 +51,33 @@ def parse_robots(robots_captures: DataFrame) -> DataFrame:
         .alias("delay_sec"))
 
 
-def effective_groups(rules: DataFrame, user_agent: str = DEFAULT_AGENT) -> DataFrame:
-    """(host, group_id) that apply to the agent: the groups naming it, or
-    else the ``*`` groups."""
+def _with_effective(rules: DataFrame, user_agent: str) -> DataFrame:
+    """Marks each rule row whose group applies to the agent: the groups
+    naming it, or else the ``*`` groups. Windows over one robots file (per
+    host) -- a single pass, no self-join."""
     ua = agent_token(user_agent)
-    agents = rules.filter(F.col("kind") == "user-agent").select("host", "group_id", "agent")
-    per_host = agents.groupBy("host").agg(
-        F.max((F.col("agent") == ua).cast("int")).alias("has_ua"))
-    return (agents.join(per_host, "host")
-            .filter(F.when(F.col("has_ua") == 1, F.col("agent") == ua)
-                    .otherwise(F.col("agent") == "*"))
-            .select("host", "group_id").distinct())
+    by_group = Window.partitionBy("host", "group_id")
+    by_host = Window.partitionBy("host")
+    agents = F.collect_set("agent").over(by_group)
+    has_ua = F.max((F.col("agent") == ua).cast("int")).over(by_host)
+    eff = F.when(F.coalesce(has_ua, F.lit(0)) == 1, F.array_contains(agents, ua)) \
+        .otherwise(F.array_contains(agents, "*"))
+    return rules.withColumn("_eff", eff)
 
 
 def agent_rules(rules: DataFrame, user_agent: str = DEFAULT_AGENT) -> DataFrame:
     """host, kind, pattern, line_no of the allow/disallow rules for the
     agent (empty ``Disallow:`` is no rule)."""
-    g = effective_groups(rules, user_agent)
-    return (rules.filter(F.col("kind").isin("allow", "disallow") & (F.col("pattern") != ""))
-            .join(g, ["host", "group_id"], "left_semi")
+    return (_with_effective(rules, user_agent)
+            .filter(F.col("_eff") & F.col("kind").isin("allow", "disallow") & (F.col("pattern") != ""))
             .select("host", "kind", "pattern", "line_no"))
 
 
 def crawl_delays(rules: DataFrame, user_agent: str = DEFAULT_AGENT) -> DataFrame:
     """Host, delay_sec for the agent's groups (last value wins); hosts
     without one are absent (NULL after a left join)."""
-    g = effective_groups(rules, user_agent)
-    return (rules.filter((F.col("kind") == "crawl-delay") & F.col("delay_sec").isNotNull())
-            .join(g, ["host", "group_id"], "left_semi")
+    return (_with_effective(rules, user_agent)
+            .filter(F.col("_eff") & (F.col("kind") == "crawl-delay") & F.col("delay_sec").isNotNull())
             .groupBy("host").agg(F.max_by("delay_sec", "line_no").alias("delay_sec")))
 
 
