@@ -207,11 +207,14 @@ def skip_counts(skips: DataFrame) -> DataFrame:
 
 def sitemap_urls(sitemap_captures: DataFrame) -> DataFrame:
     """M1: every ``<loc>...</loc>`` on one line, trimmed, in file order; no
-    entity decoding; 2xx captures only."""
-    s = ok_only(sitemap_captures).select("host", "body")
-    return (s.select("host", F.posexplode(F.regexp_extract_all("body", F.lit("<loc>(.*?)</loc>"), 1))
+    entity decoding; 2xx captures only. Output: host, part, pos, url."""
+    part = F.col("part") if "part" in sitemap_captures.columns else F.lit(0)
+    s = ok_only(sitemap_captures).select("host", part.cast("int").alias("part"), "body")
+    return (s.select("host", "part",
+                     F.posexplode(F.regexp_extract_all("body", F.lit("<loc>(.*?)</loc>"), 1))
                      .alias("pos", "loc"))
-            .select("host", F.col("pos").cast("int").alias("pos"), F.trim("loc").alias("url")))
+            .select("host", "part", F.col("pos").cast("int").alias("pos"),
+                    F.trim("loc").alias("url")))
 
 
 def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame,
@@ -248,7 +251,7 @@ def map_sites(seeds: DataFrame, sitemap_captures: DataFrame, captures: DataFrame
         from_map = from_map.filter(url_host("url") == F.col("host"))
     from_map = from_map.select("site", "url", F.lit("sitemap").alias("source"),
                                F.struct(F.lit(0).alias("depth"),
-                                        F.array(F.col("pos")).alias("key")).alias("ord"))
+                                        F.array("part", "pos").alias("key")).alias("ord"))
     with_map = s.join(locs.select("host").distinct(), "host", "left_semi").select("site")
     rest = seeds.withColumnRenamed("crawl_id", "site").join(with_map, "site", "left_anti")
     disc = discover(rest.withColumnRenamed("site", "crawl_id"), captures, edges, opts)

@@ -316,7 +316,8 @@ MAP_OPTS = MapOptions(depth=2)
 def sitemap_urls(spark, sf_dir):
     """M1: <loc> entries of the captured sitemaps."""
     return _crawl.sitemap_urls(fx.sitemap_captures(spark, sf_dir)).select(
-        "host", F.col("pos").cast("long").alias("pos"), "url")
+        "host", F.col("part").cast("long").alias("part"), F.col("pos").cast("long").alias("pos"),
+        "url")
 
 
 @query("discover_urls")

@@ -86,12 +86,13 @@ ROBOTS = f"""robots_captures AS (
   FROM hosts)"""
 
 SITEMAPS = f"""sitemap_captures AS (
-  SELECT host,
+  SELECT host, CAST(page_id // 50000 AS INTEGER) AS part,
          '<?xml version="1.0" encoding="UTF-8"?>' || chr(10) || '<urlset>' || chr(10) ||
          string_agg('<url><loc>' || CASE WHEN page_id % 2 = 1 THEN ' ' || url || ' ' ELSE url END
                     || '</loc></url>', chr(10) ORDER BY page_id) ||
-         chr(10) || '<url><loc>https://external.example.net/about</loc></url>' || chr(10) || '</urlset>' AS body,
+         CASE WHEN page_id // 50000 = 0 THEN chr(10) || '<url><loc>https://external.example.net/about</loc></url>' ELSE '' END
+         || chr(10) || '</urlset>' AS body,
          200 AS status_code
-  FROM ph WHERE length(host) % 2 = 0 GROUP BY host
+  FROM ph WHERE length(host) % 2 = 0 GROUP BY host, page_id // 50000
   UNION ALL
-  SELECT host, '' AS body, 404 AS status_code FROM hosts WHERE length(host) % 2 = 1)"""
+  SELECT host, 0 AS part, '' AS body, 404 AS status_code FROM hosts WHERE length(host) % 2 = 1)"""

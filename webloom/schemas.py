@@ -20,6 +20,7 @@ ROBOTS_CAPTURES = T.StructType([
 
 SITEMAP_CAPTURES = T.StructType([
     T.StructField("host", T.StringType()),
+    T.StructField("part", T.IntegerType()),
     T.StructField("body", T.StringType()),
     T.StructField("status_code", T.IntegerType()),
 ])

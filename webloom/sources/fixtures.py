@@ -39,16 +39,44 @@ def page_count(spark: SparkSession, sf_dir: str) -> int:
     return int(pages(spark, sf_dir).agg(F.count(F.lit(1))).first()[0])
 
 
+EDGE_BUCKET = 100_000   # page_id range per window segment
+SITEMAP_PART = 50_000   # URLs per sitemap file (the protocol's limit)
+
+
+def next_in_host(p: DataFrame, k: int, bucket: int = EDGE_BUCKET) -> DataFrame:
+    """For each page (page_id, url, host) the next ``k`` pages of its host in
+    page_id order, as ``nxt`` array<struct<pos,dst>>. A segmented lead:
+    windows per (host, page_id bucket) plus, per bucket, the first k pages of
+    the following buckets (one small row per bucket), so a host owning a
+    third of all pages is never ordered in one task."""
+    p = p.withColumn("_b", F.floor(F.col("page_id") / bucket).cast("long"))
+    w = Window.partitionBy("host", "_b").orderBy("page_id")
+    local = p.select(
+        "page_id", "url", "host", "_b", F.row_number().over(w).alias("_r"),
+        F.count(F.lit(1)).over(Window.partitionBy("host", "_b")).alias("_n"),
+        *[F.lead("url", i + 1).over(w).alias(f"_l{i}") for i in range(k)])
+    heads = (local.filter(F.col("_r") <= k).groupBy("host", "_b")
+             .agg(F.array_sort(F.collect_list(F.struct("page_id", "url"))).alias("_head")))
+    wb = Window.partitionBy("host").orderBy("_b").rowsBetween(1, k)
+    heads = heads.select(
+        "host", "_b",
+        F.slice(F.flatten(F.transform(
+            F.array_sort(F.collect_list(F.struct("_b", "_head")).over(wb)),
+            lambda x: F.transform(x["_head"], lambda y: y["url"]))), 1, k).alias("_after"))
+    j = local.join(heads, ["host", "_b"])
+    nxt = []
+    for i in range(k):
+        spill = F.get(F.col("_after"), (F.col("_r") + i - F.col("_n")).cast("int"))
+        nxt.append(F.struct(F.lit(i).alias("pos"), F.coalesce(F.col(f"_l{i}"), spill).alias("dst")))
+    return j.select("page_id", "url", "host", F.array(*nxt).alias("nxt"))
+
+
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-EDGE: each page links to the next three pages of its host (by
     page_id), plus one cross-host link to page (page_id*7+3) % n."""
     p = pages(spark, sf_dir).select("page_id", "url", url_host("url").alias("host"))
-    w = Window.partitionBy("host").orderBy("page_id")
-    same = p.select(
-        F.col("url").alias("src"),
-        F.array(*[F.struct(F.lit(i).alias("pos"), F.lead("url", i + 1).over(w).alias("dst"))
-                  for i in range(3)]).alias("nxt"))
-    same = (same.select("src", F.inline("nxt")).filter(F.col("dst").isNotNull())
+    same = (next_in_host(p, 3).select(F.col("url").alias("src"), F.inline("nxt"))
+            .filter(F.col("dst").isNotNull())
             .select("src", F.col("pos").cast("int"), "dst"))
     n = page_count(spark, sf_dir)
     tgt = p.select(F.col("page_id").alias("dst_id"), F.col("url").alias("dst"))
@@ -94,25 +122,31 @@ def robots_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sitemap_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F-MAP: hosts with an even-length name have a sitemap listing their
-    pages (odd page_ids padded with spaces) plus one external URL."""
+    pages (odd page_ids padded with spaces) plus one external URL. A host's
+    list is split into parts of at most 50,000 URLs (page_id ranges), one
+    capture row per part, so no group grows with the data."""
     p = pages(spark, sf_dir).select("page_id", "url", url_host("url").alias("host"))
     loc = F.concat(F.lit("<url><loc>"),
                    F.when(F.col("page_id") % 2 == 1, F.concat(F.lit(" "), "url", F.lit(" ")))
                    .otherwise(F.col("url")),
                    F.lit("</loc></url>"))
-    per_host = (p.filter(F.length("host") % 2 == 0)
-                .groupBy("host")
+    per_part = (p.filter(F.length("host") % 2 == 0)
+                .withColumn("part", F.floor(F.col("page_id") / SITEMAP_PART).cast("int"))
+                .groupBy("host", "part")
                 .agg(F.array_sort(F.collect_list(F.struct("page_id", loc.alias("line"))))
                      .alias("lines")))
+    external = F.when(F.col("part") == 0, F.lit(
+        "\n<url><loc>https://external.example.net/about</loc></url>")).otherwise(F.lit(""))
     body = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<urlset>\n'),
         F.array_join(F.transform("lines", lambda x: x["line"]), "\n"),
-        F.lit("\n<url><loc>https://external.example.net/about</loc></url>\n</urlset>"))
-    with_map = per_host.select("host", body.alias("body"), F.lit(200).alias("status_code"))
+        external, F.lit("\n</urlset>"))
+    with_map = per_part.select("host", "part", body.alias("body"), F.lit(200).alias("status_code"))
     without = (hosts(spark, sf_dir).filter(F.length("host") % 2 == 1)
-               .select("host", F.lit("").alias("body"), F.lit(404).alias("status_code")))
+               .select("host", F.lit(0).alias("part"), F.lit("").alias("body"),
+                       F.lit(404).alias("status_code")))
     return with_map.unionByName(without).select(
-        "host", "body", F.col("status_code").cast("int"))
+        "host", F.col("part").cast("int"), "body", F.col("status_code").cast("int"))
 
 
 def meta_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
