@@ -145,18 +145,26 @@ def _cap_cut(nodes: DataFrame, k: int) -> DataFrame:
         "crawl_id", F.col("depth").alias("cut_depth"), F.col("key").alias("cut_key"))
 
 
+def _link_table(edges: DataFrame, materialise: bool) -> DataFrame:
+    e = edges.select("src", F.col("pos").cast("int").alias("pos"), "dst")
+    return _checkpoint(e) if materialise else e
+
+
 def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptions(),
-          edges: DataFrame | None = None, robots_captures: DataFrame | None = None
-          ) -> CrawlResult:
+          edges: DataFrame | None = None, robots_captures: DataFrame | None = None,
+          materialise_edges: bool = True) -> CrawlResult:
     """C8-C12. ``seeds``: crawl_id, url. ``captures``: url, html,
     status_code, fetched_at, error. ``edges`` (src, pos, dst) defaults to the
-    links extracted from the captured pages."""
+    links extracted from the captured pages. Every level reads the link
+    table, so a derived one is materialised once (``materialise_edges``;
+    switch it off when ``edges`` is already a stored table)."""
     frontier, rejects = _seed_frontier(seeds)
     rules = parse_robots(robots_captures) if (opts.respect_robots and robots_captures
                                               is not None) else None
     if rules is not None:
         rules = _checkpoint(rules)
-    link_table = edges if edges is not None else _checkpoint(links_of(captures))
+    link_table = (_link_table(edges, materialise_edges) if edges is not None
+                  else _checkpoint(links_of(captures)))
     levels: list[DataFrame] = []
     cap_index = prepare_captures(captures)
     for d in range(opts.depth + 1):
@@ -218,7 +226,7 @@ def sitemap_urls(sitemap_captures: DataFrame) -> DataFrame:
 
 
 def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame,
-             opts: MapOptions = MapOptions()) -> DataFrame:
+             opts: MapOptions = MapOptions(), materialise_edges: bool = True) -> DataFrame:
     """M3: breadth-first link discovery. Pages up to ``depth`` hops that
     answered 2xx are read; URLs up to depth+1 hops are listed (also those
     whose fetch failed). Returns (site, url, depth)."""
@@ -227,6 +235,7 @@ def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame,
         url_host("url").alias("seed_host"))
     f = _checkpoint(f)
     levels = [f]
+    edges = _link_table(edges, materialise_edges)
     ok_caps = ok_only(captures).select("url")
     for d in range(opts.depth + 1):
         readable = f.join(ok_caps, "url", "left_semi")

@@ -100,26 +100,35 @@ def _matches(path, pat) -> F.Column:
     return F.when(plain, path.startswith(pat)).otherwise(F.regexp_like(path, _pattern_regex(pat)))
 
 
+def rules_by_host(rules: DataFrame, user_agent: str = DEFAULT_AGENT) -> DataFrame:
+    """The agent's allow/disallow rules folded into one array per robots
+    file (bounded by the file's size): host, _rules."""
+    return (agent_rules(rules, user_agent).groupBy("host")
+            .agg(F.collect_list(F.struct("kind", "pattern")).alias("_rules")))
+
+
+def _verdict(path: F.Column, rules_col: F.Column) -> F.Column:
+    """Longest matching pattern wins, Allow wins ties; nothing matches or no
+    rules: allowed. Evaluated per row with higher-order functions."""
+    hits = F.filter(rules_col, lambda r: _matches(path, r["pattern"]))
+    win = F.array_max(F.transform(hits, lambda r: F.struct(
+        F.length(r["pattern"]).alias("len"), (r["kind"] == "allow").alias("allow"))))
+    return F.coalesce(win["allow"], F.lit(True))
+
+
 def robots_check(urls: DataFrame, rules: DataFrame, user_agent: str = DEFAULT_AGENT,
                  url_col: str = "url") -> DataFrame:
-    """R2: adds ``allowed`` and ``robots_reason``. The longest matching
-    pattern decides; on equal length Allow wins; no match or no rules means
-    allowed."""
-    ar = agent_rules(rules, user_agent).select(
-        F.col("host").alias("_rhost"), "kind", "pattern")
-    u = urls.withColumn("_host", url_host(url_col)).withColumn("_path", _path_query(F.col(url_col)))
-    keys = [c for c in urls.columns]
-    m = (u.select(*keys, "_host", "_path")
-         .join(ar, (F.col("_host") == F.col("_rhost")) & _matches(F.col("_path"), F.col("pattern")),
-               "left"))
-    verdict = m.groupBy(*keys).agg(
-        F.max_by(F.col("kind") == "allow",
-                 F.struct(F.length("pattern"), (F.col("kind") == "allow").cast("int"))
-                 ).alias("_win"))
-    allowed = F.coalesce(F.col("_win"), F.lit(True))
+    """R2: adds ``allowed`` and ``robots_reason`` to every row of ``urls``.
+    Each URL is left-joined to its host's rule array (the small side is the
+    build side, so AQE can broadcast it and the URL side is not shuffled) and
+    judged in place -- no per-URL aggregation."""
+    per_host = rules_by_host(rules, user_agent).withColumnRenamed("host", "_rhost")
+    u = urls.withColumn("_host", url_host(url_col))
+    m = u.join(per_host, F.col("_host") == F.col("_rhost"), "left")
+    allowed = _verdict(_path_query(F.col(url_col)), F.col("_rules"))
     reason = F.when(~allowed, F.lit(
         f'Blocked by robots.txt rule for user-agent "{agent_token(user_agent)}"'))
-    return verdict.select(*keys, allowed.alias("allowed"), reason.alias("robots_reason"))
+    return m.select(*urls.columns, allowed.alias("allowed"), reason.alias("robots_reason"))
 
 
 def robots_asof(requests: DataFrame, robots_captures: DataFrame,
@@ -145,15 +154,9 @@ def robots_asof(requests: DataFrame, robots_captures: DataFrame,
 
     rules = parse_robots(caps.select(cap_key(F.col("host"), F.col("fetched_at")).alias("host"),
                                      "body", F.lit(200).alias("status_code")))
-    ar = agent_rules(rules, user_agent).select(F.col("host").alias("_rk2"), "kind", "pattern")
+    per_cap = rules_by_host(rules, user_agent).withColumnRenamed("host", "_rk2")
     m = (chosen.withColumn("_rk", cap_key(F.col("_host"), F.col("robots_fetched_at")))
-         .withColumn("_path", _path_query(F.col(url_col)))
-         .join(ar, (F.col("_rk") == F.col("_rk2")) & _matches(F.col("_path"), F.col("pattern")),
-               "left"))
-    verdict = m.groupBy(*keys, "robots_fetched_at").agg(
-        F.max_by(F.col("kind") == "allow",
-                 F.struct(F.length("pattern"), (F.col("kind") == "allow").cast("int"))
-                 ).alias("_win"))
-    return verdict.select(*keys, "robots_fetched_at",
-                          F.coalesce("_win", F.lit(True)).alias("allowed"),
-                          F.col("robots_fetched_at").isNotNull().alias("robots_known"))
+         .join(per_cap, F.col("_rk") == F.col("_rk2"), "left"))
+    allowed = _verdict(_path_query(F.col(url_col)), F.col("_rules"))
+    return m.select(*keys, "robots_fetched_at", allowed.alias("allowed"),
+                    F.col("robots_fetched_at").isNotNull().alias("robots_known"))
