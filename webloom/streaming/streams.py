@@ -84,7 +84,8 @@ def _track(key, pdfs, state):
                 out.append((row.url, row.fetched_at, last_hash, row.hash))
             last_hash, last_ts = row.hash, row.fetched_at
     state.update((last_hash, last_ts))
-    yield pd.DataFrame(out, columns=["url", "fetched_at", "prev_hash", "hash"])
+    if out:
+        yield pd.DataFrame(out, columns=["url", "fetched_at", "prev_hash", "hash"])
 
 
 def stream_monitor(captures_stream: DataFrame, selector: str | None = None) -> DataFrame:
