@@ -65,7 +65,7 @@ def scrape_markdown(spark, sf_dir):
                      F.col("word_count").cast("long").alias("word_count"))
 
 
-@query("scrape_json", rows_only=True)
+@query("scrape_json")
 def scrape_json(spark, sf_dir):
     """JSON content {title, description?, text, links}."""
     pg = scrape(_cap(spark, sf_dir), "json")
@@ -439,7 +439,7 @@ def monitor_snapshot(spark, sf_dir):
                     iso_ts("fetched_at").alias("fetched_at"))
 
 
-@query("monitor_selector", rows_only=True)
+@query("monitor_selector")
 def monitor_selector(spark, sf_dir):
     """Snapshot scoped to a CSS selector (first paragraph of the article)."""
     s = _mon.snapshot(_cap(spark, sf_dir), selector="article p")
@@ -562,7 +562,7 @@ def crawl_digest(spark, sf_dir):
     return _docs.crawl_digest(r, DIGEST_OPTS.max_pages)
 
 
-@query("map_digest", rows_only=True)
+@query("map_digest")
 def map_digest(spark, sf_dir):
     """First 100 mapped URLs per site and the total."""
     m = _crawl.map_sites(fx.seeds(spark, sf_dir), fx.sitemap_captures(spark, sf_dir),
