@@ -156,7 +156,7 @@ def extract_date(snippet, as_of) -> F.Column:
     d = F.to_date(as_of) if not isinstance(as_of, str) else F.to_date(F.col(as_of))
     iso = F.regexp_extract(s, r"\d{4}-\d{2}-\d{2}", 0)
     rel = r"(?i)(\d+)\s+(day|week|month|year)s?\s+ago"
-    n = F.regexp_extract(s, rel, 1).cast("int")
+    n = F.regexp_extract(s, rel, 1).try_cast("int")
     unit = F.lower(F.regexp_extract(s, rel, 2))
 
     def back_months(k):
