@@ -112,3 +112,29 @@ def test_pii_literals_and_gate(spark):
     s = summary.first()
     assert (s.n_pages, s.n_blocked, s.compliant) == (2, 1, False)
     assert [(x.url, x.reason, x.detail) for x in skips.collect()] == [("d2", "tos", "arb")]
+
+
+def test_context_caps_lists(spark):
+    assert D.crawl_context_max_pages(None) == 20 and D.crawl_context_max_pages(80) == 50
+    skips = spark.createDataFrame([("c", f"u{i:02d}", "error", "x", i % 3) for i in range(30)],
+                                  "crawl_id string, url string, reason string, detail string, depth int")
+    assert D.crawl_skips_context(skips).count() == 20
+    req = spark.createDataFrame([(1, f"u{i}", i) for i in range(25)] + [(2, "v", 0)],
+                                "job_id long, url string, seq long")
+    got = D.batch_context_requests(req)
+    assert got.filter("job_id = 1").count() == 20 and got.filter("job_id = 2").count() == 1
+    assert got.filter("job_id = 1").agg(F.max("seq")).first()[0] == 19
+
+
+def test_visited_once_with_watermark(spark):
+    from webloom.streaming.streams import read_stream, run_to_table, visited_once, work_dir
+    from pyspark.sql import types as T
+    wd = work_dir(spark, "wm")
+    rows = [("c", "u1", dt.datetime(2024, 1, 1, 0, 0)), ("c", "u1", dt.datetime(2024, 1, 1, 0, 5)),
+            ("c", "u2", dt.datetime(2024, 1, 1, 0, 6))]
+    spark.createDataFrame(rows, "crawl_id string, url string, ts timestamp").write.parquet(f"{wd}/in")
+    schema = T.StructType([T.StructField("crawl_id", T.StringType()), T.StructField("url", T.StringType()),
+                           T.StructField("ts", T.TimestampType())])
+    src = read_stream(spark, f"{wd}/in", schema)
+    run_to_table(visited_once(src, "ts", "1 hour"), f"{wd}/out", f"{wd}/ckpt")
+    assert sorted(r.url for r in spark.read.parquet(f"{wd}/out").collect()) == ["u1", "u2"]

@@ -207,3 +207,45 @@ def context_caps(pages: DataFrame, kind: str) -> DataFrame:
             F.length(c) > 3000, F.concat(F.substring(c, 1, 3000), F.lit("\n\n[truncated]")))
             .otherwise(c))
     raise ValueError(f"unknown kind {kind!r}")
+
+
+# The agent-context caps.
+MAP_CONTEXT_URLS = 500
+CRAWL_CONTEXT_SKIPS = 20
+CRAWL_CONTEXT_MAX_PAGES = 50
+CRAWL_CONTEXT_DEFAULT_PAGES = 20
+BATCH_CONTEXT_URLS = 20
+
+
+def map_context(mapped: DataFrame) -> DataFrame:
+    """P9 (map): per site the first 500 URLs in discovery order, the total
+    and a ``truncated`` flag. Only 500 URLs per site are ever collected."""
+    w = Window.partitionBy("site").orderBy("ord", "url")
+    first = (mapped.withColumn("_r", F.row_number().over(w))
+             .filter(F.col("_r") <= MAP_CONTEXT_URLS)
+             .groupBy("site").agg(F.array_sort(F.collect_list(F.struct("_r", "url"))).alias("u")))
+    total = mapped.groupBy("site").agg(F.count(F.lit(1)).alias("total"))
+    return total.join(first, "site").select(
+        "site", F.transform("u", lambda x: x["url"]).alias("urls"), "total",
+        (F.col("total") > MAP_CONTEXT_URLS).alias("truncated"))
+
+
+def crawl_skips_context(skips: DataFrame) -> DataFrame:
+    """P9 (crawl): the first 20 skips of each crawl, in crawl order."""
+    w = Window.partitionBy("crawl_id").orderBy("depth", "url")
+    return skips.withColumn("_r", F.row_number().over(w)).filter(
+        F.col("_r") <= CRAWL_CONTEXT_SKIPS).drop("_r")
+
+
+def crawl_context_max_pages(max_pages: int | None) -> int:
+    """P9 (crawl): requested page cap, default 20, never above 50."""
+    return min(CRAWL_CONTEXT_DEFAULT_PAGES if max_pages is None else max_pages,
+               CRAWL_CONTEXT_MAX_PAGES)
+
+
+def batch_context_requests(requests: DataFrame) -> DataFrame:
+    """P9 (batch): only the first 20 URLs of each batch request (by ``seq``)
+    are scraped."""
+    w = Window.partitionBy("job_id").orderBy("seq")
+    return requests.withColumn("_r", F.row_number().over(w)).filter(
+        F.col("_r") <= BATCH_CONTEXT_URLS).drop("_r")

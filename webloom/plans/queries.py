@@ -646,3 +646,12 @@ def stream_monitor(spark, sf_dir):
     _streams.run_to_table(_streams.stream_monitor(src), f"{wd}/out", f"{wd}/ckpt")
     return spark.read.parquet(f"{wd}/out").select(
         "url", iso_ts("fetched_at").alias("fetched_at"), "prev_hash", "hash")
+
+
+@query("map_context")
+def map_context(spark, sf_dir):
+    """P9 (map): first 500 mapped URLs per site, total, truncated flag."""
+    m = _crawl.map_sites(fx.seeds(spark, sf_dir), fx.sitemap_captures(spark, sf_dir),
+                         _cap(spark, sf_dir), fx.edges(spark, sf_dir), MAP_OPTS)
+    c = _docs.map_context(m)
+    return c.select("site", F.array_join("urls", "\n").alias("urls"), "total", "truncated")
