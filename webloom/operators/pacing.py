@@ -52,29 +52,29 @@ def fetch_schedule(requests: DataFrame, delays: DataFrame | None = None,
          .withColumn("_b", _bucket("arrival", bucket_seconds)))
     wl = Window.partitionBy("host", "_b").orderBy("_a", "seq")
     run = wl.rowsBetween(Window.unboundedPreceding, 0)
-    # Within a bucket: delays summed from the bucket start (inclusive).
-    r = _materialise(r.withColumn("_dl", F.sum("_d").over(run)))
-    # The host's very first row waits for nobody: subtract its own delay
-    # later through the offset (first bucket offset = -delay of that row).
+    # One window pass per (host, bucket): the delay sum from the bucket start
+    # (ms) and the running max of arrival minus that local sum (micros).
+    r = r.withColumn("_dl", F.sum("_d").over(run))
+    r = r.withColumn("_xl", F.col("_a") - F.col("_dl") * 1000)
+    r = _materialise(r.withColumn("_xlrun", F.max("_xl").over(run)))
+    # One summary row per bucket carries the state across buckets:
+    #   _off  = delays of earlier buckets, minus the host's first delay (the
+    #           first request waits for nobody), so D = _off + _dl;
+    #   _mprev = max over earlier buckets of (arrival - D).
     b = (r.groupBy("host", "_b")
-         .agg(F.sum("_d").alias("_bd"),
-              F.min_by("_d", F.struct("_a", "seq")).alias("_d0")))
+         .agg(F.sum("_d").alias("_bd"), F.min_by("_d", F.struct("_a", "seq")).alias("_d0"),
+              F.max("_xl").alias("_xlmax")))
     wb = Window.partitionBy("host").orderBy("_b")
-    b = (b.withColumn("_off", F.coalesce(F.sum("_bd").over(
-        wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-         .withColumn("_is_first_b", F.row_number().over(wb) == 1))
-    first_d = b.filter("_is_first_b").select("host", F.col("_d0").alias("_dfirst"))
-    b = b.join(first_d, "host").withColumn("_off", F.col("_off") - F.col("_dfirst"))
-    r = r.join(b.select("host", "_b", "_off"), ["host", "_b"])
-    r = r.withColumn("_D", (F.col("_off") + F.col("_dl")) * 1000)  # micros
-    r = r.withColumn("_x", F.col("_a") - F.col("_D"))
-    r = r.withColumn("_mloc", F.max("_x").over(run))
-    bm = r.groupBy("host", "_b").agg(F.max("_x").alias("_bmax"))
-    bm = bm.withColumn("_mprev", F.max("_bmax").over(
-        wb.rowsBetween(Window.unboundedPreceding, -1)))
-    r = r.join(bm.select("host", "_b", "_mprev"), ["host", "_b"])
-    m = F.greatest(F.col("_mloc"), F.coalesce("_mprev", F.col("_mloc")))
-    start = F.timestamp_micros(F.col("_D") + m)
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    b = (b.withColumn("_off", F.coalesce(F.sum("_bd").over(before), F.lit(0))
+                      - F.first("_d0").over(wb.rowsBetween(Window.unboundedPreceding, 0)))
+         .withColumn("_bmax", F.col("_xlmax") - F.col("_off") * 1000))
+    b = b.withColumn("_mprev", F.max("_bmax").over(before))
+    r = r.join(b.select("host", "_b", "_off", "_mprev"), ["host", "_b"])
+    d_us = (F.col("_off") + F.col("_dl")) * 1000
+    m = F.col("_xlrun") - F.col("_off") * 1000
+    m = F.greatest(m, F.coalesce("_mprev", m))
+    start = F.timestamp_micros(d_us + m)
     return r.select(*requests.columns, "delay_sec", start.alias("start_at"))
 
 
