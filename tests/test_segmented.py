@@ -3,7 +3,6 @@ force, with tiny segments so every cross-segment path runs."""
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from webloom.operators.monitor import snapshot_history
 from webloom.operators.pacing import fetch_schedule, pacing_audit

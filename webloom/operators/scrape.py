@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webloom.functions.text import collapse_ws, js_trim, word_count
-from webloom.operators.parse import extract_parts
+from webloom.operators.parse import PART_FIELDS, extract_parts
 from webloom.options import check_format
 
 _CONTENT_PART = {"markdown": "markdown", "html": "html", "text": "text", "json": "text"}
@@ -55,10 +55,7 @@ def scrape(captures: DataFrame, format: str = "markdown") -> DataFrame:
     return out.withColumn("word_count", word_count("content"))
 
 
-_PARSE_COLS = {"title_raw", "meta_description", "meta_og_description", "meta_og_image",
-               "meta_author", "meta_published_time", "time_datetime", "hrefs", "links",
-               "root_tag", "content_html", "content_text_raw", "content_markdown",
-               "monitor_text_raw"}
+_PARSE_COLS = {name for fields in PART_FIELDS.values() for name, _ in fields}
 
 
 def extract_links(captures: DataFrame, keys=("url",)) -> DataFrame:

@@ -71,14 +71,6 @@ def _parse_serp(serps: DataFrame) -> DataFrame:
                 if ev[0] == START:
                     yield ev[2]
 
-        def is_desc(node, anc):
-            p = node.parent
-            while p is not None:
-                if p is anc:
-                    return True
-                p = p.parent
-            return False
-
         block_t = pa.list_(pa.struct([(f.name, pa.string() if isinstance(f.dataType, T.StringType)
                                        else pa.int32() if isinstance(f.dataType, T.IntegerType)
                                        else pa.bool_() if isinstance(f.dataType, T.BooleanType)
