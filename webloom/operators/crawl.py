@@ -28,12 +28,19 @@ from pyspark.sql.window import Window
 from webloom.functions.urls import url_host, valid_url
 from webloom.operators.parse import extract_parts
 from webloom.operators.robots import parse_robots, robots_check
-from webloom.operators.scrape import scrape
+from webloom.operators.scrape import NOT_CAPTURED, scrape
 from webloom.options import CrawlOptions, MapOptions
 from webloom.session import ensure_checkpoint_dir
 from webloom.sources.captures import ok_only
 
 CAP_SALT = 16
+
+# Skip reasons and details, in the order the checks run.
+REASON_EXCLUDED, REASON_ROBOTS, REASON_ERROR = "excluded", "robots", "error"
+DETAIL_DOMAIN = "different domain"
+DETAIL_EXCLUDE = "matched exclude pattern"
+DETAIL_INCLUDE = "did not match include pattern"
+DETAIL_NOT_CAPTURED = NOT_CAPTURED
 _KEY_T = T.ArrayType(T.IntegerType())
 
 
@@ -70,15 +77,15 @@ def classify(frontier: DataFrame, captures: DataFrame, opts: CrawlOptions,
     pre_detail = F.lit(None).cast("string")
     conds = []
     if opts.same_domain:
-        conds.append((url_host("url") != F.col("seed_host"), "different domain"))
+        conds.append((url_host("url") != F.col("seed_host"), DETAIL_DOMAIN))
     if opts.exclude:
         conds.append((reduce(lambda a, b: a | b, [url.rlike(p) for p in opts.exclude]),
-                      "matched exclude pattern"))
+                      DETAIL_EXCLUDE))
     if opts.include:
         conds.append((~reduce(lambda a, b: a | b, [url.rlike(p) for p in opts.include]),
-                      "did not match include pattern"))
+                      DETAIL_INCLUDE))
     for cond, detail in reversed(conds):
-        pre = F.when(cond, F.lit("excluded")).otherwise(pre)
+        pre = F.when(cond, F.lit(REASON_EXCLUDED)).otherwise(pre)
         pre_detail = F.when(cond, F.lit(detail)).otherwise(pre_detail)
     cols = ["crawl_id", "url", "depth", "key", "seed_host"]
     c = frontier.select(*cols, pre.alias("_pre"), pre_detail.alias("_pre_detail"))
@@ -91,11 +98,11 @@ def classify(frontier: DataFrame, captures: DataFrame, opts: CrawlOptions,
     j = c.join(cap, "url", "left")
     pre_ok = F.col("_pre").isNull()
     reason = (F.when(~pre_ok, F.col("_pre"))
-              .when(~F.col("allowed"), F.lit("robots"))
-              .when(F.col("_captured").isNull() | F.col("error").isNotNull(), F.lit("error")))
+              .when(~F.col("allowed"), F.lit(REASON_ROBOTS))
+              .when(F.col("_captured").isNull() | F.col("error").isNotNull(), F.lit(REASON_ERROR)))
     detail = (F.when(~pre_ok, F.col("_pre_detail"))
               .when(~F.col("allowed"), F.col("robots_reason"))
-              .when(F.col("_captured").isNull(), F.lit("not captured"))
+              .when(F.col("_captured").isNull(), F.lit(DETAIL_NOT_CAPTURED))
               .when(F.col("error").isNotNull(), F.col("error")))
     status = F.when(pre_ok & F.col("allowed"), F.col("status_code"))
     return j.select(*cols, reason.alias("reason"), detail.alias("detail"),

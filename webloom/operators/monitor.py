@@ -17,6 +17,10 @@ from webloom.functions.text import monitor_normalise
 from webloom.operators.parse import extract_parts
 
 EMPTY_SHA256 = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+# The summary phrases (singular, plural) and their separator.
+ADDED = (" line added", " lines added")
+REMOVED = (" line removed", " lines removed")
+SUMMARY_SEP = ", "
 HISTORY_BUCKET_SECONDS = 86400
 
 
@@ -47,6 +51,38 @@ def compare(old: DataFrame, new: DataFrame) -> DataFrame:
     ).withColumn("changed", F.col("old_hash") != F.col("new_hash"))
 
 
+NUMPY_CELLS = 4096
+
+
+def _lcs_table_small(ai, bi):
+    m, n = len(ai), len(bi)
+    dp = [[0] * (n + 1) for _ in range(m + 1)]
+    for i in range(1, m + 1):
+        row, prev, x = dp[i], dp[i - 1], ai[i - 1]
+        for j in range(1, n + 1):
+            if x == bi[j - 1]:
+                row[j] = prev[j - 1] + 1
+            else:
+                u, left = prev[j], row[j - 1]
+                row[j] = u if u >= left else left
+    return dp
+
+
+def _lcs_table(ai, bi):
+    """The same LCS table with one vectorised step per row: a row is the
+    running maximum of max(previous row, previous row shifted + 1 where the
+    lines are equal)."""
+    import numpy as np
+    m, n = len(ai), len(bi)
+    b = np.asarray(bi, dtype=np.int64)
+    dp = np.zeros((m + 1, n + 1), dtype=np.int32)
+    for i in range(1, m + 1):
+        prev = dp[i - 1]
+        cand = np.where(b == ai[i - 1], prev[:-1] + 1, 0)
+        dp[i, 1:] = np.maximum.accumulate(np.maximum(prev[1:], cand))
+    return dp
+
+
 def lcs_diff(old: str, new: str) -> list[tuple[str, str]]:
     """Line diff in output order: an LCS table, walked back from the end;
     equal lines first, then add when dp[i][j-1] >= dp[i-1][j], else remove.
@@ -60,15 +96,7 @@ def lcs_diff(old: str, new: str) -> list[tuple[str, str]]:
     ids: dict[str, int] = {}
     ai = [ids.setdefault(x, len(ids)) for x in a]
     bi = [ids.setdefault(x, len(ids)) for x in b]
-    dp = [[0] * (n + 1) for _ in range(m + 1)]
-    for i in range(1, m + 1):
-        row, prev, x = dp[i], dp[i - 1], ai[i - 1]
-        for j in range(1, n + 1):
-            if x == bi[j - 1]:
-                row[j] = prev[j - 1] + 1
-            else:
-                u, left = prev[j], row[j - 1]
-                row[j] = u if u >= left else left
+    dp = _lcs_table(ai, bi) if m * n > NUMPY_CELLS else _lcs_table_small(ai, bi)
     ops = []
     i, j = m, n
     while i > 0 or j > 0:
@@ -129,11 +157,11 @@ def diff_summary(diff_lines: DataFrame) -> DataFrame:
         F.count_if(F.col("type") == "remove").alias("n_removed"))
     added = F.when(F.col("n_added") > 0, F.concat(
         F.col("n_added").cast("string"),
-        F.when(F.col("n_added") == 1, F.lit(" line added")).otherwise(F.lit(" lines added"))))
+        F.when(F.col("n_added") == 1, F.lit(ADDED[0])).otherwise(F.lit(ADDED[1]))))
     removed = F.when(F.col("n_removed") > 0, F.concat(
         F.col("n_removed").cast("string"),
-        F.when(F.col("n_removed") == 1, F.lit(" line removed")).otherwise(F.lit(" lines removed"))))
-    return c.withColumn("summary", F.concat_ws(", ", added, removed))
+        F.when(F.col("n_removed") == 1, F.lit(REMOVED[0])).otherwise(F.lit(REMOVED[1]))))
+    return c.withColumn("summary", F.concat_ws(SUMMARY_SEP, added, removed))
 
 
 def diff(old: DataFrame, new: DataFrame):

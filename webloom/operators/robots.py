@@ -18,6 +18,9 @@ from webloom.functions.urls import url_host
 from webloom.options import DEFAULT_AGENT, ROBOTS_TTL_SECONDS
 from webloom.sources.captures import ok_only
 
+# The reason text of a robots skip ({agent} = product token).
+BLOCKED_REASON = 'Blocked by robots.txt rule for user-agent "{agent}"'
+
 
 def agent_token(user_agent: str) -> str:
     """Product token of a user agent, lower-cased, version dropped."""
@@ -126,8 +129,7 @@ def robots_check(urls: DataFrame, rules: DataFrame, user_agent: str = DEFAULT_AG
     u = urls.withColumn("_host", url_host(url_col))
     m = u.join(per_host, F.col("_host") == F.col("_rhost"), "left")
     allowed = _verdict(_path_query(F.col(url_col)), F.col("_rules"))
-    reason = F.when(~allowed, F.lit(
-        f'Blocked by robots.txt rule for user-agent "{agent_token(user_agent)}"'))
+    reason = F.when(~allowed, F.lit(BLOCKED_REASON.format(agent=agent_token(user_agent))))
     return m.select(*urls.columns, allowed.alias("allowed"), reason.alias("robots_reason"))
 
 

@@ -16,6 +16,9 @@ from webloom.functions.text import collapse_ws, js_trim, word_count
 from webloom.operators.parse import PART_FIELDS, extract_parts
 from webloom.options import check_format
 
+# Error text of a requested URL that was never captured.
+NOT_CAPTURED = "not captured"
+
 _CONTENT_PART = {"markdown": "markdown", "html": "html", "text": "text", "json": "text"}
 
 
@@ -80,7 +83,7 @@ def batch_scrape(requests: DataFrame, captures: DataFrame, format: str = "markdo
     ok = joined.filter(F.col("html").isNotNull() & F.col("error").isNull())
     failed = (joined.filter(F.col("html").isNull() | F.col("error").isNotNull())
               .select("job_id", "url",
-                      F.coalesce("error", F.lit("not captured")).alias("error")))
+                      F.coalesce("error", F.lit(NOT_CAPTURED)).alias("error")))
     results = scrape(ok, format)
     summary = (requests.select("job_id", "url").join(
         ok.select("job_id", "url", F.lit(1).alias("ok")), ["job_id", "url"], "left")
