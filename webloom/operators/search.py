@@ -199,6 +199,12 @@ def enrich(results: DataFrame, captures: DataFrame, format: str = "markdown") ->
     """Q9: attach the scraped page (content, page title, word count) of each
     result URL; results whose page is not captured keep NULLs. Each distinct
     URL is scraped once."""
+    # The results feed two branches (distinct URLs, final join); materialise
+    # them once (they are at most ``limit`` rows per query) so the result-page
+    # parse is not run twice.
+    from webloom.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(results.sparkSession)
+    results = results.checkpoint(eager=True)
     urls = results.select("url").distinct()
     pages = scrape(captures.join(urls, "url", "left_semi"), format)
     p = pages.select("url", F.col("title").alias("page_title"), "content",
