@@ -30,11 +30,19 @@ def test_markdown():
     md = to_markdown(d, d.content_root())
     assert md.startswith("# Hello World")
     assert "**bold**" in md and "[a link](/a)" in md
-    assert "- one\n- two" in md
+    assert "-   one\n-   two" in md
     assert "```\nx = 1\n```" in md
     assert "Nav" not in md and "Footer" not in md
 
 
+def test_markdown_blocks():
+    html = ('<main><h2>A_b</h2><p>- x <br>y</p><ol start="3"><li>p</li><li>q<ul><li>r</li></ul></li></ol>'
+            '<blockquote><p>q1</p><p>q2</p></blockquote><hr><img src="i.png" alt="I"><p><em>e</em></p></main>')
+    d = Document(html)
+    assert to_markdown(d, d.content_root()) == (
+        "## A\\_b\n\n\\- x  \ny\n\n3.  p\n4.  q\n    -   r\n\n> q1\n> \n> q2\n\n* * *\n\n![I](i.png)\n\n_e_")
+
+
 def test_text_glues_blocks_and_keeps_script():
     d = Document("<article><p>a</p><p>b</p><script>s()</script></article>")
     assert d.text_of(d.content_root()) == "abs()"

@@ -316,10 +316,24 @@ _BLOCK = frozenset(
     "address article aside blockquote body dd div dl dt fieldset figcaption figure form "
     "h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table tbody td tfoot th "
     "thead tr ul".split())
-_MD_ESCAPES = [(re.compile(r"\\"), r"\\\\"), (re.compile(r"\*"), r"\\*"),
-               (re.compile(r"_"), r"\\_"), (re.compile(r"`"), r"\\`"),
-               (re.compile(r"\["), r"\\["), (re.compile(r"\]"), r"\\]")]
-_LINE_START_ESCAPE = re.compile(r"^(#{1,6} |>|[-+] |(\d+)\. )", re.M)
+# Markdown escapes applied to text (the converter's defaults);
+# patterns starting with ^ only apply at the start of a text run.
+_MD_ESCAPES = [
+    (re.compile(r"\\"), r"\\\\"),
+    (re.compile(r"\*"), r"\\*"),
+    (re.compile(r"^-"), r"\\-"),
+    (re.compile(r"^\+ "), r"\\+ "),
+    (re.compile(r"^(=+)"), r"\\\1"),
+    (re.compile(r"^(#{1,6}) "), r"\\\1 "),
+    (re.compile(r"`"), r"\\`"),
+    (re.compile(r"^~~~"), r"\\~~~"),
+    (re.compile(r"\["), r"\\["),
+    (re.compile(r"\]"), r"\\]"),
+    (re.compile(r"^>"), r"\\>"),
+    (re.compile(r"_"), r"\\_"),
+    (re.compile(r"^(\d+)\. "), r"\1\\. "),
+]
+BULLET = "-"
 _WS = re.compile(r"[ \t\r\n\f]+")
 
 
@@ -354,6 +368,20 @@ def _build_tree(events, lo, hi):
     return root
 
 
+def _children(children, ctx) -> str:
+    """Concatenate rendered children; text that follows a block boundary
+    (a newline) loses its leading spaces, as whitespace collapsing does."""
+    out = ""
+    for c in children:
+        if isinstance(c, tuple) and c[0] == "br" and not ctx.get("pre"):
+            out = out.rstrip(" ")
+        piece = _render(c, ctx)
+        if isinstance(c, str) and not ctx.get("pre") and (not out or out.endswith("\n")):
+            piece = piece.lstrip(" ")
+        out += piece
+    return out
+
+
 def _render(node, ctx) -> str:
     if isinstance(node, str):
         if ctx.get("pre"):
@@ -361,35 +389,35 @@ def _render(node, ctx) -> str:
         return _md_escape(_WS.sub(" ", node))
     tag, attrs, children = node
     if tag == "pre":
-        inner = "".join(_render(c, {**ctx, "pre": True}) for c in children)
-        return "\n\n```\n" + inner.strip("\n") + "\n```\n\n"
-    inner_ctx = ctx
+        inner = _children(children, {**ctx, "pre": True})
+        return "\n\n```\n" + inner.rstrip("\n") + "\n```\n\n"
     if tag in ("ul", "ol"):
+        items = [c for c in children if isinstance(c, tuple) and c[0] == "li"]
+        start = attrs.get("start", "")
+        first = int(start) if tag == "ol" and start.isdigit() else 1
         out = []
-        idx = int(attrs.get("start", "1") or 1) if tag == "ol" and attrs.get("start", "1").isdigit() else 1
-        for c in children:
-            if isinstance(c, tuple) and c[0] == "li":
-                marker = f"{idx}. " if tag == "ol" else "- "
-                idx += 1
-                body = "".join(_render(x, {**ctx, "list": True}) for x in c[2])
-                body = re.sub(r"\n{3,}", "\n\n", body).strip()
-                body = body.replace("\n", "\n" + " " * len(marker))
-                out.append(marker + body)
-        return "\n\n" + "\n".join(out) + "\n\n"
-    inner = "".join(_render(c, inner_ctx) for c in children)
+        for k, li in enumerate(items):
+            prefix = f"{first + k}.  " if tag == "ol" else BULLET + "   "
+            body = _children(li[2], {**ctx, "li": True})
+            body = re.sub(r"\n{3,}", "\n\n", body)
+            body = re.sub(r"^\n+", "", body).lstrip(" ")
+            body = re.sub(r"\n+$", "\n", body)
+            body = body.replace("\n", "\n    ")
+            nxt = "\n" if k < len(items) - 1 and not body.endswith("\n") else ""
+            out.append(prefix + body + nxt)
+        content = "".join(out)
+        return ("\n" + content) if ctx.get("li") else ("\n\n" + content + "\n\n")
+    inner = _children(children, ctx)
     if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
-        text = _WS.sub(" ", inner).strip()
-        return "\n\n" + "#" * int(tag[1]) + " " + text + "\n\n" if text else ""
+        return "\n\n" + "#" * int(tag[1]) + " " + inner.strip() + "\n\n"
     if tag == "br":
         return "  \n"
     if tag == "hr":
         return "\n\n* * *\n\n"
     if tag in ("b", "strong"):
-        t = inner.strip()
-        return f"**{t}**" if t else ""
+        return f"**{inner}**" if inner.strip() else ""
     if tag in ("i", "em"):
-        t = inner.strip()
-        return f"_{t}_" if t else ""
+        return f"_{inner}_" if inner.strip() else ""
     if tag == "code":
         if ctx.get("pre"):
             return inner
@@ -403,20 +431,27 @@ def _render(node, ctx) -> str:
         return inner
     if tag == "img":
         src = attrs.get("src", "")
-        return f"![{attrs.get('alt', '')}]({src})" if src else ""
+        title = attrs.get("title")
+        tpart = f' "{title}"' if title else ""
+        return f"![{attrs.get('alt', '')}]({src}{tpart})" if src else ""
     if tag == "blockquote":
-        body = re.sub(r"\n{3,}", "\n\n", inner).strip()
-        return "\n\n" + "\n".join("> " + ln for ln in body.split("\n")) + "\n\n"
+        body = re.sub(r"\n{3,}", "\n\n", inner).strip("\n")
+        return "\n\n" + re.sub(r"(?m)^", "> ", body) + "\n\n"
     if tag in _BLOCK:
-        return "\n\n" + inner + "\n\n"
+        return "\n\n" + inner.strip(" ") + "\n\n"
     return inner
 
 
+_TRAILING = re.compile(r"(?m)(?<!^>)[ \t]+\n")
+
+
 def to_markdown(doc: Document, el: Element | None) -> str:
     lo, hi = (0, len(doc.events)) if el is None else (el.ev_start, el.ev_end)
     tree = _build_tree(doc.events, lo, hi)
-    out = "".join(_render(c, {}) for c in tree[2])
-    out = re.sub(r"[ \t]+\n", lambda m: "  \n" if m.group(0).startswith("  ") else "\n", out)
-    out = re.sub(r"\n[ \t]+(?=\S)", "\n", out)
+    out = _children(tree[2], {})
+    # Trailing spaces go, except a line break's two; blocks are separated by
+    # at most one blank line.
+    out = _TRAILING.sub(lambda m: m.group(0) if m.group(0) == "  \n" else "\n", out)
+    out = re.sub(r"\n[ \t]+\n", "\n\n", out)
     out = re.sub(r"\n{3,}", "\n\n", out)
     return out.strip()
