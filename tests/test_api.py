@@ -138,3 +138,20 @@ def test_visited_once_with_watermark(spark):
     src = read_stream(spark, f"{wd}/in", schema)
     run_to_table(visited_once(src, "ts", "1 hour"), f"{wd}/out", f"{wd}/ckpt")
     assert sorted(r.url for r in spark.read.parquet(f"{wd}/out").collect()) == ["u1", "u2"]
+
+
+def test_latest_captures_and_canonicalize(spark):
+    from webloom.sources.captures import latest_captures
+    rows = [("http://a.com/", "<title>old</title>", 200, dt.datetime(2024, 1, 1), None),
+            ("http://a.com/", "<title>new</title>", 200, dt.datetime(2024, 1, 2), None)]
+    c = spark.createDataFrame(rows, "url string, html string, status_code int, fetched_at timestamp, error string")
+    one = latest_captures(c).collect()
+    assert len(one) == 1 and "new" in one[0].html
+    e = spark.createDataFrame([("http://a.com/", 0, "HTTP://A.com/b#x"), ("http://a.com/", 1, "http://a.com/b")],
+                              "src string, pos int, dst string")
+    c2 = latest_captures(c.unionByName(spark.createDataFrame(
+        [("http://a.com/b", "<title>b</title>", 200, dt.datetime(2024, 1, 1), None)], c.schema)))
+    s = spark.createDataFrame([("c", "http://a.com/")], "crawl_id string, url string")
+    raw = crawl(s, c2, CrawlOptions(depth=1), edges=e).nodes.count()
+    canon = crawl(s, c2, CrawlOptions(depth=1, canonicalize=True), edges=e).nodes.count()
+    assert (raw, canon) == (3, 2)

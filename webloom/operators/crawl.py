@@ -152,8 +152,12 @@ def _cap_cut(nodes: DataFrame, k: int) -> DataFrame:
         "crawl_id", F.col("depth").alias("cut_depth"), F.col("key").alias("cut_key"))
 
 
-def _link_table(edges: DataFrame, materialise: bool) -> DataFrame:
+def _link_table(edges: DataFrame, materialise: bool, canonicalize: bool = False) -> DataFrame:
     e = edges.select("src", F.col("pos").cast("int").alias("pos"), "dst")
+    if canonicalize:
+        from webloom.functions.urls import canonical_url
+        e = e.withColumn("dst", canonical_url("dst"))
+        materialise = True  # normalise each link once, not once per level
     return _checkpoint(e) if materialise else e
 
 
@@ -164,14 +168,17 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
     status_code, fetched_at, error. ``edges`` (src, pos, dst) defaults to the
     links extracted from the captured pages. Every level reads the link
     table, so a derived one is materialised once (``materialise_edges``;
-    switch it off when ``edges`` is already a stored table)."""
+    switch it off when ``edges`` is already a stored table). With
+    ``opts.canonicalize`` link targets are compared in normalised form
+    (fragment dropped); by default URL identity is the raw string. Captures
+    must hold one row per URL (see ``sources.captures.latest_captures``)."""
     frontier, rejects = _seed_frontier(seeds)
     rules = parse_robots(robots_captures) if (opts.respect_robots and robots_captures
                                               is not None) else None
     if rules is not None:
         rules = _checkpoint(rules)
-    link_table = (_link_table(edges, materialise_edges) if edges is not None
-                  else _checkpoint(links_of(captures)))
+    link_table = _link_table(edges if edges is not None else links_of(captures),
+                             materialise_edges or edges is None, opts.canonicalize)
     levels: list[DataFrame] = []
     cap_index = prepare_captures(captures)
     for d in range(opts.depth + 1):

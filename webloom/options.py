@@ -68,6 +68,7 @@ class CrawlOptions:
     user_agent: str = DEFAULT_AGENT
     pii_filter: bool = False
     scan_tos: bool = False
+    canonicalize: bool = False
 
     def __post_init__(self):
         if not 1 <= self.depth <= 10:

@@ -26,6 +26,14 @@ def ok_only(df: DataFrame) -> DataFrame:
     return df.filter(F.col("status_code").between(200, 299))
 
 
+def latest_captures(df: DataFrame) -> DataFrame:
+    """One capture per URL: the most recent (ties broken by status code).
+    Crawls and batch scrapes join captures on url and expect it unique."""
+    cols = [c for c in df.columns if c != "url"]
+    latest = F.max_by(F.struct(*cols), F.struct("fetched_at", "status_code"))
+    return df.groupBy("url").agg(latest.alias("_c")).select("url", "_c.*")
+
+
 def read_robots(spark: SparkSession, path: str) -> DataFrame:
     """Host, body, status_code, fetched_at."""
     return spark.read.schema(schemas.ROBOTS_CAPTURES).parquet(path)
