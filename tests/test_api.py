@@ -155,3 +155,19 @@ def test_latest_captures_and_canonicalize(spark):
     raw = crawl(s, c2, CrawlOptions(depth=1), edges=e).nodes.count()
     canon = crawl(s, c2, CrawlOptions(depth=1, canonicalize=True), edges=e).nodes.count()
     assert (raw, canon) == (3, 2)
+
+
+def test_crawl_pii_and_tos(spark):
+    p1 = "<html><head><title>A</title></head><body><main>mail x@y.org now</main></body></html>"
+    p2 = "<html><head><title>B</title></head><body><main>binding arbitration here</main></body></html>"
+    c = caps(spark, [("http://a.com/", p1), ("http://a.com/b", p2)])
+    e = spark.createDataFrame([("http://a.com/", 0, "http://a.com/b")], "src string, pos int, dst string")
+    s = spark.createDataFrame([("c1", "http://a.com/")], "crawl_id string, url string")
+    lex = spark.createDataFrame([("arb", "(?i)binding arbitration", "block")], "clause string, pattern string, severity string")
+    r = crawl(s, c, CrawlOptions(depth=1, format="text", pii_filter=True, scan_tos=True), edges=e,
+              tos_lexicon=lex)
+    pages = {x.url: x.content for x in r.pages.collect()}
+    assert pages == {"http://a.com/": "mail [EMAIL] now"}
+    sm = r.summary.first()
+    assert (sm.pages_crawled, sm.pages_skipped, sm.compliant, sm.pii_redacted) == (1, 1, False, 1)
+    assert [(x.url, x.reason) for x in r.skips.collect()] == [("http://a.com/b", "tos")]

@@ -163,7 +163,7 @@ def _link_table(edges: DataFrame, materialise: bool, canonicalize: bool = False)
 
 def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptions(),
           edges: DataFrame | None = None, robots_captures: DataFrame | None = None,
-          materialise_edges: bool = True) -> CrawlResult:
+          materialise_edges: bool = True, tos_lexicon: DataFrame | None = None) -> CrawlResult:
     """C8-C12. ``seeds``: crawl_id, url. ``captures``: url, html,
     status_code, fetched_at, error. ``edges`` (src, pos, dst) defaults to the
     links extracted from the captured pages. Every level reads the link
@@ -171,7 +171,13 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
     switch it off when ``edges`` is already a stored table). With
     ``opts.canonicalize`` link targets are compared in normalised form
     (fragment dropped); by default URL identity is the raw string. Captures
-    must hold one row per URL (see ``sources.captures.latest_captures``)."""
+    must hold one row per URL (see ``sources.captures.latest_captures``).
+    ``opts.pii_filter`` redacts page content (G1) and adds ``pii_redacted``
+    to the summary; ``opts.scan_tos`` (with ``tos_lexicon``) turns pages
+    with a blocking clause into ``tos`` skips and adds ``compliant`` (G2/G3).
+    """
+    if opts.scan_tos and tos_lexicon is None:
+        raise ValueError("scan_tos needs a tos_lexicon DataFrame (clause, pattern, severity)")
     frontier, rejects = _seed_frontier(seeds)
     rules = parse_robots(robots_captures) if (opts.respect_robots and robots_captures
                                               is not None) else None
@@ -201,9 +207,25 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
     processed = nodes.join(cut, "crawl_id", "left").filter(in_cap).drop("cut_depth", "cut_key")
     processed = _checkpoint(processed.drop("seed_host"))
     ok_urls = processed.filter(F.col("reason").isNull()).select("crawl_id", "url", "depth", "key")
-    pages = ok_urls.join(captures, "url").transform(lambda df: scrape(df, opts.format))
+    pages = ok_urls.join(captures, "url").transform(
+        lambda df: scrape(df, opts.format, pii_filter=opts.pii_filter))
     skips = processed.filter(F.col("reason").isNotNull()).select(
         "crawl_id", "url", "reason", "detail", "depth")
+    compliance = None
+    if opts.scan_tos:
+        from webloom.operators.compliance import compliance_gate, tos_flags
+        pages = _checkpoint(pages)
+        flags = tos_flags(pages, tos_lexicon, key_col="url", text_col="content")
+        compliance, tos_skips = compliance_gate(pages.select("crawl_id", "url"), flags)
+        tos_skips = tos_skips.join(pages.select("crawl_id", "url", "depth"), ["crawl_id", "url"])
+        pages = pages.join(tos_skips.select("crawl_id", "url"), ["crawl_id", "url"], "left_anti")
+        skips = skips.unionByName(tos_skips.select("crawl_id", "url", "reason", "detail", "depth"))
+        processed = processed.join(tos_skips.select("crawl_id", "url", F.col("reason").alias("_t"),
+                                                    F.col("detail").alias("_td")),
+                                   ["crawl_id", "url"], "left").select(
+            *[F.coalesce("_t", "reason").alias("reason") if c == "reason" else
+              F.coalesce("_td", "detail").alias("detail") if c == "detail" else F.col(c)
+              for c in processed.columns])
     counts = processed.groupBy("crawl_id").agg(
         F.count(F.when(F.col("reason").isNull(), 1)).alias("pages_crawled"),
         F.count(F.when(F.col("reason").isNotNull(), 1)).alias("pages_skipped"))
@@ -217,6 +239,12 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
                            F.col("pages_crawled") + 2 * F.col("pages_skipped"))
                .withColumn("status", F.when(F.col("pages_crawled") > 0, "complete")
                            .otherwise("failed")))
+    if opts.pii_filter:
+        red = pages.groupBy("crawl_id").agg(F.sum("pii_redacted").alias("pii_redacted"))
+        summary = summary.join(red, "crawl_id", "left").fillna(0, ["pii_redacted"])
+    if compliance is not None:
+        summary = summary.join(compliance.select("crawl_id", "compliant"), "crawl_id", "left") \
+            .fillna(True, ["compliant"])
     return CrawlResult(processed, pages, skips, summary, rejects)
 
 

@@ -22,9 +22,11 @@ NOT_CAPTURED = "not captured"
 _CONTENT_PART = {"markdown": "markdown", "html": "html", "text": "text", "json": "text"}
 
 
-def scrape(captures: DataFrame, format: str = "markdown") -> DataFrame:
+def scrape(captures: DataFrame, format: str = "markdown", pii_filter: bool = False) -> DataFrame:
     """E14. ``captures`` needs url and html; status_code / fetched_at / error
-    are used when present. HTTP errors are pages, not failures."""
+    are used when present. HTTP errors are pages, not failures. With
+    ``pii_filter`` the content is redacted (G1) before it is counted and
+    returned, and ``pii_redacted`` says how many items were replaced."""
     fmt = check_format(format)
     parsed = extract_parts(captures, ["title", "meta", "links", _CONTENT_PART[fmt]])
     title = js_trim("title_raw")  # NULL when there is no <title>
@@ -55,6 +57,9 @@ def scrape(captures: DataFrame, format: str = "markdown") -> DataFrame:
         F.col("meta_og_image").alias("og_image"), F.col("meta_author").alias("author"),
         F.coalesce("meta_published_time", "time_datetime").alias("published_at"),
         "links")
+    if pii_filter:
+        from webloom.operators.compliance import redact_pii
+        out = redact_pii(out, "content").drop("n_email", "n_ssn", "n_phone")
     return out.withColumn("word_count", word_count("content"))
 
 
