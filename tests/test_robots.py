@@ -46,3 +46,21 @@ def test_reason_text(spark):
     u = spark.createDataFrame([("http://ex.com/private/a",)], "url string")
     row = robots_check(u, r, "bot").first()
     assert row.robots_reason == 'Blocked by robots.txt rule for user-agent "bot"'
+
+
+def test_verdict_independent_of_rule_order(spark):
+    import random
+    rules = ["Disallow: /a", "Allow: /a/b", "Disallow: /a/b/c$", "Allow: /*.html", "Disallow: /x*y",
+             "Allow: /a/b/c"]
+    urls = ["http://ex.com/a/b/c", "http://ex.com/a/b/c/d", "http://ex.com/a/q.html", "http://ex.com/x1y",
+            "http://ex.com/a/b", "http://ex.com/z"]
+    base = None
+    rng = random.Random(3)
+    for _ in range(4):
+        rng.shuffle(rules)
+        got = check(spark, _rules(spark, "User-agent: *\n" + "\n".join(rules)), urls, "bot")
+        base = base or got
+        assert got == base
+    # "/a/b/c$" (7 characters) outranks "Allow: /a/b/c" (6).
+    assert base["http://ex.com/a/b/c"] is False and base["http://ex.com/a/b/c/d"] is True
+    assert base["http://ex.com/x1y"] is False

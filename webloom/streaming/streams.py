@@ -20,6 +20,18 @@ from webloom.operators.scrape import scrape
 from webloom.session import ensure_checkpoint_dir
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state (visited keys, last hash per URL) in RocksDB on
+    local disk instead of executor heap, unless the session chose a store."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    current = spark.conf.get(key, None)
+    if not current or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB_PROVIDER)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -54,6 +66,7 @@ def visited_once(links_stream: DataFrame, watermark_col: str | None = None,
                  delay: str = "1 hour") -> DataFrame:
     """Each (crawl_id, url) once. Without a watermark the state keeps
     every key; with one, keys are forgotten once the watermark passes."""
+    use_rocksdb_state(links_stream.sparkSession)
     if watermark_col is None:
         return links_stream.dropDuplicates(["crawl_id", "url"])
     return (links_stream.withWatermark(watermark_col, delay)
@@ -90,6 +103,7 @@ def _track(key, pdfs, state):
 def stream_monitor(captures_stream: DataFrame, selector: str | None = None) -> DataFrame:
     """Change events (url, fetched_at, prev_hash, hash) as snapshots
     arrive; one state row (last hash) per URL."""
+    use_rocksdb_state(captures_stream.sparkSession)
     snaps = snapshot(captures_stream, selector).select("url", "fetched_at", "hash")
     return snaps.groupBy("url").applyInPandasWithState(
         _track, _CHANGE_SCHEMA, _STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
