@@ -27,11 +27,23 @@ def agent_token(user_agent: str) -> str:
     return user_agent.split("/")[0].strip().lower()
 
 
-def parse_robots(robots_captures: DataFrame) -> DataFrame:
+def latest_robots(robots_captures: DataFrame) -> DataFrame:
+    """The most recent robots capture of each host (whatever its status: a
+    later failed fetch means no rules)."""
+    cols = [c for c in robots_captures.columns if c != "host"]
+    return (robots_captures.groupBy("host")
+            .agg(F.max_by(F.struct(*cols), "fetched_at").alias("_c"))
+            .select("host", "_c.*"))
+
+
+def parse_robots(robots_captures: DataFrame, latest: bool = True) -> DataFrame:
     """One row per directive line that matters:
     host, group_id, line_no, agent (for user-agent lines), kind
-    ('allow'/'disallow'/'crawl-delay'), pattern, delay_sec."""
-    ok = ok_only(robots_captures).select("host", "body")
+    ('allow'/'disallow'/'crawl-delay'), pattern, delay_sec. With ``latest``
+    (the default) only each host's most recent capture is parsed; otherwise
+    ``host`` must already identify one capture."""
+    src = latest_robots(robots_captures) if latest else robots_captures
+    ok = ok_only(src).select("host", "body")
     lines = ok.select("host", F.posexplode(F.split("body", r"\r?\n")).alias("line_no", "line"))
     stripped = F.trim(F.regexp_replace("line", "#.*$", ""))
     d = (lines.select("host", "line_no", stripped.alias("line"))
@@ -155,7 +167,7 @@ def robots_asof(requests: DataFrame, robots_captures: DataFrame,
         return F.concat_ws("@", h, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
 
     rules = parse_robots(caps.select(cap_key(F.col("host"), F.col("fetched_at")).alias("host"),
-                                     "body", F.lit(200).alias("status_code")))
+                                     "body", F.lit(200).alias("status_code")), latest=False)
     per_cap = rules_by_host(rules, user_agent).withColumnRenamed("host", "_rk2")
     m = (chosen.withColumn("_rk", cap_key(F.col("_host"), F.col("robots_fetched_at")))
          .join(per_cap, F.col("_rk") == F.col("_rk2"), "left"))

@@ -75,15 +75,18 @@ SEEDS = f"""seeds AS (SELECT host AS crawl_id, arg_min(url, page_id) AS url FROM
 
 HOSTS = f"""hosts AS (SELECT DISTINCT host FROM ph)"""
 
-ROBOTS = f"""robots_captures AS (
+ROBOTS = f"""rr AS (
+  SELECT host, length(host) % 4 AS k, 0 AS off_ms FROM hosts
+  UNION ALL SELECT host, (length(host) + 1) % 4, 60000 FROM hosts WHERE length(host) % 3 = 0),
+robots_captures AS (
   SELECT host,
-         CASE length(host) % 4 WHEN 1 THEN 'User-agent: *' || chr(10) || 'Disallow: /fr'
+         CASE k WHEN 1 THEN 'User-agent: *' || chr(10) || 'Disallow: /fr'
               WHEN 2 THEN 'User-agent: *' || chr(10) || 'Disallow: /' || chr(10) || 'Allow: /en'
               WHEN 3 THEN 'User-agent: *' || chr(10) || 'Crawl-delay: 2' || chr(10) || 'Disallow: /*.html$'
               ELSE '' END AS body,
-         CASE WHEN length(host) % 4 = 0 THEN 404 ELSE 200 END AS status_code,
-         epoch_ms(1704067200000 + (length(host) % 5) * 40000) AS fetched_at
-  FROM hosts)"""
+         CASE WHEN k = 0 THEN 404 ELSE 200 END AS status_code,
+         epoch_ms(1704067200000 + off_ms + (length(host) % 5) * 40000) AS fetched_at
+  FROM rr)"""
 
 SITEMAPS = f"""sitemap_captures AS (
   SELECT host, CAST(page_id // 50000 AS INTEGER) AS part,

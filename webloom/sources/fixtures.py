@@ -108,16 +108,23 @@ ROBOTS_BODIES = (
 
 
 def robots_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-ROB: one robots capture per host; class 0 is a 404."""
+    """F-ROB: one robots capture per host, body chosen by length(host) % 4
+    (class 0 is a 404). Hosts with length(host) % 3 = 0 are captured again
+    a minute later with the next class's body (a second round)."""
     h = hosts(spark, sf_dir)
-    k = F.length("host") % 4
-    body = (F.when(k == 1, F.lit(ROBOTS_BODIES[1])).when(k == 2, F.lit(ROBOTS_BODIES[2]))
-            .when(k == 3, F.lit(ROBOTS_BODIES[3])).otherwise(F.lit("")))
-    return h.select(
-        "host", body.alias("body"),
-        F.when(k == 0, 404).otherwise(200).cast("int").alias("status_code"),
-        F.timestamp_millis(F.lit(EPOCH_2024_MS) + (F.length("host") % 5) * 40000)
-        .alias("fetched_at"))
+
+    def round_(k, offset_ms):
+        body = (F.when(k == 1, F.lit(ROBOTS_BODIES[1])).when(k == 2, F.lit(ROBOTS_BODIES[2]))
+                .when(k == 3, F.lit(ROBOTS_BODIES[3])).otherwise(F.lit("")))
+        return F.struct(
+            body.alias("body"), F.when(k == 0, 404).otherwise(200).cast("int").alias("status_code"),
+            F.timestamp_millis(F.lit(EPOCH_2024_MS + offset_ms) + (F.length("host") % 5) * 40000)
+            .alias("fetched_at"))
+
+    first = h.select("host", round_(F.length("host") % 4, 0).alias("c"))
+    second = (h.filter(F.length("host") % 3 == 0)
+              .select("host", round_((F.length("host") + 1) % 4, 60000).alias("c")))
+    return first.unionByName(second).select("host", "c.body", "c.status_code", "c.fetched_at")
 
 
 def sitemap_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
