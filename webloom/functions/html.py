@@ -35,6 +35,8 @@ _TOKEN = re.compile(
     r"((?:\s+[^\s\"'>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+))?|\s*/(?!>))*)"
     r"\s*(/?)>",                               # attrs -> 3, self-close -> 4
     re.S)
+_RAW_CLOSE = {t: re.compile(r"</" + t + r"\s*>", re.I) for t in RAW_TEXT_TAGS}
+_ROOT_TAGS = frozenset(["main", "article", "body"])
 _ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 
@@ -101,103 +103,108 @@ class Document:
     def _scan(self):
         src = self.src
         events = self.events
+        append = events.append
         stack: list[Element] = []
         md_noise = 0
         mon_noise = 0
         pos = 0
         n = len(src)
         finditer = _TOKEN.finditer
-
-        def add_text(t):
-            if t:
-                events.append((TEXT, _unescape(t), None, md_noise > 0, mon_noise > 0))
+        note = self._note
+        unescape = _html.unescape
 
         def close(el, at_event, src_at):
             nonlocal md_noise, mon_noise
             el.ev_end = at_event
             el.src_inner_end = src_at
-            if el.tag in MARKDOWN_NOISE:
+            tag = el.tag
+            if tag in MARKDOWN_NOISE:
                 md_noise -= 1
-            if el.tag in MONITOR_NOISE:
+            if tag in MONITOR_NOISE:
                 mon_noise -= 1
 
         it = finditer(src, pos)
         while True:
             m = next(it, None)
             if m is None:
-                add_text(src[pos:])
                 break
-            if m.start() > pos:
-                add_text(src[pos:m.start()])
+            start = m.start()
+            if start > pos:
+                t = src[pos:start]
+                append((TEXT, unescape(t) if "&" in t else t, None, md_noise > 0, mon_noise > 0))
             pos = m.end()
-            end_name, start_name = m.group(1), m.group(2)
+            end_name, start_name, raw_attrs, selfclose = m.groups()
             if end_name is not None:
                 tag = end_name.lower()
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k].tag == tag:
                         while len(stack) > k:
-                            el = stack.pop()
-                            close(el, len(events), m.start())
-                        events.append((END, tag, None, md_noise > 0, mon_noise > 0))
+                            close(stack.pop(), len(events), start)
+                        append((END, tag, None, md_noise > 0, mon_noise > 0))
                         break
                 continue
             if start_name is None:
                 continue  # comment / doctype
             tag = start_name.lower()
-            attrs = parse_attrs(m.group(3)) if m.group(3) else {}
-            if stack and ((tag == "p" and stack[-1].tag == "p")
-                          or (tag == "li" and stack[-1].tag == "li")):
-                el = stack.pop()
-                close(el, len(events), m.start())
-                events.append((END, el.tag, None, md_noise > 0, mon_noise > 0))
-            parent = stack[-1] if stack else None
-            el = Element(tag, attrs, len(events) + 1, m.end(), parent)
+            attrs = parse_attrs(raw_attrs) if raw_attrs else {}
+            if stack:
+                top = stack[-1].tag
+                if (tag == "p" and top == "p") or (tag == "li" and top == "li"):
+                    el = stack.pop()
+                    close(el, len(events), start)
+                    append((END, el.tag, None, md_noise > 0, mon_noise > 0))
+            el = Element(tag, attrs, len(events) + 1, pos, stack[-1] if stack else None)
             el.in_md_noise = md_noise > 0 or tag in MARKDOWN_NOISE
             el.in_mon_noise = mon_noise > 0 or tag in MONITOR_NOISE
-            events.append((START, tag, el, md_noise > 0, mon_noise > 0))
-            self._note(el, tag, attrs)
-            if tag in VOID_TAGS or m.group(4):
+            append((START, tag, el, md_noise > 0, mon_noise > 0))
+            note(el, tag, attrs)
+            if selfclose or tag in VOID_TAGS:
                 el.ev_end = len(events)
-                el.src_inner_end = m.end()
+                el.src_inner_end = pos
                 continue
             if tag in MARKDOWN_NOISE:
                 md_noise += 1
             if tag in MONITOR_NOISE:
                 mon_noise += 1
-            if tag in RAW_TEXT_TAGS:
-                close_re = re.compile(r"</" + tag + r"\s*>", re.I)
-                cm = close_re.search(src, pos)
-                body_end = cm.start() if cm else n
-                raw = src[pos:body_end]
-                if tag == "title" and self.title is None:
-                    self.title = _unescape(raw)
-                if raw:
-                    events.append((TEXT, _unescape(raw), None, md_noise > 0, mon_noise > 0))
-                close(el, len(events), body_end)
-                if cm:
-                    events.append((END, tag, None, md_noise > 0, mon_noise > 0))
-                    pos = cm.end()
-                else:
-                    pos = n
-                it = finditer(src, pos)
+            close_re = _RAW_CLOSE.get(tag)
+            if close_re is None:
+                stack.append(el)
                 continue
-            stack.append(el)
+            cm = close_re.search(src, pos)
+            body_end = cm.start() if cm else n
+            raw = src[pos:body_end]
+            if tag == "title" and self.title is None:
+                self.title = unescape(raw) if "&" in raw else raw
+            if raw:
+                append((TEXT, unescape(raw) if "&" in raw else raw, None,
+                        md_noise > 0, mon_noise > 0))
+            close(el, len(events), body_end)
+            if cm:
+                append((END, tag, None, md_noise > 0, mon_noise > 0))
+                pos = cm.end()
+            else:
+                pos = n
+            it = finditer(src, pos)
+        if pos < n:
+            t = src[pos:]
+            append((TEXT, unescape(t) if "&" in t else t, None, md_noise > 0, mon_noise > 0))
         while stack:
             close(stack.pop(), len(events), n)
 
     def _note(self, el: Element, tag: str, attrs: dict):
-        if tag == "a" and "href" in attrs:
-            self.hrefs.append(attrs["href"])
+        if tag == "a":
+            if "href" in attrs:
+                self.hrefs.append(attrs["href"])
         elif tag == "meta":
             self.metas.append(attrs)
-        elif tag == "time" and self.first_time is None:
-            self.first_time = el
-        for key in ("main", "article", "body"):
-            if tag == key:
-                self.first.setdefault(key, el)
-                if not el.in_mon_noise:
-                    self.first_mon.setdefault(key, el)
-        if attrs.get("role") == "main":
+        elif tag == "time":
+            if self.first_time is None:
+                self.first_time = el
+        elif tag in _ROOT_TAGS:
+            self.first.setdefault(tag, el)
+            if not el.in_mon_noise:
+                self.first_mon.setdefault(tag, el)
+        if attrs and attrs.get("role") == "main":
             self.first.setdefault("role", el)
         if (self.selector is not None and self.selected is None
                 and not el.in_mon_noise and self.selector.matches(el)):
