@@ -171,3 +171,18 @@ def test_crawl_pii_and_tos(spark):
     sm = r.summary.first()
     assert (sm.pages_crawled, sm.pages_skipped, sm.compliant, sm.pii_redacted) == (1, 1, False, 1)
     assert [(x.url, x.reason) for x in r.skips.collect()] == [("http://a.com/b", "tos")]
+
+
+def test_stream_monitor_with_ttl(spark):
+    from webloom import schemas
+    from webloom.streaming.streams import read_stream, run_to_table, stream_monitor, work_dir
+    wd = work_dir(spark, "ttl")
+    a = caps(spark, [("http://a.com/", "<body><main>one</main></body>")])
+    b = caps(spark, [("http://a.com/", "<body><main>two</main></body>")]).withColumn(
+        "fetched_at", F.lit(dt.datetime(2024, 1, 2)))
+    a.write.parquet(f"{wd}/in")
+    b.write.mode("append").parquet(f"{wd}/in")
+    src = read_stream(spark, f"{wd}/in", schemas.CAPTURES, files_per_trigger=1)
+    run_to_table(stream_monitor(src, ttl_ms=3_600_000), f"{wd}/out", f"{wd}/ckpt")
+    rows = spark.read.parquet(f"{wd}/out").collect()
+    assert len(rows) == 1 and rows[0].prev_hash != rows[0].hash

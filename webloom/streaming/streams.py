@@ -85,28 +85,45 @@ _STATE_SCHEMA = T.StructType([
 ])
 
 
-def _track(key, pdfs, state):
-    """Per URL: compare each new snapshot (in fetch order) with the last one
-    kept in state; emit a row when the hash changed."""
-    last_hash, last_ts = (state.get if state.exists else (None, None))
-    out = []
-    for pdf in pdfs:
-        for row in pdf.sort_values(["fetched_at", "hash"]).itertuples(index=False):
-            if last_hash is not None and row.hash != last_hash:
-                out.append((row.url, row.fetched_at, last_hash, row.hash))
-            last_hash, last_ts = row.hash, row.fetched_at
-    state.update((last_hash, last_ts))
-    if out:
-        yield pd.DataFrame(out, columns=["url", "fetched_at", "prev_hash", "hash"])
-
-
-def stream_monitor(captures_stream: DataFrame, selector: str | None = None) -> DataFrame:
+def _tracker(ttl_ms: int | None):
+    def track(key, pdfs, state):
+        """Per URL: compare each new snapshot (in fetch order) with the last
+        one kept in state; emit a row when the hash changed. With a TTL the
+        state expires ``ttl_ms`` of event time after the URL's last
+        snapshot."""
+        if state.hasTimedOut:
+            state.remove()
+            return
+        last_hash, last_ts = (state.get if state.exists else (None, None))
+        out = []
+        for pdf in pdfs:
+            for row in pdf.sort_values(["fetched_at", "hash"]).itertuples(index=False):
+                if last_hash is not None and row.hash != last_hash:
+                    out.append((row.url, row.fetched_at, last_hash, row.hash))
+                last_hash, last_ts = row.hash, row.fetched_at
+        state.update((last_hash, last_ts))
+        if ttl_ms is not None:
+            state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).timestamp() * 1000) + ttl_ms)
+        if out:
+            yield pd.DataFrame(out, columns=["url", "fetched_at", "prev_hash", "hash"])
+    return track
+
+
+def stream_monitor(captures_stream: DataFrame, selector: str | None = None,
+                   ttl_ms: int | None = None) -> DataFrame:
     """Change events (url, fetched_at, prev_hash, hash) as snapshots
-    arrive; one state row (last hash) per URL."""
+    arrive; one state row (last hash) per URL. With ``ttl_ms`` a watermark on
+    ``fetched_at`` lets a URL's state expire that long (event time) after its
+    last snapshot."""
     use_rocksdb_state(captures_stream.sparkSession)
     snaps = snapshot(captures_stream, selector).select("url", "fetched_at", "hash")
+    if ttl_ms is None:
+        timeout = GroupStateTimeout.NoTimeout
+    else:
+        snaps = snaps.withWatermark("fetched_at", f"{int(ttl_ms)} milliseconds")
+        timeout = GroupStateTimeout.EventTimeTimeout
     return snaps.groupBy("url").applyInPandasWithState(
-        _track, _CHANGE_SCHEMA, _STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+        _tracker(ttl_ms), _CHANGE_SCHEMA, _STATE_SCHEMA, "append", timeout)
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str) -> None:
