@@ -81,3 +81,25 @@ def test_bfs_depth_property(spark):
                 want[v] = want[u] + 1
                 q.append(v)
     assert got == want
+
+
+def test_crawl_follows_extracted_links(spark):
+    pages = {
+        "http://ex.com/": '<html><body><nav><a href="/a">A</a><a href="http://other.org/">o</a></nav>'
+                          '<main><a href="b#top">B</a></main></body></html>',
+        "http://ex.com/a": '<html><body><a href="/">home</a><a href="/c">C</a></body></html>',
+        "http://ex.com/b#top": "<html><title>b</title></html>",
+        "http://ex.com/c": "<html><title>c</title></html>",
+    }
+    _, c = graph_frames(spark, [], [])
+    c = spark.createDataFrame([(u, h, 200) for u, h in pages.items()],
+                              "url string, html string, status_code int")
+    c = c.withColumn("fetched_at", F.current_timestamp()).withColumn("error", F.lit(None).cast("string"))
+    r = crawl(seeds(spark, "http://ex.com/"), c, CrawlOptions(depth=2))
+    got = {x.url: (x.depth, x.reason) for x in r.nodes.collect()}
+    assert got == {"http://ex.com/": (0, None), "http://ex.com/a": (1, None),
+                   "http://other.org/": (1, "excluded"), "http://ex.com/b#top": (1, None),
+                   "http://ex.com/c": (2, None)}
+    from webloom.operators.crawl import discover
+    d = {x.url for x in discover(seeds(spark, "http://ex.com/"), c).collect()}
+    assert d == {"http://ex.com/", "http://ex.com/a", "http://ex.com/b#top", "http://ex.com/c"}

@@ -267,11 +267,14 @@ def sitemap_urls(sitemap_captures: DataFrame) -> DataFrame:
                     F.trim("loc").alias("url")))
 
 
-def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame,
+def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame | None = None,
              opts: MapOptions = MapOptions(), materialise_edges: bool = True) -> DataFrame:
     """M3: breadth-first link discovery. Pages up to ``depth`` hops that
     answered 2xx are read; URLs up to depth+1 hops are listed (also those
-    whose fetch failed). Returns (site, url, depth)."""
+    whose fetch failed). ``edges`` defaults to the links of the captured
+    pages. Returns (site, url, depth, key)."""
+    if edges is None:
+        edges, materialise_edges = links_of(captures), True
     f = seeds.filter(valid_url("url")).select(
         F.col("crawl_id"), "url", F.lit(0).alias("depth"), F.array().cast(_KEY_T).alias("key"),
         url_host("url").alias("seed_host"))
@@ -291,7 +294,7 @@ def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame,
 
 
 def map_sites(seeds: DataFrame, sitemap_captures: DataFrame, captures: DataFrame,
-              edges: DataFrame, opts: MapOptions = MapOptions()) -> DataFrame:
+              edges: DataFrame | None = None, opts: MapOptions = MapOptions()) -> DataFrame:
     """M4: a site's sitemap when it lists any ``<loc>`` (even if all are then
     filtered out), otherwise link discovery. Distinct (site, url, source)."""
     s = seeds.filter(valid_url("url")).select(
