@@ -655,3 +655,13 @@ def map_context(spark, sf_dir):
                          _cap(spark, sf_dir), fx.edges(spark, sf_dir), MAP_OPTS)
     c = _docs.map_context(m)
     return c.select("site", F.array_join("urls", "\n").alias("urls"), "total", "truncated")
+
+
+@query("crawl_links")
+def crawl_links(spark, sf_dir):
+    """C8 over the links extracted from the captured HTML (the default link
+    source): every host crawled from its seed, one hop deep."""
+    r = _crawl.crawl(fx.seeds(spark, sf_dir), _cap(spark, sf_dir), CrawlOptions(depth=1),
+                     robots_captures=fx.robots_captures(spark, sf_dir))
+    return r.nodes.select("crawl_id", "url", F.col("depth").cast("long").alias("depth"),
+                          "reason", "detail")
