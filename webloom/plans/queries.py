@@ -665,3 +665,13 @@ def crawl_links(spark, sf_dir):
                      robots_captures=fx.robots_captures(spark, sf_dir))
     return r.nodes.select("crawl_id", "url", F.col("depth").cast("long").alias("depth"),
                           "reason", "detail")
+
+
+@query("capture_latest")
+def capture_latest(spark, sf_dir):
+    """The most recent capture of each URL across two capture rounds."""
+    from webloom.sources.captures import latest_captures
+    both = _cap(spark, sf_dir).unionByName(fx.snapshot2(spark, sf_dir))
+    return latest_captures(both).select(
+        "url", "page_id", "status_code", iso_ts("fetched_at").alias("fetched_at"),
+        F.sha2("html", 256).alias("html_sha256"))
