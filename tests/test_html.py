@@ -73,3 +73,18 @@ def test_selector_scope():
 def test_script_with_closing_tag_text():
     d = Document('<head><script>var t="</p>";</script></head><body><article>ok</article></body>')
     assert d.text_of(d.content_root()) == "ok"
+
+
+def test_light_scan_equals_full_scan():
+    docs = [MOCK,
+            '<html><body><div role="main"><p>r</p></div><main>M<nav>n</nav></main></body></html>',
+            '<header><main>in header</main></header><body><article>A<script>s</script></article></body>',
+            '<p>no body <a href=x>l</a><meta name=description content="d &amp; e"><time datetime=t>x</time>',
+            '<title>T &amp; U</title><body><main><img src=a><br/>x<main>inner</main></main></body>']
+
+    def parts(d):
+        r = d.content_root()
+        return (d.title, d.hrefs, d.metas, d.text_of(r), d.inner_html(r),
+                d.text_of(d.monitor_root(), True), None if r is None else r.tag)
+    for h in docs:
+        assert parts(Document(h)) == parts(Document(h, light=True))

@@ -86,8 +86,9 @@ START, END, TEXT = 0, 1, 2
 class Document:
     """Flat event list plus the elements we need to look up by rule."""
 
-    def __init__(self, src: str, selector=None):
+    def __init__(self, src: str, selector=None, light: bool = False):
         self.src = src
+        self.light = light and selector is None
         self.events: list[tuple] = []     # (kind, payload, element)
         self.title: str | None = None
         self.metas: list[dict] = []       # attribute dicts of every <meta>
@@ -97,7 +98,10 @@ class Document:
         self.first_mon: dict[str, Element] = {}   # same, outside monitor noise
         self.selector = selector
         self.selected: Element | None = None
-        self._scan()
+        if self.light:
+            self._scan_light()
+        else:
+            self._scan()
 
     # -- scanning -----------------------------------------------------------
     def _scan(self):
@@ -191,6 +195,110 @@ class Document:
         while stack:
             close(stack.pop(), len(events), n)
 
+    def _scan_light(self):
+        """The same nesting rules as ``_scan`` but only text events are kept
+        and only content-root candidates get an element record: enough for
+        title, metas, hrefs, root text / inner HTML and monitor text (not for
+        Markdown or selectors)."""
+        src = self.src
+        events = self.events
+        append = events.append
+        stack: list = []            # [tag, Element-or-None]
+        md_noise = 0
+        mon_noise = 0
+        pos = 0
+        n = len(src)
+        finditer = _TOKEN.finditer
+        unescape = _html.unescape
+        first, first_mon = self.first, self.first_mon
+
+        def close(entry, src_at):
+            nonlocal md_noise, mon_noise
+            tag, el = entry
+            if el is not None:
+                el.ev_end = len(events)
+                el.src_inner_end = src_at
+            if tag in MARKDOWN_NOISE:
+                md_noise -= 1
+            if tag in MONITOR_NOISE:
+                mon_noise -= 1
+
+        it = finditer(src, pos)
+        while True:
+            m = next(it, None)
+            if m is None:
+                break
+            start = m.start()
+            if start > pos:
+                t = src[pos:start]
+                append((TEXT, unescape(t) if "&" in t else t, None, md_noise > 0, mon_noise > 0))
+            pos = m.end()
+            end_name, start_name, raw_attrs, selfclose = m.groups()
+            if end_name is not None:
+                tag = end_name.lower()
+                for k in range(len(stack) - 1, -1, -1):
+                    if stack[k][0] == tag:
+                        while len(stack) > k:
+                            close(stack.pop(), start)
+                        break
+                continue
+            if start_name is None:
+                continue
+            tag = start_name.lower()
+            attrs = parse_attrs(raw_attrs) if raw_attrs else None
+            if stack:
+                top = stack[-1][0]
+                if (tag == "p" and top == "p") or (tag == "li" and top == "li"):
+                    close(stack.pop(), start)
+            el = None
+            if attrs is not None:
+                if tag == "a":
+                    if "href" in attrs:
+                        self.hrefs.append(attrs["href"])
+                elif tag == "meta":
+                    self.metas.append(attrs)
+                if attrs.get("role") == "main" and "role" not in first:
+                    el = Element(tag, attrs, len(events), pos, None)
+                    first["role"] = el
+            if tag == "time" and self.first_time is None:
+                self.first_time = Element(tag, attrs or {}, len(events), pos, None)
+            if tag in _ROOT_TAGS and (tag not in first or (tag not in first_mon and mon_noise == 0
+                                                           and tag not in MONITOR_NOISE)):
+                if el is None:
+                    el = Element(tag, attrs or {}, len(events), pos, None)
+                first.setdefault(tag, el)
+                if mon_noise == 0:
+                    first_mon.setdefault(tag, el)
+            if selfclose or tag in VOID_TAGS:
+                if el is not None:
+                    el.ev_end = len(events)
+                    el.src_inner_end = pos
+                continue
+            if tag in MARKDOWN_NOISE:
+                md_noise += 1
+            if tag in MONITOR_NOISE:
+                mon_noise += 1
+            close_re = _RAW_CLOSE.get(tag)
+            if close_re is None:
+                stack.append((tag, el))
+                continue
+            cm = close_re.search(src, pos)
+            body_end = cm.start() if cm else n
+            raw = src[pos:body_end]
+            if tag == "title" and self.title is None:
+                self.title = unescape(raw) if "&" in raw else raw
+            if raw:
+                append((TEXT, unescape(raw) if "&" in raw else raw, None,
+                        md_noise > 0, mon_noise > 0))
+            close((tag, el), body_end)
+            pos = cm.end() if cm else n
+            it = finditer(src, pos)
+        if pos < n:
+            t = src[pos:]
+            append((TEXT, unescape(t) if "&" in t else t, None, md_noise > 0, mon_noise > 0))
+        while stack:
+            close(stack.pop(), n)
+
     def _note(self, el: Element, tag: str, attrs: dict):
         if tag == "a":
             if "href" in attrs:

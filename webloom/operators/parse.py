@@ -51,6 +51,9 @@ def extract_parts(df: DataFrame, parts, html_col: str = "html", url_col: str = "
         from webloom.functions.urls import resolve
 
         sel = Sel(selector) if selector is not None else None
+        # Without Markdown or a selector the light scan (text events and
+        # root candidates only) gives the same parts, faster.
+        light = sel is None and "markdown" not in want
         list_t = pa.list_(pa.string())
         arrow_types = {"hrefs": list_t, "hrefs_resolved": list_t, "links": list_t}
         for batch in batches:
@@ -62,7 +65,7 @@ def extract_parts(df: DataFrame, parts, html_col: str = "html", url_col: str = "
                     for n in added_names:
                         cols[n].append(None)
                     continue
-                d = Document(h, sel)
+                d = Document(h, sel, light=light)
                 if "title" in want:
                     cols["title_raw"].append(d.title)
                 if "meta" in want:
