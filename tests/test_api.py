@@ -186,3 +186,13 @@ def test_stream_monitor_with_ttl(spark):
     run_to_table(stream_monitor(src, ttl_ms=3_600_000), f"{wd}/out", f"{wd}/ckpt")
     rows = spark.read.parquet(f"{wd}/out").collect()
     assert len(rows) == 1 and rows[0].prev_hash != rows[0].hash
+
+
+def test_package_zip_for_executors():
+    import zipfile
+
+    from webloom.session import package_zip
+    names = set(zipfile.ZipFile(package_zip()).namelist())
+    for mod in ("webloom/__init__.py", "webloom/functions/html.py", "webloom/functions/urls.py",
+                "webloom/operators/parse.py", "webloom/operators/monitor.py"):
+        assert mod in names

@@ -56,6 +56,12 @@ def ship_package(spark: SparkSession) -> None:
     app = sc.applicationId
     if app in _SHIPPED:
         return
+    sc.addPyFile(package_zip())
+    _SHIPPED.add(app)
+
+
+def package_zip() -> str:
+    """Zip the ``webloom`` sources (``.py`` files, package layout kept)."""
     import zipfile
 
     import webloom
@@ -69,8 +75,7 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(folder, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(path)
-    _SHIPPED.add(app)
+    return path
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
