@@ -150,9 +150,14 @@ def line_links(docs: DataFrame, threshold: float, k: int, bands: int, rows: int,
     shared = (keyed.withColumn("low", F.min("line").over(same)).withColumn("high", F.max("line").over(same))
               .where("low < high").select("band", F.col("line").alias("h")).distinct())
     shared = stored(shared, "line-bands")
+    # Buckets with the same members, as near-equal lines make in most bands, are compared once.
+    same_members = (shared.groupBy("band").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(2))).alias("y"))
+        .groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"))
+    shared = shared.join(same_members, "band", "left_semi")
     norm = F.btrim(F.col("line"), F.lit(BLANKS))
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(norm.alias("line"))
-    wanted = small_enough(shared.select("h").distinct())
+    wanted = small_enough(stored(shared.select("h").distinct(), "line-hashes"))
     texts = (lines.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi")
              .groupBy("h", F.unhex(F.md5("line")).alias("lid")).agg(F.first("line").alias("line")))
     texts = stored(texts, "line-texts")
@@ -167,18 +172,22 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, k: int = 10, bands: int
     and n_dropped; see module."""
     require(docs, "doc_id", "text")
     texts = docs.select("doc_id", "text").where("text is not null")
-    norm = F.btrim(F.col("line"), F.lit(BLANKS))
-    places = (texts.select("doc_id", row_key().alias("dkey"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-              .where(norm != "").select("doc_id", "dkey", "line_no", F.unhex(F.md5(norm)).alias("lid")))
+    # The row key is a column before the lines are exploded, or it would be computed for each line.
+    split = texts.select("doc_id", row_key().alias("dkey"), F.split("text", "\n").alias("lines"))
+    places = (split.select("doc_id", "dkey", F.posexplode("lines").alias("line_no", "line"))
+              .withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line != ''")
+              .select("doc_id", "dkey", "line_no", F.unhex(F.md5("line")).alias("lid")))
     places = stored(places, "line-places")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "dkey", "line_no")
-    lines = places.groupBy("lid").agg(F.count("*").alias("n"), F.min(place).alias("first"))
     joined = components(line_links(texts, threshold, k, bands, rows, seed), "line-components")
-    lines = lines.join(joined.withColumnRenamed("node", "lid"), "lid", "left").where("n > 1 or root is not null")
-    lines = stored(lines, "repeated-lines")
+    joined = stored(joined.withColumnRenamed("node", "lid"), "joined-lines")
+    repeated = places.groupBy("lid").agg(F.count("*").alias("n")).where("n > 1").select("lid")
+    special = stored(repeated.union(joined.select("lid")).distinct(), "repeated-lines")
+    marked = stored(places.join(small_enough(special), "lid"), "repeated-places")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "dkey", "line_no")
+    lines = marked.groupBy("lid").agg(F.min(place).alias("first")).join(joined, "lid", "left")
     keepers = lines.where("root is not null").groupBy("root").agg(F.min("first").alias("keeper"))
     lines = lines.join(keepers, "root", "left").select("lid", F.coalesce("keeper", "first").alias("keeper"))
-    dropped = (places.join(lines, "lid")
+    dropped = (marked.join(lines, "lid")
                .where((F.col("dkey") != F.col("keeper.dkey")) | (F.col("line_no") != F.col("keeper.line_no")))
                .select("dkey", "line_no").distinct().groupBy("dkey").agg(F.collect_list("line_no").alias("dropped")))
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
