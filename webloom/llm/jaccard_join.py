@@ -5,9 +5,10 @@ Documents with equal n-gram sets are one class; classes are joined. A class is
 embedded as ``tokens`` MinHash values. At each node of a random recursion a
 token is chosen with probability ``branching / tokens``, by a hash of the node
 and the token, so similar sets follow the same paths and unrelated ones part.
-Buckets of at most LIMIT classes are compared by brute force, larger ones are
-split on further tokens, down to ``depth`` levels; what is still large then
-consists of similar sets and is compared in blocks. The recursion is repeated
+Buckets of at most LIMIT classes are compared by brute force, and so are
+larger ones whose sets are similar on the whole (splitting would only multiply
+them), in blocks; the others are split on further tokens, down to ``depth``
+levels. The recursion is repeated
 ``runs`` times; runs are chosen so that a pair at the threshold meets with the
 target recall. A pair that meets several times is compared in the bucket with
 the lowest path only. MinHash estimates sort out pairs far below the threshold,
@@ -45,6 +46,8 @@ BLOCK = 256
 SEED = 23
 #: MinHash tokens of an embedded set; the estimate's standard error is 0.05 at 0.8.
 TOKENS = 64
+#: Mean similarity from which a large bucket is compared and not split, and the tokens it is estimated by.
+DENSE, PROBES = 0.4, 8
 #: Candidates may lie this many standard errors below the threshold.
 SLACK = 4.0
 
@@ -115,6 +118,16 @@ def _paths(rows: DataFrame, branching: float, runs: int | None = None) -> DataFr
     return rows.select(*columns).mapInArrow(run, "cls binary, path bigint")
 
 
+def _dense(large: DataFrame) -> DataFrame:
+    """(path): large buckets with a mean similarity of at least DENSE, the
+    chance that two members agree in a probed token."""
+    probes = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.substring("sketch", 4 * i + 1, 4).alias("v"))
+                                 for i in range(PROBES)]))
+    equal = (large.select("path", "n", probes.alias("p")).groupBy("path", "n", "p").count()
+             .groupBy("path", "n").agg(F.sum(F.col("count") * F.col("count")).alias("same")))
+    return equal.where(F.col("same") >= DENSE * PROBES * F.col("n") * F.col("n")).select("path")
+
+
 def _leaves(classes: DataFrame, branching: float, runs: int, depth: int) -> DataFrame:
     """(path, cls) of all buckets with two or more classes."""
     level = stored(_paths(classes, branching, runs).distinct(), "paths")
@@ -128,7 +141,10 @@ def _leaves(classes: DataFrame, branching: float, runs: int, depth: int) -> Data
         large = sized.where(F.col("n") > LIMIT)
         if at == depth or large.isEmpty():
             break
-        level = stored(_paths(large.join(classes, "cls"), branching).distinct(), "paths")
+        large = stored(large.join(classes.select("cls", "sketch"), "cls"), "large-buckets")
+        dense = stored(_dense(large), "dense-buckets")
+        leaves = leaves.unionByName(large.join(dense, "path", "left_semi").select("path", "cls"))
+        level = stored(_paths(large.join(dense, "path", "left_anti"), branching).distinct(), "paths")
     return leaves
 
 
