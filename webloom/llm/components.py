@@ -35,7 +35,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
         large = (both.join(lowest, F.col("a") == F.col("u")).where("b > a")
-                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct())
+                 .select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b"))
         smallest = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "u")
         small = (large.join(smallest, F.col("a") == F.col("u"))
                  .select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
