@@ -108,15 +108,15 @@ def _bands(texts: DataFrame, k: int, bands: int, rows: int, seed: int) -> DataFr
 
 
 def _compare(groups, k: int, threshold: float):
-    """Links of each group that connect lines not yet connected in it."""
+    """Of each group, its lines that are linked within it, with the smallest
+    line of their local component. A pair is compared in the lowest band that
+    both lines have, and only if it is not yet connected there."""
     for group in groups:
-        rows = {}
-        for r in group.select(["lid", "line", "block", "block_a", "block_b"]).to_pylist():
-            rows[r["lid"]] = r
-        members = [(len(s := line_shingles(r["line"], k)), lid, s, r["block"]) for lid, r in rows.items()]
-        members.sort(key=lambda m: m[:2])
-        first = next(iter(rows.values()))
-        across = first["block_a"] != first["block_b"]
+        rows = {r["lid"]: r for r in group.select(["lid", "line", "shared", "block", "block_a", "block_b", "band"]).to_pylist()}
+        members = sorted(rows.values(), key=lambda r: (len(r["line"]), r["lid"]))
+        band, across = members[0]["band"], members[0]["block_a"] != members[0]["block_b"]
+        lower = [frozenset(b for b in r["shared"] if b < band) for r in members]
+        sets: list[frozenset[str] | None] = [None] * len(members)
         parent = list(range(len(members)))
 
         def find(i, parent=parent):
@@ -125,21 +125,28 @@ def _compare(groups, k: int, threshold: float):
                 i = parent[i]
             return i
 
-        a, b = [], []
-        for i, (n, lid, s, block) in enumerate(members):
+        def grams(i, sets=sets, members=members):
+            if sets[i] is None:
+                sets[i] = line_shingles(members[i]["line"], k)
+            return sets[i]
+
+        for i, row in enumerate(members):
             for j in range(i + 1, len(members)):
-                m, other, t, other_block = members[j]
-                if m * threshold > n:
-                    break
-                if (across and block == other_block) or find(i) == find(j):
+                other = members[j]
+                if not lower[i].isdisjoint(lower[j]) or (across and row["block"] == other["block"]) or find(i) == find(j):
                     continue
+                s, t = grams(i), grams(j)
                 common = len(s & t)
-                if common >= threshold * (n + m - common):
-                    parent[find(j)] = find(i)
-                    a.append(lid)
-                    b.append(other)
+                if common >= threshold * (len(s) + len(t) - common):
+                    parent[max(find(i), find(j))] = min(find(i), find(j))
+        low: dict[int, bytes] = {}
+        for i, row in enumerate(members):
+            r = find(i)
+            low[r] = min(low.get(r, row["lid"]), row["lid"])
+        a = [(r["lid"], low[find(i)]) for i, r in enumerate(members) if r["lid"] != low[find(i)]]
         if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in a], pa.binary()), pa.array([x[1] for x in a], pa.binary())],
+                                             names=["a", "b"])
 
 
 def line_links(docs: DataFrame, threshold: float, k: int, bands: int, rows: int, seed: int) -> DataFrame:
@@ -154,13 +161,14 @@ def line_links(docs: DataFrame, threshold: float, k: int, bands: int, rows: int,
     same_members = (shared.groupBy("band").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(2))).alias("y"))
         .groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"))
-    shared = shared.join(same_members, "band", "left_semi")
+    shared = stored(shared.join(same_members, "band", "left_semi"), "line-buckets")
+    bands_of = shared.groupBy("h").agg(F.collect_list("band").alias("shared"))
     norm = F.btrim(F.col("line"), F.lit(BLANKS))
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(norm.alias("line"))
     wanted = small_enough(stored(shared.select("h").distinct(), "line-hashes"))
     texts = (lines.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi")
              .groupBy("h", F.unhex(F.md5("line")).alias("lid")).agg(F.first("line").alias("line")))
-    texts = stored(texts, "line-texts")
+    texts = stored(texts.join(bands_of, "h"), "line-texts")
     members = blocked(shared.join(texts, "h").drop("h"), "band", "lid", BLOCK)
     return per_group(members, ["band", "block_a", "block_b"], ["lid"], lambda g: _compare(g, k, threshold),
                      "a binary, b binary").distinct()
@@ -189,13 +197,14 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, k: int = 10, bands: int
     lines = lines.join(keepers, "root", "left").select("lid", F.coalesce("keeper", "first").alias("keeper"))
     dropped = (marked.join(lines, "lid")
                .where((F.col("dkey") != F.col("keeper.dkey")) | (F.col("line_no") != F.col("keeper.line_no")))
-               .select("dkey", "line_no").distinct().groupBy("dkey").agg(F.collect_list("line_no").alias("dropped")))
+               .groupBy("dkey").agg(F.collect_set("line_no").alias("dropped")))
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     gone = F.col("__dropped")
     all_lines = F.split("text", "\n")
     kept = F.array_join(F.filter(all_lines, lambda line, i: ~F.array_contains(gone, i)), "\n")
     return (docs.select(*rest, row_key().alias("__key"))
-            .join(dropped.select(F.col("dkey").alias("__key"), F.col("dropped").alias("__dropped")), "__key", "left")
+            .join(dropped.select(F.col("dkey").alias("__key"), F.col("dropped").alias("__dropped")).hint("shuffle_hash"),
+                  "__key", "left")
             .select(*[F.when(gone.isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c)
                       for c in rest],
                     F.coalesce(F.size(F.filter(all_lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")),
