@@ -1,8 +1,8 @@
 """Fuzzy line deduplication by MinHash.
 
 Lines (split at newlines, outer blanks trimmed) are compared by the Jaccard
-similarity of their sets of character shingles; a line shorter than a shingle
-is one shingle. Signatures are banded so that a pair at the threshold shares
+similarity of their sets of character shingles (as 64-bit hashes); a line
+shorter than a shingle is one shingle. Signatures are banded so that a pair at the threshold shares
 a band with high probability (``bands`` = 8 of ``rows`` = 3: 0.997 at 0.8,
 0.9995 at 0.85); lines that share a band are compared exactly, every pair of
 a bucket that is not yet connected; the links form components by distributed
@@ -38,14 +38,12 @@ BLOCK = 256
 #: Hashes of lines already seen by a task, so that it sends a common line once.
 SEEN = 500_000
 #: Characters hashed at once.
-CHARS = 1 << 20
+CHARS = 1 << 17
 
 
-def line_shingles(line: str, k: int) -> frozenset[str]:
-    return frozenset(line[i:i + k] for i in range(max(1, len(line) - k + 1)))
-
-
-def _signatures(lines: list[str], k: int, seeds: np.ndarray) -> np.ndarray:
+def shingle_hashes(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles of all lines, and where each line's begin
+    (with the end). A line shorter than k is one shingle."""
     lengths = np.fromiter(map(len, lines), dtype=np.int64, count=len(lines))
     data = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     first = np.cumsum(lengths) - lengths
@@ -53,7 +51,7 @@ def _signatures(lines: list[str], k: int, seeds: np.ndarray) -> np.ndarray:
     offsets = np.concatenate([[0], np.cumsum(counts)])
     start = np.arange(offsets[-1]) + np.repeat(first - offsets[:-1], counts)
     end = np.minimum(start + k, np.repeat(first + lengths, counts))
-    return minhash(spans(prefix(data), start, end), offsets, seeds)
+    return spans(prefix(data), start, end), offsets
 
 
 def _band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
@@ -77,7 +75,7 @@ def _bands(texts: DataFrame, k: int, bands: int, rows: int, seed: int) -> DataFr
         size = 0
 
         def flush():
-            keys = _band_keys(_signatures(list(held.values()), k, seeds), bands, rows)
+            keys = _band_keys(minhash(*shingle_hashes(list(held.values()), k), seeds), bands, rows)
             offsets = pa.array(np.arange(len(held) + 1, dtype=np.int32) * bands)
             return pa.RecordBatch.from_arrays(
                 [pa.array(list(held), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))],
@@ -116,7 +114,10 @@ def _compare(groups, k: int, threshold: float):
         members = sorted(rows.values(), key=lambda r: (len(r["line"]), r["lid"]))
         band, across = members[0]["band"], members[0]["block_a"] != members[0]["block_b"]
         lower = [frozenset(b for b in r["shared"] if b < band) for r in members]
-        sets: list[frozenset[str] | None] = [None] * len(members)
+        if all(not x.isdisjoint(y) for i, x in enumerate(lower) for y in lower[i + 1:]):
+            continue
+        hashes, at = shingle_hashes([r["line"] for r in members], k)
+        sets: list[frozenset[int] | None] = [None] * len(members)
         parent = list(range(len(members)))
 
         def find(i, parent=parent):
@@ -125,9 +126,9 @@ def _compare(groups, k: int, threshold: float):
                 i = parent[i]
             return i
 
-        def grams(i, sets=sets, members=members):
+        def grams(i, sets=sets, hashes=hashes, at=at):
             if sets[i] is None:
-                sets[i] = line_shingles(members[i]["line"], k)
+                sets[i] = frozenset(hashes[at[i]:at[i + 1]].tolist())
             return sets[i]
 
         for i, row in enumerate(members):

@@ -79,8 +79,9 @@ def shingles(text: bytes, k: int) -> np.ndarray:
 
 def minhash(values: np.ndarray, starts: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     """(rows, hashes) matrix of 32-bit minima; row i covers
-    values[starts[i]:starts[i + 1]], none of them empty. Works in cache-sized
-    runs of whole rows."""
+    values[starts[i]:starts[i + 1]], none of them empty. The values are mixed
+    hashes already, so a multiplication and an addition permute them well
+    enough. Works in cache-sized runs of whole rows."""
     low = (values >> np.uint64(32)).astype(np.uint32) ^ values.astype(np.uint32)
     out = np.empty((len(starts) - 1, len(multipliers)), dtype=np.uint32)
     row, step = 0, 1 << 16
@@ -88,10 +89,7 @@ def minhash(values: np.ndarray, starts: np.ndarray, multipliers: np.ndarray) ->
         last = max(row + 1, int(np.searchsorted(starts, starts[row] + step, "right")) - 1)
         part, at = low[starts[row]:starts[last]], starts[row:last] - starts[row]
         for j, (a, b) in enumerate(multipliers):
-            x = part * a + b
-            x ^= x >> np.uint32(15)
-            x *= np.uint32(0x2C1B3C6D)
-            out[row:last, j] = np.minimum.reduceat(x, at)
+            out[row:last, j] = np.minimum.reduceat(part * a + b, at)
         row = last
     return out
 
