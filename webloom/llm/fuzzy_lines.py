@@ -5,7 +5,7 @@ similarity of their sets of character shingles (as 64-bit hashes); a line
 shorter than a shingle is one shingle. Signatures are banded so that a pair at the threshold shares
 a band with high probability (``bands`` = 8 of ``rows`` = 3: 0.997 at 0.8,
 0.9995 at 0.85); lines that share a band are compared exactly, every pair of
-a bucket that is not yet connected; the links form components by distributed
+a bucket once; the links form components by distributed
 union-find, and of each component only the first occurrence stays. Equal
 lines are one line with several occurrences and need no comparison.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from webloom.llm.common import per_group, require, row_key, small_enough, stored
 from webloom.llm.components import blocked, components
-from webloom.llm.hashing import minhash, mix, multipliers, prefix, spans
+from webloom.llm.hashing import intersections, minhash, mix, multipliers, prefix, spans
 
 BLANKS = " \t\r"
 BLOCK = 256
@@ -106,48 +106,44 @@ def _bands(texts: DataFrame, k: int, bands: int, rows: int, seed: int) -> DataFr
 
 
 def _compare(groups, k: int, threshold: float):
-    """Of each group, its lines that are linked within it, with the smallest
-    line of their local component. A pair is compared in the lowest band that
-    both lines have, and only if it is not yet connected there."""
+    """Of each group (sorted by line id), its lines that are linked within it,
+    with the smallest line of their local component. A pair is compared in the
+    lowest band that both lines have."""
     for group in groups:
         rows = {r["lid"]: r for r in group.select(["lid", "line", "shared", "block", "block_a", "block_b", "band"]).to_pylist()}
-        members = sorted(rows.values(), key=lambda r: (len(r["line"]), r["lid"]))
-        band, across = members[0]["band"], members[0]["block_a"] != members[0]["block_b"]
-        lower = [frozenset(b for b in r["shared"] if b < band) for r in members]
-        if all(not x.isdisjoint(y) for i, x in enumerate(lower) for y in lower[i + 1:]):
+        members = list(rows.values())
+        m, first = len(members), members[0]
+        index: dict[int, int] = {}
+        lower = [[index.setdefault(b, len(index)) for b in r["shared"] if b < first["band"]] for r in members]
+        met = np.zeros((m, max(1, len(index))), dtype=np.float32)
+        for i, numbers in enumerate(lower):
+            met[i, numbers] = 1
+        wanted = np.triu((met @ met.T) == 0, 1)
+        if first["block_a"] != first["block_b"]:
+            block = np.array([r["block"] for r in members])
+            wanted &= block[:, None] != block[None, :]
+        if not wanted.any():
             continue
         hashes, at = shingle_hashes([r["line"] for r in members], k)
-        sets: list[frozenset[int] | None] = [None] * len(members)
-        parent = list(range(len(members)))
-
-        def find(i, parent=parent):
-            while parent[i] != i:
-                parent[i] = parent[parent[i]]
-                i = parent[i]
-            return i
-
-        def grams(i, sets=sets, hashes=hashes, at=at):
-            if sets[i] is None:
-                sets[i] = frozenset(hashes[at[i]:at[i + 1]].tolist())
-            return sets[i]
-
-        for i, row in enumerate(members):
-            for j in range(i + 1, len(members)):
-                other = members[j]
-                if not lower[i].isdisjoint(lower[j]) or (across and row["block"] == other["block"]) or find(i) == find(j):
-                    continue
-                s, t = grams(i), grams(j)
-                common = len(s & t)
-                if common >= threshold * (len(s) + len(t) - common):
-                    parent[max(find(i), find(j))] = min(find(i), find(j))
-        low: dict[int, bytes] = {}
-        for i, row in enumerate(members):
-            r = find(i)
-            low[r] = min(low.get(r, row["lid"]), row["lid"])
-        a = [(r["lid"], low[find(i)]) for i, r in enumerate(members) if r["lid"] != low[find(i)]]
+        sets = [np.unique(hashes[at[i]:at[i + 1]]) for i in range(m)]
+        size = np.array([len(s) for s in sets])
+        common = intersections(sets)
+        linked = wanted & (common >= threshold * (size[:, None] + size[None, :] - common))
+        low = list(range(m))
+        for i, j in np.argwhere(linked).tolist():
+            while low[i] != i:
+                i = low[i]
+            while low[j] != j:
+                j = low[j]
+            low[max(i, j)] = min(i, j)
+        a, b = [], []
+        for i in range(m):
+            low[i] = low[low[i]]  # smaller members come first, so their roots are final
+            if low[i] != i:
+                a.append(members[i]["lid"])
+                b.append(members[low[i]]["lid"])
         if a:
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in a], pa.binary()), pa.array([x[1] for x in a], pa.binary())],
-                                             names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
 def line_links(docs: DataFrame, threshold: float, k: int, bands: int, rows: int, seed: int) -> DataFrame:

@@ -94,6 +94,27 @@ def minhash(values: np.ndarray, starts: np.ndarray, multipliers: np.ndarray) ->
     return out
 
 
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Matrix of the sizes of pairwise intersections."""
+    m = len(sets)
+    row = np.repeat(np.arange(m), [len(s) for s in sets])
+    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count > 1
+    number = np.cumsum(shared) - 1
+    keep = shared[column]
+    row, column = row[keep], number[column[keep]]
+    out = np.zeros((m, m), dtype=np.float64)
+    width = max(1, min((1 << 22) // m, 1 << 16))
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for lo in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(column, [lo, lo + width])
+        dense = np.zeros((m, width), dtype=np.float32)
+        dense[row[a:b], column[a:b] - lo] = 1
+        out += dense @ dense.T
+    return out
+
+
 def multipliers(n: int, seed: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
     out = rng.integers(0, 1 << 32, size=(n, 2), dtype=np.uint32)

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from webloom.llm.common import per_group, require, row_key, small_enough, stored
 from webloom.llm.components import blocked, components
-from webloom.llm.hashing import minhash, mix, multipliers, shingles
+from webloom.llm.hashing import intersections, minhash, mix, multipliers, shingles
 
 LIMIT = 64
 BLOCK = 256
@@ -185,27 +185,6 @@ def _candidates(groups, cut: float):
             names=["path", "block_a", "block_b", "cls", "copies", "partners"])
 
 
-def _intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Matrix of the sizes of pairwise intersections."""
-    m = len(sets)
-    row = np.repeat(np.arange(m), [len(s) for s in sets])
-    values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = count > 1
-    number = np.cumsum(shared) - 1
-    keep = shared[column]
-    row, column = row[keep], number[column[keep]]
-    out = np.zeros((m, m), dtype=np.float64)
-    width = max(1, min((1 << 22) // m, 1 << 16))
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    for lo in range(0, int(shared.sum()), width):
-        a, b = np.searchsorted(column, [lo, lo + width])
-        dense = np.zeros((m, width), dtype=np.float32)
-        dense[row[a:b], column[a:b] - lo] = 1
-        out += dense @ dense.T
-    return out
-
-
 def _verify(groups, threshold: float):
     """Per class of a group: links found here, documents behind them, and the
     smallest class of its local component."""
@@ -214,7 +193,7 @@ def _verify(groups, threshold: float):
         at = {c: i for i, c in enumerate(cls)}
         sets = [np.frombuffer(s, dtype=np.uint64) for s in group["grams"].to_pylist()]
         copies = group["copies"].to_pylist()
-        common = _intersections(sets)
+        common = intersections(sets)
         links, behind, parent = [0] * len(cls), [0] * len(cls), list(range(len(cls)))
 
         def find(i, parent=parent):
