@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from webloom.llm.common import per_group, require, row_key, small_enough, stored
 from webloom.llm.components import blocked, components
-from webloom.llm.hashing import intersections, minhash, mix, multipliers, prefix, spans
+from webloom.llm.hashing import distinct, intersections, minhash, mix, multipliers, prefix, spans
 
 BLANKS = " \t\r"
 BLOCK = 256
@@ -125,7 +125,7 @@ def _compare(groups, k: int, threshold: float):
         if not wanted.any():
             continue
         hashes, at = shingle_hashes([r["line"] for r in members], k)
-        sets = [np.unique(hashes[at[i]:at[i + 1]]) for i in range(m)]
+        sets = [distinct(hashes[at[i]:at[i + 1]]) for i in range(m)]
         size = np.array([len(s) for s in sets])
         common = intersections(sets)
         linked = wanted & (common >= threshold * (size[:, None] + size[None, :] - common))

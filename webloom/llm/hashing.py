@@ -77,6 +77,11 @@ def shingles(text: bytes, k: int) -> np.ndarray:
     return np.unique(h)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    out = np.sort(values)
+    return out[np.concatenate([[True], out[1:] != out[:-1]])] if len(out) else out
+
+
 def minhash(values: np.ndarray, starts: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
     """(rows, hashes) matrix of 32-bit minima; row i covers
     values[starts[i]:starts[i + 1]], none of them empty. The values are mixed
@@ -95,8 +100,16 @@ def minhash(values: np.ndarray, starts: np.ndarray, multipliers: np.ndarray) ->
 
 
 def intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """Matrix of the sizes of pairwise intersections."""
+    """Matrix of the sizes of pairwise intersections of sorted distinct arrays
+    (none empty); the diagonal is not set for small inputs."""
     m = len(sets)
+    if m <= 8:  # a few binary searches cost less than numbering all values
+        out = np.zeros((m, m))
+        for i in range(m):
+            for j in range(i + 1, m):
+                at = np.minimum(np.searchsorted(sets[j], sets[i]), len(sets[j]) - 1)
+                out[i, j] = out[j, i] = np.count_nonzero(sets[j][at] == sets[i])
+        return out
     row = np.repeat(np.arange(m), [len(s) for s in sets])
     values, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = count > 1
