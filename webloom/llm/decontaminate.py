@@ -44,6 +44,13 @@ def _range(low: int, high: Column) -> Column:
     return F.when(high >= low, F.sequence(F.lit(low), high)).otherwise(F.array().cast("array<int>"))
 
 
+def _whole(size: int) -> Column:
+    """The hash of every ``size`` consecutive words."""
+    return F.transform(_range(0, F.col("n_words") - size), lambda i: F.struct(
+        F.xxhash64(F.lit(size), *[F.get("h", i + j) for j in range(size)]).alias("hash"), i.alias("from"),
+        i.alias("to"), F.lit(size).alias("size")))
+
+
 def fingerprints(df: DataFrame, short: list[int]) -> DataFrame:
     """Add ``n_words`` and ``prints``: array of (hash, from, to, size), the
     windows of ``size`` words that start at from..to (0-based). ``df`` has
@@ -63,10 +70,7 @@ def fingerprints(df: DataFrame, short: list[int]) -> DataFrame:
         F.get("m", at).alias("hash"), at.alias("from"),
         (F.coalesce(F.get("s", j + 1), F.col("n_words") - WINDOW + 1) - 1).alias("to"), F.lit(WINDOW).alias("size")))
     lists = [runs]
-    for size in short:
-        lists.append(F.transform(_range(0, F.col("n_words") - size), lambda i, size=size: F.struct(
-            F.xxhash64(F.lit(size), *[F.get("h", i + j) for j in range(size)]).alias("hash"), i.alias("from"),
-            i.alias("to"), F.lit(size).alias("size"))))
+    lists += [_whole(size) for size in short]
     return df.withColumn("prints", F.concat(*lists)).drop("h", "g", "m", "s")
 
 
