@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm.common import require
+from webloom.llm.common import require, small_enough, stored
 
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 DATE = "2024-01-01T00:00:00Z"
@@ -115,7 +115,8 @@ def write_warc(pages: DataFrame, path: str, segment_bytes: int = 16384, chunk_by
                 .agg(F.max("page_id").alias("keep"), F.min("page_id").alias("least"), F.count("page_id").alias("ids"),
                      F.count("*").alias("n"))
                 .where("keep is not null and (least < keep or ids < n)").select("digest", "keep"))
-    rows = rows.join(repeated, "digest", "left").select(
+    # Few payloads repeat; where their digests are few enough, the pages are not shuffled.
+    rows = rows.join(small_enough(stored(repeated, "repeated-payloads")), "digest", "left").select(
         "page_id", "url", "html", F.when(~F.col("page_id").eqNullSafe(F.col("keep")), F.col("keep")).alias("refers_to"))
 
     def run(batches):
