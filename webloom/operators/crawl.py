@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from webloom.functions.text import js_trim
 from webloom.functions.urls import url_host, valid_url
 from webloom.operators.parse import extract_parts
 from webloom.operators.robots import parse_robots, robots_check
@@ -264,7 +265,7 @@ def sitemap_urls(sitemap_captures: DataFrame) -> DataFrame:
                      F.posexplode(F.regexp_extract_all("body", F.lit("<loc>(.*?)</loc>"), 1))
                      .alias("pos", "loc"))
             .select("host", "part", F.col("pos").cast("int").alias("pos"),
-                    F.trim("loc").alias("url")))
+                    js_trim("loc").alias("url")))
 
 
 def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame | None = None,

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from webloom.functions.text import js_trim
 from webloom.functions.urls import url_host
 from webloom.options import DEFAULT_AGENT, ROBOTS_TTL_SECONDS
 from webloom.sources.captures import ok_only
@@ -44,13 +45,13 @@ def parse_robots(robots_captures: DataFrame, latest: bool = True) -> DataFrame:
     ``host`` must already identify one capture."""
     src = latest_robots(robots_captures) if latest else robots_captures
     ok = ok_only(src).select("host", "body")
-    lines = ok.select("host", F.posexplode(F.split("body", r"\r?\n")).alias("line_no", "line"))
-    stripped = F.trim(F.regexp_replace("line", "#.*$", ""))
+    lines = ok.select("host", F.posexplode(F.split(F.regexp_replace("body", "^\uFEFF", ""), r"\r?\n")).alias("line_no", "line"))
+    stripped = js_trim(F.regexp_replace("line", "#.*$", ""))
     d = (lines.select("host", "line_no", stripped.alias("line"))
          .filter(F.col("line").contains(":"))
          .select("host", "line_no",
-                 F.lower(F.trim(F.regexp_extract("line", r"^([^:]*):", 1))).alias("key"),
-                 F.trim(F.regexp_extract("line", r"^[^:]*:(.*)$", 1)).alias("value"))
+                 F.lower(js_trim(F.regexp_extract("line", r"^([^:]*):", 1))).alias("key"),
+                 js_trim(F.regexp_extract("line", r"^[^:]*:(.*)$", 1)).alias("value"))
          .filter(F.col("key").isin("user-agent", "allow", "disallow", "crawl-delay")))
     w = Window.partitionBy("host").orderBy("line_no")
     is_ua = F.col("key") == "user-agent"

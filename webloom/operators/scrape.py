@@ -90,10 +90,9 @@ def batch_scrape(requests: DataFrame, captures: DataFrame, format: str = "markdo
               .select("job_id", "url",
                       F.coalesce("error", F.lit(NOT_CAPTURED)).alias("error")))
     results = scrape(ok, format)
-    summary = (requests.select("job_id", "url").join(
-        ok.select("job_id", "url", F.lit(1).alias("ok")), ["job_id", "url"], "left")
-        .groupBy("job_id")
-        .agg(F.count(F.lit(1)).alias("total"), F.count("ok").alias("succeeded"))
+    good = F.when(F.col("html").isNotNull() & F.col("error").isNull(), 1)
+    summary = (joined.groupBy("job_id")
+        .agg(F.count(F.lit(1)).alias("total"), F.count(good).alias("succeeded"))
         .withColumn("status", F.when(F.col("succeeded") == F.col("total"), "complete")
                     .when(F.col("succeeded") > 0, "partial").otherwise("failed")))
     return results, failed, summary
