@@ -119,13 +119,13 @@ def _paths(rows: DataFrame, branching: float, runs: int | None = None) -> DataFr
 
 
 def _dense(large: DataFrame) -> DataFrame:
-    """(path): large buckets with a mean similarity of at least DENSE, the
-    chance that two members agree in a probed token."""
-    probes = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.substring("sketch", 4 * i + 1, 4).alias("v"))
-                                 for i in range(PROBES)]))
-    equal = (large.select("path", "n", probes.alias("p")).groupBy("path", "n", "p").count()
-             .groupBy("path", "n").agg(F.sum(F.col("count") * F.col("count")).alias("same")))
-    return equal.where(F.col("same") >= DENSE * PROBES * F.col("n") * F.col("n")).select("path")
+    """(path): large buckets whose members agree with their smallest one in at
+    least DENSE of the probed tokens, on average."""
+    chosen = large.groupBy("path").agg(F.min(F.struct("cls", "sketch")).alias("one"))
+    agree = sum(((F.substring("sketch", 4 * i + 1, 4) == F.substring("one.sketch", 4 * i + 1, 4)).cast("int")
+                 for i in range(PROBES)), F.lit(0))
+    return (large.join(chosen, "path").groupBy("path").agg(F.avg(agree).alias("mean"))
+            .where(F.col("mean") >= DENSE * PROBES).select("path"))
 
 
 def _leaves(classes: DataFrame, branching: float, runs: int, depth: int) -> DataFrame:
