@@ -46,10 +46,10 @@ BLOCK = 256
 SEED = 23
 #: MinHash tokens of an embedded set; the estimate's standard error is 0.05 at 0.8.
 TOKENS = 64
-#: Mean similarity from which a large bucket is compared and not split, and the tokens it is estimated by.
-DENSE, PROBES = 0.4, 8
+#: Mean similarity from which a large bucket is compared and not split, and the tokens and members it is estimated by.
+DENSE, PROBES, DRAWN = 0.4, 8, 4
 #: Candidates may lie this many standard errors below the threshold.
-SLACK = 4.0
+SLACK = 5.0
 
 
 def runs_for(recall: float, threshold: float, branching: float, depth: int) -> int:
@@ -119,13 +119,19 @@ def _paths(rows: DataFrame, branching: float, runs: int | None = None) -> DataFr
 
 
 def _dense(large: DataFrame) -> DataFrame:
-    """(path): large buckets with a mean similarity of at least DENSE, the
-    chance that two members agree in a probed token."""
-    probes = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.substring("sketch", 4 * i + 1, 4).alias("v"))
-                                 for i in range(PROBES)]))
-    equal = (large.select("path", "n", probes.alias("p")).groupBy("path", "n", "p").count()
-             .groupBy("path", "n").agg(F.sum(F.col("count") * F.col("count")).alias("same")))
-    return equal.where(F.col("same") >= DENSE * PROBES * F.col("n") * F.col("n")).select("path")
+    """(path): large buckets with a mean similarity of at least DENSE, estimated
+    by the probed tokens in which members agree with DRAWN ones drawn by hash.
+    One row a member is made, whatever the size of the bucket."""
+    drawn = large.groupBy("path").agg(*[
+        F.min_by("sketch", F.xxhash64("cls", F.lit(i))).alias(f"drawn{i}") for i in range(DRAWN)])
+
+    def token(column, i):
+        return F.substring(column, 4 * i + 1, 4)
+
+    agree = sum([(token("sketch", i) == token(f"drawn{j}", i)).cast("int") for i in range(PROBES) for j in range(DRAWN)],
+                F.lit(0))
+    return (large.join(drawn, "path").groupBy("path").agg(F.avg(agree).alias("mean"))
+            .where(F.col("mean") >= DENSE * PROBES * DRAWN).select("path"))
 
 
 def _leaves(classes: DataFrame, branching: float, runs: int, depth: int) -> DataFrame:
@@ -251,7 +257,7 @@ def class_links(docs: DataFrame, classes: DataFrame, n: int, threshold: float, b
                      "cls binary, low binary, links bigint, behind bigint")
 
 
-def similar_documents(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.999,
+def similar_documents(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.99999,
                       branching: float = 2.0, depth: int = 4) -> DataFrame:
     """(doc_id, dkey, n_grams, class_id, copies, n_links, n_text_links, kept);
     ``dkey`` is the row's hash, n_text_links counts linked classes."""
