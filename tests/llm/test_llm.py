@@ -8,6 +8,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -269,6 +270,26 @@ def test_fuzzy_lines_equal_brute_force(spark, docs):
     assert fuzzy_lines.dedup_lines(empty(docs)).count() == 0
 
 
+@pytest.mark.parametrize("m", [2, 5, 8, 9, 60])
+def test_local_components_equal_union_find(m):
+    """Chains, dense groups and loners; only wanted pairs may be relied on."""
+    for near in (0.05, 0.5, 0.95):
+        base = [RNG.sample(range(1000 * g, 1000 * g + 60), 40) for g in range(3)]
+        sets = []
+        for _ in range(m):
+            own = list(RNG.choice(base)) if RNG.random() < near else RNG.sample(range(9000, 9999), RNG.randint(1, 40))
+            sets.append(np.unique(np.array(own[RNG.randint(0, 6):] + [RNG.randint(5000, 5003)], dtype=np.uint64)))
+        pairs = [(i, j) for i in range(m) for j in range(i + 1, m) if RNG.random() < 0.8]
+        linked = [(i, j) for i, j in pairs if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+        matrix = np.zeros((m, m), dtype=bool)
+        for i, j in pairs:
+            matrix[i, j] = True
+        roots = components_of(m, linked)
+        want = [roots.index(r) for r in roots]  # the smallest member of each component
+        assert fuzzy_lines.local_components(sets, matrix, 0.8) == want
+        assert fuzzy_lines._few_components(sets, pairs, 0.8) == want
+
+
 @pytest.mark.parametrize("id_bytes", [16, 1])
 def test_exact_groups_equal_brute_force(docs, id_bytes):
     lower = lambda t: (t or "").encode().lower()

@@ -26,21 +26,30 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.llm.common import per_group, require, row_key, small_enough, stored
 from webloom.llm.components import blocked, components
-from webloom.llm.hashing import distinct, intersections, minhash, mix, multipliers, prefix, spans
+from webloom.llm.hashing import distinct, minhash, mix, multipliers, prefix, spans
 
 BLANKS = " \t\r"
 BLOCK = 256
 #: Hashes of lines already seen by a task, so that it sends a common line once.
 SEEN = 500_000
+#: Members up to which a bucket is compared pair by pair.
+FEW = 8
 #: Characters hashed at once.
 CHARS = 1 << 17
 
 
+def trimmed(line: Column) -> Column:
+    """The line without outer blanks. ``btrim`` walks over every character, so
+    it is left to the lines that begin or end with a blank."""
+    outer = [line.startswith(b) | line.endswith(b) for b in BLANKS]
+    return F.when(outer[0] | outer[1] | outer[2], F.btrim(line, F.lit(BLANKS))).otherwise(line)
+
+
 def shingle_hashes(lines: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the shingles of all lines, and where each line's begin
     (with the end). A line shorter than k is one shingle."""
@@ -105,45 +114,116 @@ def _bands(texts: DataFrame, k: int, bands: int, rows: int, seed: int) -> DataFr
     return texts.select("text").mapInArrow(run, "line bigint, bands array<bigint>")
 
 
+def local_components(sets: list[np.ndarray], wanted: np.ndarray, threshold: float) -> list[int]:
+    """For each set (sorted distinct hashes) the smallest index of its
+    component under Jaccard >= threshold. Components grow from a member: it is
+    compared with the members outside of any component only, so each wanted
+    pair is either compared or joined already, and a bucket of near-equal lines
+    takes one pass, not one for each pair."""
+    m = len(sets)
+    size = np.array([len(s) for s in sets])
+    starts = np.cumsum(size) - size
+    _, column = np.unique(np.concatenate(sets), return_inverse=True)
+    mark = np.zeros(int(column.max()) + 1, dtype=np.int32)
+    fits = np.minimum(size[:, None], size[None, :]) >= threshold * np.maximum(size[:, None], size[None, :])
+    wanted = (wanted | wanted.T) & fits
+    free = np.ones(m, dtype=bool)
+    low = list(range(m))
+    for root in range(m):
+        if not free[root]:
+            continue
+        free[root] = False
+        queue = [root]
+        while queue:
+            i = queue.pop()
+            others = np.flatnonzero(wanted[i] & free)
+            if not len(others):
+                continue
+            own = column[starts[i]:starts[i] + size[i]]
+            mark[own] = 1
+            if len(others) * 4 < m:
+                common = np.array([mark[column[starts[j]:starts[j] + size[j]]].sum() for j in others])
+            else:
+                common = np.add.reduceat(mark[column], starts)[others]
+            mark[own] = 0
+            for j in others[common >= threshold * (size[i] + size[others] - common)].tolist():
+                free[j] = False
+                low[j] = root
+                queue.append(j)
+    return low
+
+
+def _few_components(sets: list[np.ndarray], wanted: list[tuple[int, int]], threshold: float) -> list[int]:
+    """``local_components`` of a few sets, pair by pair."""
+    low = list(range(len(sets)))
+    for i, j in wanted:
+        a, b = len(sets[i]), len(sets[j])
+        if low[i] == low[j] or min(a, b) < threshold * max(a, b):
+            continue
+        union = len(distinct(np.concatenate([sets[i], sets[j]])))
+        if a + b - union >= threshold * union:
+            to, gone = min(low[i], low[j]), max(low[i], low[j])
+            low = [to if x == gone else x for x in low]
+    return low
+
+
+def _wanted(group: pa.Table) -> list[tuple[int, int]] | np.ndarray | None:
+    """The pairs of a group to compare: those that share no lower band and, of
+    two blocks, one member of each. A list for FEW members, else a matrix."""
+    m, band = group.num_rows, group["band"][0].as_py()
+    lower = [[b for b in bands if b < band] for bands in group["shared"].to_pylist()]
+    block = group["block"].to_pylist() if group["block_a"][0].as_py() != group["block_b"][0].as_py() else None
+    if m <= FEW:
+        sets = [set(x) for x in lower]
+        return [(i, j) for i in range(m) for j in range(i + 1, m)
+                if sets[i].isdisjoint(sets[j]) and (block is None or block[i] != block[j])] or None
+    index: dict[int, int] = {}
+    numbers = [[index.setdefault(b, len(index)) for b in x] for x in lower]
+    met = np.zeros((m, max(1, len(index))), dtype=np.float32)
+    for i, x in enumerate(numbers):
+        met[i, x] = 1
+    wanted = np.triu((met @ met.T) == 0, 1)
+    if block is not None:
+        wanted &= np.not_equal.outer(block, block)
+    return wanted if wanted.any() else None
+
+
 def _compare(groups, k: int, threshold: float):
     """Of each group (sorted by line id), its lines that are linked within it,
     with the smallest line of their local component. A pair is compared in the
-    lowest band that both lines have."""
+    lowest band that both lines have. The lines of several groups are hashed
+    at once."""
+    held: list[tuple] = []
+    lines: list[str] = []
+    size = 0
+
+    def flush():
+        hashes, at = shingle_hashes(lines, k)
+        a, b, first = [], [], 0
+        for lids, wanted in held:
+            m = len(lids)
+            sets = [distinct(hashes[at[i]:at[i + 1]]) for i in range(first, first + m)]
+            first += m
+            low = (_few_components if m <= FEW else local_components)(sets, wanted, threshold)
+            for i in range(m):
+                if low[i] != i:
+                    a.append(lids[i])
+                    b.append(lids[low[i]])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+
     for group in groups:
-        rows = {r["lid"]: r for r in group.select(["lid", "line", "shared", "block", "block_a", "block_b", "band"]).to_pylist()}
-        members = list(rows.values())
-        m, first = len(members), members[0]
-        index: dict[int, int] = {}
-        lower = [[index.setdefault(b, len(index)) for b in r["shared"] if b < first["band"]] for r in members]
-        met = np.zeros((m, max(1, len(index))), dtype=np.float32)
-        for i, numbers in enumerate(lower):
-            met[i, numbers] = 1
-        wanted = np.triu((met @ met.T) == 0, 1)
-        if first["block_a"] != first["block_b"]:
-            block = np.array([r["block"] for r in members])
-            wanted &= block[:, None] != block[None, :]
-        if not wanted.any():
+        wanted = _wanted(group)
+        if wanted is None:
             continue
-        hashes, at = shingle_hashes([r["line"] for r in members], k)
-        sets = [distinct(hashes[at[i]:at[i + 1]]) for i in range(m)]
-        size = np.array([len(s) for s in sets])
-        common = intersections(sets)
-        linked = wanted & (common >= threshold * (size[:, None] + size[None, :] - common))
-        low = list(range(m))
-        for i, j in np.argwhere(linked).tolist():
-            while low[i] != i:
-                i = low[i]
-            while low[j] != j:
-                j = low[j]
-            low[max(i, j)] = min(i, j)
-        a, b = [], []
-        for i in range(m):
-            low[i] = low[low[i]]  # smaller members come first, so their roots are final
-            if low[i] != i:
-                a.append(members[i]["lid"])
-                b.append(members[low[i]]["lid"])
-        if a:
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
+        held.append((group["lid"].to_pylist(), wanted))
+        own = group["line"].to_pylist()
+        lines += own
+        size += sum(map(len, own))
+        if size >= CHARS:
+            yield flush()
+            held, lines, size = [], [], 0
+    if held:
+        yield flush()
 
 
 def line_links(docs: DataFrame, threshold: float, k: int, bands: int, rows: int, seed: int) -> DataFrame:
@@ -160,8 +240,7 @@ def line_links(docs: DataFrame, threshold: float, k: int, bands: int, rows: int,
         .groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"))
     shared = stored(shared.join(same_members, "band", "left_semi"), "line-buckets")
     bands_of = shared.groupBy("h").agg(F.collect_list("band").alias("shared"))
-    norm = F.btrim(F.col("line"), F.lit(BLANKS))
-    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(norm.alias("line"))
+    lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(trimmed(F.col("line")).alias("line"))
     wanted = small_enough(stored(shared.select("h").distinct(), "line-hashes"))
     texts = (lines.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi")
              .groupBy("h", F.unhex(F.md5("line")).alias("lid")).agg(F.first("line").alias("line")))
@@ -180,7 +259,7 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, k: int = 10, bands: int
     # The row key is a column before the lines are exploded, or it would be computed for each line.
     split = texts.select("doc_id", row_key().alias("dkey"), F.split("text", "\n").alias("lines"))
     places = (split.select("doc_id", "dkey", F.posexplode("lines").alias("line_no", "line"))
-              .withColumn("line", F.btrim("line", F.lit(BLANKS))).where("line != ''")
+              .withColumn("line", trimmed(F.col("line"))).where("line != ''")
               .select("doc_id", "dkey", "line_no", F.unhex(F.md5("line")).alias("lid")))
     places = stored(places, "line-places")
     joined = components(line_links(texts, threshold, k, bands, rows, seed), "line-components")
@@ -204,6 +283,6 @@ def dedup_lines(docs: DataFrame, threshold: float = 0.8, k: int = 10, bands: int
                   "__key", "left")
             .select(*[F.when(gone.isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c)
                       for c in rest],
-                    F.coalesce(F.size(F.filter(all_lines, lambda line: F.btrim(line, F.lit(BLANKS)) != "")),
+                    F.coalesce(F.size(F.filter(all_lines, lambda line: F.ltrim(line, F.lit(BLANKS)) != "")),
                                F.lit(0)).cast("bigint").alias("n_lines"),
                     F.coalesce(F.size(gone), F.lit(0)).cast("bigint").alias("n_dropped")))

@@ -90,11 +90,16 @@ def minhash(values: np.ndarray, starts: np.ndarray, multipliers: np.ndarray) ->
     low = (values >> np.uint64(32)).astype(np.uint32) ^ values.astype(np.uint32)
     out = np.empty((len(starts) - 1, len(multipliers)), dtype=np.uint32)
     row, step = 0, 1 << 16
+    work = np.empty(step, dtype=np.uint32)
     while row < len(starts) - 1:
         last = max(row + 1, int(np.searchsorted(starts, starts[row] + step, "right")) - 1)
         part, at = low[starts[row]:starts[last]], starts[row:last] - starts[row]
+        if len(part) > len(work):
+            work = np.empty(len(part), dtype=np.uint32)
         for j, (a, b) in enumerate(multipliers):
-            out[row:last, j] = np.minimum.reduceat(part * a + b, at)
+            np.multiply(part, a, out=work[:len(part)])
+            np.add(work[:len(part)], b, out=work[:len(part)])
+            out[row:last, j] = np.minimum.reduceat(work[:len(part)], at)
         row = last
     return out
 
