@@ -32,3 +32,38 @@ def test_failed_captures_are_no_snapshots(spark):
     cap = spark.createDataFrame([("u", "<p>x", 200, None, None), ("v", None, 500, None, "boom"), ("w", None, 200, None, None)],
                                 "url string, html string, status_code int, fetched_at timestamp, error string")
     assert [r.url for r in snapshot(cap).collect()] == ["u"]
+
+
+def test_spread_starts_no_job(spark):
+    from pyspark.sql import functions as F
+
+    from webloom.session import spread
+    spark.sparkContext.setJobGroup("spread-build", "building only")
+    try:
+        df = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count().join(spark.range(9).withColumnRenamed("id", "k"), "k")
+        spread(df, "k")
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("spread-build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_lexicon_of_any_size(spark):
+    from webloom.operators.compliance import tos_flags
+    texts = spark.createDataFrame([(1, "no w7x or w1000x here"), (2, None)], "doc bigint, content string")
+    lexicon = spark.createDataFrame([(f"c{i}", f"w{i}x", "warn") for i in range(1001)], "clause string, pattern string, severity string")
+    flags = tos_flags(texts, lexicon, "doc")
+    assert sorted(r.clause for r in flags.collect()) == ["c1000", "c7"]
+    none = tos_flags(texts, lexicon.where("clause = ''"), "doc")
+    assert none.schema.simpleString() == flags.schema.simpleString() and none.count() == 0
+
+
+def test_digests_have_no_size_limit(spark):
+    from webloom.operators.documents import batch_digest, render_search
+    rows = spark.range(501).selectExpr("'j' job_id", "id seq", "'t' title", "concat('u', id) url", "'c' content")
+    failed = rows.where("seq < 0").selectExpr("job_id", "seq", "url", "'' error")
+    summary = spark.createDataFrame([("j", 501, 501)], "job_id string, total bigint, succeeded bigint")
+    assert batch_digest(rows, failed, summary).first().text.count("## t") == 501
+    results = spark.range(60).selectExpr("1 query_id", "cast(id + 1 as int) position", "concat('t', id) title", "'u' url",
+                                         "'s' description", "cast(null as string) published_date", "'c' content")
+    queries = spark.createDataFrame([(1, "q")], "query_id int, query string")
+    assert "t59" in render_search(results, queries, "bracket", 60).first().text

@@ -1,11 +1,14 @@
 """Compliance (G1-G3): rule-based PII redaction and terms-of-service flags.
 
-Both are native expressions. The ToS lexicon is configuration: it is read to
-the driver behind a size check and compiled into one array expression, so
-each document is scanned in whole-stage code without a join."""
+Both are native expressions. The ToS lexicon is configuration: it is read
+block by block and compiled into array expressions, so each document is
+scanned without a join."""
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import batched
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +21,8 @@ PII_RULES = (
     ("phone", r"(?:\+1[ .-]?)?(?:\(\d{3}\) ?|\b\d{3}[ .-])\d{3}[ .-]\d{4}\b", "[PHONE]",
      ("rlike", r"\d[ .-]\d{4}")),
 )
-MAX_LEXICON = 1000
+#: Lexicon rows compiled into one expression; a longer lexicon is applied in such blocks.
+LEXICON_BLOCK = 1000
 
 
 def redact_pii(df: DataFrame, text_col: str = "content") -> DataFrame:
@@ -42,19 +46,23 @@ def redact_pii(df: DataFrame, text_col: str = "content") -> DataFrame:
 def tos_flags(df: DataFrame, lexicon: DataFrame, key_col: str = "url",
               text_col: str = "content") -> DataFrame:
     """(key, clause, severity) for every lexicon pattern found in the
-    text. The lexicon must stay small (it is configuration)."""
-    n = lexicon.count()
-    if n > MAX_LEXICON:
-        raise ValueError(f"lexicon has {n} rows; at most {MAX_LEXICON} are supported")
-    rules = lexicon.select("clause", "pattern", "severity").collect()
-    if not rules:
-        return df.sparkSession.createDataFrame([], f"{key_col} string, clause string, severity string")
+    text. The lexicon is read in blocks, each compiled into one array
+    expression; no rows are joined. An empty one flags nothing."""
+    from webloom.session import spread
+    texts = spread(df.select(key_col, text_col), key_col)
+    none = texts.where(F.lit(False)).select(
+        key_col, F.lit(None).cast("string").alias("clause"), F.lit(None).cast("string").alias("severity"))
+    rules = lexicon.select("clause", "pattern", "severity").toLocalIterator()
+    return reduce(DataFrame.unionByName,
+                  [_block_flags(texts, block, key_col, text_col) for block in batched(rules, LEXICON_BLOCK)] or [none])
+
+
+def _block_flags(texts: DataFrame, rules: tuple, key_col: str, text_col: str) -> DataFrame:
     hits = F.filter(F.array(*[
         F.struct(F.lit(r["clause"]).alias("clause"), F.lit(r["severity"]).alias("severity"),
                  F.col(text_col).rlike(r["pattern"]).alias("hit")) for r in rules]),
         lambda x: x["hit"])
-    from webloom.session import spread
-    return (spread(df.select(key_col, text_col), key_col).select(key_col, F.explode(hits).alias("f"))
+    return (texts.select(key_col, F.explode(hits).alias("f"))
             .select(key_col, F.col("f.clause").alias("clause"), F.col("f.severity").alias("severity")))
 
 

@@ -27,7 +27,6 @@ SEARCH_STYLES = {
 CRAWL_DIGEST_CHARS = 1000
 BATCH_DIGEST_CHARS = 800
 MAP_DIGEST_URLS = 100
-MAX_FOLDED = 500
 SEARCH_TRUNCATED = "\n\n[truncated — scrape the URL for full content]"
 
 
@@ -108,8 +107,6 @@ def render_search(results: DataFrame, queries: DataFrame, style: str = "bracket"
                   limit: int = 5) -> DataFrame:
     """One text per query from its first ``limit`` results."""
     cap, sep, empty = SEARCH_STYLES[style]
-    if limit > 50:
-        raise ValueError("render_search folds at most 50 results per query")
     r = results
     if "content" not in r.columns:
         r = r.withColumn("content", F.lit(None).cast("string"))
@@ -133,8 +130,6 @@ def render_page(pages: DataFrame) -> DataFrame:
 def crawl_digest(result, max_pages: int) -> DataFrame:
     """Per crawl, ``Crawled x of y discovered pages.`` then each page as
     ``## title`` / ``**URL:** url`` / first 1000 characters, in crawl order."""
-    if max_pages > MAX_FOLDED:
-        raise ValueError(f"crawl_digest folds at most {MAX_FOLDED} pages per crawl")
     p = result.pages.select("crawl_id", "depth", "key", F.concat(
         F.lit("## "), F.coalesce("title", "url"), F.lit("\n**URL:** "), "url", F.lit("\n\n"),
         F.substring("content", 1, CRAWL_DIGEST_CHARS)).alias("text"))
@@ -170,9 +165,6 @@ def batch_digest(results: DataFrame, failed: DataFrame, summary: DataFrame) -> D
     """``Scraped s/t URLs successfully.`` then ``## title`` and 800
     characters per page, then the failed URLs. ``results`` / ``failed`` carry
     ``seq`` (request order)."""
-    big = summary.filter(F.col("total") > MAX_FOLDED).limit(1).count()
-    if big:
-        raise ValueError(f"batch_digest folds at most {MAX_FOLDED} URLs per batch")
     p = results.select("job_id", "seq", F.concat(
         F.lit("## "), F.coalesce("title", "url"), F.lit("\n"),
         F.substring("content", 1, BATCH_DIGEST_CHARS)).alias("text"))

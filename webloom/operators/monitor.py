@@ -54,68 +54,57 @@ def compare(old: DataFrame, new: DataFrame) -> DataFrame:
     ).withColumn("changed", F.col("old_hash") != F.col("new_hash"))
 
 
-NUMPY_CELLS = 4096
-
-
-def _lcs_table_small(ai, bi):
-    m, n = len(ai), len(bi)
-    dp = [[0] * (n + 1) for _ in range(m + 1)]
-    for i in range(1, m + 1):
-        row, prev, x = dp[i], dp[i - 1], ai[i - 1]
-        for j in range(1, n + 1):
-            if x == bi[j - 1]:
-                row[j] = prev[j - 1] + 1
-            else:
-                u, left = prev[j], row[j - 1]
-                row[j] = u if u >= left else left
-    return dp
-
-
-def _lcs_table(ai, bi):
-    """The same LCS table with one vectorised step per row: a row is the
-    running maximum of max(previous row, previous row shifted + 1 where the
-    lines are equal)."""
+def _after_line(scores, matches):
+    """Common-subsequence lengths against every prefix of the new lines once
+    one more old line is taken in; ``matches`` marks the new lines equal to it."""
+    import numpy as np
+    out = np.zeros_like(scores)
+    np.maximum.accumulate(np.maximum(scores[1:], (scores[:-1] + 1) * matches), out=out[1:])
+    return out
+
+
+def lcs_diff(old: str, new: str, stride: int | None = None) -> list[tuple[str, str]]:
+    """Exact line diff in output order. Only every ``stride``-th row of lengths
+    is kept (by default the square root of their number); the rows between are
+    rebuilt, one stretch at a time, while the script is read off from the end,
+    so two texts of m and n lines take O(sqrt(m) * n) memory. Contract for ties,
+    from the end: equal lines pair up; otherwise a new line is an addition
+    unless dropping the old line leaves a longer match."""
     import numpy as np
-    m, n = len(ai), len(bi)
-    b = np.asarray(bi, dtype=np.int64)
-    dp = np.zeros((m + 1, n + 1), dtype=np.int32)
-    for i in range(1, m + 1):
-        prev = dp[i - 1]
-        cand = np.where(b == ai[i - 1], prev[:-1] + 1, 0)
-        dp[i, 1:] = np.maximum.accumulate(np.maximum(prev[1:], cand))
-    return dp
-
-
-def lcs_diff(old: str, new: str) -> list[tuple[str, str]]:
-    """Line diff in output order: an LCS table, walked back from the end;
-    equal lines first, then add when dp[i][j-1] >= dp[i-1][j], else remove.
-    The common suffix is trimmed first (exact for this walk)."""
-    a, b = old.split("\n"), new.split("\n")
-    tail = []
-    while a and b and a[-1] == b[-1]:
-        tail.append(("equal", a.pop()))
-        b.pop()
-    m, n = len(a), len(b)
-    ids: dict[str, int] = {}
-    ai = [ids.setdefault(x, len(ids)) for x in a]
-    bi = [ids.setdefault(x, len(ids)) for x in b]
-    dp = _lcs_table(ai, bi) if m * n > NUMPY_CELLS else _lcs_table_small(ai, bi)
-    ops = []
-    i, j = m, n
-    while i > 0 or j > 0:
-        if i > 0 and j > 0 and ai[i - 1] == bi[j - 1]:
-            ops.append(("equal", a[i - 1]))
-            i -= 1
-            j -= 1
-        elif j > 0 and (i == 0 or dp[i][j - 1] >= dp[i - 1][j]):
-            ops.append(("add", b[j - 1]))
-            j -= 1
-        else:
-            ops.append(("remove", a[i - 1]))
-            i -= 1
-    ops.reverse()
-    tail.reverse()
-    return ops + tail
+    before, after = old.split("\n"), new.split("\n")
+    same = 0
+    while same < min(len(before), len(after)) and before[-1 - same] == after[-1 - same]:
+        same += 1
+    tail = [("equal", line) for line in before[len(before) - same:]]
+    before, after = before[:len(before) - same], after[:len(after) - same]
+    code: dict[str, int] = {}
+    targets = np.array([code.setdefault(line, len(code)) for line in after], dtype=np.int64)
+    sources = [code.get(line, -1) for line in before]
+    stride = stride or max(1, int(len(before) ** 0.5))
+    kept, scores = [], np.zeros(len(after) + 1, dtype=np.int32)
+    for at, source in enumerate(sources):
+        if at % stride == 0:
+            kept.append(scores)
+        scores = _after_line(scores, targets == source)
+    script: list[tuple[str, str]] = []
+    left = len(after)
+    for stretch in reversed(range(len(kept))):
+        first = stretch * stride
+        rows = [kept[stretch]]
+        for source in sources[first:first + stride]:
+            rows.append(_after_line(rows[-1], targets == source))
+        for depth in range(len(rows) - 1, 0, -1):
+            at = first + depth - 1
+            while left and targets[left - 1] != sources[at] and rows[depth][left - 1] >= rows[depth - 1][left]:
+                left -= 1
+                script.append(("add", after[left]))
+            if left and targets[left - 1] == sources[at]:
+                left -= 1
+                script.append(("equal", before[at]))
+            else:
+                script.append(("remove", before[at]))
+    script.extend(("add", line) for line in reversed(after[:left]))
+    return script[::-1] + tail
 
 
 _DIFF_SCHEMA = T.StructType([

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # Parse-heavy stages move whole HTML documents through Arrow; keep batches
 # small enough that a batch of 60 kB pages stays far below executor memory.
 ARROW_BATCH_ROWS = 256
+SPREAD_CONF = "webloom.parse.partitions"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -33,6 +34,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    # Test tables are single row groups; without this one task would parse them.
+    spark.conf.set(SPREAD_CONF, str(2 * spark.sparkContext.defaultParallelism))
     configure(spark)
     return spark
 
@@ -101,13 +104,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def spread(df, *keys):
     """Spread CPU-heavy per-row work (HTML parsing, regex scans, tokenising)
-    over the cluster when the input arrives in fewer partitions than
-    2 x default parallelism (e.g. one large row group). Hash-partitions on
-    the row key (deterministic on retry, no sort). Large inputs already have
-    many more splits than cores, so this is a no-op at scale."""
-    if df.isStreaming:
+    over as many partitions as the session asks for with
+    ``webloom.parse.partitions``, by hash of the row key. Unset (the default on
+    a cluster, where file splits outnumber cores) the rows stay where they are.
+    Only the setting decides: no plan is run to find out."""
+    wanted = df.sparkSession.conf.get(SPREAD_CONF, None)
+    if df.isStreaming or not wanted:
         return df
-    target = df.sparkSession.sparkContext.defaultParallelism * 2
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
+    return df.repartition(int(wanted), *keys)
