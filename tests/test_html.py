@@ -3,17 +3,17 @@ import hashlib
 
 from webloom.functions.html import Document, Selector, to_markdown
 
-MOCK = ('<html><head><title>Test Page</title><meta name="description" content="A test page">'
-        '</head><body><nav><a href="/nav">Nav</a></nav><main><h1>Hello World</h1>'
+MOCK = ('<html><head><title>Harbour Notes</title><meta name="description" content="Notes of a harbour">'
+        '</head><body><nav><a href="/nav">Nav</a></nav><main><h1>Tide Tables</h1>'
         '<p>Some <b>bold</b> and <a href="/a">a link</a>.</p><ul><li>one<li>two</ul>'
-        '<pre><code>x = 1</code></pre></main><div class="pricing">$9/mo</div>'
+        '<pre><code>x = 1</code></pre></main><div class="tariff">$9/mo</div>'
         '<footer>Footer</footer></body></html>')
 
 
 def test_title_meta_links():
     d = Document(MOCK)
-    assert d.title == "Test Page"
-    assert d.meta("name", "description") == "A test page"
+    assert d.title == "Harbour Notes"
+    assert d.meta("name", "description") == "Notes of a harbour"
     assert d.hrefs == ["/nav", "/a"]
 
 
@@ -28,7 +28,7 @@ def test_root_priority():
 def test_markdown():
     d = Document(MOCK)
     md = to_markdown(d, d.content_root())
-    assert md.startswith("# Hello World")
+    assert md.startswith("# Tide Tables")
     assert "**bold**" in md and "[a link](/a)" in md
     assert "-   one\n-   two" in md
     assert "```\nx = 1\n```" in md
@@ -57,13 +57,13 @@ def test_entities_and_comments():
 def test_monitor_noise_and_hash():
     d = Document(MOCK)
     text = d.text_of(d.monitor_root(), True)
-    assert "Nav" not in text and "Footer" not in text and "Hello World" in text
+    assert "Nav" not in text and "Footer" not in text and "Tide Tables" in text
     h = hashlib.sha256(text.encode()).hexdigest()
     assert len(h) == 64
 
 
 def test_selector_scope():
-    d = Document(MOCK, Selector("div.pricing"))
+    d = Document(MOCK, Selector("div.tariff"))
     assert d.text_of(d.monitor_root(), True) == "$9/mo"
     d = Document(MOCK, Selector(".missing"))
     assert d.monitor_root().tag == "body"

@@ -44,8 +44,8 @@ def test_enrichment_and_site_operator(spark):
     s = spark.createDataFrame([(1, "q", serp, dt.datetime(2024, 1, 1), 200)],
                               "query_id long, query string, html string, fetched_at timestamp, status_code int")
     r, _ = parse_serps(s)
-    page = "<html><head><title>P</title></head><body><main><h2>Heading 1</h2><p>body</p></main></body></html>"
+    page = "<html><head><title>P</title></head><body><main><h2>Ferry Times</h2><p>body</p></main></body></html>"
     e = enrich(r, caps(spark, [("https://example.com/p", page, 200)]), "markdown").first()
-    assert "Heading" in e.content and e.page_title == "P"
-    q = spark.createDataFrame([(1, "open source crawler", "github.com")], "query_id long, query string, site string")
-    assert build_query(q).first().q == "site:github.com open source crawler"
+    assert "Ferry" in e.content and e.page_title == "P"
+    q = spark.createDataFrame([(1, "open source crawler", "ferries.example")], "query_id long, query string, site string")
+    assert build_query(q).first().q == "site:ferries.example open source crawler"

@@ -67,3 +67,16 @@ def test_digests_have_no_size_limit(spark):
                                          "'s' description", "cast(null as string) published_date", "'c' content")
     queries = spark.createDataFrame([(1, "q")], "query_id int, query string")
     assert "t59" in render_search(results, queries, "bracket", 60).first().text
+
+
+def test_robots_asof_keeps_repeated_requests_and_map_columns(spark):
+    from pyspark.sql import functions as F
+
+    from webloom.operators.robots import robots_asof
+    at = "timestamp'2024-01-02 00:00:00'"
+    requests = spark.range(3).selectExpr("map('k', 1) AS m", "'http://a.example/x/1' AS url", f"{at} AS requested_at")
+    requests = requests.unionByName(requests.limit(1).withColumn("requested_at", F.lit(None).cast("timestamp")))
+    robots = spark.range(1).selectExpr("'a.example' AS host", "'User-agent: *\\nDisallow: /x' AS body", "200 AS status_code",
+                                       f"{at} - interval 1 minute AS fetched_at", "cast(null as string) AS error")
+    got = sorted((r.robots_known, r.allowed) for r in robots_asof(requests, robots).collect())
+    assert got == [(False, True), (True, False), (True, False), (True, False)]

@@ -152,17 +152,20 @@ def robots_asof(requests: DataFrame, robots_captures: DataFrame,
     """Judge each request with the robots file that was fresh at request
     time: the latest successful capture of its host with
     0 <= t - fetched_at <= ttl. None fresh: allowed, ``robots_known`` false.
-    Equi-join on host plus a range condition on time, then ``max``; rules are
-    parsed once per capture, keyed by (host, fetched_at)."""
+    Equi-join on host plus a range condition on time, then ``max``, for each
+    distinct (host, time); every request row, repeated ones too, then takes its
+    answer. Rules are parsed once per capture, keyed by (host, fetched_at)."""
     caps = ok_only(robots_captures).select("host", "fetched_at", "body")
     keys = list(requests.columns)
-    t = F.col(time_col)
+    asked = requests.withColumn("_host", url_host(url_col))
+    t = F.col("_t")
     times = caps.select(F.col("host").alias("_rhost"), F.col("fetched_at").alias("_rt"))
     cond = ((F.col("_host") == F.col("_rhost")) & (F.col("_rt") <= t)
             & (F.col("_rt") >= t - F.make_dt_interval(secs=F.lit(ttl_seconds))))
-    chosen = (requests.withColumn("_host", url_host(url_col))
-              .join(times, cond, "left")
-              .groupBy(*keys, "_host").agg(F.max("_rt").alias("robots_fetched_at")))
+    fresh = (asked.select("_host", F.col(time_col).alias("_t")).distinct().join(times, cond)
+             .groupBy(F.col("_host").alias("_fhost"), F.col("_t").alias("_ft"))
+             .agg(F.max("_rt").alias("robots_fetched_at")))
+    chosen = asked.join(fresh, (F.col("_host") == F.col("_fhost")) & (F.col(time_col) == F.col("_ft")), "left")
 
     def cap_key(h, ts):
         return F.concat_ws("@", h, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
