@@ -80,3 +80,11 @@ def test_robots_asof_keeps_repeated_requests_and_map_columns(spark):
                                        f"{at} - interval 1 minute AS fetched_at", "cast(null as string) AS error")
     got = sorted((r.robots_known, r.allowed) for r in robots_asof(requests, robots).collect())
     assert got == [(False, True), (True, False), (True, False), (True, False)]
+
+
+def test_valid_seeds(spark):
+    from webloom.functions.urls import valid_url
+    good = ["http://[::1]/x", "https://a.com/a b", "http://a.com:80?q", "mailto:x"]
+    bad = ["http://", "http://a b.com/", "no scheme", "http://[::1/x", "http://a.com:x/"]
+    df = spark.createDataFrame([(u,) for u in good + bad], "url string").withColumn("ok", valid_url("url"))
+    assert {r.url for r in df.collect() if r.ok} == set(good)
