@@ -88,3 +88,76 @@ def test_valid_seeds(spark):
     bad = ["http://", "http://a b.com/", "no scheme", "http://[::1/x", "http://a.com:x/"]
     df = spark.createDataFrame([(u,) for u in good + bad], "url string").withColumn("ok", valid_url("url"))
     assert {r.url for r in df.collect() if r.ok} == set(good)
+
+
+def test_junk_tags_take_linear_time():
+    import time
+
+    from webloom.functions.html import Document
+    for junk in ("<a x=1 ", "<a ", "</a ", "<!x ", "<a x='", '<a "', "<a ="):
+        for light in (True, False):
+            began = time.perf_counter()
+            doc = Document("<p>seen</p>" + junk * (1_000_000 // len(junk)), light=light)
+            assert time.perf_counter() - began < 5 and doc.text_of(None).startswith("seen"), junk
+    began = time.perf_counter()
+    Document("<i>" * 100_000 + "</b>" * 100_000)
+    assert time.perf_counter() - began < 5
+
+
+def test_tags_around_broken_ones():
+    from webloom.functions.html import Document
+    cases = {'<p>a<b "<i>c</i>': ("a<b \"c", []), '<a href="x"y="z">t</a>': ("t", ["x"]), "<a href=x/>t": ("t", ["x/"]),
+             "1 < 2 <a href='q>r' >t</a": ("1 < 2 t</a", ["q>r"]), "a<!-- b": ("a", []), "a<!doctype": ("a<!doctype", []),
+             "<br/>x</i></p>y": ("xy", []), "<a href=1 <p>t": ("t", ["1"])}
+    for light in (True, False):
+        for src, want in cases.items():
+            doc = Document(src, light=light)
+            assert (doc.text_of(None), doc.hrefs) == want, src
+
+
+def test_markdown_of_deep_nesting():
+    from webloom.functions.html import Document, to_markdown
+    doc = Document("<div>" * 20_000 + "<b>x</b> y")
+    assert to_markdown(doc, None) == "**x** y"
+    assert to_markdown(Document("<b>" * 3000 + "x"), None) == "**" * 3000 + "x" + "**" * 3000
+
+
+def test_latest_of_repeated_captures(spark):
+    from webloom.operators.crawl import crawl, links_of
+    from webloom.operators.documents import load
+    from webloom.operators.search import enrich
+    from webloom.options import CrawlOptions
+    new = "<title>new</title><meta name=description content=d><body><a href=/b>b</a>"
+    rows = [("http://a.example/", f"2024-01-0{i + 1}", h) for i, h in enumerate(("<a href=/old>x</a>", "<p>y", new))]
+    caps = spark.createDataFrame([*rows, ("http://a.example/b", "2024-01-01", "<p>z")], "url string, at string, html string")
+    caps = caps.selectExpr("url", "html", "200 status_code", "cast(at as timestamp) fetched_at", "cast(null as string) error")
+    assert {r.dst for r in links_of(caps).collect()} == {"http://a.example/b"}
+    seeds = spark.createDataFrame([("c", "http://a.example/")], "crawl_id string, url string")
+    got = crawl(seeds, caps, CrawlOptions(depth=1))
+    assert got.summary.first().pages_crawled == 2
+    assert sorted((r.url, r.title) for r in got.pages.collect()) == [("http://a.example/", "new"), ("http://a.example/b", None)]
+    req = spark.createDataFrame([(1, "http://a.example/")], "job_id int, url string")
+    results, _, summary = batch_scrape(req, caps)
+    assert [r.title for r in results.collect()] == ["new"] and summary.first().total == 1
+    hits = spark.createDataFrame([(1, 1, "http://a.example/", "t", "snippet")],
+                                 "query_id int, position int, url string, title string, description string")
+    docs = load("search", enriched=enrich(hits, caps)).collect()
+    assert [(d.title, d.description, d.crawled_at[:10]) for d in docs] == [("new", "d", "2024-01-03")]
+
+
+def test_stream_monitor_out_of_order(spark):
+    import random
+
+    from webloom.streaming.streams import read_stream, run_to_table, stream_monitor, work_dir
+    wd = work_dir(spark, "order")
+    days = [(d, "A" if d < 400 else "B") for d in range(800)]
+    random.Random(5).shuffle(days)
+    late = [(100, "B"), (900, "B")]
+    for part in (days, late):
+        df = spark.createDataFrame(part, "d int, body string").coalesce(1)
+        df.selectExpr("'u' url", "concat('<p>', body) html", "200 status_code", "timestamp_seconds(86400 * d) fetched_at",
+                      "cast(null as string) error").write.mode("append").parquet(f"{wd}/in")
+    schema = spark.read.parquet(f"{wd}/in").schema
+    run_to_table(stream_monitor(read_stream(spark, f"{wd}/in", schema, files_per_trigger=1)), f"{wd}/out", f"{wd}/cp")
+    at = [r.t for r in spark.read.parquet(f"{wd}/out").selectExpr("unix_seconds(fetched_at) t").collect()]
+    assert at == [86400 * 400]

@@ -27,13 +27,16 @@ MARKDOWN_NOISE = frozenset(
 # Removed before snapshot text extraction (monitor) -- a different list.
 MONITOR_NOISE = frozenset(["script", "style", "noscript", "nav", "footer", "header"])
 
+# Nothing here backtracks, and a tag that never closes is one match up to where
+# it breaks off (its last character is no ">"), so no part is scanned again from
+# every "<" inside it: a scan takes linear time on any input.
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"                       # comment
-    r"|<![^>]*>|<\?[^>]*>"                     # doctype / processing instruction
-    r"|</([A-Za-z][^\s/>]*)[^>]*>"             # end tag -> group 1
-    r"|<([A-Za-z][^\s/>]*)"                    # start tag name -> group 2
-    r"((?:\s+[^\s\"'>/=]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+))?|\s*/(?!>))*)"
-    r"\s*(/?)>",                               # attrs -> 3, self-close -> 4
+    r"|<[!?][^>]*+>?"                          # doctype / processing instruction
+    r"|</([A-Za-z][^\s/>]*+)[^>]*+>?"          # end tag -> group 1
+    r"|<([A-Za-z][^\s/>]*+)"                   # start tag name -> group 2
+    r"((?:\s++[^\s\"'>/=]++(?:\s*+=\s*+(?:\"[^\"]*+\"(?=[\s/>])|'[^']*+'(?=[\s/>])|[^\s>]++))?+|\s*+/(?!>))*+)"
+    r"\s*+(/?)>?",                             # attrs -> 3, self-close -> 4
     re.S)
 _RAW_CLOSE = {t: re.compile(r"</" + t + r"\s*>", re.I) for t in RAW_TEXT_TAGS}
 _ROOT_TAGS = frozenset(["main", "article", "body"])
@@ -111,6 +114,7 @@ class Document:
         stack: list[Element] = []
         md_noise = 0
         mon_noise = 0
+        opened: dict[str, int] = {}  # open elements by name
         pos = 0
         n = len(src)
         finditer = _TOKEN.finditer
@@ -126,13 +130,16 @@ class Document:
                 md_noise -= 1
             if tag in MONITOR_NOISE:
                 mon_noise -= 1
+            opened[tag] -= 1
 
         it = finditer(src, pos)
         while True:
             m = next(it, None)
             if m is None:
                 break
-            start = m.start()
+            start, end = m.span()
+            if src[end - 1] != ">" and not src.startswith("<!--", start):
+                continue  # a tag that never closes is text
             if start > pos:
                 t = src[pos:start]
                 append((TEXT, unescape(t) if "&" in t else t, None, md_noise > 0, mon_noise > 0))
@@ -140,7 +147,7 @@ class Document:
             end_name, start_name, raw_attrs, selfclose = m.groups()
             if end_name is not None:
                 tag = end_name.lower()
-                for k in range(len(stack) - 1, -1, -1):
+                for k in range(len(stack) - 1, -1, -1) if opened.get(tag) else ():
                     if stack[k].tag == tag:
                         while len(stack) > k:
                             close(stack.pop(), len(events), start)
@@ -170,6 +177,7 @@ class Document:
                 md_noise += 1
             if tag in MONITOR_NOISE:
                 mon_noise += 1
+            opened[tag] = opened.get(tag, 0) + 1
             close_re = _RAW_CLOSE.get(tag)
             if close_re is None:
                 stack.append(el)
@@ -206,6 +214,7 @@ class Document:
         stack: list = []            # [tag, Element-or-None]
         md_noise = 0
         mon_noise = 0
+        opened: dict[str, int] = {}  # open elements by name
         pos = 0
         n = len(src)
         finditer = _TOKEN.finditer
@@ -222,13 +231,16 @@ class Document:
                 md_noise -= 1
             if tag in MONITOR_NOISE:
                 mon_noise -= 1
+            opened[tag] -= 1
 
         it = finditer(src, pos)
         while True:
             m = next(it, None)
             if m is None:
                 break
-            start = m.start()
+            start, end = m.span()
+            if src[end - 1] != ">" and not src.startswith("<!--", start):
+                continue  # a tag that never closes is text
             if start > pos:
                 t = src[pos:start]
                 append((TEXT, unescape(t) if "&" in t else t, None, md_noise > 0, mon_noise > 0))
@@ -236,7 +248,7 @@ class Document:
             end_name, start_name, raw_attrs, selfclose = m.groups()
             if end_name is not None:
                 tag = end_name.lower()
-                for k in range(len(stack) - 1, -1, -1):
+                for k in range(len(stack) - 1, -1, -1) if opened.get(tag) else ():
                     if stack[k][0] == tag:
                         while len(stack) > k:
                             close(stack.pop(), start)
@@ -278,6 +290,7 @@ class Document:
                 md_noise += 1
             if tag in MONITOR_NOISE:
                 mon_noise += 1
+            opened[tag] = opened.get(tag, 0) + 1
             close_re = _RAW_CLOSE.get(tag)
             if close_re is None:
                 stack.append((tag, el))
@@ -483,28 +496,44 @@ def _build_tree(events, lo, hi):
     return root
 
 
-def _children(children, ctx) -> str:
+def _rendered(children, ctx) -> str:
+    """The children as Markdown. ``_children`` and ``_render`` are generators
+    that hand out the nodes they need and get their texts sent back, so depth
+    of nesting costs a list entry, not a Python frame."""
+    waiting, text = [_children(children, ctx)], None
+    while waiting:
+        try:
+            node, inner_ctx = waiting[-1].send(text)
+        except StopIteration as done:
+            waiting.pop()
+            text = done.value
+        else:
+            waiting.append(_render(node, inner_ctx))
+            text = None
+    return text
+
+
+def _children(children, ctx):
     """Concatenate rendered children; text that follows a block boundary
     (a newline) loses its leading spaces, as whitespace collapsing does."""
     out = ""
     for c in children:
-        if isinstance(c, tuple) and c[0] == "br" and not ctx.get("pre"):
-            out = out.rstrip(" ")
-        piece = _render(c, ctx)
-        if isinstance(c, str) and not ctx.get("pre") and (not out or out.endswith("\n")):
-            piece = piece.lstrip(" ")
-        out += piece
+        if isinstance(c, tuple):
+            if c[0] == "br" and not ctx.get("pre"):
+                out = out.rstrip(" ")
+            out += yield c, ctx
+        elif ctx.get("pre"):
+            out += c
+        else:
+            piece = _md_escape(_WS.sub(" ", c))
+            out += piece.lstrip(" ") if not out or out.endswith("\n") else piece
     return out
 
 
-def _render(node, ctx) -> str:
-    if isinstance(node, str):
-        if ctx.get("pre"):
-            return node
-        return _md_escape(_WS.sub(" ", node))
+def _render(node, ctx):
     tag, attrs, children = node
     if tag == "pre":
-        inner = _children(children, {**ctx, "pre": True})
+        inner = yield from _children(children, {**ctx, "pre": True})
         return "\n\n```\n" + inner.rstrip("\n") + "\n```\n\n"
     if tag in ("ul", "ol"):
         items = [c for c in children if isinstance(c, tuple) and c[0] == "li"]
@@ -513,7 +542,7 @@ def _render(node, ctx) -> str:
         out = []
         for k, li in enumerate(items):
             prefix = f"{first + k}.  " if tag == "ol" else BULLET + "   "
-            body = _children(li[2], {**ctx, "li": True})
+            body = yield from _children(li[2], {**ctx, "li": True})
             body = re.sub(r"\n{3,}", "\n\n", body)
             body = re.sub(r"^\n+", "", body).lstrip(" ")
             body = re.sub(r"\n+$", "\n", body)
@@ -522,7 +551,7 @@ def _render(node, ctx) -> str:
             out.append(prefix + body + nxt)
         content = "".join(out)
         return ("\n" + content) if ctx.get("li") else ("\n\n" + content + "\n\n")
-    inner = _children(children, ctx)
+    inner = yield from _children(children, ctx)
     if tag in ("h1", "h2", "h3", "h4", "h5", "h6"):
         return "\n\n" + "#" * int(tag[1]) + " " + inner.strip() + "\n\n"
     if tag == "br":
@@ -563,7 +592,7 @@ _TRAILING = re.compile(r"(?m)(?<!^>)[ \t]+\n")
 def to_markdown(doc: Document, el: Element | None) -> str:
     lo, hi = (0, len(doc.events)) if el is None else (el.ev_start, el.ev_end)
     tree = _build_tree(doc.events, lo, hi)
-    out = _children(tree[2], {})
+    out = _rendered(tree[2], {})
     # Trailing spaces go, except a line break's two; blocks are separated by
     # at most one blank line.
     out = _TRAILING.sub(lambda m: m.group(0) if m.group(0) == "  \n" else "\n", out)

@@ -32,7 +32,7 @@ from webloom.operators.robots import parse_robots, robots_check
 from webloom.operators.scrape import NOT_CAPTURED, scrape
 from webloom.options import CrawlOptions, MapOptions
 from webloom.session import ensure_checkpoint_dir
-from webloom.sources.captures import ok_only
+from webloom.sources.captures import latest_captures, ok_only
 
 CAP_SALT = 16
 
@@ -111,12 +111,10 @@ def classify(frontier: DataFrame, captures: DataFrame, opts: CrawlOptions,
 
 
 def prepare_captures(captures: DataFrame) -> DataFrame:
-    """The narrow capture columns a crawl joins on every level, hash
-    partitioned by url once and materialised, so each level only shuffles its
-    frontier."""
-    n = captures.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    return _checkpoint(captures.select("url", "status_code", "error")
-                       .repartition(int(n), "url"))
+    """The narrow capture columns a crawl joins on every level, those of the
+    latest capture of each URL, materialised once."""
+    newest = F.max_by(F.struct("status_code", "error"), F.struct("fetched_at", "status_code", "error"))
+    return _checkpoint(captures.groupBy("url").agg(newest.alias("_c")).select("url", "_c.*"))
 
 
 def _expand(ok_nodes: DataFrame, edges: DataFrame, visited: DataFrame, depth: int,
@@ -133,8 +131,8 @@ def _expand(ok_nodes: DataFrame, edges: DataFrame, visited: DataFrame, depth: in
 
 
 def links_of(captures: DataFrame) -> DataFrame:
-    """Link table (src, pos, dst) extracted from captured pages."""
-    p = extract_parts(captures.select("url", "html"), ["links"])
+    """Link table (src, pos, dst) extracted from the latest capture of each page."""
+    p = extract_parts(latest_captures(captures).select("url", "html"), ["links"])
     return p.select(F.col("url").alias("src"),
                     F.posexplode("links").alias("pos", "dst")).select(
         "src", F.col("pos").cast("int"), "dst")
@@ -171,8 +169,8 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
     table, so a derived one is materialised once (``materialise_edges``;
     switch it off when ``edges`` is already a stored table). With
     ``opts.canonicalize`` link targets are compared in normalised form
-    (fragment dropped); by default URL identity is the raw string. Captures
-    must hold one row per URL (see ``sources.captures.latest_captures``).
+    (fragment dropped); by default URL identity is the raw string. Of several
+    captures of a URL the latest counts.
     ``opts.pii_filter`` redacts page content (G1) and adds ``pii_redacted``
     to the summary; ``opts.scan_tos`` (with ``tos_lexicon``) turns pages
     with a blocking clause into ``tos`` skips and adds ``compliant`` (G2/G3).
@@ -208,7 +206,8 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
     processed = nodes.join(cut, "crawl_id", "left").filter(in_cap).drop("cut_depth", "cut_key")
     processed = _checkpoint(processed.drop("seed_host"))
     ok_urls = processed.filter(F.col("reason").isNull()).select("crawl_id", "url", "depth", "key")
-    pages = ok_urls.join(captures, "url").transform(
+    reached = latest_captures(captures.join(ok_urls.select("url").distinct(), "url", "left_semi"))
+    pages = ok_urls.join(reached, "url").transform(
         lambda df: scrape(df, opts.format, pii_filter=opts.pii_filter))
     skips = processed.filter(F.col("reason").isNotNull()).select(
         "crawl_id", "url", "reason", "detail", "depth")
@@ -282,7 +281,7 @@ def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame | None = No
     f = _checkpoint(f)
     levels = [f]
     edges = _link_table(edges, materialise_edges)
-    ok_caps = ok_only(captures).select("url")
+    ok_caps = ok_only(prepare_captures(captures)).select("url")
     for d in range(opts.depth + 1):
         readable = f.join(ok_caps, "url", "left_semi")
         visited = reduce(DataFrame.unionByName, levels).select("crawl_id", "url")

@@ -64,9 +64,8 @@ def load(mode: str, **frames) -> DataFrame:
     if mode == "search":
         e = frames["enriched"].filter(F.col("content").isNotNull())
         return to_documents(e.select(
-            "url", F.col("page_title").alias("title"), "content", "description",
-            F.col("page_word_count").alias("word_count"), "crawled_at",
-            F.lit(None).cast("string").alias("og_image")))
+            "url", "content", *[F.col(f"page_{c}").alias(c) for c in
+                                ("title", "description", "word_count", "crawled_at", "og_image")]))
     raise ValueError(f"unknown mode {mode!r}; expected scrape, crawl or search")
 
 

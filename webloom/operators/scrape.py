@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from webloom.functions.text import collapse_ws, js_trim, word_count
 from webloom.operators.parse import PART_FIELDS, extract_parts
 from webloom.options import check_format
+from webloom.sources.captures import latest_captures
 
 # Error text of a requested URL that was never captured.
 NOT_CAPTURED = "not captured"
@@ -82,8 +83,9 @@ def extract_links(captures: DataFrame, keys=("url",)) -> DataFrame:
 def batch_scrape(requests: DataFrame, captures: DataFrame, format: str = "markdown"):
     """E15. ``requests``: job_id, url. A URL with no capture, or whose capture
     carries an ``error``, lands in ``failed``; everything else is scraped.
-    Returns (results, failed, summary)."""
+    Of several captures of a URL the latest counts. Returns (results, failed, summary)."""
     cap = captures.select("url", "html", "status_code", "fetched_at", "error")
+    cap = latest_captures(cap.join(requests.select("url").distinct(), "url", "left_semi"))
     joined = requests.select("job_id", "url").join(cap, "url", "left")
     ok = joined.filter(F.col("html").isNotNull() & F.col("error").isNull())
     failed = (joined.filter(F.col("html").isNull() | F.col("error").isNotNull())

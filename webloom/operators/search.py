@@ -15,6 +15,7 @@ from pyspark.sql.window import Window
 
 from webloom.functions.text import js_trim
 from webloom.operators.scrape import scrape
+from webloom.sources.captures import latest_captures
 from webloom.options import SearchOptions
 
 # The result-page provider's redirect marker and own domain.
@@ -195,10 +196,14 @@ def parse_serps(serp_captures: DataFrame, limit: int = 10) -> tuple[DataFrame, D
     return results, errors
 
 
+PAGE_FIELDS = ("title", "format", "status_code", "crawled_at", "description", "og_image", "author",
+               "published_at", "links", "word_count")
+
+
 def enrich(results: DataFrame, captures: DataFrame, format: str = "markdown") -> DataFrame:
-    """Q9: attach the scraped page (content, page title, word count) of each
-    result URL; results whose page is not captured keep NULLs. Each distinct
-    URL is scraped once."""
+    """Q9: attach the scraped page of each result URL, its latest capture:
+    ``content`` and, named ``page_...``, the other fields of the page; results
+    whose page is not captured keep NULLs. Each distinct URL is scraped once."""
     # The results feed two branches (distinct URLs, final join); materialise
     # them once (they are at most ``limit`` rows per query) so the result-page
     # parse is not run twice.
@@ -206,9 +211,8 @@ def enrich(results: DataFrame, captures: DataFrame, format: str = "markdown") ->
     ensure_checkpoint_dir(results.sparkSession)
     results = results.checkpoint(eager=True)
     urls = results.select("url").distinct()
-    pages = scrape(captures.join(urls, "url", "left_semi"), format)
-    p = pages.select("url", F.col("title").alias("page_title"), "content",
-                     F.col("word_count").alias("page_word_count"))
+    pages = scrape(latest_captures(captures.join(urls, "url", "left_semi")), format)
+    p = pages.select("url", "content", *[F.col(c).alias(f"page_{c}") for c in PAGE_FIELDS])
     return results.join(p, "url", "left")
 
 

@@ -81,29 +81,38 @@ _CHANGE_SCHEMA = T.StructType([
 ])
 _STATE_SCHEMA = T.StructType([
     T.StructField("hash", T.StringType()),
-    T.StructField("fetched_at", T.TimestampType()),
+    T.StructField("micros", T.LongType()),
 ])
 
 
 def _tracker(ttl_ms: int | None):
     def track(key, pdfs, state):
-        """Per URL: compare each new snapshot (in fetch order) with the last
-        one kept in state; emit a row when the hash changed. With a TTL the
-        state expires ``ttl_ms`` of event time after the URL's last
-        snapshot."""
+        """Per URL: compare each new snapshot (in fetch order, over the whole
+        micro-batch) with the last one kept in state; emit a row when the hash
+        changed. A snapshot older than the last one of an earlier micro-batch
+        is late: it gives no event and leaves the state, so events of a URL
+        never go back in time. Snapshots without a time are left out, as in
+        the batch history. With a TTL the state expires ``ttl_ms`` of event
+        time after the URL's last snapshot."""
         if state.hasTimedOut:
             state.remove()
             return
-        last_hash, last_ts = (state.get if state.exists else (None, None))
+        last_hash, last = (state.get if state.exists else (None, None))
+        seen = last
         out = []
-        for pdf in pdfs:
-            for row in pdf.sort_values(["fetched_at", "hash"]).itertuples(index=False):
-                if last_hash is not None and row.hash != last_hash:
-                    out.append((row.url, row.fetched_at, last_hash, row.hash))
-                last_hash, last_ts = row.hash, row.fetched_at
-        state.update((last_hash, last_ts))
+        snaps = pd.concat(list(pdfs)).dropna(subset=["fetched_at"])
+        for row in snaps.sort_values(["fetched_at", "hash"]).itertuples(index=False):
+            micros = row.fetched_at.value // 1000
+            if seen is not None and micros < seen:
+                continue
+            if last_hash is not None and row.hash != last_hash:
+                out.append((row.url, row.fetched_at, last_hash, row.hash))
+            last_hash, last = row.hash, micros
+        if last is None:
+            return
+        state.update((last_hash, last))
         if ttl_ms is not None:
-            state.setTimeoutTimestamp(int(pd.Timestamp(last_ts).timestamp() * 1000) + ttl_ms)
+            state.setTimeoutTimestamp(last // 1000 + ttl_ms)
         if out:
             yield pd.DataFrame(out, columns=["url", "fetched_at", "prev_hash", "hash"])
     return track
