@@ -270,6 +270,22 @@ def test_fuzzy_lines_equal_brute_force(spark, docs):
     assert fuzzy_lines.dedup_lines(empty(docs)).count() == 0
 
 
+def test_fuzzy_lines_drop_short_lines_with_one_edit(spark):
+    """One changed character inside lines of 50 to 95 characters, one in each of 60 documents."""
+    lines = []
+    while len(lines) < 60:
+        line = prose(RNG.randint(9, 16))
+        if 50 <= len(line) <= 95 and len({line[i:i + 5] for i in range(len(line) - 4)}) == len(line) - 4:
+            lines.append(line)
+    cut = [RNG.randint(10, len(x) - 10) for x in lines]
+    edited = [x[:c] + "#" + x[c + 1:] for x, c in zip(lines, cut, strict=True)]
+    rows = list(enumerate(lines)) + [(100 + i, x) for i, x in enumerate(edited)]
+    out = {r.doc_id: r.text for r in fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    assert all(out[i] == x for i, x in enumerate(lines))
+    # the bands meet a pair at 0.8 with 0.998
+    assert sum(out[100 + i] == "" for i in range(60)) >= 58
+
+
 @pytest.mark.parametrize("m", [2, 5, 8, 9, 60])
 def test_local_components_equal_union_find(m):
     """Chains, dense groups and loners; only wanted pairs may be relied on."""
