@@ -54,10 +54,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, n_tokens, ids): little-endian unsigned 32-bit token ids."""
+    """(doc_id, n_tokens, ids, decoded_sha256): little-endian unsigned 32-bit
+    token ids, and the digest of the bytes they decode to, which is that of the
+    text (of no bytes for a null text) if the ids are right."""
     configure(spark)
     vocabulary = bpe.load_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    return bpe.encode(docs, vocabulary)
+    decoded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

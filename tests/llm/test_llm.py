@@ -361,3 +361,10 @@ def test_pipeline_stages_keep_clean_documents(spark):
     vocabulary = {base64.b64decode(a) for a, _ in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
     assert len(vocabulary) == 50_256
     assert corpus_pipeline.tokenize(spark, docs, SF).count() == docs.count()
+
+
+def test_pipeline_decodes_its_ids(spark, docs):
+    import corpus_pipeline
+    got = corpus_pipeline.tokenize(spark, docs, SF).collect()
+    assert collections.Counter((r.doc_id, r.decoded_sha256) for r in got) == collections.Counter(
+        (i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in ROWS)
