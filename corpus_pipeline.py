@@ -40,10 +40,18 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones. Empty documents are in no
-    group and stay."""
+    """One document of each group of similar ones, and one row of those that
+    repeat its doc_id and text, which ``kept`` marks alike. Documents without
+    words are in no group and stay."""
     configure(spark)
-    return _without(docs, jaccard_join.similar_documents(docs).where(~F.col("kept")))
+    found = stored(jaccard_join.similar_documents(docs).select("dkey", "n_grams", "kept"), "near-copies")
+    rest = _without(docs, found.where(~F.col("kept"))).select("*", row_key().alias("__key"))
+    repeated = (found.where("kept and n_grams > 0").groupBy(F.col("dkey").alias("__key")).agg(F.count("*").alias("n"))
+                .where("n > 1").select("__key"))
+    repeated = small_enough(stored(repeated, "repeated-rows"))
+    single = rest.join(repeated, "__key", "left_anti")
+    one = rest.join(repeated, "__key", "left_semi").dropDuplicates(["__key"])
+    return single.unionByName(one).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -368,3 +368,12 @@ def test_pipeline_decodes_its_ids(spark, docs):
     got = corpus_pipeline.tokenize(spark, docs, SF).collect()
     assert collections.Counter((r.doc_id, r.decoded_sha256) for r in got) == collections.Counter(
         (i, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in ROWS)
+
+
+def test_pipeline_keeps_one_of_repeated_rows(spark):
+    import corpus_pipeline
+    base, other = prose(60), prose(60)
+    rows = [(1, base)] * 40 + [(2, base)] * 3 + [(3, other)] * 5 + [(4, "")] * 2 + [(5, prose(50))] + [(6, None)] * 2
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
+    assert collections.Counter(got) == collections.Counter([(1, base), (3, other), (4, ""), (4, ""), rows[-3], (6, None), (6, None)])
