@@ -14,7 +14,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from webloom.llm import (bpe, chat, decontaminate, exact, fuzzy_lines, html_text, jaccard_join, sharding, toxicity, warc)
+from webloom.llm import (bpe, chat, decontaminate, exact, fuzzy_lines, html_text, jaccard_join, queries, sharding, toxicity, warc)
 from webloom.llm.hashing import shingles
 
 SF = "/root/testdata/sf0.001"
@@ -171,6 +171,30 @@ def test_shards_are_even_and_gapless(docs):
     assert sharding.shard(empty(docs), 4).count() == 0
 
 
+def test_shards_are_written_and_read_back(spark, docs, tmp_path, monkeypatch):
+    sharded = sharding.shard(docs, 3, bucket_bytes=4096)
+    path = str(tmp_path / "shards")
+    sharding.write_shards(sharded, path)
+    assert {p.name for p in (tmp_path / "shards").iterdir() if p.is_dir()} == {f"shard={i}" for i in range(3)}
+    back = sharding.read_shards(spark, path, sharded.schema)
+    assert back.schema.names == sharded.schema.names
+    assert collections.Counter(map(tuple, back.collect())) == collections.Counter(map(tuple, sharded.collect()))
+    for file in (tmp_path / "shards").rglob("*.parquet"):
+        slots = [r.slot for r in spark.read.parquet(str(file)).select("slot").coalesce(1).collect()]
+        assert slots == sorted(slots)
+    none = sharding.shard(empty(docs), 3)
+    sharding.write_shards(none, str(tmp_path / "none"))
+    assert sharding.read_shards(spark, str(tmp_path / "none"), none.schema).count() == 0
+    written = []
+    write = sharding.write_shards
+    monkeypatch.setattr(sharding, "write_shards", lambda df, to: (written.append(to), write(df, to)))
+    got = queries.op5_shards(spark, SF)
+    assert got.inputFiles() and all(f"/{written[0].rpartition('/')[2]}/shard=" in f for f in got.inputFiles())
+    want = sharding.shard(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"), 24).drop("text")
+    assert got.columns == want.columns
+    assert collections.Counter(map(tuple, got.collect())) == collections.Counter(map(tuple, want.collect()))
+
+
 def test_warc_round_trip_with_segments(spark, tmp_path):
     long = "é WARC/1.1\r\n\r\n0\r\n\r\n" * 3000
     rows = [(1, "http://a/ é\r\n", "short"), (2, None, "short"), (3, "u", long), (4, "u", long), (4, "u", long), (5, "v", None),

@@ -45,7 +45,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return sharding.shard(docs, 24).drop("text")
+    path = shared_path(spark, "shards")
+    sharded = sharding.shard(docs, 24)
+    sharding.write_shards(sharded, path)
+    return sharding.read_shards(spark, path, sharded.schema).drop("text")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from webloom.llm.common import per_group, require
+from webloom.llm.common import BROADCAST_ROWS, per_group, require
 
 RESULT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 BLOCK = 4096
@@ -72,7 +73,10 @@ def shard(df: DataFrame, n_shards: int, seed: int = 17, bucket_bytes: int = 8 <<
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
     order = ["__order", id_col, "text_crc32", text_col]
     mixed = per_group(rows, ["__bucket"], order, run, f"{fields}, __place bigint")
-    placed = mixed.join(_offsets(counts), F.col("__bucket") == F.col("bucket"))
+    offsets = _offsets(counts)
+    if n_buckets <= BROADCAST_ROWS:  # else the texts would be shuffled once more before the join is planned anew
+        offsets = F.broadcast(offsets)
+    placed = mixed.join(offsets, F.col("__bucket") == F.col("bucket"))
     p = F.col("offset") + F.col("__place")
     return placed.select(
         *kept, "size", "text_crc32", F.lit("rows").alias("law"), F.pmod(p, F.lit(n_shards)).cast("int").alias("shard"),
@@ -80,7 +84,16 @@ def shard(df: DataFrame, n_shards: int, seed: int = 17, bucket_bytes: int = 8 <<
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
-    """Write one folder per shard, rows in slot order within each file. The
-    shard's rows are split over files by slot range, so no task holds a shard."""
-    (sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
+    """Write one folder per shard, rows in slot order within each file. A
+    bucket's places follow each other, so its rows are slot ranges of every
+    shard as they are: no shuffle, and no task holds a shard."""
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema: StructType, text_col: str = "text") -> DataFrame:
+    """The rows of written shards; ``schema`` is that of the frame written.
+    size and text_crc32 are those of the text that is read."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    read = spark.read.schema(schema).parquet(path)
+    return (read.withColumn("size", (F.octet_length(text) + 8).cast("bigint"))
+            .withColumn("text_crc32", F.crc32(text.cast("binary"))).select(*schema.names))
