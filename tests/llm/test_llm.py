@@ -155,6 +155,17 @@ def test_toxicity_is_learned_and_holds_out(spark):
     assert m.features("a grobfish tank") == (0.0, 0.0) and m.features("a grobfish bowl")[0] > 0 and m.features("xgrob") == (0.0, 0.0)
 
 
+def test_toxicity_trains_on_one_row_of_a_doc_id(spark):
+    rows = [(i, f"text {i}") for i in range(40)] + [(0, "text 0")] * 50 + [(1, f"other text {i}") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    lab = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, toxic int")
+    got = [tuple(r) for r in toxicity.training_rows(df, lab, 12_000).collect()]
+    known = {r[0] for r in lab.where(~toxicity.held_out()).select("doc_id").collect()}
+    assert {0, 1} & known and sorted(x[0] for x in got) == sorted(known)
+    assert all((d, t) in rows and y == d % 2 for d, t, y in got)
+    assert sorted(got) == sorted(map(tuple, toxicity.training_rows(df.repartition(5), lab, 12_000).collect()))
+
+
 def test_shards_are_even_and_gapless(docs):
     for n, size in ((24, 4096), (3, 1 << 20), (7, 1)):
         got = sharding.shard(docs, n, bucket_bytes=size).collect()

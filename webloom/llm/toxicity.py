@@ -130,12 +130,16 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(doc_id, text, toxic) of at most about ``sample`` labelled rows that are not held out."""
+    """(doc_id, text, toxic) of at most about ``sample`` labelled rows that are
+    not held out. A label is for a doc_id, so each gives one row: of several
+    texts with the same doc_id the one with the lowest hash."""
     known = (labels.select("doc_id", "toxic").where("doc_id is not null and toxic is not null")
              .where(~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     share = min(1.0, sample / max(1, known.count()))
     part = known.where(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < int(share * (1 << 30)))
-    return docs.select("doc_id", "text").join(F.broadcast(part), "doc_id")
+    rows = docs.select("doc_id", "text").join(F.broadcast(part), "doc_id")
+    pick = F.struct(F.xxhash64("text").alias("h"), "text")
+    return rows.groupBy("doc_id", "toxic").agg(F.min(pick).alias("row")).select("doc_id", "row.text", "toxic")
 
 
 def _count_terms(rows: DataFrame) -> DataFrame:
