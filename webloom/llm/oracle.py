@@ -52,4 +52,38 @@ u AS (
   FROM t),
 v AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM u)
 SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM v""",
+    "op11_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT id, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+n AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (
+  SELECT lang, source, coalesce(total, 0) AS total, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS total FROM n GROUP BY ALL) USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n, 1 + (1000000000 * (coalesce(n, 0) + 2)) // (total + 2 * v) AS p
+  FROM g JOIN kept USING (lang) LEFT JOIN n USING (lang, source, term)),
+l AS (
+  SELECT lang, term, 1 + (1000000000 * (n + 2)) // (total + 2 * v) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM n GROUP BY ALL) JOIN (SELECT lang, sum(total) AS total, any_value(v) AS v FROM g GROUP BY lang) USING (lang)),
+pairs AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item,
+    coalesce(sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)), 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN p a ON a.lang = x.lang AND a.source = x.source
+  LEFT JOIN p b ON b.lang = y.lang AND b.source = y.source AND b.term = a.term
+  GROUP BY x.lang, x.source, y.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // (p + q) AS value
+  FROM p JOIN l USING (lang, term) WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10""",
 }

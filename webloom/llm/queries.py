@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import (bpe, chat, decontaminate, exact, fuzzy_lines, html_text, jaccard_join, sharding, toxicity,
-                         warc)
+from webloom.llm import (bpe, chat, decontaminate, divergence, exact, fuzzy_lines, html_text, jaccard_join, sharding,
+                         toxicity, warc)
 from webloom.llm.common import shared_path, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -74,6 +74,10 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat, op2_bpe, op3_decontaminate, op4_toxicity, op5_shards, op6_warc, op7_jaccard_join,
-                            op8_line_dedup, op9_exact_dedup, op10_html_text)}
+                            op8_line_dedup, op9_exact_dedup, op10_html_text, op11_divergence)}
