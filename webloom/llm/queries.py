@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.llm import (bpe, chat, decontaminate, divergence, exact, fuzzy_lines, html_text, jaccard_join, sharding,
-                         toxicity, warc)
+from webloom.llm import (bpe, chat, decontaminate, divergence, exact, fuzzy_lines, hard_negatives, html_text,
+                         jaccard_join, sharding, suffix_dedup, toxicity, warc)
 from webloom.llm.common import shared_path, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -78,6 +78,18 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
+    return left.select("doc_id", size.alias("n_bytes"), (size - F.octet_length("kept")).alias("n_removed"),
+                       F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_chat, op2_bpe, op3_decontaminate, op4_toxicity, op5_shards, op6_warc, op7_jaccard_join,
-                            op8_line_dedup, op9_exact_dedup, op10_html_text, op11_divergence)}
+                            op8_line_dedup, op9_exact_dedup, op10_html_text, op11_divergence, op12_suffix_dedup, op13_hard_negatives)}
