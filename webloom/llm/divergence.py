@@ -2,17 +2,17 @@
 
 A text is a sequence of whitespace chunks (runs between ASCII blanks). Tasks
 count the chunks of their documents: one row for each (lang, source, chunk) of
-a block of texts, with its occurrences, its documents and, while these are
-fewer than ``min_docs``, their numbers. Each globally distinct chunk is
-tokenized once, and its terms are joined back to the counted chunks. A term is
-a run of letters A-Z (lower-cased) and characters outside ASCII.
+a block of texts, with its occurrences and documents. The rows are dealt and
+sorted by chunk, so that each globally distinct chunk is tokenized once and its
+terms are merged with all of its rows. A term is a run of letters A-Z
+(lower-cased) and characters outside ASCII.
 
 Occurrences of a term are sums over its chunks. Its distinct documents lie
 between the sum over sources of the largest chunk's documents and the sum over
-all its chunks; only terms whose bounds enclose ``min_docs`` need the documents
-themselves, and all of these are in the counted rows, since none of their
-chunks reaches ``min_docs`` documents. So whether a term is kept is exact, and
-no (document, term) pair moves for the frequent terms.
+all its chunks. Only terms whose bounds enclose ``min_docs`` need the documents
+themselves: a second pass lists (lang, term, document) for these, found in the
+tasks by a bitmap of fixed size and settled by a join. So whether a term is kept
+is exact, and no (document, term) pair of a frequent term moves.
 
 Each lang keeps its terms of at least ``min_docs`` documents; every source of
 the lang gives each of them a smoothed probability (in 1/1,000,000,000, exact
@@ -31,25 +31,39 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webloom.llm.common import per_group, require, small_enough, stored
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+SEPARATOR = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
-#: Bytes of text whose chunks a task counts at once; a longer text is counted alone.
-BLOCK_BYTES = 16 << 20
+#: Bytes of text whose chunks a task counts at once (a longer text is counted
+#: alone), and rows of sorted chunks that it tokenizes at once.
+BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 1 << 16
+#: Bits of the bitmap of terms whose documents are listed; more terms only make it less selective.
+BITS = 1 << 24
 #: Terms and sources of one comparison block, and cells of a matrix in it.
 BLOCK_TERMS, BLOCK_SOURCES, CELLS = 2048, 512, 1 << 20
 
 
-def _count_block(table: pa.Table, first: int, min_docs: int) -> pa.RecordBatch:
-    """Counted chunks of the rows (lang, source, text) of a table; documents
-    are numbered from ``first``."""
-    texts = table["text"].combine_chunks()
+def _blocks(batches, limit: int, size=lambda b: b.column("text").nbytes):
+    """Tables of consecutive batches of about ``limit`` in size."""
+    held, total = [], 0
+    for batch in batches:
+        held.append(batch)
+        total += size(batch)
+        if total >= limit:
+            yield pa.Table.from_batches(held).combine_chunks()
+            held, total = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
+
+def _chunk_places(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """(document, chunk number, times) of the distinct chunks of each text, and the chunks."""
     chunks = pc.ascii_split_whitespace(texts)
     doc = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(chunks).to_numpy())
     encoded = chunks.flatten().dictionary_encode()
@@ -57,77 +71,112 @@ def _count_block(table: pa.Table, first: int, min_docs: int) -> pa.RecordBatch:
     blank = pc.index(names, "").as_py()
     if blank >= 0:
         doc, code = doc[code != blank], code[code != blank]
-    width = max(1, len(names))
-    pair, times = np.unique(doc * width + code, return_counts=True)
-    doc, code = pair // width, pair % width
-    langs, sources = (table[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
-    n_sources = max(1, len(sources.dictionary))
-    group = langs.indices.to_numpy().astype(np.int64) * n_sources + sources.indices.to_numpy()
-    key = group[doc] * width + code
-    order = np.argsort(key, kind="stable")
-    key, doc, times = key[order], doc[order], times[order]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
-    n_docs = np.diff(np.append(start, len(key)))
-    group, code = key[start] // width, key[start] % width
-    few = n_docs < min_docs
-    offsets = np.concatenate([[0], np.cumsum(np.where(few, n_docs, 0))]).astype(np.int32)
-    ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(doc[np.repeat(few, n_docs)] + first))
-    occurrences = np.add.reduceat(times, start) if len(start) else times
-    return pa.RecordBatch.from_arrays(
-        [langs.dictionary.take(pa.array(group // n_sources)), sources.dictionary.take(pa.array(group % n_sources)),
-         names.take(pa.array(code)), pa.array(occurrences, pa.int64()), pa.array(n_docs, pa.int64()), ids],
-        names=["lang", "source", "chunk", "n", "docs", "ids"])
-
-
-def counted_chunks(docs: DataFrame, min_docs: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(lang, source, chunk, n, docs, ids), a row for each block of texts that has the chunk."""
-    def run(batches):
-        first = TaskContext.get().partitionId() << 40
-        held, size = [], 0
-
-        def flush():
-            nonlocal first
-            table = pa.Table.from_batches(held)
-            out = _count_block(table, first, min_docs)
-            first += table.num_rows
-            return out
-
-        for batch in batches:
-            held.append(batch)
-            size += batch.column("text").nbytes
-            if size >= block_bytes:
-                yield flush()
-                held, size = [], 0
-        if size:
-            yield flush()
-
-    return docs.select("lang", "source", "text").mapInArrow(
-        run, "lang string, source string, chunk string, n bigint, docs bigint, ids array<bigint>")
-
-
-def tokenized(chunks: DataFrame) -> DataFrame:
-    """(chunk, term, times) of distinct chunks."""
-    terms = F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), F.lit(0))
-    return (chunks.select("chunk").distinct().select("chunk", F.explode(terms).alias("term"))
-            .groupBy("chunk", "term").agg(F.count("*").alias("times")))
+    pair, times = np.unique(doc * max(1, len(names)) + code, return_counts=True)
+    return pair // max(1, len(names)), pair % max(1, len(names)), times, names
+
+
+def _chunk_terms(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """(chunk number, term number, times) of the distinct terms of each chunk, and the terms."""
+    split = pc.split_pattern_regex(pc.ascii_lower(chunks), SEPARATOR)
+    encoded = split.flatten().dictionary_encode()
+    chunk = np.repeat(np.arange(len(chunks), dtype=np.int64), pc.list_value_length(split).to_numpy())
+    code, names = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
+    blank = pc.index(names, "").as_py()
+    if blank >= 0:
+        chunk, code = chunk[code != blank], code[code != blank]
+    pair, times = np.unique(chunk * max(1, len(names)) + code, return_counts=True)
+    return pair // max(1, len(names)), pair % max(1, len(names)), times, names
+
+
+def _counted(batches):
+    """(lang, source, chunk, n, docs) of each block of texts."""
+    for table in _blocks(batches, BLOCK_BYTES):
+        doc, code, times, names = _chunk_places(table["text"].combine_chunks())
+        langs, sources = (table[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
+        width, n_sources = max(1, len(names)), max(1, len(sources.dictionary))
+        group = langs.indices.to_numpy().astype(np.int64) * n_sources + sources.indices.to_numpy()
+        key = group[doc] * width + code
+        order = np.argsort(key, kind="stable")
+        key, times = key[order], times[order]
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
+        group, code = key[start] // width, key[start] % width
+        yield pa.RecordBatch.from_arrays(
+            [langs.dictionary.take(pa.array(group // n_sources)), sources.dictionary.take(pa.array(group % n_sources)),
+             names.take(pa.array(code)), pa.array(np.add.reduceat(times, start) if len(start) else times, pa.int64()),
+             pa.array(np.diff(np.append(start, len(key))), pa.int64())],
+            names=["lang", "source", "chunk", "n", "docs"])
+
+
+def _tokenized(batches):
+    """(lang, source, term, n, docs) of rows (chunk, lang, source, n, docs) that
+    are sorted by chunk: a chunk is tokenized where its rows begin."""
+    for table in _blocks(batches, BLOCK_ROWS, lambda b: b.num_rows):
+        runs = table["chunk"].combine_chunks().dictionary_encode()
+        chunk, code, times, names = _chunk_terms(runs.dictionary)
+        first = np.searchsorted(chunk, np.arange(len(runs.dictionary) + 1))
+        of = runs.indices.to_numpy()
+        many = (first[1:] - first[:-1])[of]
+        row = np.repeat(np.arange(len(of)), many)
+        word = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + first[of][row]
+        yield pa.RecordBatch.from_arrays(
+            [table["lang"].combine_chunks().take(pa.array(row)), table["source"].combine_chunks().take(pa.array(row)),
+             names.take(pa.array(code[word])), pa.array(table["n"].to_numpy()[row] * times[word]),
+             pa.array(table["docs"].to_numpy()[row])], names=["lang", "source", "term", "n", "docs"])
+
+
+def _listed(batches, bitmap: np.ndarray):
+    """(lang, term, id): the documents of the terms that the bitmap has."""
+    first = TaskContext.get().partitionId() << 40
+    for table in _blocks(batches, BLOCK_BYTES):
+        doc, code, _, names = _chunk_places(table["text"].combine_chunks())
+        chunk, term, _, terms = _chunk_terms(names)
+        langs = table["lang"].combine_chunks().dictionary_encode()
+        lang_of = langs.indices.to_numpy()
+        texts = [t.encode() for t in terms.to_pylist()]
+        for i, lang in enumerate(langs.dictionary.to_pylist()):
+            seed = xxhash.xxh64_intdigest(lang.encode(), 42)
+            bit = np.array([xxhash.xxh64_intdigest(t, seed) for t in texts], dtype=np.uint64) & np.uint64(BITS - 1)
+            some = np.unpackbits(bitmap, bitorder="little")[bit].astype(bool)
+            wanted = some[term]
+            own = lang_of[doc] == i
+            order = np.argsort(code[own], kind="stable")
+            d, c = doc[own][order], code[own][order]
+            lo, hi = np.searchsorted(c, chunk[wanted]), np.searchsorted(c, chunk[wanted], side="right")
+            at = np.repeat(lo - np.cumsum(hi - lo) + (hi - lo), hi - lo) + np.arange((hi - lo).sum())
+            pair = np.unique(np.repeat(term[wanted], hi - lo) * np.int64(len(lang_of) + 1) + d[at])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(pair), pa.string()), terms.take(pa.array(pair // (len(lang_of) + 1))),
+                 pa.array(pair % (len(lang_of) + 1) + first)], names=["lang", "term", "id"])
+        first += table.num_rows
+
+
+def _bitmap(terms: DataFrame) -> np.ndarray:
+    """BITS bits, set at the hashes of (lang, term): at most BITS / 8 bytes, whatever the number of terms."""
+    bit = (F.xxhash64("lang", "term").bitwiseAND(F.lit(BITS - 1)) + 1).alias("bit")
+    rows = (terms.select(bit).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
+    out = np.zeros(BITS // 8, dtype=np.uint8)
+    for r in rows:
+        part = np.frombuffer(bytes(r.bits), dtype=np.uint8)
+        out[(r.bucket - 1) * 4096:(r.bucket - 1) * 4096 + len(part)] = part
+    return out
 
 
 def term_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
     """(lang, source, term, n) with the occurrences of the kept terms, and the kept (lang, term)."""
-    raw = stored(counted_chunks(docs, min_docs), "counted-chunks")
-    words = stored(tokenized(raw), "chunk-terms")
-    # Dealt by chunk, so the sums and the join share one exchange of the counted rows.
-    chunks = (raw.select("chunk", "lang", "source", "n", "docs").repartition("chunk")
-              .groupBy("chunk", "lang", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
-    terms = (chunks.join(words, "chunk").groupBy("lang", "source", "term")
-             .agg(F.sum(F.col("n") * F.col("times")).alias("n"), F.sum("docs").alias("most"), F.max("docs").alias("least")))
-    terms = stored(terms, "source-terms")
+    texts = docs.select("lang", "source", "text")
+    counted = texts.mapInArrow(_counted, "lang string, source string, chunk string, n bigint, docs bigint")
+    chunks = (counted.repartition("chunk").groupBy("chunk", "lang", "source")
+              .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).sortWithinPartitions("chunk"))
+    rows = chunks.mapInArrow(_tokenized, "lang string, source string, term string, n bigint, docs bigint")
+    terms = stored(rows.groupBy("lang", "source", "term").agg(
+        F.sum("n").alias("n"), F.sum("docs").alias("most"), F.max("docs").alias("least")), "source-terms")
     bounds = stored(terms.groupBy("lang", "term").agg(F.sum("most").alias("most"), F.sum("least").alias("least"))
                     .where(F.col("most") >= min_docs), "term-bounds")
     unsure = bounds.where(F.col("least") < min_docs).select("lang", "term")
-    places = small_enough(stored(words.join(small_enough(unsure), "term").select("lang", "chunk", "term"), "unsure-chunks"))
-    met = (raw.select("lang", "chunk", "ids").join(places, ["lang", "chunk"])
-           .select("lang", "term", F.explode("ids").alias("id")).distinct()
+    bitmap = _bitmap(unsure)
+    met = (texts.mapInArrow(lambda batches: _listed(batches, bitmap), "lang string, term string, id bigint")
+           .join(small_enough(unsure), ["lang", "term"], "left_semi").distinct()
            .groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs))
     kept = stored(bounds.where(F.col("least") >= min_docs).select("lang", "term")
                   .unionByName(met.select("lang", "term")), "kept-terms")
