@@ -218,7 +218,8 @@ def _pair_sums(groups):
                 apart = q - p[x]
                 sums[k] += (apart * apart // (q + p[x])).sum(axis=1)
         x, y = np.repeat(a, len(b)), np.tile(b, len(a))
-        once = np.flatnonzero(x < y) if first == second else np.arange(len(x))
+        # Within a side a pair goes by its names, whose numbers differ from block to block.
+        once = [i for i in range(len(x)) if first != second or names[x[i]] < names[y[i]]]
         yield pa.RecordBatch.from_arrays(
             [pa.array([lang] * len(once), pa.string()), pa.array([names[i] for i in x[once]], pa.string()),
              pa.array([names[i] for i in y[once]], pa.string()), pa.array(sums.ravel()[once])],
