@@ -1,5 +1,5 @@
-"""Plan checks: pruning reaches the scan on link-free paths; the page cap
-and the BM25 ranking are partial top-k (window group limits). The checks for
+"""Plan checks: pruning reaches the scan on link-free paths; the BM25
+ranking is a partial top-k (window group limit). The checks for
 bad operators over every query live in test_queries."""
 import __spark_entry__ as E
 
@@ -18,10 +18,5 @@ def test_sitemap_path_does_not_read_html(spark):
 
 
 def test_topk_is_partial(spark):
-    from webloom.operators.crawl import _cap_cut
-    nodes = spark.createDataFrame([("c", "u", 0, [1], None)],
-                                  "crawl_id string, url string, depth int, key array<int>, reason string")
-    p = plan(_cap_cut(nodes, 5))
-    assert "WindowGroupLimit" in p
     p = plan(E.queries()["corpus_search"](spark, SF))
     assert "WindowGroupLimit" in p

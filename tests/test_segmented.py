@@ -40,7 +40,7 @@ def test_fetch_schedule_brute_force(spark):
             for i in range(400)]
     req = spark.createDataFrame(rows, "host string, arrival timestamp, seq long")
     delays = spark.createDataFrame([("h2", 2.0), ("h3", 0.5)], "host string, delay_sec double")
-    got = {r.seq: r.start_at for r in fetch_schedule(req, delays, 1000, bucket_seconds=3).collect()}
+    got = {r.seq: r.start_at for r in fetch_schedule(req, delays, 1000, segment_rows=23).collect()}
     want = _schedule(rows, {"h2": 2000, "h3": 500}, 1000)
     assert got == want
 
@@ -51,7 +51,7 @@ def test_pacing_audit_brute_force(spark):
     rows = [(rng.choice(["h1", "h2"]), f"u{i}", base + dt.timedelta(milliseconds=rng.randint(0, 20000)))
             for i in range(200)]
     f = spark.createDataFrame(rows, "host string, url string, fetched_at timestamp")
-    got = {r.url for r in pacing_audit(f, None, 1000, bucket_seconds=2).collect()}
+    got = {r.url for r in pacing_audit(f, None, 1000, segment_rows=23).collect()}
     want, prev = set(), {}
     for h, u, t in sorted(rows, key=lambda r: (r[0], r[2], r[1])):
         if h in prev and (t - prev[h]) < dt.timedelta(milliseconds=1000):

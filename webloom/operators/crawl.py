@@ -11,8 +11,8 @@ Order is deterministic: a node's key is the path of link positions from its
 crawl's seed (``array<int>``), so within a level, lexicographic key order is
 "parent order, then link position" -- the FIFO order of the queue -- and no
 global ``row_number`` over a whole crawl is ever needed. The ``max_pages``
-cap is a per-crawl top-k on (depth, key), done in two salted stages so a
-crawl holding a third of all rows is never sorted in one task.
+cap is the k-th page on (depth, key), found from counts per level and sampled
+key ranges, so a crawl holding a third of all rows is never sorted in one task.
 """
 
 from __future__ import annotations
@@ -29,13 +29,12 @@ from webloom.functions.text import js_trim
 from webloom.functions.urls import url_host, valid_url
 from webloom.operators.parse import extract_parts
 from webloom.operators.robots import parse_robots, robots_check
+from webloom.operators.scan import SEGMENT_ROWS, nth
 from webloom.operators.scrape import NOT_CAPTURED, scrape
 from webloom.options import CrawlOptions, MapOptions
-from webloom.session import ensure_checkpoint_dir
+from webloom.session import ensure_checkpoint_dir, stored
 from webloom.sources.captures import latest_captures, ok_only
 
-CAP_SALT = 16
-
 # Skip reasons and details, in the order the checks run.
 REASON_EXCLUDED, REASON_ROBOTS, REASON_ERROR = "excluded", "robots", "error"
 DETAIL_DOMAIN = "different domain"
@@ -138,17 +137,23 @@ def links_of(captures: DataFrame) -> DataFrame:
         "src", F.col("pos").cast("int"), "dst")
 
 
-def _cap_cut(nodes: DataFrame, k: int) -> DataFrame:
+def _cap_cut(nodes: DataFrame, k: int, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Per crawl, (depth, key) of the k-th successful page in crawl order;
-    crawls with fewer than k pages get no row. Two salted top-k stages."""
-    ok = nodes.filter(F.col("reason").isNull()).select(
-        "crawl_id", "depth", "key", (F.abs(F.hash("url")) % CAP_SALT).alias("_salt"))
-    w1 = Window.partitionBy("crawl_id", "_salt").orderBy("depth", "key")
-    local = ok.withColumn("_r", F.row_number().over(w1)).filter(F.col("_r") <= k)
-    w2 = Window.partitionBy("crawl_id").orderBy("depth", "key")
-    top = local.withColumn("_r", F.row_number().over(w2)).filter(F.col("_r") <= k)
-    return top.filter(F.col("_r") == k).select(
-        "crawl_id", F.col("depth").alias("cut_depth"), F.col("key").alias("cut_key"))
+    crawls with fewer than k pages get no row. Counts per (crawl, depth) tell
+    the depth of the cut and its place there; among the pages of that depth the
+    place is found by sampled key ranges, so no crawl is ever ordered whole."""
+    ok = nodes.filter(F.col("reason").isNull()).select("crawl_id", "depth", "key")
+    levels = ok.groupBy("crawl_id", "depth").agg(F.count("*").alias("_n"))
+    by_depth = (Window.partitionBy("crawl_id").orderBy("depth")  # one row a level, at most the depth limit
+                .rowsBetween(Window.unboundedPreceding, -1))
+    cut = (levels.withColumn("_above", F.coalesce(F.sum("_n").over(by_depth), F.lit(0)))
+           .filter((F.col("_above") < k) & (F.col("_above") + F.col("_n") >= k))
+           .select("crawl_id", "depth", (F.lit(k) - F.col("_above")).alias("_want")))
+    cut = stored(cut, "cap-depths")
+    if cut.isEmpty():
+        return cut.select("crawl_id", F.col("depth").alias("cut_depth"), F.lit(None).cast(_KEY_T).alias("cut_key"))
+    at = nth(ok.join(cut, ["crawl_id", "depth"]), ["crawl_id"], ["key"], "_want", segment_rows, "cap")
+    return at.select("crawl_id", F.col("depth").alias("cut_depth"), F.col("key").alias("cut_key"))
 
 
 def _link_table(edges: DataFrame, materialise: bool, canonicalize: bool = False) -> DataFrame:

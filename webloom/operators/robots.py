@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from webloom.functions.text import js_trim
 from webloom.functions.urls import url_host
+from webloom.operators.scan import SEGMENT, SEGMENT_ROWS, earlier, segments, within
 from webloom.options import DEFAULT_AGENT, ROBOTS_TTL_SECONDS
 from webloom.sources.captures import ok_only
 
@@ -146,26 +147,47 @@ def robots_check(urls: DataFrame, rules: DataFrame, user_agent: str = DEFAULT_AG
     return m.select(*urls.columns, allowed.alias("allowed"), reason.alias("robots_reason"))
 
 
+def _fresh_capture(requests: DataFrame, captures: DataFrame, ttl_seconds: int, time_col: str,
+                   segment_rows: int) -> DataFrame:
+    """An as-of merge: every request (``_req``, a struct of its columns, and
+    ``_host``) with ``robots_fetched_at``, the time of the last capture of its
+    host at or before it, NULL if older than the TTL. Requests and captures are
+    one ordered run of (host, time); the last capture is carried forward within
+    a segment, and from the segments before by one row each."""
+    asked = requests.select(F.struct("*").alias("_req"), url_host(F.col("_url")).alias("_host"),
+                            F.col(time_col).cast("timestamp").alias("_t"))
+    events = (asked.withColumn("_cap", F.lit(None).cast("timestamp"))
+              .unionByName(captures.select(F.col("host").alias("_host"), F.col("fetched_at").alias("_t"),
+                                           F.col("fetched_at").alias("_cap")), allowMissingColumns=True)
+              .withColumn("_asks", F.col("_cap").isNull())
+              .withColumn("_tie", F.monotonically_increasing_id()))
+    order = ["_t", "_asks", "_tie"]  # a capture comes before the requests of its instant
+    run = segments(events, ["_host"], order, segment_rows, "asof")
+    upto = within(["_host"], order).rowsBetween(Window.unboundedPreceding, 0)
+    run = run.withColumn("_near", F.last("_cap", ignorenulls=True).over(upto))
+    carry = (run.groupBy("_host", SEGMENT).agg(F.max("_cap").alias("_cap"))
+             .withColumn("_far", F.max("_cap").over(earlier(["_host"])))
+             .filter(F.col("_far").isNotNull()).select("_host", SEGMENT, "_far"))
+    at = F.coalesce("_near", "_far")
+    age = F.unix_micros("_t") - F.unix_micros(at)
+    return (run.filter("_asks").join(carry, ["_host", SEGMENT], "left")
+            .select("_req", "_host", F.when(age <= ttl_seconds * 1_000_000, at).alias("robots_fetched_at")))
+
+
 def robots_asof(requests: DataFrame, robots_captures: DataFrame,
                 ttl_seconds: int = ROBOTS_TTL_SECONDS, user_agent: str = DEFAULT_AGENT,
-                url_col: str = "url", time_col: str = "requested_at") -> DataFrame:
+                url_col: str = "url", time_col: str = "requested_at",
+                segment_rows: int = SEGMENT_ROWS) -> DataFrame:
     """Judge each request with the robots file that was fresh at request
     time: the latest successful capture of its host with
     0 <= t - fetched_at <= ttl. None fresh: allowed, ``robots_known`` false.
-    Equi-join on host plus a range condition on time, then ``max``, for each
-    distinct (host, time); every request row, repeated ones too, then takes its
-    answer. Rules are parsed once per capture, keyed by (host, fetched_at)."""
-    caps = ok_only(robots_captures).select("host", "fetched_at", "body")
-    keys = list(requests.columns)
-    asked = requests.withColumn("_host", url_host(url_col))
-    t = F.col("_t")
-    times = caps.select(F.col("host").alias("_rhost"), F.col("fetched_at").alias("_rt"))
-    cond = ((F.col("_host") == F.col("_rhost")) & (F.col("_rt") <= t)
-            & (F.col("_rt") >= t - F.make_dt_interval(secs=F.lit(ttl_seconds))))
-    fresh = (asked.select("_host", F.col(time_col).alias("_t")).distinct().join(times, cond)
-             .groupBy(F.col("_host").alias("_fhost"), F.col("_t").alias("_ft"))
-             .agg(F.max("_rt").alias("robots_fetched_at")))
-    chosen = asked.join(fresh, (F.col("_host") == F.col("_fhost")) & (F.col(time_col) == F.col("_ft")), "left")
+    Found by one ordered merge of requests and captures, never by pairing the
+    times of a host with its captures; repeated requests are rows of their own.
+    Rules are parsed once per capture, keyed by (host, fetched_at)."""
+    caps = ok_only(robots_captures).filter("host is not null and fetched_at is not null").select(
+        "host", "fetched_at", "body")
+    chosen = _fresh_capture(requests.withColumn("_url", F.col(url_col)), caps.select("host", "fetched_at"),
+                            ttl_seconds, time_col, segment_rows)
 
     def cap_key(h, ts):
         return F.concat_ws("@", h, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
@@ -175,6 +197,6 @@ def robots_asof(requests: DataFrame, robots_captures: DataFrame,
     per_cap = rules_by_host(rules, user_agent).withColumnRenamed("host", "_rk2")
     m = (chosen.withColumn("_rk", cap_key(F.col("_host"), F.col("robots_fetched_at")))
          .join(per_cap, F.col("_rk") == F.col("_rk2"), "left"))
-    allowed = _verdict(_path_query(F.col(url_col)), F.col("_rules"))
-    return m.select(*keys, "robots_fetched_at", allowed.alias("allowed"),
-                    F.col("robots_fetched_at").isNotNull().alias("robots_known"))
+    allowed = _verdict(_path_query(F.col("_req._url")), F.col("_rules"))
+    return m.select(*[F.col("_req")[c].alias(c) for c in requests.columns], "robots_fetched_at",
+                    allowed.alias("allowed"), F.col("robots_fetched_at").isNotNull().alias("robots_known"))

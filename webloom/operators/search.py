@@ -245,6 +245,15 @@ def filter_results(results: DataFrame, site: str | None = None, after: str | Non
 BM25_K1 = 1.2
 BM25_B = 0.75
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+#: Documents of a posting block, on average; blocks hold documents of like length.
+BLOCK_DOCS = 16
+#: Length classes per doubling of the length; a class number is below 31 times this.
+LENGTH_CLASSES = 8
+#: Rare postings (as a multiple of the limit) that give the first bound, and
+#: documents (likewise) that are scored in full for it.
+RARE_POSTINGS, SEEDS = 10, 3
+#: Scores are rounded to 6 places, so a bound that misses by less may still tie.
+SLACK = 2e-6
 
 
 def _terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -252,35 +261,106 @@ def _terms(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
             .filter(F.col("term") != ""))
 
 
-def corpus_search(queries: DataFrame, corpus: DataFrame, limit: int = 10,
-                  k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
-    """Q12: BM25 over the whole corpus. ``queries``: query_id, query;
-    ``corpus``: doc_id, text. Postings are built with aggregates (partial
-    aggregation before the shuffle); the query-term join scores only
-    documents sharing a term; the top ``limit`` per query is a window-group
-    limit (partial top-k before the shuffle)."""
-    SearchOptions(limit=limit)
-    from webloom.session import spread
+def _postings(corpus: DataFrame, vocabulary: DataFrame, k1: float, b: float) -> DataFrame:
+    """(term, doc_id, block, s): the score that a term of the vocabulary gives
+    to each of its documents. Documents of like length share a block of about
+    BLOCK_DOCS (by a hash within a length class), since length bounds scores."""
+    from webloom.session import spread, stored
     toks = F.filter(F.split(F.lower(F.col("text")), TOKEN_SPLIT), lambda t: t != "")
-    docs = spread(corpus.select("doc_id", "text"), "doc_id").select(
-        "doc_id", toks.alias("toks"))
-    # Two corpus-wide scalars (one aggregate row): number of documents and
-    # average length.
-    n_docs, avgdl = docs.agg(F.count(F.lit(1)), F.avg(F.size("toks"))).first()
-    qt = _terms(queries, "query_id", "query").distinct()
-    vocab = qt.select("term").distinct()
-    # One tokenising pass: postings of query terms with the document length.
+    docs = spread(corpus.select("doc_id", "text"), "doc_id").select("doc_id", toks.alias("toks"))
+    size_class = F.floor(F.log2(F.col("dl") + 1.0) * LENGTH_CLASSES).cast("int")
+    # At most 31 * LENGTH_CLASSES rows: documents and words of each length class.
+    length = F.when(F.col("toks").isNotNull(), F.size("toks"))
+    classes = (docs.select(length.alias("words"), F.coalesce(length, F.lit(0)).alias("dl")).groupBy(size_class.alias("c"))
+               .agg(F.count("*").alias("n"), F.count("words").alias("texts"), F.coalesce(F.sum("words"), F.lit(0)).alias("words"))
+               .collect())
+    n_docs = sum(r.n for r in classes)
+    avgdl = sum(r.words for r in classes) / max(1, sum(r.texts for r in classes))
+    parts = [1] * (1 + max([r.c for r in classes], default=0))
+    for r in classes:
+        parts[r.c] = -(-r.n // BLOCK_DOCS)
     tf = (docs.select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
-          .join(vocab, "term", "left_semi")
+          .join(vocabulary, "term", "left_semi")
           .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl")))
+    tf = stored(tf, "term-frequencies")
     idf = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-           .select("term", F.ln(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-                   .alias("idf")))
-    contrib = (qt.join(idf, "term").join(tf, "term")
-               .select("query_id", "doc_id",
-                       (F.col("idf") * F.col("tf") * (k1 + 1)
-                        / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl))))
-                       .alias("s")))
-    scores = contrib.groupBy("query_id", "doc_id").agg(F.round(F.sum("s"), 6).alias("score"))
+           .select("term", "df", F.ln(1 + (F.lit(n_docs) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")))
+    part = F.pmod(F.xxhash64("doc_id"), F.element_at(F.array(*map(F.lit, parts)), F.col("c") + 1))
+    weight = (F.col("idf") * F.col("tf") * (k1 + 1)
+              / (F.col("tf") + k1 * (1 - b + b * F.col("dl") / F.lit(avgdl))))
+    return stored(tf.join(idf, "term").withColumn("c", size_class)
+                  .select("term", "doc_id", (F.col("c").cast("long") * (1 << 40) + part).alias("block"),
+                          weight.alias("s"), "df"), "postings")
+
+
+def _top(scores: DataFrame, limit: int) -> DataFrame:
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    return (scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit))
+    return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= limit)
+
+
+def _first_bound(qt: DataFrame, postings: DataFrame, limit: int) -> DataFrame:
+    """(query_id, bound): a lower bound on each query's ``limit``-th score. The
+    rarest terms, up to RARE_POSTINGS * limit postings, point to documents; the
+    best of these are scored in full."""
+    df = postings.groupBy("term").agg(F.first("df").alias("df"))
+    by_df = Window.partitionBy("query_id").orderBy("df", "term")  # the terms of one query
+    rare = (qt.join(df, "term")
+            .withColumn("before", F.sum("df").over(by_df.rowsBetween(Window.unboundedPreceding, -1)))
+            .filter(F.coalesce("before", F.lit(0)) < RARE_POSTINGS * limit).select("query_id", "term"))
+    partial = (rare.join(postings, "term").groupBy("query_id", "doc_id").agg(F.sum("s").alias("score")))
+    seeds = _top(partial, SEEDS * limit).select("query_id", "doc_id")
+    full = (seeds.join(qt, "query_id").join(postings.select("term", "doc_id", "s"), ["term", "doc_id"])
+            .groupBy("query_id", "doc_id").agg(F.sum("s").alias("score")))
+    return (_top(full, limit).groupBy("query_id")
+            .agg(F.when(F.count("*") >= limit, F.min("score")).otherwise(0.0).alias("bound")))
+
+
+def search_candidates(queries: DataFrame, corpus: DataFrame, limit: int = 10,
+                      k1: float = BM25_K1, b: float = BM25_B) -> tuple[DataFrame, DataFrame]:
+    """The two steps of ``corpus_search``: all (query_id, doc_id, score) that
+    are scored in full, and the postings they come from. Block by block, the
+    query's terms are ordered by their largest score in the block; the lowest
+    ones that together stay below the query's bound cannot bring a document
+    into the result alone. Only documents with another term are looked at, and
+    only those whose score so far plus the rest of the block's maxima reaches
+    the bound get the scores of the common terms."""
+    from webloom.session import stored
+    qt = stored(_terms(queries, "query_id", "query").distinct(), "query-terms")
+    postings = _postings(corpus, qt.select("term").distinct(), k1, b)
+    bound = stored(_first_bound(qt, postings, limit), "bounds")
+    maxima = postings.groupBy("term", "block").agg(F.max("s").alias("most"))
+    lowest = (Window.partitionBy("query_id", "block").orderBy("most", "term")  # the terms of one query
+              .rowsBetween(Window.unboundedPreceding, 0))
+    blocks = (qt.join(maxima, "term").join(bound, "query_id")
+              .withColumn("reach", F.sum("most").over(lowest))
+              .withColumn("total", F.sum("most").over(Window.partitionBy("query_id", "block")))
+              .filter(F.col("total") >= F.col("bound") - SLACK)
+              .withColumn("leads", F.col("reach") >= F.col("bound") - SLACK))
+    blocks = stored(blocks.select("query_id", "term", "block", "most", "leads", "bound"), "query-blocks")
+    rest = (blocks.filter(~F.col("leads")).groupBy("query_id", "block").agg(F.sum("most").alias("rest")))
+    started = (blocks.filter("leads").join(postings.select("term", "block", "doc_id", "s"), ["term", "block"])
+               .groupBy("query_id", "doc_id", "block").agg(F.sum("s").alias("s"), F.first("bound").alias("bound")))
+    alive = (started.join(rest, ["query_id", "block"], "left")
+             .filter(F.col("s") + F.coalesce("rest", F.lit(0.0)) >= F.col("bound") - SLACK)
+             .select("query_id", "doc_id", "block", "s"))
+    alive = stored(alive, "candidates")
+    more = (alive.select("query_id", "doc_id", "block")
+            .join(blocks.filter(~F.col("leads")).select("query_id", "block", "term"), ["query_id", "block"])
+            .join(postings.select("term", "doc_id", "s"), ["term", "doc_id"])
+            .select("query_id", "doc_id", "s"))
+    scores = (alive.select("query_id", "doc_id", "s").unionByName(more)
+              .groupBy("query_id", "doc_id").agg(F.round(F.sum("s"), 6).alias("score")))
+    return scores, postings
+
+
+def corpus_search(queries: DataFrame, corpus: DataFrame, limit: int = 10,
+                  k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+    """Q12: the ``limit`` best documents of each query by BM25, exactly, over
+    the whole corpus. ``queries``: query_id, query; ``corpus``: doc_id, text.
+    Postings lie in blocks with the largest score of each term; a first bound
+    on each query's last result comes from its rare terms, and postings of
+    common terms are added only where it can still be reached. Lists of
+    frequent terms are split by block."""
+    SearchOptions(limit=limit)
+    scores, _ = search_candidates(queries, corpus, limit, k1, b)
+    return _top(scores, limit)

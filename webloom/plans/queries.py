@@ -156,6 +156,9 @@ def batch_results(spark, sf_dir):
 from webloom.operators import crawl as _crawl  # noqa: E402
 from webloom.operators import pacing as _pacing  # noqa: E402
 from webloom.operators import robots as _robots  # noqa: E402
+
+#: Segments of the ordered scans here, so that the larger test tables need several.
+SEGMENT_ROWS = 20_000
 from webloom.options import CrawlOptions, MapOptions  # noqa: E402
 
 
@@ -191,7 +194,7 @@ def robots_asof(spark, sf_dir):
     """Each fetch judged by the robots capture fresh at fetch time (TTL
     10 minutes)."""
     req = _cap(spark, sf_dir).select("page_id", "url", F.col("fetched_at").alias("requested_at"))
-    r = _robots.robots_asof(req, fx.robots_captures(spark, sf_dir))
+    r = _robots.robots_asof(req, fx.robots_captures(spark, sf_dir), segment_rows=SEGMENT_ROWS)
     return r.select("page_id", "allowed", "robots_known",
                     iso_ts("robots_fetched_at").alias("robots_fetched_at"))
 
@@ -218,7 +221,7 @@ def fetch_schedule(spark, sf_dir):
     """L1: earliest start per request under per-host delays (robots
     Crawl-delay replaces the 1 s default)."""
     delays = _robots.crawl_delays(_rules(spark, sf_dir))
-    s = _pacing.fetch_schedule(_requests(spark, sf_dir), delays, bucket_seconds=10)
+    s = _pacing.fetch_schedule(_requests(spark, sf_dir), delays, segment_rows=SEGMENT_ROWS)
     return s.select(F.col("seq").alias("event_id"), "host",
                     F.unix_micros("arrival").alias("arrival_us"),
                     F.unix_micros("start_at").alias("start_us"))
@@ -230,7 +233,7 @@ def pacing_audit(spark, sf_dir):
     the host's delay."""
     f = _cap(spark, sf_dir).select(url_host("url").alias("host"), "url", "fetched_at")
     delays = _robots.crawl_delays(_rules(spark, sf_dir))
-    v = _pacing.pacing_audit(f, delays, bucket_seconds=30)
+    v = _pacing.pacing_audit(f, delays, segment_rows=SEGMENT_ROWS)
     return v.select("host", "url", "gap_ms", "delay_ms")
 
 

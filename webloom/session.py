@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -102,6 +103,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def stored(df, name: str):
+    """Write ``df`` as Parquet to a fresh folder below the shared checkpoint
+    folder and read it back: lineage ends there, a lost executor costs
+    nothing, and every later branch reads only the columns it needs."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df, *keys):
     """Spread CPU-heavy per-row work (HTML parsing, regex scans, tokenising)
     over as many partitions as the session asks for with
