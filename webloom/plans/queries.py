@@ -651,6 +651,25 @@ def stream_monitor(spark, sf_dir):
         "url", iso_ts("fetched_at").alias("fetched_at"), "prev_hash", "hash")
 
 
+@query("stream_monitor_shuffled")
+def stream_monitor_shuffled(spark, sf_dir):
+    """T3/D9 with unordered arrival: both capture rounds mixed over four
+    micro-batches, so most second captures arrive before the first ones; equals
+    the batch history. A last capture moves the watermark past all others."""
+    wd = _streams.work_dir(spark, "stream_monitor_shuffled")
+    cols = ["url", "html", "status_code", "fetched_at", "error"]
+    both = _cap(spark, sf_dir).select(*cols).unionByName(fx.snapshot2(spark, sf_dir).select(*cols))
+    both.repartition(4, F.xxhash64("url", "fetched_at")).write.parquet(f"{wd}/in")
+    newest = spark.read.schema(_schemas.CAPTURES).parquet(f"{wd}/in").agg(
+        F.lit("about:end").alias("url"), F.lit("").alias("html"), F.lit(200).alias("status_code"),
+        (F.max("fetched_at") + F.expr("INTERVAL 3 DAYS")).alias("fetched_at"), F.lit(None).cast("string").alias("error"))
+    newest.write.mode("append").parquet(f"{wd}/in")
+    src = _streams.read_stream(spark, f"{wd}/in", _schemas.CAPTURES, files_per_trigger=1)
+    _streams.run_to_table(_streams.stream_changes(src, "2 days"), f"{wd}/out", f"{wd}/ckpt")
+    return spark.read.parquet(f"{wd}/out").where(~F.col("late")).select(
+        "url", iso_ts("fetched_at").alias("fetched_at"), "prev_hash", "hash")
+
+
 @query("map_context")
 def map_context(spark, sf_dir):
     """P9 (map): first 500 mapped URLs per site, total, truncated flag."""

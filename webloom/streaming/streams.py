@@ -12,8 +12,10 @@ from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
 from webloom.operators.monitor import snapshot
 from webloom.operators.scrape import scrape
@@ -135,6 +137,78 @@ def stream_monitor(captures_stream: DataFrame, selector: str | None = None,
         _tracker(ttl_ms), _CHANGE_SCHEMA, _STATE_SCHEMA, "append", timeout)
 
 
+_ORDERED_SCHEMA = T.StructType([*_CHANGE_SCHEMA.fields, T.StructField("late", T.BooleanType())])
+
+
+def _ordered_changes() -> StatefulProcessor:
+    # Defined in here, so it is shipped by value: the process that sets up the
+    # state on the driver does not import this package.
+    columns = _ORDERED_SCHEMA.fieldNames()
+
+    class OrderedChanges(StatefulProcessor):
+        """Per URL: snapshots wait in state until the watermark has passed them,
+        then they are compared in order of time with the last one released. Rows
+        that arrive behind the watermark come out as they are, marked late."""
+
+        def init(self, handle) -> None:
+            self._handle = handle
+            self._last = handle.getValueState("last", "hash string")
+            self._held = handle.getMapState("held", "micros bigint, hash string", "at timestamp")
+
+        def handleInputRows(self, key, rows, timerValues):
+            passed = timerValues.getCurrentWatermarkInMs() * 1000
+            for snaps in rows:  # Arrow chunks of the micro-batch, one at a time
+                late = []
+                for at, micros, digest in zip(snaps["fetched_at"], snaps["micros"], snaps["hash"], strict=True):
+                    if micros < passed:
+                        late.append((key[0], at, None, digest, True))
+                    else:
+                        self._held.updateValue((int(micros), digest), (at,))
+                        self._handle.registerTimer(int(micros) // 1000 + 1)
+                if late:
+                    yield pd.DataFrame(late, columns=columns)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            passed = timerValues.getCurrentWatermarkInMs() * 1000
+            due = sorted((tuple(k), v[0]) for k, v in self._held.iterator() if k[0] < passed)
+            state = self._last.get()
+            last, out = state[0] if state is not None else None, []
+            for (micros, digest), at in due:
+                if last is not None and digest != last:
+                    out.append((key[0], at, last, digest, False))
+                last = digest
+                self._held.removeKey((micros, digest))
+            if due:
+                self._last.update((last,))
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+
+        def close(self) -> None:
+            pass
+
+    return OrderedChanges()
+
+
+def stream_changes(captures_stream: DataFrame, lateness: str = "1 hour", selector: str | None = None) -> DataFrame:
+    """T3/D9 with unordered arrival: change events (url, fetched_at, prev_hash,
+    hash, late) as the batch history gives them, in whatever order captures
+    arrive, as long as none is later than ``lateness`` behind the newest. A
+    snapshot is released when the watermark has passed it; one that comes after
+    that gives a row with ``late`` true and changes nothing. State per URL: the
+    last hash and the snapshots not yet released. Time moves with the data, so
+    the end of a finite input is released by later captures (of any URL).
+    Snapshots without a time are left out, as in the batch history."""
+    use_rocksdb_state(captures_stream.sparkSession)
+    snaps = (snapshot(captures_stream, selector).filter("fetched_at is not null")
+             .withColumn("_event", F.col("fetched_at")).withWatermark("_event", lateness))
+    # Without the watermark's mark on its columns the operator gets late rows too.
+    rows = snaps.select("url", F.unix_micros("_event").alias("micros"), F.timestamp_micros(F.unix_micros("_event")).alias("fetched_at"),
+                        "hash")
+    return rows.groupBy("url").transformWithStateInPandas(
+        statefulProcessor=_ordered_changes(), outputStructType=_ORDERED_SCHEMA, outputMode="Append",
+        timeMode="EventTime")
+
+
 def run_to_table(df: DataFrame, path: str, checkpoint: str) -> None:
     """Drain a streaming DataFrame into Parquet at ``path`` (availableNow)."""
     q = (df.writeStream.format("parquet").option("path", path)
