@@ -4,8 +4,10 @@ Many crawls run at once, keyed by ``crawl_id``. One BFS level is one Spark
 job: classify the frontier (cheap predicates first, then the robots join,
 then the captures join), expand successful pages through the link table,
 keep for each newly found URL the smallest order key, and drop URLs already
-visited (anti-join). Each level is checkpointed to the shared checkpoint
-folder so lineage stays flat and a lost executor only costs one level.
+visited (anti-join). Links, captures and visited URLs lie in the shared
+checkpoint folder by their join keys, so only the rows of the level move; each
+level is checkpointed there too, so lineage stays flat and a lost executor only
+costs one level.
 
 Order is deterministic: a node's key is the path of link positions from its
 crawl's seed (``array<int>``), so within a level, lexicographic key order is
@@ -28,11 +30,11 @@ from pyspark.sql.window import Window
 from webloom.functions.text import js_trim
 from webloom.functions.urls import url_host, valid_url
 from webloom.operators.parse import extract_parts
-from webloom.operators.robots import parse_robots, robots_check
+from webloom.operators.robots import parse_robots, robots_check, rules_by_host
 from webloom.operators.scan import SEGMENT_ROWS, nth
 from webloom.operators.scrape import NOT_CAPTURED, scrape
 from webloom.options import CrawlOptions, MapOptions
-from webloom.session import ensure_checkpoint_dir, stored
+from webloom.session import ensure_checkpoint_dir, placed_tables, stored
 from webloom.sources.captures import latest_captures, ok_only
 
 # Skip reasons and details, in the order the checks run.
@@ -109,23 +111,27 @@ def classify(frontier: DataFrame, captures: DataFrame, opts: CrawlOptions,
                     status.cast("int").alias("status_code"))
 
 
-def prepare_captures(captures: DataFrame) -> DataFrame:
-    """The narrow capture columns a crawl joins on every level, those of the
-    latest capture of each URL, materialised once."""
+def capture_index(captures: DataFrame) -> DataFrame:
+    """The narrow capture columns a crawl joins on every level: those of the
+    latest capture of each URL."""
     newest = F.max_by(F.struct("status_code", "error"), F.struct("fetched_at", "status_code", "error"))
-    return _checkpoint(captures.groupBy("url").agg(newest.alias("_c")).select("url", "_c.*"))
+    return captures.groupBy("url").agg(newest.alias("_c")).select("url", "_c.*")
 
 
-def _expand(ok_nodes: DataFrame, edges: DataFrame, visited: DataFrame, depth: int,
+def _expand(ok_nodes: DataFrame, links: list[DataFrame], visited: list[DataFrame], depth: int,
             host_filter: bool) -> DataFrame:
-    e = edges.select(F.col("src").alias("url"), "pos", "dst")
-    kids = ok_nodes.select("crawl_id", "url", "key", "seed_host").join(e, "url")
+    """The URLs that ``ok_nodes`` link to and no level has visited. ``links``
+    lie by url, ``visited`` by (crawl_id, url), as ``placed_tables`` writes them:
+    only the level's own rows are exchanged, once by url and once by (crawl, url)."""
+    start = ok_nodes.select("crawl_id", "url", "key", "seed_host")
+    kids = reduce(DataFrame.unionByName, [start.join(e, "url") for e in links])
     if host_filter:
         kids = kids.filter(url_host("dst") == F.col("seed_host"))
     kids = (kids.groupBy("crawl_id", F.col("dst").alias("url"))
             .agg(F.min(F.concat("key", F.array(F.col("pos").cast("int")))).alias("key"),
                  F.first("seed_host").alias("seed_host")))
-    kids = kids.join(visited, ["crawl_id", "url"], "left_anti")
+    for v in visited:
+        kids = kids.join(v, ["crawl_id", "url"], "left_anti")
     return kids.select("crawl_id", "url", F.lit(depth).alias("depth"), "key", "seed_host")
 
 
@@ -156,23 +162,46 @@ def _cap_cut(nodes: DataFrame, k: int, segment_rows: int = SEGMENT_ROWS) -> Data
     return at.select("crawl_id", F.col("depth").alias("cut_depth"), F.col("key").alias("cut_key"))
 
 
-def _link_table(edges: DataFrame, materialise: bool, canonicalize: bool = False) -> DataFrame:
-    e = edges.select("src", F.col("pos").cast("int").alias("pos"), "dst")
+def _link_rows(edges: DataFrame, canonicalize: bool = False) -> DataFrame:
+    e = edges.select(F.col("src").alias("url"), F.col("pos").cast("int").alias("pos"), "dst")
     if canonicalize:
         from webloom.functions.urls import canonical_url
         e = e.withColumn("dst", canonical_url("dst"))
-        materialise = True  # normalise each link once, not once per level
-    return _checkpoint(e) if materialise else e
+    return e
+
+
+class _Links:
+    """The link tables a level is joined with: the given edges, or else the
+    links of the pages reached so far, each parsed at the first level that
+    reaches it."""
+
+    def __init__(self, place, captures: DataFrame, edges: DataFrame | None, canonicalize: bool):
+        self._place, self._captures, self._canonicalize = place, captures, canonicalize
+        self._parsed: list[DataFrame] = []
+        self._fixed = edges is not None
+        self.tables = [place(_link_rows(edges, canonicalize), "links", "url")] if self._fixed else []
+
+    def of(self, reached: DataFrame) -> list[DataFrame]:
+        """The tables that hold the links of the pages ``reached`` (column url)."""
+        if not self._fixed:
+            fresh = reached.select("url").distinct()
+            for old in self._parsed:
+                fresh = fresh.join(old, "url", "left_anti")
+            fresh = self._place(fresh, "parsed", "url")
+            self._parsed.append(fresh)
+            links = links_of(self._captures.join(fresh, "url", "left_semi"))
+            self.tables.append(self._place(_link_rows(links, self._canonicalize), "links", "url"))
+        return self.tables
 
 
 def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptions(),
           edges: DataFrame | None = None, robots_captures: DataFrame | None = None,
-          materialise_edges: bool = True, tos_lexicon: DataFrame | None = None) -> CrawlResult:
+          tos_lexicon: DataFrame | None = None) -> CrawlResult:
     """C8-C12. ``seeds``: crawl_id, url. ``captures``: url, html,
     status_code, fetched_at, error. ``edges`` (src, pos, dst) defaults to the
-    links extracted from the captured pages. Every level reads the link
-    table, so a derived one is materialised once (``materialise_edges``;
-    switch it off when ``edges`` is already a stored table). With
+    links of the pages that the crawls reach; no other page is parsed. The
+    capture index, the links and the visited URLs are stored by their join keys,
+    so a level moves its own rows only. With
     ``opts.canonicalize`` link targets are compared in normalised form
     (fragment dropped); by default URL identity is the raw string. Of several
     captures of a URL the latest counts.
@@ -183,27 +212,27 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
     if opts.scan_tos and tos_lexicon is None:
         raise ValueError("scan_tos needs a tos_lexicon DataFrame (clause, pattern, severity)")
     frontier, rejects = _seed_frontier(seeds)
-    rules = parse_robots(robots_captures) if (opts.respect_robots and robots_captures
-                                              is not None) else None
-    if rules is not None:
-        rules = _checkpoint(rules)
-    link_table = _link_table(edges if edges is not None else links_of(captures),
-                             materialise_edges or edges is None, opts.canonicalize)
+    rules = (_checkpoint(rules_by_host(parse_robots(robots_captures), opts.user_agent))
+             if opts.respect_robots and robots_captures is not None else None)
     levels: list[DataFrame] = []
-    cap_index = prepare_captures(captures)
-    for d in range(opts.depth + 1):
-        level = _checkpoint(classify(frontier, cap_index, opts, rules))
-        if d > 0 and level.isEmpty():
-            break
-        levels.append(level)
-        if d == opts.depth:
-            break
-        done = reduce(DataFrame.unionByName, levels)
-        capped = (done.filter(F.col("reason").isNull()).groupBy("crawl_id").count()
-                  .filter(F.col("count") >= opts.max_pages).select("crawl_id"))
-        ok_nodes = level.filter(F.col("reason").isNull()).join(capped, "crawl_id", "left_anti")
-        visited = done.select("crawl_id", "url")
-        frontier = _expand(ok_nodes, link_table, visited, d + 1, False)
+    visited: list[DataFrame] = []
+    with placed_tables(seeds.sparkSession) as place:
+        links = _Links(place, captures, edges, opts.canonicalize)
+        index = place(capture_index(captures), "captures", "url")
+        for d in range(opts.depth + 1):
+            frontier = place(frontier, "visited", "crawl_id", "url")
+            if d > 0 and frontier.isEmpty():
+                break
+            visited.append(frontier.select("crawl_id", "url"))
+            level = _checkpoint(classify(frontier, index, opts, rules))
+            levels.append(level)
+            if d == opts.depth:
+                break
+            done = reduce(DataFrame.unionByName, levels)
+            capped = (done.filter(F.col("reason").isNull()).groupBy("crawl_id").count()
+                      .filter(F.col("count") >= opts.max_pages).select("crawl_id"))
+            ok_nodes = level.filter(F.col("reason").isNull()).join(capped, "crawl_id", "left_anti")
+            frontier = _expand(ok_nodes, links.of(ok_nodes), visited, d + 1, False)
     nodes = reduce(DataFrame.unionByName, levels)
     cut = _cap_cut(nodes, opts.max_pages)
     in_cap = (F.col("cut_depth").isNull()
@@ -273,27 +302,26 @@ def sitemap_urls(sitemap_captures: DataFrame) -> DataFrame:
 
 
 def discover(seeds: DataFrame, captures: DataFrame, edges: DataFrame | None = None,
-             opts: MapOptions = MapOptions(), materialise_edges: bool = True) -> DataFrame:
+             opts: MapOptions = MapOptions()) -> DataFrame:
     """M3: breadth-first link discovery. Pages up to ``depth`` hops that
     answered 2xx are read; URLs up to depth+1 hops are listed (also those
-    whose fetch failed). ``edges`` defaults to the links of the captured
-    pages. Returns (site, url, depth, key)."""
-    if edges is None:
-        edges, materialise_edges = links_of(captures), True
+    whose fetch failed). ``edges`` defaults to the links of the pages read.
+    Tables are stored as in ``crawl``. Returns (site, url, depth, key)."""
     f = seeds.filter(valid_url("url")).select(
         F.col("crawl_id"), "url", F.lit(0).alias("depth"), F.array().cast(_KEY_T).alias("key"),
         url_host("url").alias("seed_host"))
-    f = _checkpoint(f)
-    levels = [f]
-    edges = _link_table(edges, materialise_edges)
-    ok_caps = ok_only(prepare_captures(captures)).select("url")
-    for d in range(opts.depth + 1):
-        readable = f.join(ok_caps, "url", "left_semi")
-        visited = reduce(DataFrame.unionByName, levels).select("crawl_id", "url")
-        f = _checkpoint(_expand(readable, edges, visited, d + 1, not opts.include_external))
-        levels.append(f)
-        if f.isEmpty():
-            break
+    levels: list[DataFrame] = []
+    with placed_tables(seeds.sparkSession) as place:
+        links = _Links(place, captures, edges, False)
+        readable = place(ok_only(capture_index(captures)).select("url"), "readable", "url")
+        for d in range(opts.depth + 2):
+            f = place(f, "visited", "crawl_id", "url")
+            levels.append(f)
+            if d == opts.depth + 1 or f.isEmpty():
+                break
+            read = f.join(readable, "url", "left_semi")
+            visited = [x.select("crawl_id", "url") for x in levels]
+            f = _expand(read, links.of(read), visited, d + 1, not opts.include_external)
     found = reduce(DataFrame.unionByName, levels)
     return found.select(F.col("crawl_id").alias("site"), "url", "depth", "key")
 

@@ -112,34 +112,35 @@ def _pattern_regex(pat) -> F.Column:
     return F.concat(F.lit("^"), body)
 
 
-def _matches(path, pat) -> F.Column:
-    plain = ~pat.rlike(r"[*$]")
-    return F.when(plain, path.startswith(pat)).otherwise(F.regexp_like(path, _pattern_regex(pat)))
-
-
 def rules_by_host(rules: DataFrame, user_agent: str = DEFAULT_AGENT) -> DataFrame:
-    """The agent's allow/disallow rules folded into one array per robots
-    file (bounded by the file's size): host, _rules."""
+    """The agent's allow/disallow rules compiled once per robots file: host,
+    _rules, an array in order of precedence (longest pattern first, Allow before
+    Disallow) of the literal prefix, or the regexp of a pattern with wildcards."""
+    wild = F.col("pattern").rlike(r"[*$]")
+    rule = F.struct((-F.length("pattern")).alias("rank"), (F.col("kind") != "allow").alias("deny"),
+                    F.when(~wild, F.col("pattern")).alias("prefix"),
+                    F.when(wild, _pattern_regex(F.col("pattern"))).alias("regex"))
     return (agent_rules(rules, user_agent).groupBy("host")
-            .agg(F.collect_list(F.struct("kind", "pattern")).alias("_rules")))
+            .agg(F.array_sort(F.collect_set(rule)).alias("_rules")))
 
 
 def _verdict(path: F.Column, rules_col: F.Column) -> F.Column:
-    """Longest matching pattern wins, Allow wins ties; nothing matches or no
-    rules: allowed. Evaluated per row with higher-order functions."""
-    hits = F.filter(rules_col, lambda r: _matches(path, r["pattern"]))
-    win = F.array_max(F.transform(hits, lambda r: F.struct(
-        F.length(r["pattern"]).alias("len"), (r["kind"] == "allow").alias("allow"))))
-    return F.coalesce(win["allow"], F.lit(True))
+    """The first rule in order of precedence that matches decides; nothing
+    matches or no rules: allowed. Evaluated per row with higher-order functions."""
+    hits = F.filter(rules_col, lambda r: F.when(r["regex"].isNull(), path.startswith(r["prefix"]))
+                    .otherwise(F.regexp_like(path, r["regex"])))
+    return F.coalesce(~F.get(hits, F.lit(0))["deny"], F.lit(True))
 
 
 def robots_check(urls: DataFrame, rules: DataFrame, user_agent: str = DEFAULT_AGENT,
                  url_col: str = "url") -> DataFrame:
     """R2: adds ``allowed`` and ``robots_reason`` to every row of ``urls``.
-    Each URL is left-joined to its host's rule array (the small side is the
-    build side, so AQE can broadcast it and the URL side is not shuffled) and
-    judged in place -- no per-URL aggregation."""
-    per_host = rules_by_host(rules, user_agent).withColumnRenamed("host", "_rhost")
+    ``rules``: parsed rules, or those of ``rules_by_host``, which a caller with
+    many checks compiles once. Each URL is left-joined to its host's rule array
+    (the small side is the build side, so AQE can broadcast it and the URL side
+    is not shuffled) and judged in place -- no per-URL aggregation."""
+    compiled = rules if "_rules" in rules.columns else rules_by_host(rules, user_agent)
+    per_host = compiled.withColumnRenamed("host", "_rhost")
     u = urls.withColumn("_host", url_host(url_col))
     m = u.join(per_host, F.col("_host") == F.col("_rhost"), "left")
     allowed = _verdict(_path_query(F.col(url_col)), F.col("_rules"))

@@ -3,6 +3,7 @@ shared checkpoint folder on a real cluster."""
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -112,6 +113,31 @@ def stored(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def placed_tables(spark: SparkSession):
+    """Yields ``place(df, name, *keys)``: ``df`` written to the shared checkpoint
+    folder as a table bucketed and sorted by ``keys`` (one file a bucket, as many
+    buckets as shuffle partitions), so joins and groupings on the keys read it
+    without an Exchange. Plans made from the tables stay valid when their names
+    are dropped at the end; the files stay with the checkpoints."""
+    made: list[str] = []
+
+    def place(df, name: str, *keys: str):
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"webloom_{name}_{uuid.uuid4().hex}"
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{table}"
+        made.append(table)
+        (df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys).option("path", path)
+         .format("parquet").saveAsTable(table))
+        return spark.table(table)
+
+    try:
+        yield place
+    finally:
+        for table in made:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def spread(df, *keys):
     """Spread CPU-heavy per-row work (HTML parsing, regex scans, tokenising)
     over as many partitions as the session asks for with
