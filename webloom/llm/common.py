@@ -35,6 +35,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``shared_path`` named, once all that was read from
+    it has been stored in its turn."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def small_enough(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only after counting: at most ``bound`` rows of ids.
     Beyond it the frame is returned unhinted and the join shuffles."""

@@ -43,7 +43,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webloom.llm.common import per_group, require, row_key, small_enough, stored
+from webloom.llm.common import discard, per_group, require, row_key, shared_path, small_enough, stored
 from webloom.llm.hashing import prefix, spans
 
 #: Bytes of the rolling hash; a trigger lies less than REACH after its start positions.
@@ -260,9 +260,13 @@ def _cut(ranges: DataFrame, step: int, length: int) -> DataFrame:
 def repeated_ranges(docs: DataFrame, length: int, block: int = BLOCK) -> DataFrame:
     """(dkey, s, e): ranges of starts of strings of ``length`` bytes that occur
     elsewhere in (dkey, text), without order, some repeatedly."""
-    parsed = stored(parse(docs, length), "phrases")
+    spark = docs.sparkSession
+    path = shared_path(spark, "phrases")  # the largest table: a row for each phrase of every text
+    parse(docs, length).write.parquet(path)
+    parsed = spark.read.parquet(path)
     seen = small_enough(stored(parsed.groupBy("core").count().where("count > 1").select("core"), "repeated-cores"))
     candidates = stored(parsed.join(seen, "core", "left_semi").withColumn("known", F.lit(False)), "candidates")
+    discard(spark, path)
     found, open_ = _judged(candidates, "phrases")
     members = stored(_with_bytes(docs, open_, length), "contexts")
     few = members.where(F.col("contexts") <= block)
