@@ -53,7 +53,7 @@ BLOCK, AT_ONCE = 256, 8192
 #: Start positions of the ranges that the phrases of a common core are cut into, step by step.
 STEPS = (25, 5, 1)
 #: Start positions hashed at once.
-PIECE = 1 << 20
+PIECE = 1 << 18
 #: Most ranges or phrases in lists that may be broadcast.
 LISTED = 250_000
 
