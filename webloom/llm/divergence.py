@@ -192,7 +192,8 @@ def share(n: str, total: str, kept: str) -> Column:
 def _pair_sums(groups):
     """Partial sums (lang, x, y, value) over the terms of a block, for sources
     x of its first and y of its second block of sources. The rows without a
-    term come first; they give each source's share of a term it does not have."""
+    term give each source's share of a term it does not have, and the number of
+    terms of the block: those that no source here has count too."""
     for table in groups:
         lang, first, second = (table[c][0].as_py() for c in ("lang", "side_a", "side_b"))
         side, source = table["side"].to_numpy(), table["source"].combine_chunks().dictionary_encode()
@@ -204,7 +205,8 @@ def _pair_sums(groups):
         a, b = np.flatnonzero(of == first), np.flatnonzero(of == second)
         term = table["term"].combine_chunks().filter(pa.array(~absent)).dictionary_encode()
         column, row, value = term.indices.to_numpy(), who[~absent], share_[~absent]
-        sums = np.zeros((len(a), len(b)), dtype=np.int64)
+        apart, both = zero[b][None, :] - zero[a][:, None], zero[b][None, :] + zero[a][:, None]
+        sums = (pc.max(table["terms"]).as_py() - len(term.dictionary)) * (apart * apart // np.maximum(both, 1))
         step = max(1, CELLS // max(1, len(names)))
         order = np.argsort(column, kind="stable")
         column, row, value = column[order], row[order], value[order]
@@ -226,7 +228,7 @@ def _pair_sums(groups):
             names=["lang", "x", "y", "value"])
 
 
-def _pairs(counts: DataFrame, groups: DataFrame) -> DataFrame:
+def _pairs(counts: DataFrame, kept: DataFrame, groups: DataFrame) -> DataFrame:
     """(lang, source, item, value) for each ordered pair of sources of a lang."""
     sizes = groups.groupBy("lang").agg(F.ceil(F.count("*") / BLOCK_SOURCES).cast("int").alias("sides"))
     placed = small_enough(stored(
@@ -237,10 +239,14 @@ def _pairs(counts: DataFrame, groups: DataFrame) -> DataFrame:
     block = F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int")
     shares = (counts.join(placed, ["lang", "source"])
               .select("lang", "source", "side", "sides", block.alias("block"), "term",
-                      share("n", "total", "kept").alias("p")))
+                      share("n", "total", "kept").alias("p"), F.lit(0).cast("bigint").alias("terms")))
+    sizes = (kept.join(small_enough(placed.select("lang", "blocks").distinct()), "lang")
+             .groupBy("lang", block.alias("block")).agg(F.count("*").alias("terms")))
     zeros = placed.select("lang", "source", "side", "sides",
                           F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
                           F.lit(None).cast("string").alias("term"), F.col("p0").alias("p"))
+    zeros = (zeros.join(small_enough(stored(sizes, "block-sizes")), ["lang", "block"], "left")
+             .select("lang", "source", "side", "sides", "block", "term", "p", F.coalesce("terms", F.lit(0)).alias("terms")))
     met = (shares.unionByName(zeros).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("sides") - 1)))
            .withColumn("side_a", F.least("side", "other")).withColumn("side_b", F.greatest("side", "other"))
            .drop("sides", "other"))
@@ -274,6 +280,6 @@ def audit(docs: DataFrame, min_docs: int = 10, top: int = 10) -> DataFrame:
              .select("lang", "source", "item", F.expr("((p - q) * (p - q)) div (p + q)").alias("value")))
     ranked = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     best = terms.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
-    pairs = _pairs(counts, groups).withColumn("rank", F.row_number().over(ranked))
+    pairs = _pairs(counts, kept, groups).withColumn("rank", F.row_number().over(ranked))
     return (pairs.withColumn("part", F.lit("pair")).unionByName(best.withColumn("part", F.lit("term")))
             .select("lang", "source", "part", "item", "value", "rank"))

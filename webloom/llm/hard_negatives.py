@@ -64,7 +64,7 @@ def _units(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def centers(anchors: DataFrame, sample: int, seed: int = 3) -> np.ndarray:
     """Directions fitted by spherical k-means on at most ``sample`` anchors, about half the root of their number."""
     rows = anchors.orderBy(F.xxhash64("uid", F.lit(seed)), "uid").limit(sample).select("x").collect()
-    x = np.array([r.x for r in rows], dtype=np.float64).reshape(len(rows), -1)
+    x = np.array([r.x for r in rows], dtype=np.float64).reshape(len(rows), len(rows[0].x) if rows else 1)
     u, _ = _units(x)
     k = max(1, int(np.sqrt(len(rows)) / 2))
     c = u[:k].copy()
@@ -106,7 +106,8 @@ def _batched(anchors: DataFrame) -> DataFrame:
 
 def _matrix(column, n: int) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1 if n else 0)
+    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    return flat.reshape(n, len(flat) // max(1, n))
 
 
 def _best(member: np.ndarray, score: np.ndarray, vec_id: np.ndarray, k: int) -> np.ndarray:
