@@ -1,7 +1,8 @@
 """Tokeniser goldens (reference cases: scrape formats, noise, selector)."""
 import hashlib
 
-from webloom.functions.html import Document, Selector, to_markdown
+from webloom.functions.html import Document, to_markdown
+from webloom.functions.selectors import Selector
 
 MOCK = ('<html><head><title>Harbour Notes</title><meta name="description" content="Notes of a harbour">'
         '</head><body><nav><a href="/nav">Nav</a></nav><main><h1>Tide Tables</h1>'

@@ -64,7 +64,8 @@ def parse_attrs(raw: str) -> dict[str, str]:
 
 class Element:
     __slots__ = ("tag", "attrs", "ev_start", "ev_end", "src_inner_start",
-                 "src_inner_end", "in_md_noise", "in_mon_noise", "parent")
+                 "src_inner_end", "in_md_noise", "in_mon_noise", "parent", "children",
+                 "index", "top")
 
     def __init__(self, tag, attrs, ev_start, src_inner_start, parent):
         self.tag = tag
@@ -74,6 +75,7 @@ class Element:
         self.src_inner_start = src_inner_start
         self.src_inner_end = None
         self.parent = parent
+        self.children = []                # without monitor noise; filled for selectors only
         self.in_md_noise = False
         self.in_mon_noise = False
 
@@ -101,10 +103,13 @@ class Document:
         self.first_mon: dict[str, Element] = {}   # same, outside monitor noise
         self.selector = selector
         self.selected: Element | None = None
+        self.elements: list[Element] = []         # outermost ones, for selectors only
         if self.light:
             self._scan_light()
         else:
             self._scan()
+        if selector is not None:
+            self.selected = selector.first(ev[2] for ev in self.events if ev[0] == START and not ev[2].in_mon_noise)
 
     # -- scanning -----------------------------------------------------------
     def _scan(self):
@@ -327,9 +332,10 @@ class Document:
                 self.first_mon.setdefault(tag, el)
         if attrs and attrs.get("role") == "main":
             self.first.setdefault("role", el)
-        if (self.selector is not None and self.selected is None
-                and not el.in_mon_noise and self.selector.matches(el)):
-            self.selected = el
+        if self.selector is not None and not el.in_mon_noise:
+            row = self.elements if el.parent is None else el.parent.children
+            el.index, el.top = len(row), self.elements
+            row.append(el)
 
     # -- parts --------------------------------------------------------------
     def meta(self, attr: str, value: str) -> str | None:
@@ -371,73 +377,6 @@ class Document:
         return None
 
 
-# ---------------------------------------------------------------------------
-# CSS selector subset for monitor scoping: tag, .class, #id, [attr],
-# [attr=value], compounds of those, and the descendant combinator.
-_SIMPLE = re.compile(
-    r"([A-Za-z][A-Za-z0-9-]*|\*)|\.([A-Za-z0-9_-]+)|#([A-Za-z0-9_-]+)"
-    r"|\[\s*([A-Za-z_:][-A-Za-z0-9_:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\]\s]+))\s*)?\]")
-
-
-class Selector:
-    def __init__(self, text: str):
-        parts = text.strip().split()
-        if not parts:
-            raise ValueError(f"unsupported selector: {text!r}")
-        self.compounds = [self._compound(p, text) for p in parts]
-
-    @staticmethod
-    def _compound(part: str, whole: str):
-        tests = []
-        pos = 0
-        while pos < len(part):
-            m = _SIMPLE.match(part, pos)
-            if not m or m.end() == pos:
-                raise ValueError(f"unsupported selector: {whole!r}")
-            if m.group(1):
-                if m.group(1) != "*":
-                    tests.append(("tag", m.group(1).lower()))
-            elif m.group(2):
-                tests.append(("class", m.group(2)))
-            elif m.group(3):
-                tests.append(("id", m.group(3)))
-            else:
-                val = m.group(5) if m.group(5) is not None else (
-                    m.group(6) if m.group(6) is not None else m.group(7))
-                tests.append(("attr", m.group(4).lower(), val))
-            pos = m.end()
-        return tests
-
-    @staticmethod
-    def _match_one(tests, el: Element) -> bool:
-        for t in tests:
-            kind = t[0]
-            if kind == "tag" and el.tag != t[1]:
-                return False
-            if kind == "class" and t[1] not in el.classes:
-                return False
-            if kind == "id" and el.attrs.get("id") != t[1]:
-                return False
-            if kind == "attr":
-                if t[1] not in el.attrs:
-                    return False
-                if t[2] is not None and el.attrs[t[1]] != t[2]:
-                    return False
-        return True
-
-    def matches(self, el: Element) -> bool:
-        comps = self.compounds
-        if not self._match_one(comps[-1], el):
-            return False
-        i = len(comps) - 2
-        anc = el.parent
-        while i >= 0 and anc is not None:
-            if self._match_one(comps[i], anc):
-                i -= 1
-            anc = anc.parent
-        return i < 0
-
-
 # ---------------------------------------------------------------------------
 # Markdown rendering of the content root (headings atx, fenced code, "-" bullets).
 _BLOCK = frozenset(

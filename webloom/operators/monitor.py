@@ -26,8 +26,8 @@ HISTORY_BUCKET_SECONDS = 86400
 
 def snapshot(captures: DataFrame, selector: str | None = None) -> DataFrame:
     """Url, hash, content, fetched_at, status_code (+ other input
-    columns). ``selector`` scopes the text to the first match (tag, .class,
-    #id, [attr=value], descendant), else body, else the document."""
+    columns). ``selector`` (CSS, see ``functions.selectors``) scopes the text to
+    the first match, else body, else the document."""
     if "error" in captures.columns:  # a failed capture is no snapshot
         captures = captures.filter(F.col("error").isNull())
     captures = captures.filter(F.col("html").isNotNull())

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from webloom.functions.html import Selector
+from webloom.functions.selectors import Selector
 from webloom.session import spread
 
 _S = T.StringType()
@@ -47,7 +47,8 @@ def extract_parts(df: DataFrame, parts, html_col: str = "html", url_col: str = "
     def run(batches):
         import pyarrow as pa
 
-        from webloom.functions.html import Document, Selector as Sel, to_markdown
+        from webloom.functions.html import Document, to_markdown
+        from webloom.functions.selectors import Selector as Sel
         from webloom.functions.urls import resolve
 
         sel = Sel(selector) if selector is not None else None

@@ -449,6 +449,18 @@ def monitor_selector(spark, sf_dir):
     return s.select("page_id", "url", "hash", "content")
 
 
+#: Three scopes: a child, a list whose parts use siblings and an attribute, positions and a negation.
+SELECTORS = ("article > h1", "div[class='AD' i] ~ article > h1 + p, aside", "article > :nth-child(2):not(.missing, h1)")
+
+
+@query("monitor_selectors")
+def monitor_selectors(spark, sf_dir):
+    """Snapshots scoped by lists, combinators, attribute tests and positions."""
+    parts = [_mon.snapshot(_cap(spark, sf_dir), selector=c).select(F.lit(i).cast("long").alias("nth"), "page_id", "hash", "content")
+             for i, c in enumerate(SELECTORS)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query("monitor_compare")
 def monitor_compare(spark, sf_dir):
     """Hash comparison of two snapshots (missing side = empty)."""
