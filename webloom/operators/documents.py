@@ -2,10 +2,9 @@
 text renderings of search results, pages, crawls, maps and batches, and
 context-size caps.
 
-Renderings that fold many rows into one text only ever fold a bounded group:
-search results are limited per query (<= 50), a crawl digest requires a
-bounded ``max_pages``, a map digest keeps the first 100 URLs (plus a count),
-a batch digest renders a batch (<= 500 URLs)."""
+Renderings that fold many rows into one text fold one query's results (at most
+50), one crawl's pages (its page limit), the first 100 URLs of a map (and a
+count), or one batch."""
 
 from __future__ import annotations
 
@@ -54,19 +53,30 @@ def to_string_documents(pages: DataFrame) -> DataFrame:
                         meta.alias("metadata"))
 
 
-def load(mode: str, **frames) -> DataFrame:
-    """Documents from a scrape / crawl / search result. ``search`` keeps
-    only results that carry a page; any other mode is refused."""
+def load(mode: str, documents: str = "typed", **frames) -> DataFrame:
+    """Documents from a scrape / crawl / search result, ``typed`` (P1) or
+    all-``string`` (P2). ``search`` keeps only results that carry a page; any
+    other mode or kind is refused. ``iterate`` reads them one by one."""
+    if documents not in ("typed", "string"):
+        raise ValueError(f"unknown documents {documents!r}; expected typed or string")
     if mode == "scrape":
-        return to_documents(frames["pages"])
-    if mode == "crawl":
-        return to_documents(frames["result"].pages)
-    if mode == "search":
-        e = frames["enriched"].filter(F.col("content").isNotNull())
-        return to_documents(e.select(
+        pages = frames["pages"]
+    elif mode == "crawl":
+        pages = frames["result"].pages
+    elif mode == "search":
+        pages = frames["enriched"].filter(F.col("content").isNotNull()).select(
             "url", "content", *[F.col(f"page_{c}").alias(c) for c in
-                                ("title", "description", "word_count", "crawled_at", "og_image")]))
-    raise ValueError(f"unknown mode {mode!r}; expected scrape, crawl or search")
+                                ("title", "description", "word_count", "crawled_at", "og_image")])
+    else:
+        raise ValueError(f"unknown mode {mode!r}; expected scrape, crawl or search")
+    return to_documents(pages) if documents == "typed" else to_string_documents(pages)
+
+
+def iterate(documents: DataFrame):
+    """The documents as dictionaries, a partition at a time: an iterator
+    for consumers on the driver that does not hold them all."""
+    for row in documents.toLocalIterator(prefetchPartitions=True):
+        yield row.asDict(recursive=True)
 
 
 def _item(style: str, cap: int) -> F.Column:

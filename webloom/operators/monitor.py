@@ -54,55 +54,77 @@ def compare(old: DataFrame, new: DataFrame) -> DataFrame:
     ).withColumn("changed", F.col("old_hash") != F.col("new_hash"))
 
 
-def _after_line(scores, matches):
-    """Common-subsequence lengths against every prefix of the new lines once
-    one more old line is taken in; ``matches`` marks the new lines equal to it."""
-    import numpy as np
-    out = np.zeros_like(scores)
-    np.maximum.accumulate(np.maximum(scores[1:], (scores[:-1] + 1) * matches), out=out[1:])
-    return out
+class _Columns:
+    """The new text's lines as bit positions: for an old line, the mask of the
+    equal new lines. Masks of frequent lines are kept, others made when needed,
+    so few of these long integers exist at a time."""
+
+    def __init__(self, lines: list[str]):
+        self.lines, self._bytes = lines, len(lines) // 8 + 1
+        self._at: dict[str, list[int]] = {}
+        for i, line in enumerate(lines):
+            self._at.setdefault(line, []).append(i)
+        self._frequent = {line: self._mask(at) for line, at in self._at.items() if len(at) > 64}
+
+    def _mask(self, at: list[int]) -> int:
+        if len(at) == 1:
+            return 1 << at[0]
+        bits = bytearray(self._bytes)
+        for i in at:
+            bits[i >> 3] |= 1 << (i & 7)
+        return int.from_bytes(bits, "little")
+
+    def equal_to(self, line: str) -> int:
+        if line in self._frequent:
+            return self._frequent[line]
+        return self._mask(self._at[line]) if line in self._at else 0
 
 
 def lcs_diff(old: str, new: str, stride: int | None = None) -> list[tuple[str, str]]:
-    """Exact line diff in output order. Only every ``stride``-th row of lengths
-    is kept (by default the square root of their number); the rows between are
-    rebuilt, one stretch at a time, while the script is read off from the end,
-    so two texts of m and n lines take O(sqrt(m) * n) memory. Contract for ties,
-    from the end: equal lines pair up; otherwise a new line is an addition
-    unless dropping the old line leaves a longer match."""
-    import numpy as np
+    """Exact line diff in output order, with rows of the LCS table as bit
+    vectors, one bit a new line: a bit is 0 where the length grows by one. Adding
+    an old line is a carry through its equal new lines, a few operations on long
+    integers. Only every ``stride``-th row (by default the square root of their
+    number) is kept; the rows between are rebuilt, one stretch at a time, while
+    the script is read off from the end, so m and n lines take sqrt(m) * n / 4
+    bytes. Contract for ties, from the end: equal lines pair up; otherwise a new
+    line is an addition unless dropping the old line leaves a longer match,
+    which is where the row's bit before it is 0."""
     before, after = old.split("\n"), new.split("\n")
     same = 0
     while same < min(len(before), len(after)) and before[-1 - same] == after[-1 - same]:
         same += 1
     tail = [("equal", line) for line in before[len(before) - same:]]
     before, after = before[:len(before) - same], after[:len(after) - same]
-    code: dict[str, int] = {}
-    targets = np.array([code.setdefault(line, len(code)) for line in after], dtype=np.int64)
-    sources = [code.get(line, -1) for line in before]
+    columns = _Columns(after)
+    full = (1 << len(after)) - 1
+
+    def grown(row: int, line: str) -> int:
+        carried = row & columns.equal_to(line)
+        return ((row + carried) | (row ^ carried)) & full if carried else row
+
     stride = stride or max(1, int(len(before) ** 0.5))
-    kept, scores = [], np.zeros(len(after) + 1, dtype=np.int32)
-    for at, source in enumerate(sources):
+    kept, row = [], full
+    for at, line in enumerate(before):
         if at % stride == 0:
-            kept.append(scores)
-        scores = _after_line(scores, targets == source)
+            kept.append(row)
+        row = grown(row, line)
     script: list[tuple[str, str]] = []
     left = len(after)
     for stretch in reversed(range(len(kept))):
-        first = stretch * stride
         rows = [kept[stretch]]
-        for source in sources[first:first + stride]:
-            rows.append(_after_line(rows[-1], targets == source))
-        for depth in range(len(rows) - 1, 0, -1):
-            at = first + depth - 1
-            while left and targets[left - 1] != sources[at] and rows[depth][left - 1] >= rows[depth - 1][left]:
+        lines = before[stretch * stride:(stretch + 1) * stride]
+        for line in lines:
+            rows.append(grown(rows[-1], line))
+        for line, row in zip(reversed(lines), reversed(rows[1:]), strict=True):
+            while left and after[left - 1] != line and row >> (left - 1) & 1:
                 left -= 1
                 script.append(("add", after[left]))
-            if left and targets[left - 1] == sources[at]:
+            if left and after[left - 1] == line:
                 left -= 1
-                script.append(("equal", before[at]))
+                script.append(("equal", line))
             else:
-                script.append(("remove", before[at]))
+                script.append(("remove", line))
     script.extend(("add", line) for line in reversed(after[:left]))
     return script[::-1] + tail
 
@@ -170,8 +192,9 @@ def snapshot_history(snapshots: DataFrame, bucket_seconds: int = HISTORY_BUCKET_
     previous snapshot of the same URL. The previous snapshot is found inside
     a time bucket, else as the last one of the nearest earlier bucket, so a
     URL with a huge history is never ordered in one task."""
-    s = snapshots.select("url", "fetched_at", "hash").withColumn(
-        "_b", F.floor(F.unix_micros("fetched_at") / (bucket_seconds * 1_000_000)).cast("long"))
+    from webloom.session import stored
+    s = stored(snapshots.select("url", "fetched_at", "hash"), "history")  # read twice, parsed once
+    s = s.withColumn("_b", F.floor(F.unix_micros("fetched_at") / (bucket_seconds * 1_000_000)).cast("long"))
     wl = Window.partitionBy("url", "_b").orderBy("fetched_at", "hash")
     s = s.withColumn("_prev", F.lag("hash").over(wl))
     last = s.groupBy("url", "_b").agg(

@@ -174,25 +174,26 @@ def parse_serps(serp_captures: DataFrame, limit: int = 10) -> tuple[DataFrame, D
         "query_id", F.lit("NETWORK_ERROR").alias("code"),
         F.concat(F.lit("Search request failed: HTTP "), status.cast("string")).alias("message"))
     parsed = _parse_serp(ok.select("query_id", "html", "fetched_at"))
-    b = parsed.select("query_id", "fetched_at", F.inline("blocks"))
-    b = b.filter(~F.array_contains("classes", "result--ad") & ~F.array_contains("classes", "result--more")
-                 & F.col("has_title"))
-    b = b.withColumn("url", unwrap_redirect(F.col("href")))
-    b = b.filter(F.col("url").isNotNull() & ~F.col("url").startswith(SELF_PREFIX))
-    main = b.select("query_id", "idx", "url", js_trim("title").alias("title"),
-                    F.coalesce(js_trim("snippet"), F.lit("")).alias("description"),
-                    extract_date(F.coalesce("snippet", F.lit("")), F.col("fetched_at"))
-                    .alias("published_at"))
-    a = parsed.select("query_id", F.inline("anchors"))
-    a = a.withColumn("url", unwrap_redirect(F.col("href")))
-    a = a.filter(F.col("url").isNotNull() & ~F.col("url").contains(SELF_DOMAIN))
-    fb = (a.join(main.select("query_id").distinct(), "query_id", "left_anti")
-          .select("query_id", "idx", "url",
-                  F.when(js_trim("text") == "", F.col("url")).otherwise(js_trim("text")).alias("title"),
-                  F.lit("").alias("description"), F.lit(None).cast("string").alias("published_at")))
-    w = Window.partitionBy("query_id").orderBy("idx")
-    ranked = main.unionByName(fb).withColumn("position", F.row_number().over(w))
-    results = ranked.filter(F.col("position") <= limit).drop("idx")
+    # A result page's blocks and anchors are judged within its row: one parse, no exchange.
+    kept = F.filter("blocks", lambda r: ~F.array_contains(r["classes"], "result--ad")
+                    & ~F.array_contains(r["classes"], "result--more") & r["has_title"])
+    main = F.transform(kept, lambda r: F.struct(
+        unwrap_redirect(r["href"]).alias("url"), js_trim(r["title"]).alias("title"),
+        F.coalesce(js_trim(r["snippet"]), F.lit("")).alias("description"),
+        extract_date(F.coalesce(r["snippet"], F.lit("")), F.col("fetched_at")).alias("published_at")))
+    main = F.filter(main, lambda r: r["url"].isNotNull() & ~r["url"].startswith(SELF_PREFIX))
+    fallback = F.transform("anchors", lambda r: F.struct(
+        unwrap_redirect(r["href"]).alias("url"), js_trim(r["text"]).alias("title"),
+        F.lit("").alias("description"), F.lit(None).cast("string").alias("published_at")))
+    fallback = F.filter(fallback, lambda r: r["url"].isNotNull() & ~r["url"].contains(SELF_DOMAIN))
+    fallback = F.transform(fallback, lambda r: F.struct(
+        r["url"].alias("url"), F.when(r["title"] == "", r["url"]).otherwise(r["title"]).alias("title"),
+        r["description"].alias("description"), r["published_at"].alias("published_at")))
+    listed = parsed.select("query_id", main.alias("main"), fallback.alias("fallback")).select(
+        "query_id", F.slice(F.when(F.size("main") > 0, F.col("main")).otherwise(F.col("fallback")), 1, limit).alias("listed"))
+    results = (listed.select("query_id", F.posexplode("listed").alias("position", "r"))
+               .select("query_id", "r.url", "r.title", "r.description", "r.published_at",
+                       (F.col("position") + 1).alias("position")))
     return results, errors
 
 

@@ -9,8 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webloom.functions.text import iso_ts
+from webloom.functions.text import collapse_ws, iso_ts, word_count
 from webloom.functions.urls import url_host
+from webloom.operators.parse import extract_parts
 from webloom.operators.scrape import batch_scrape, extract_links, scrape
 from webloom.session import configure
 from webloom.sources import fixtures as fx
@@ -84,10 +85,9 @@ def page_meta(spark, sf_dir):
 @query("word_counts")
 def word_counts(spark, sf_dir):
     """E13 per format: the count follows the chosen format's content."""
-    cap = _cap(spark, sf_dir).select("page_id", "url", "html")
-    t = scrape(cap, "text").select("page_id", F.col("word_count").cast("long").alias("text_words"))
-    h = scrape(cap, "html").select("page_id", F.col("word_count").cast("long").alias("html_words"))
-    return t.join(h, "page_id")
+    parts = extract_parts(_cap(spark, sf_dir).select("page_id", "url", "html"), ["text", "html"])
+    return parts.select("page_id", word_count(collapse_ws("content_text_raw")).cast("long").alias("text_words"),
+                        word_count("content_html").cast("long").alias("html_words"))
 
 
 @query("links")
@@ -485,6 +485,21 @@ def line_diff(spark, sf_dir):
     return lines.select("url", F.col("pos").cast("long").alias("pos"), "type", "value")
 
 
+@query("line_diff_replay")
+def line_diff_replay(spark, sf_dir):
+    """D6 played back: the equal and removed lines of each changed page must
+    give the old text, the equal and added ones the new text, and the equal
+    lines must be as many as a longest common subsequence has."""
+    cmp = _mon.compare(*_snaps(spark, sf_dir)).filter("changed")
+    lines = _mon.line_diff(cmp).groupBy("url").agg(F.sort_array(F.collect_list(F.struct("pos", "type", "value"))).alias("ops"))
+
+    def side(*kinds):
+        own = F.filter("ops", lambda x: x["type"].isin(*kinds))
+        return F.sha2(F.array_join(F.transform(own, lambda x: x["value"]), "\n"), 256)
+    return lines.select("url", side("equal", "remove").alias("old_hash"), side("equal", "add").alias("new_hash"),
+                        F.size(F.filter("ops", lambda x: x["type"] == "equal")).cast("long").alias("n_equal"))
+
+
 @query("diff_summary")
 def diff_summary(spark, sf_dir):
     """Added / removed line counts and the summary text."""
@@ -709,3 +724,131 @@ def capture_latest(spark, sf_dir):
     return latest_captures(both).select(
         "url", "page_id", "status_code", iso_ts("fetched_at").alias("fetched_at"),
         F.sha2("html", 256).alias("html_sha256"))
+
+
+# ------------------------------------------- stored captures, loads, caps ---
+
+from webloom.sources import captures as _captures  # noqa: E402
+
+
+@query("markdown_text")
+def markdown_text(spark, sf_dir):
+    """The words of the Markdown: marks and escapes taken off again, all
+    white space out."""
+    md = scrape(_cap(spark, sf_dir), "markdown").select("page_id", "content")
+    plain = F.regexp_replace(F.regexp_replace("content", r"(?m)^#{1,6} ", ""), r"(?<!\\)\*\*", "")
+    plain = F.regexp_replace(F.regexp_replace(plain, r"\\([^A-Za-z0-9\s])", "$1"), r"(?U)\s+", "")
+    return md.select("page_id", F.length(plain).cast("long").alias("n_chars"), F.sha2(plain, 256).alias("sha256"))
+
+
+@query("crawl_rejects")
+def crawl_rejects(spark, sf_dir):
+    """Seeds of six kinds, three of them no URLs."""
+    kind, rest = F.col("page_id") % 6, F.expr("substring(url, locate('://', url) + 3)")
+    url = (F.when(kind == 1, F.concat(F.lit("https:/"), rest)).when(kind == 2, rest).when(kind == 3, F.lit("http://"))
+           .when(kind == 4, F.concat(F.lit("http://a b/"), rest)).when(kind == 5, F.lit("mailto:a@b.org")).otherwise(F.col("url")))
+    seeds = fx.pages(spark, sf_dir).select(F.col("page_id").cast("string").alias("crawl_id"), url.alias("url"))
+    return _crawl.crawl(seeds, _cap(spark, sf_dir), CrawlOptions(depth=1), fx.edges(spark, sf_dir)).rejects
+
+
+@query("captures_read")
+def captures_read(spark, sf_dir):
+    """All four kinds of captures written and read back by their readers."""
+    wd = _streams.work_dir(spark, "captures_read")
+    kinds = (("pages", _cap(spark, sf_dir), _captures.read_captures, "url", "html"),
+             ("robots", fx.robots_captures(spark, sf_dir), _captures.read_robots, "host", "body"),
+             ("sitemaps", fx.sitemap_captures(spark, sf_dir), _captures.read_sitemaps, "host", "body"),
+             ("serps", fx.serp_captures(spark, sf_dir), _captures.read_serps, "query", "html"))
+    out = []
+    for kind, df, read, key, body in kinds:
+        df.write.parquet(f"{wd}/{kind}")
+        rows = read(spark, f"{wd}/{kind}")
+        # The generated result pages have no SQL form; their lengths are not compared.
+        size = F.lit(0) if kind == "serps" else F.length(body)
+        out.append(rows.groupBy(F.lit(kind).alias("kind"), F.col(key).alias("key")).agg(
+            F.count("*").alias("n"), F.count_if(F.col("status_code").between(200, 299)).alias("n_ok"),
+            F.sum(size).cast("long").alias("chars")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+@query("crawl_stored")
+def crawl_stored(spark, sf_dir):
+    """A crawl written twice and read back: one version of each table."""
+    path = _streams.work_dir(spark, "crawl_stored")
+    result = _crawl_run(spark, sf_dir, CrawlOptions(depth=2, max_pages=20, format="text"))
+    _captures.write_crawl(result, path)
+    _captures.write_crawl(result, path)
+    read = _captures.read_crawl(spark, path)
+    pages = read["pages"].groupBy("crawl_id").agg(F.count("*").alias("pages"), F.sum(F.length("content")).alias("chars"))
+    skips = read["skips"].groupBy("crawl_id").agg(F.count("*").alias("skips"))
+    return (read["summary"].join(pages, "crawl_id", "left").join(skips, "crawl_id", "left")
+            .select("crawl_id", "seed_url", "pages_crawled", "pages_skipped", F.coalesce("pages", F.lit(0)).alias("pages"),
+                    F.coalesce("skips", F.lit(0)).alias("skips"), F.coalesce("chars", F.lit(0)).alias("chars")))
+
+
+@query("stream_pages_sink")
+def stream_pages_sink(spark, sf_dir):
+    """Pages scraped as captures arrive, handed to a callback batch by batch."""
+    wd = _streams.work_dir(spark, "stream_pages_sink")
+    _cap(spark, sf_dir).select("url", "html", "status_code", "fetched_at", "error").repartition(4, "url").write.parquet(f"{wd}/in")
+    src = _streams.read_stream(spark, f"{wd}/in", _schemas.CAPTURES, files_per_trigger=2)
+
+    def on_batch(df, epoch):  # a repeated batch overwrites its folder
+        df.select("url", "title", "word_count").write.mode("overwrite").parquet(f"{wd}/out/batch={epoch}")
+    _streams.stream_pages(src, "text", on_batch, checkpoint=f"{wd}/ckpt").awaitTermination()
+    return spark.read.parquet(f"{wd}/out").select("url", "title", F.col("word_count").cast("long").alias("word_count"))
+
+
+@query("load_search")
+def load_search(spark, sf_dir):
+    """Search results with a page, as typed and as all-string documents."""
+    r, _ = _serp(spark, sf_dir)
+    e = _search.enrich(r, _cap(spark, sf_dir), "text").checkpoint()
+    typed = _docs.load("search", enriched=e)
+    string = _docs.load("search", "string", enriched=e)
+    m = F.col("metadata")
+    return typed.select(
+        F.lit("typed").alias("kind"), "url", "title", "description", F.col("word_count").cast("string").alias("words"), "crawled_at",
+        F.sha2("page_content", 256).alias("text")).unionByName(string.select(
+            F.lit("string").alias("kind"), F.col("id").alias("url"), m["title"].alias("title"), m["description"].alias("description"),
+            m["wordCount"].alias("words"), m["crawledAt"].alias("crawled_at"), F.sha2("text", 256).alias("text")))
+
+
+@query("render_search_styles")
+def render_search_styles(spark, sf_dir):
+    """The other three styles of rendered results."""
+    r, _ = _serp(spark, sf_dir)
+    e = _search.enrich(r, _cap(spark, sf_dir), "text").checkpoint()
+    q = fx.serp_captures(spark, sf_dir).select("query_id", "query")
+    out = [_docs.render_search(e, q, style).withColumn("style", F.lit(style)) for style in ("bold", "bold_py", "plain_py")]
+    return out[0].unionByName(out[1]).unionByName(out[2]).select("query_id", "style", "text")
+
+
+@query("context_caps_text")
+def context_caps_text(spark, sf_dir):
+    """The caps of a scrape's links, a search's content and a batch's content."""
+    pages = scrape(_cap(spark, sf_dir), "text").select("url", "content", "links").checkpoint()
+    links = _docs.context_caps(pages, "scrape").select(
+        "url", F.lit("scrape").alias("kind"), F.size("links").cast("string").alias("capped"))
+    return links.unionByName(_docs.context_caps(pages, "search").select("url", F.lit("search").alias("kind"), F.col("content").alias("capped"))
+                             ).unionByName(_docs.context_caps(pages, "batch").select(
+                                 "url", F.lit("batch").alias("kind"), F.col("content").alias("capped")))
+
+
+@query("context_pages")
+def context_pages(spark, sf_dir):
+    """The page cap of a crawl for an agent (20 unless asked, 50 at most)
+    and the first 20 of its skips."""
+    opts = CrawlOptions(depth=2, max_pages=_docs.crawl_context_max_pages(None), format="text")
+    r = _crawl_run(spark, sf_dir, opts)
+    skips = _docs.crawl_skips_context(r.skips).groupBy("crawl_id").agg(F.count("*").alias("skips"), F.max("url").alias("last_skip"))
+    return r.summary.select("crawl_id", "pages_crawled").join(skips, "crawl_id", "left").select(
+        "crawl_id", "pages_crawled", F.coalesce("skips", F.lit(0)).alias("skips"), "last_skip")
+
+
+@query("context_batch")
+def context_batch(spark, sf_dir):
+    """Of a batch of 30 URLs only the first 20 are scraped."""
+    req = fx.pages(spark, sf_dir).select((F.col("page_id") / 30).cast("long").alias("job_id"), "url", F.col("page_id").alias("seq"))
+    _, _, summary = batch_scrape(_docs.batch_context_requests(req), _cap(spark, sf_dir), "text")
+    return summary.select("job_id", "total", "succeeded")

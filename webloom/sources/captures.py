@@ -5,6 +5,8 @@ pruning and predicate pushdown reach the scan."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +51,57 @@ def read_serps(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.SERP_CAPTURES).parquet(path)
 
 
-def write_crawl(result, path: str, mode: str = "overwrite") -> None:
-    """The three crawl outputs as Parquet, partitioned by crawl."""
+#: The tables of a stored crawl, and the most files of a bucket of each.
+CRAWL_TABLES = ("pages", "skips", "summary")
+BUCKETS, FILES_PER_BUCKET = 16, 8
+
+
+def write_crawl(result, path: str, buckets: int = BUCKETS, files_per_bucket: int = FILES_PER_BUCKET) -> None:
+    """The three crawl outputs as one version of Parquet tables. Crawls are
+    dealt over ``buckets`` folders by a hash of crawl_id, a large one over
+    ``files_per_bucket`` files, so files are bounded however many crawls there
+    are. A version is staged under a name of its own and counts once its
+    manifest is written, after all its tables; what a failed run left, and the
+    version before, goes then. Readers see one version or the other."""
+    spark, base, version = result.pages.sparkSession, path.rstrip("/"), uuid.uuid4().hex
+    for name in CRAWL_TABLES:
+        df = getattr(result, name).withColumn("bucket", F.pmod(F.xxhash64("crawl_id"), F.lit(buckets)).cast("int"))
+        salt = F.pmod(F.xxhash64(*[c for c in ("crawl_id", "url") if c in df.columns]), F.lit(files_per_bucket))
+        (df.repartition(buckets * files_per_bucket, "bucket", salt)
+         .write.partitionBy("bucket").parquet(f"{base}/data/{version}/{name}"))
+    number, _ = _manifest(spark, base)
+    spark.createDataFrame([(number + 1, version)], "number long, version string").coalesce(1).write.parquet(
+        f"{base}/manifests/{number + 1:012d}-{version}")
+    fs, folder = _folder(spark, f"{base}/data")
+    for old in fs.listStatus(folder):
+        if old.getPath().getName() != version:
+            fs.delete(old.getPath(), True)
+    fs, folder = _folder(spark, f"{base}/manifests")
+    for old in fs.listStatus(folder):
+        if not old.getPath().getName().endswith(version):
+            fs.delete(old.getPath(), True)
+
+
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def _manifest(spark: SparkSession, base: str) -> tuple[int, str | None]:
+    """Number and version of the newest complete manifest; (0, None) without one."""
+    fs, folder = _folder(spark, f"{base}/manifests")
+    done = [s.getPath().toString() for s in (fs.listStatus(folder) if fs.exists(folder) else [])
+            if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
+    if not done:
+        return 0, None
+    row = spark.read.schema("number long, version string").parquet(*done).orderBy(F.desc("number")).first()
+    return row.number, row.version
+
+
+def read_crawl(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables of the crawl stored at ``path`` by name (pages, skips, summary)."""
     base = path.rstrip("/")
-    result.pages.write.mode(mode).partitionBy("crawl_id").parquet(f"{base}/pages")
-    result.skips.write.mode(mode).partitionBy("crawl_id").parquet(f"{base}/skips")
-    result.summary.write.mode(mode).parquet(f"{base}/summary")
+    _, version = _manifest(spark, base)
+    if version is None:
+        raise ValueError(f"no stored crawl at {path}")
+    return {name: spark.read.parquet(f"{base}/data/{version}/{name}").drop("bucket") for name in CRAWL_TABLES}
