@@ -288,7 +288,7 @@ def test_fuzzy_lines_equal_brute_force(spark, docs):
                 at = (d is None, d or 0, key[d, t], j)
                 first[line.strip(" \t\r")] = min(at, first.get(line.strip(" \t\r"), at))
     lines = list(first)
-    sets = [{x[i:i + 10] for i in range(max(1, len(x) - 9))} for x in lines]
+    sets = [{x[i:i + 5] for i in range(max(1, len(x) - 4))} for x in lines]  # the operator's own k
     roots = components_of(len(lines), [(i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j and len(a & b) >= 0.8 * len(a | b)])
     keep = {}
     for line, r in zip(lines, roots, strict=True):
@@ -321,6 +321,24 @@ def test_fuzzy_lines_drop_short_lines_with_one_edit(spark):
     assert sum(out[100 + i] == "" for i in range(60)) >= 58
 
 
+def test_fuzzy_lines_link_families_across_rounds(spark):
+    """Families of lines with an edit each, chained by a line between two of
+    them, one as large as several blocks; unrelated lines stay."""
+    def edited(line, c):
+        return line[:c] + "#" + line[c + 1:]
+
+    bases = [prose(40) for _ in range(6)]
+    lines = [edited(b, 5 + 7 * i % (len(b) - 10)) for b in bases for i in range(8)]
+    lines += [edited(bases[0], 3 + i % 200) + f" {i % 7}" for i in range(700)] + [prose(30) for _ in range(100)]
+    rows = [(i, x) for i, x in enumerate(dict.fromkeys(lines))]
+    sets = [{x[i:i + 5] for i in range(len(x) - 4)} for _, x in rows]
+    like = [(i, j, len(a & b) / len(a | b)) for i, a in enumerate(sets) for j, b in enumerate(sets) if i < j]
+    roots = components_of(len(rows), [(i, j) for i, j, s in like if s >= 0.8])
+    assert components_of(len(rows), [(i, j) for i, j, s in like if s >= 0.85]) == roots  # no component hangs on a rare band
+    out = {r.doc_id: r.text for r in fuzzy_lines.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()}
+    assert {d for d, t in out.items() if t} == {r for r in roots}
+
+
 @pytest.mark.parametrize("m", [2, 5, 8, 9, 60])
 def test_local_components_equal_union_find(m):
     """Chains, dense groups and loners; only wanted pairs may be relied on."""
@@ -398,6 +416,20 @@ def test_pipeline_stages_keep_clean_documents(spark):
     assert corpus_pipeline.tokenize(spark, docs, SF).count() == docs.count()
 
 
+def test_pipeline_drops_copies_and_emptied_documents(spark):
+    import corpus_pipeline
+    rows = [(i, prose(60) + "\n" + prose(60)) for i in range(30)]
+    rows += [(100 + i, t) for i, (_, t) in enumerate(rows[:5])]                             # copies
+    rows += [(200 + i, t.replace(t.split()[30], "edited", 1)) for i, (_, t) in enumerate(rows[5:10])]  # near copies
+    rows += [(300, ""), (301, None), (302, rows[0][1] + "\n" + prose(50))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("lang", F.lit("en")).withColumn("n_chars", F.lit(1))
+    out = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, df, SF).collect()}
+    assert set(out) == {*range(30), 300, 301, 302}
+    assert out[302] and out[302] in rows[-1][1] and out[300] == "" and out[301] is None
+    kept = corpus_pipeline.drop_near_copies(spark, df, SF).collect()
+    assert {r.doc_id for r in kept} >= {300, 301, 302} and sum(r.doc_id < 300 for r in kept) == 30
+
+
 def test_pipeline_decodes_its_ids(spark, docs):
     import corpus_pipeline
     got = corpus_pipeline.tokenize(spark, docs, SF).collect()

@@ -11,7 +11,13 @@ a bucket once; the links form components by distributed
 union-find, and of each component only the first occurrence stays. Equal
 lines are one line with several occurrences and need no comparison.
 
-A bucket larger than BLOCK members is split into blocks. Only ids, hashes and
+Band keys are found shared within hash ranges: a task sends each range its
+keys and line hashes as plain arrays, which are sorted there; only keys of two
+or more lines become rows. The bands are compared in two rounds. Near-equal lines
+share most bands, so the first bands link most of them; of the others only
+buckets whose lines are not all in one component yet are compared, and in them
+only lines of different components. This leaves the components as they are. A
+bucket larger than BLOCK members is split into blocks. Only ids, hashes and
 positions are shuffled, the texts of lines only where they share a band with
 another line, and each document once to take its lines out.
 
@@ -43,6 +49,8 @@ SEEN = 500_000
 FEW = 8
 #: Characters hashed at once.
 CHARS = 1 << 17
+#: Bands of the first round; keys a task holds before it sends them; text bytes for each hash range.
+FIRST_BANDS, KEYS, RANGE_BYTES = 4, 1 << 19, 32 << 20
 
 
 def trimmed(line: Column) -> Column:
@@ -75,45 +83,86 @@ def _band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _bands(texts: DataFrame, k: int, bands: int, rows: int, seed: int) -> DataFrame:
-    """(line, band keys) of the lines, a common line once per task at most
-    while it is remembered."""
+def _lines(batches):
+    """(hashes, lines) of the lines of texts, CHARS characters at a time, a
+    common line once per task at most while it is remembered."""
+    seen: set[int] = set()
+    held: dict[int, str] = {}
+    size = 0
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            for line in (text or "").split("\n"):
+                line = line.strip(BLANKS)
+                if not line:
+                    continue
+                h = xxhash.xxh64_intdigest(line.encode(), 42)
+                if h in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(h)
+                held[h] = line
+                size += len(line)
+                if size >= CHARS:
+                    yield np.array(list(held), dtype=np.uint64), list(held.values())
+                    held, size = {}, 0
+    if held:
+        yield np.array(list(held), dtype=np.uint64), list(held.values())
+
+
+def _dealt_bands(texts: DataFrame, k: int, bands: int, rows: int, ranges: int, seed: int) -> DataFrame:
+    """(part, keys, lines): arrays of band keys (32 bits; the part holds the
+    others) and line hashes, dealt by key over ``ranges`` parts of each round."""
     seeds = multipliers(bands * rows, seed)
+    later = np.arange(bands) >= FIRST_BANDS
 
     def run(batches):
-        seen: set[int] = set()
-        held: dict[int, str] = {}
-        size = 0
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush():
-            keys = _band_keys(minhash(*shingle_hashes(list(held.values()), k), seeds), bands, rows)
-            offsets = pa.array(np.arange(len(held) + 1, dtype=np.int32) * bands)
+            keys, lines = (np.concatenate(x) for x in zip(*held, strict=True))
+            part = (keys.view(np.uint64) >> np.uint64(32)) % np.uint64(ranges) + np.where(
+                np.tile(later, len(keys) // bands), np.uint64(ranges), np.uint64(0))
+            order = np.argsort(part, kind="stable")
+            part, keys, lines = part[order], keys[order].astype(np.uint32), lines[order]
+            start = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            stop = np.append(start[1:], len(part))
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(held), pa.int64()), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))],
-                names=["line", "bands"])
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for line in (text or "").split("\n"):
-                    line = line.strip(BLANKS)
-                    if not line:
-                        continue
-                    h = xxhash.xxh64_intdigest(line.encode(), 42)
-                    h = h - (1 << 64) if h >> 63 else h
-                    if h in seen:
-                        continue
-                    if len(seen) >= SEEN:
-                        seen.clear()
-                    seen.add(h)
-                    held[h] = line
-                    size += len(line)
-                    if size >= CHARS:
-                        yield flush()
-                        held, size = {}, 0
+                [pa.array(part[start].astype(np.int32)), pa.array([keys[i:j].tobytes() for i, j in zip(start, stop, strict=True)], pa.binary()),
+                 pa.array([lines[i:j].tobytes() for i, j in zip(start, stop, strict=True)], pa.binary())],
+                names=["part", "keys", "lines"])
+
+        size = 0
+        for h, lines in _lines(batches):
+            keys = _band_keys(minhash(*shingle_hashes(lines, k), seeds), bands, rows)
+            held.append((keys.ravel().astype(np.int64).view(np.uint64), np.repeat(h, bands)))
+            size += keys.size
+            if size >= KEYS:
+                yield flush()
+                held, size = [], 0
         if held:
             yield flush()
 
-    return texts.select("text").mapInArrow(run, "line bigint, bands array<bigint>")
+    return texts.select("text").mapInArrow(run, "part int, keys binary, lines binary")
+
+
+def _shared_bands(groups):
+    """(part, band, h): the keys of a part that two or more different lines have."""
+    for table in groups:
+        keys = np.frombuffer(b"".join(table["keys"].to_pylist()), dtype=np.uint32)
+        lines = np.frombuffer(b"".join(table["lines"].to_pylist()), dtype=np.int64)
+        order = np.lexsort((lines, keys))
+        keys, lines = keys[order], lines[order]
+        new = np.ones(len(keys), dtype=bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (lines[1:] != lines[:-1])  # the same line from several tasks
+        keys, lines = keys[new], lines[new]
+        shared = np.zeros(len(keys), dtype=bool)
+        shared[1:] = keys[1:] == keys[:-1]
+        shared[:-1] |= shared[1:]
+        part = table["part"][0].as_py()
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(int(shared.sum()), part, dtype=np.int32)),
+             pa.array(keys[shared].astype(np.int64) + (part << 32)), pa.array(lines[shared])], names=["part", "band", "h"])
 
 
 def local_components(sets: list[np.ndarray], wanted: np.ndarray, threshold: float) -> list[int]:
@@ -170,21 +219,23 @@ def _few_components(sets: list[np.ndarray], wanted: list[tuple[int, int]], thres
 
 
 def _wanted(group: pa.Table) -> list[tuple[int, int]] | np.ndarray | None:
-    """The pairs of a group to compare: those that share no lower band and, of
-    two blocks, one member of each. A list for FEW members, else a matrix."""
+    """The pairs of a group to compare: those of different components that share
+    no lower band and, of two blocks, one member of each. A list for FEW
+    members, else a matrix."""
     m, band = group.num_rows, group["band"][0].as_py()
     lower = [[b for b in bands if b < band] for bands in group["shared"].to_pylist()]
     block = group["block"].to_pylist() if group["block_a"][0].as_py() != group["block_b"][0].as_py() else None
+    root = group["root"].combine_chunks().dictionary_encode().indices.to_pylist()
     if m <= FEW:
         sets = [set(x) for x in lower]
         return [(i, j) for i in range(m) for j in range(i + 1, m)
-                if sets[i].isdisjoint(sets[j]) and (block is None or block[i] != block[j])] or None
+                if root[i] != root[j] and sets[i].isdisjoint(sets[j]) and (block is None or block[i] != block[j])] or None
     index: dict[int, int] = {}
     numbers = [[index.setdefault(b, len(index)) for b in x] for x in lower]
     met = np.zeros((m, max(1, len(index))), dtype=np.float32)
     for i, x in enumerate(numbers):
         met[i, x] = 1
-    wanted = np.triu((met @ met.T) == 0, 1)
+    wanted = np.triu((met @ met.T) == 0, 1) & np.not_equal.outer(root, root)
     if block is not None:
         wanted &= np.not_equal.outer(block, block)
     return wanted if wanted.any() else None
@@ -228,28 +279,42 @@ def _compare(groups, k: int, threshold: float):
         yield flush()
 
 
+def _round_links(shared: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float, k: int, name: str) -> DataFrame:
+    """(a, b): links that connect the components of one round's buckets (band,
+    h). ``texts``: h, lid, line. ``roots``: lid, root of the lines that are
+    linked already; buckets within one component are left out."""
+    members = shared.join(texts.select("h", "lid"), "h").join(roots, "lid", "left")
+    members = stored(members.select("band", "h", "lid", F.coalesce("root", "lid").alias("root")), f"{name}-members")
+    # Buckets with the same members, as near-equal lines make in most bands, are compared once.
+    open_ = (members.groupBy("band").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("lid", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("lid", F.lit(2))).alias("y"),
+        F.min("root").alias("low"), F.max("root").alias("high"))
+        .where("low < high").groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"))
+    members = stored(members.join(small_enough(stored(open_, f"{name}-open")), "band", "left_semi"), f"{name}-buckets")
+    bands_of = members.groupBy("lid").agg(F.collect_list("band").alias("shared"))
+    lines = stored(texts.join(bands_of, "lid").select("lid", "line", "shared"), f"{name}-texts")
+    rows = blocked(members.select("band", "lid", "root").join(lines, "lid"), "band", "lid", BLOCK)
+    return stored(per_group(rows, ["band", "block_a", "block_b"], ["lid"], lambda g: _compare(g, k, threshold),
+                            "a binary, b binary").distinct(), f"{name}-links")
+
+
 def line_links(docs: DataFrame, threshold: float, k: int, bands: int, rows: int, seed: int) -> DataFrame:
     """(a, b): links between different lines (16-byte ids) that connect every
     component of the lines with similarity of at least ``threshold``."""
-    keyed = _bands(docs, k, bands, rows, seed).select("line", F.explode("bands").alias("band"))
-    same = Window.partitionBy("band")
-    shared = (keyed.withColumn("low", F.min("line").over(same)).withColumn("high", F.max("line").over(same))
-              .where("low < high").select("band", F.col("line").alias("h")).distinct())
-    shared = stored(shared, "line-bands")
-    # Buckets with the same members, as near-equal lines make in most bands, are compared once.
-    same_members = (shared.groupBy("band").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(2))).alias("y"))
-        .groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"))
-    shared = stored(shared.join(same_members, "band", "left_semi"), "line-buckets")
-    bands_of = shared.groupBy("h").agg(F.collect_list("band").alias("shared"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = 1 + size // RANGE_BYTES
+    shared = stored(per_group(_dealt_bands(docs, k, bands, rows, ranges, seed), ["part"], [], _shared_bands,
+                              "part int, band bigint, h bigint"), "line-bands")
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(trimmed(F.col("line")).alias("line"))
     wanted = small_enough(stored(shared.select("h").distinct(), "line-hashes"))
     texts = (lines.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi")
              .groupBy("h", F.unhex(F.md5("line")).alias("lid")).agg(F.first("line").alias("line")))
-    texts = stored(texts.join(bands_of, "h"), "line-texts")
-    members = blocked(shared.join(texts, "h").drop("h"), "band", "lid", BLOCK)
-    return per_group(members, ["band", "block_a", "block_b"], ["lid"], lambda g: _compare(g, k, threshold),
-                     "a binary, b binary").distinct()
+    texts = stored(texts, "line-texts")
+    none = texts.select("lid", F.col("lid").alias("root")).where(F.lit(False))
+    first = _round_links(shared.where(F.col("part") < ranges), texts, none, threshold, k, "first")
+    roots = stored(components(first, "first-components").withColumnRenamed("node", "lid"), "first-roots")
+    second = _round_links(shared.where(F.col("part") >= ranges), texts, small_enough(roots), threshold, k, "second")
+    return first.unionByName(second)
 
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 16, rows: int = 5,
