@@ -31,10 +31,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that an earlier document or line has;
-    n_chars follows the text. A document may be left empty."""
+    """The documents without lines that an earlier document or line has;
+    n_chars follows the text. A document that loses all its lines, a copy, is
+    dropped; one without any line to begin with stays."""
     configure(spark)
-    reduced = fuzzy_lines.dedup_lines(docs)
+    reduced = fuzzy_lines.dedup_lines(docs).where("n_dropped = 0 or n_dropped < n_lines")
     return reduced.select(*[F.length("text").cast("bigint").alias(c) if c == "n_chars" else F.col(c)
                             for c in docs.columns])
 
