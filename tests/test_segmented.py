@@ -6,21 +6,18 @@ import random
 
 from webloom.operators.monitor import snapshot_history
 from webloom.operators.pacing import fetch_schedule, pacing_audit
-from webloom.sources.fixtures import next_in_host
+from webloom.sources.fixtures import host_ranks
 
 
-def test_next_in_host_matches_lead(spark):
+def test_host_ranks_match_row_numbers(spark):
     rng = random.Random(5)
-    rows = [(i, f"u{i}", rng.choice("abc")) for i in range(0, 300, rng.choice([1, 2, 3]))]
+    rows = [(i, f"u{i}", rng.choice("aaab")) for i in range(0, 600, rng.choice([1, 2, 3]))]
     p = spark.createDataFrame(rows, "page_id long, url string, host string")
-    got = {r.url: [x.dst for x in r.nxt] for r in next_in_host(p, 3, bucket=7).collect()}
-    by_host = {}
-    for pid, u, h in sorted(rows):
-        by_host.setdefault(h, []).append(u)
-    for h, us in by_host.items():
-        for i, u in enumerate(us):
-            want = [us[i + k] if i + k < len(us) else None for k in (1, 2, 3)]
-            assert got[u] == want, u
+    got = {r.url: r["rank"] for r in host_ranks(p, segment_rows=17).collect()}
+    seen = {}
+    for _, u, h in sorted(rows):
+        assert got[u] == seen.get(h, 0), u
+        seen[h] = seen.get(h, 0) + 1
 
 
 def _schedule(rows, delays, default_ms):

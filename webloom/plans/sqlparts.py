@@ -61,14 +61,11 @@ PAGE_HOSTS = f"""ph AS (SELECT page_id, url, {host('url')} AS host FROM pages)""
 
 EDGES = f"""{PAGE_HOSTS},
 npages AS (SELECT count(*) AS n FROM pages),
-ranked AS (SELECT page_id, url, host,
-                  lead(url, 1) OVER w AS d0, lead(url, 2) OVER w AS d1, lead(url, 3) OVER w AS d2
-           FROM ph WINDOW w AS (PARTITION BY host ORDER BY page_id)),
+ranked AS (SELECT page_id, url, host, row_number() OVER (PARTITION BY host ORDER BY page_id) - 1 AS r FROM ph),
 edges AS (
-  SELECT url AS src, 0 AS pos, d0 AS dst FROM ranked WHERE d0 IS NOT NULL
-  UNION ALL SELECT url, 1, d1 FROM ranked WHERE d1 IS NOT NULL
-  UNION ALL SELECT url, 2, d2 FROM ranked WHERE d2 IS NOT NULL
-  UNION ALL SELECT a.url, 3, b.url FROM ph a, npages, ph b
+  SELECT p.url AS src, (c.r - 1) % 10 AS pos, c.url AS dst FROM ranked c JOIN ranked p ON p.host = c.host AND p.r = (c.r - 1) // 10
+  WHERE c.r > 0
+  UNION ALL SELECT a.url, 10, b.url FROM ph a, npages, ph b
             WHERE b.page_id = (a.page_id * 7 + 3) % npages.n)"""
 
 SEEDS = f"""seeds AS (SELECT host AS crawl_id, arg_min(url, page_id) AS url FROM ph GROUP BY host)"""

@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
 
 from webloom.functions.urls import url_host
+from webloom.operators.scan import SEGMENT, SEGMENT_ROWS, earlier, segments, within
 from webloom.sources.captures import read_table
 
 EPOCH_2024_MS = 1704067200000  # 2024-01-01T00:00:00Z
@@ -39,51 +40,43 @@ def page_count(spark: SparkSession, sf_dir: str) -> int:
     return int(pages(spark, sf_dir).agg(F.count(F.lit(1))).first()[0])
 
 
-EDGE_BUCKET = 100_000   # page_id range per window segment
 SITEMAP_PART = 50_000   # URLs per sitemap file (the protocol's limit)
 
 
-def next_in_host(p: DataFrame, k: int, bucket: int = EDGE_BUCKET) -> DataFrame:
-    """For each page (page_id, url, host) the next ``k`` pages of its host in
-    page_id order, as ``nxt`` array<struct<pos,dst>>. A segmented lead:
-    windows per (host, page_id bucket) plus, per bucket, the first k pages of
-    the following buckets (one small row per bucket), so a host owning a
-    third of all pages is never ordered in one task."""
-    p = p.withColumn("_b", F.floor(F.col("page_id") / bucket).cast("long"))
-    w = Window.partitionBy("host", "_b").orderBy("page_id")
-    local = p.select(
-        "page_id", "url", "host", "_b", F.row_number().over(w).alias("_r"),
-        F.count(F.lit(1)).over(Window.partitionBy("host", "_b")).alias("_n"),
-        *[F.lead("url", i + 1).over(w).alias(f"_l{i}") for i in range(k)])
-    heads = (local.filter(F.col("_r") <= k).groupBy("host", "_b")
-             .agg(F.array_sort(F.collect_list(F.struct("page_id", "url"))).alias("_head")))
-    wb = Window.partitionBy("host").orderBy("_b").rowsBetween(1, k)
-    heads = heads.select(
-        "host", "_b",
-        F.slice(F.flatten(F.transform(
-            F.array_sort(F.collect_list(F.struct("_b", "_head")).over(wb)),
-            lambda x: F.transform(x["_head"], lambda y: y["url"]))), 1, k).alias("_after"))
-    j = local.join(heads, ["host", "_b"])
-    nxt = []
-    for i in range(k):
-        spill = F.get(F.col("_after"), (F.col("_r") + i - F.col("_n")).cast("int"))
-        nxt.append(F.struct(F.lit(i).alias("pos"), F.coalesce(F.col(f"_l{i}"), spill).alias("dst")))
-    return j.select("page_id", "url", "host", F.array(*nxt).alias("nxt"))
+LINK_FANOUT = 10        # pages of its host that a page links to
+
+
+def host_ranks(p: DataFrame, segment_rows: int = SEGMENT_ROWS) -> DataFrame:
+    """Adds ``rank``, from 0, of each page (page_id, host, ...) within its host
+    by page_id: row numbers within ordered segments plus the rows of the host in
+    earlier segments, so a host owning a third of all pages is never ordered in
+    one task."""
+    placed = segments(p, ["host"], ["page_id"], segment_rows, "host-ranks")
+    sizes = placed.groupBy("host", SEGMENT).agg(F.count("*").alias("_n"))
+    sizes = sizes.select("host", SEGMENT, F.coalesce(F.sum("_n").over(earlier(["host"])), F.lit(0)).alias("_before"))
+    return (placed.join(sizes, ["host", SEGMENT])
+            .withColumn("rank", F.col("_before") + F.row_number().over(within(["host"], ["page_id"])) - 1)
+            .drop("_before", SEGMENT))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F-EDGE: each page links to the next three pages of its host (by
-    page_id), plus one cross-host link to page (page_id*7+3) % n."""
+    """F-EDGE: the pages of a host are a tree in page_id order: the page of rank
+    r links to the ranks 10r + 1 to 10r + 10, so depth 3 reaches 1,111 pages of a
+    host and what a crawl reaches grows with the pages; plus one cross-host link
+    to page (page_id*7+3) % n."""
     p = pages(spark, sf_dir).select("page_id", "url", url_host("url").alias("host"))
-    same = (next_in_host(p, 3).select(F.col("url").alias("src"), F.inline("nxt"))
-            .filter(F.col("dst").isNotNull())
-            .select("src", F.col("pos").cast("int"), "dst"))
+    ranked = host_ranks(p)
+    below = ranked.filter("rank > 0").select(
+        "host", F.expr(f"(rank - 1) div {LINK_FANOUT}").alias("rank"),
+        F.expr(f"(rank - 1) % {LINK_FANOUT}").cast("int").alias("pos"), F.col("url").alias("dst"))
+    same = (below.join(ranked.select("host", "rank", F.col("url").alias("src")), ["host", "rank"])
+            .select("src", "pos", "dst"))
     n = page_count(spark, sf_dir)
     tgt = p.select(F.col("page_id").alias("dst_id"), F.col("url").alias("dst"))
     cross = (p.select(F.col("url").alias("src"),
                       ((F.col("page_id") * 7 + 3) % n).alias("dst_id"))
              .join(tgt, "dst_id")
-             .select("src", F.lit(3).cast("int").alias("pos"), "dst"))
+             .select("src", F.lit(LINK_FANOUT).cast("int").alias("pos"), "dst"))
     return same.unionByName(cross)
 
 
