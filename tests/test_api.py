@@ -14,7 +14,7 @@ from webloom.operators.crawl import crawl
 from webloom.operators.scrape import batch_errors, batch_scrape, scrape
 from webloom.operators.search import build_query
 from webloom.options import CrawlOptions, WebloomError, check_format
-from webloom.sources.captures import write_crawl
+from webloom.sources.captures import read_crawl, write_crawl
 
 PAGE = ('<html><head><title>T</title></head><body><main><h1>Heading</h1><p>x y</p>'
         '<a href="/b">b</a></main></body></html>')
@@ -43,12 +43,42 @@ def test_write_crawl_and_load(spark):
     r = crawl(s, c, CrawlOptions(depth=1, format="text"), edges=e)
     out = tempfile.mkdtemp(prefix="webloom-crawl-")
     write_crawl(r, out)
-    assert spark.read.parquet(os.path.join(out, "pages")).count() == 2
-    assert spark.read.parquet(os.path.join(out, "summary")).first().pages_crawled == 2
+    stored = read_crawl(spark, out)
+    assert stored["pages"].count() == 2 and stored["pages"].columns == r.pages.columns
+    assert stored["summary"].first().pages_crawled == 2 and stored["skips"].count() == 0
+    # A run that failed before its manifest is not seen, and goes with the next write.
+    os.makedirs(os.path.join(out, "data", "half", "pages"))
+    assert read_crawl(spark, out)["pages"].count() == 2
+    write_crawl(crawl(s, c.where("url = 'http://a.com/'"), CrawlOptions(depth=1, format="text"), edges=e), out)
+    assert read_crawl(spark, out)["pages"].count() == 1 and read_crawl(spark, out)["skips"].count() == 1
+    assert len(os.listdir(os.path.join(out, "data"))) == 1
+    with pytest.raises(ValueError):
+        read_crawl(spark, os.path.join(out, "nothing"))
+
+
+def test_stored_crawl_files_are_bounded(spark):
+    import types
+    many = spark.range(3_000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("crawl_id"),
+                                     F.format_string("u%d", "id").alias("url"))
+    out = tempfile.mkdtemp(prefix="webloom-crawl-")
+    write_crawl(types.SimpleNamespace(pages=many, skips=many.limit(5), summary=many.select("crawl_id").distinct()), out, 4, 3)
+    files = [f for d, _, names in os.walk(os.path.join(out, "data")) if d.split(os.sep)[-2] == "pages" for f in names if f.endswith(".parquet")]
+    assert 4 < len(files) <= 12 and read_crawl(spark, out)["pages"].exceptAll(many).count() == 0
+
+
+def test_load_documents(spark):
+    e = spark.createDataFrame([("http://a.com/", 0, "http://a.com/b")], "src string, pos int, dst string")
+    c = caps(spark, [("http://a.com/", PAGE), ("http://a.com/b", PAGE)])
+    s = spark.createDataFrame([("c1", "http://a.com/")], "crawl_id string, url string")
+    r = crawl(s, c, CrawlOptions(depth=1, format="text"), edges=e)
     docs = D.load("crawl", result=r)
     assert docs.count() == 2 and "page_content" in docs.columns
+    string = D.load("crawl", "string", result=r)
+    assert {x["id"] for x in D.iterate(string)} == {"http://a.com/", "http://a.com/b"} and string.first().metadata["wordCount"].isdigit()
     with pytest.raises(ValueError):
         D.load("unknown")
+    with pytest.raises(ValueError):
+        D.load("crawl", "other", result=r)
 
 
 def test_stream_pages_callback(spark):

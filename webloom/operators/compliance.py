@@ -1,8 +1,8 @@
 """Compliance (G1-G3): rule-based PII redaction and terms-of-service flags.
 
-Both are native expressions. The ToS lexicon is configuration: it is read
-block by block and compiled into array expressions, so each document is
-scanned without a join."""
+PII rules and a small lexicon are native expressions. A large lexicon is
+indexed by literals that its patterns require, so each text meets only the
+patterns it may match."""
 
 from __future__ import annotations
 
@@ -46,17 +46,86 @@ def redact_pii(df: DataFrame, text_col: str = "content") -> DataFrame:
 def tos_flags(df: DataFrame, lexicon: DataFrame, key_col: str = "url",
               text_col: str = "content") -> DataFrame:
     """(key, clause, severity) for every lexicon pattern found in the
-    text. The lexicon is read in blocks, each compiled into one array
-    expression; no rows are joined. An empty one flags nothing."""
+    text. A lexicon of up to LEXICON_BLOCK rows is compiled into one array
+    expression; of a larger one each pattern is tried only on the texts that
+    have its required literal (``_indexed_flags``). An empty one flags nothing."""
     from webloom.session import spread
+    rules = lexicon.select("clause", "pattern", "severity")
+    few = rules.limit(LEXICON_BLOCK + 1).collect()
+    if len(few) > LEXICON_BLOCK:
+        return _indexed_flags(df.select(key_col, text_col), rules, key_col, text_col)
     texts = spread(df.select(key_col, text_col), key_col)
+    return _compiled_flags(texts, few, key_col, text_col)
+
+
+def _compiled_flags(texts: DataFrame, rules, key_col: str, text_col: str) -> DataFrame:
     none = texts.where(F.lit(False)).select(
         key_col, F.lit(None).cast("string").alias("clause"), F.lit(None).cast("string").alias("severity"))
-    rules = lexicon.select("clause", "pattern", "severity").toLocalIterator()
     return reduce(DataFrame.unionByName,
                   [_block_flags(texts, block, key_col, text_col) for block in batched(rules, LEXICON_BLOCK)] or [none])
 
 
+def _with_grams(rules: DataFrame) -> DataFrame:
+    """The rules with the n-gram that stands for their required literal, NULL
+    without a literal of three characters."""
+    def run(batches):
+        import pyarrow as pa
+
+        from webloom.functions.literals import literal_gram, required_literal
+        for b in batches:
+            grams = [None if p is None else literal_gram(required_literal(p)) for p in b.column("pattern").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(grams, pa.int64())], names=[*b.schema.names, "gram"])
+
+    return rules.mapInArrow(run, "clause string, pattern string, severity string, gram bigint")
+
+
+def _gram_bitmap(grams: DataFrame) -> bytes:
+    """A bitmap of fixed size (BITS bits), set at the hashes of the n-grams."""
+    from webloom.functions.literals import BITS
+    bit = (F.col("gram").bitwiseAND(F.lit(BITS - 1)) + 1).alias("bit")
+    parts = (grams.select(bit).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
+             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())  # BITS / 8 bytes at most
+    out = bytearray(BITS // 8)
+    for r in parts:
+        out[(r.bucket - 1) * 4096:(r.bucket - 1) * 4096 + len(r.bits)] = r.bits
+    return bytes(out)
+
+
+def _indexed_flags(df: DataFrame, rules: DataFrame, key_col: str, text_col: str) -> DataFrame:
+    """A required-literal index: one pass over the texts looks up all n-grams of
+    a text in a bitmap of the patterns' n-grams; those found are joined with the
+    patterns they stand for, and only these are matched. Patterns without a
+    literal are compiled into expressions, LEXICON_BLOCK at a time."""
+    from webloom.session import spread, stored
+    rules = stored(_with_grams(rules.where("pattern is not null")), "lexicon")
+    indexed = rules.where("gram is not null")
+    bitmap = _gram_bitmap(indexed)
+    key_type = dict(df.dtypes)[key_col]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        from webloom.functions.literals import BITS, GRAMS, gram_hashes
+        bits = np.unpackbits(np.frombuffer(bitmap, dtype=np.uint8), bitorder="little").astype(bool)
+        for b in batches:
+            found = []
+            for text in b.column(1).to_pylist():
+                grams = np.concatenate([gram_hashes(text or "", size) for size in GRAMS])
+                found.append(np.unique(grams[bits[grams & np.uint64(BITS - 1)]]).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(found, pa.list_(pa.int64()))], names=["key", "text", "grams"])
+
+    texts = spread(df.select(F.col(key_col).alias("key"), F.col(text_col).alias("text")), "key")
+    hits = texts.mapInArrow(run, f"key {key_type}, text string, grams array<bigint>").where("size(grams) > 0")
+    hits = stored(hits.withColumn("row", F.monotonically_increasing_id()), "lexicon-hits")
+    tried = (hits.select("row", F.explode("grams").alias("gram")).join(indexed, "gram")
+             .select("row", "clause", "pattern", "severity"))
+    flags = (hits.select("row", "key", "text").join(tried, "row").where(F.expr("text rlike pattern"))
+             .select(F.col("key").alias(key_col), "clause", "severity"))
+    rest = rules.where("gram is null").select("clause", "pattern", "severity").toLocalIterator()
+    return flags.unionByName(_compiled_flags(df, rest, key_col, text_col))
+
+
 def _block_flags(texts: DataFrame, rules: tuple, key_col: str, text_col: str) -> DataFrame:
     hits = F.filter(F.array(*[
         F.struct(F.lit(r["clause"]).alias("clause"), F.lit(r["severity"]).alias("severity"),

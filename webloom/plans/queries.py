@@ -530,6 +530,18 @@ def tos_flags(spark, sf_dir):
     return _comp.tos_flags(d, fx.tos_lexicon(spark), key_col="doc_id", text_col="text")
 
 
+@query("tos_flags_phrases")
+def tos_flags_phrases(spark, sf_dir):
+    """G2 with a lexicon that grows with the data: every run of four words of
+    letters of the benchmark texts, found in every document."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+( [a-z]+){3}"), F.lit(0))
+    phrases = (fx.read_table(spark, sf_dir, "benchmark").select(F.explode(words).alias("pattern")).distinct()
+               .select(F.sha2("pattern", 256).substr(1, 16).alias("clause"), "pattern", F.lit("warn").alias("severity")))
+    more = spark.range(1001).select(F.format_string("none-%d", "id").alias("clause"),
+                                    F.format_string("no such phrase [0-9]+ %d", "id").alias("pattern"), F.lit("block").alias("severity"))
+    return _comp.tos_flags(_documents(spark, sf_dir), phrases.unionByName(more), key_col="doc_id", text_col="text")
+
+
 @query("compliance_gate")
 def compliance_gate(spark, sf_dir):
     """Compliant flag per source (documents of a source = one crawl)."""

@@ -5,10 +5,12 @@ pruning and predicate pushdown reach the scan."""
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from webloom import schemas
 
@@ -54,6 +56,7 @@ def read_serps(spark: SparkSession, path: str) -> DataFrame:
 #: The tables of a stored crawl, and the most files of a bucket of each.
 CRAWL_TABLES = ("pages", "skips", "summary")
 BUCKETS, FILES_PER_BUCKET = 16, 8
+MANIFEST = "number long, version string, tables map<string,string>"
 
 
 def write_crawl(result, path: str, buckets: int = BUCKETS, files_per_bucket: int = FILES_PER_BUCKET) -> None:
@@ -69,9 +72,11 @@ def write_crawl(result, path: str, buckets: int = BUCKETS, files_per_bucket: int
         salt = F.pmod(F.xxhash64(*[c for c in ("crawl_id", "url") if c in df.columns]), F.lit(files_per_bucket))
         (df.repartition(buckets * files_per_bucket, "bucket", salt)
          .write.partitionBy("bucket").parquet(f"{base}/data/{version}/{name}"))
-    number, _ = _manifest(spark, base)
-    spark.createDataFrame([(number + 1, version)], "number long, version string").coalesce(1).write.parquet(
-        f"{base}/manifests/{number + 1:012d}-{version}")
+    last = _manifest(spark, base)
+    number = 1 + (last.number if last else 0)
+    tables = {name: getattr(result, name).schema.json() for name in CRAWL_TABLES}
+    spark.createDataFrame([(number, version, tables)], MANIFEST).coalesce(1).write.parquet(
+        f"{base}/manifests/{number:012d}-{version}")
     fs, folder = _folder(spark, f"{base}/data")
     for old in fs.listStatus(folder):
         if old.getPath().getName() != version:
@@ -87,21 +92,20 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
 
 
-def _manifest(spark: SparkSession, base: str) -> tuple[int, str | None]:
-    """Number and version of the newest complete manifest; (0, None) without one."""
+def _manifest(spark: SparkSession, base: str):
+    """The newest complete manifest, or None."""
     fs, folder = _folder(spark, f"{base}/manifests")
     done = [s.getPath().toString() for s in (fs.listStatus(folder) if fs.exists(folder) else [])
             if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    if not done:
-        return 0, None
-    row = spark.read.schema("number long, version string").parquet(*done).orderBy(F.desc("number")).first()
-    return row.number, row.version
+    return spark.read.schema(MANIFEST).parquet(*done).orderBy(F.desc("number")).first() if done else None
 
 
 def read_crawl(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """The tables of the crawl stored at ``path`` by name (pages, skips, summary)."""
     base = path.rstrip("/")
-    _, version = _manifest(spark, base)
-    if version is None:
+    manifest = _manifest(spark, base)
+    if manifest is None:
         raise ValueError(f"no stored crawl at {path}")
-    return {name: spark.read.parquet(f"{base}/data/{version}/{name}").drop("bucket") for name in CRAWL_TABLES}
+    schemas_ = {name: T.StructType.fromJson(json.loads(text)) for name, text in manifest.tables.items()}
+    return {name: spark.read.schema(schemas_[name]).parquet(f"{base}/data/{manifest.version}/{name}").drop("bucket")
+            for name in CRAWL_TABLES}
