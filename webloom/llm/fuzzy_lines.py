@@ -291,9 +291,9 @@ def _round_links(shared: DataFrame, texts: DataFrame, roots: DataFrame, threshol
         F.min("root").alias("low"), F.max("root").alias("high"))
         .where("low < high").groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"))
     members = stored(members.join(small_enough(stored(open_, f"{name}-open")), "band", "left_semi"), f"{name}-buckets")
+    # Blocks and band lists are made of ids; the texts move once by line and once by block.
     bands_of = members.groupBy("lid").agg(F.collect_list("band").alias("shared"))
-    lines = stored(texts.join(bands_of, "lid").select("lid", "line", "shared"), f"{name}-texts")
-    rows = blocked(members.select("band", "lid", "root").join(lines, "lid"), "band", "lid", BLOCK)
+    rows = blocked(members, "band", "lid", BLOCK).join(bands_of, "lid").join(texts.select("lid", "line"), "lid")
     return stored(per_group(rows, ["band", "block_a", "block_b"], ["lid"], lambda g: _compare(g, k, threshold),
                             "a binary, b binary").distinct(), f"{name}-links")
 
