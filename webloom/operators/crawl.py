@@ -30,7 +30,8 @@ from pyspark.sql.window import Window
 from webloom.functions.text import js_trim
 from webloom.functions.urls import url_host, valid_url
 from webloom.operators.parse import extract_parts
-from webloom.operators.robots import parse_robots, robots_check, rules_by_host
+from webloom.operators.pacing import fetch_schedule
+from webloom.operators.robots import crawl_delays, parse_robots, robots_check, rules_by_host
 from webloom.operators.scan import SEGMENT_ROWS, nth
 from webloom.operators.scrape import NOT_CAPTURED, scrape
 from webloom.options import CrawlOptions, MapOptions
@@ -282,6 +283,21 @@ def crawl(seeds: DataFrame, captures: DataFrame, opts: CrawlOptions = CrawlOptio
     return CrawlResult(processed, pages, skips, summary, rejects)
 
 
+def crawl_schedule(nodes: DataFrame, started_at, opts: CrawlOptions = CrawlOptions(),
+                   robots_captures: DataFrame | None = None) -> DataFrame:
+    """When a polite fetcher would have asked for each URL of crawls that all
+    start at ``started_at``: crawl_id, url, depth, host, start_at, for the URLs
+    that are fetched (pages and failed fetches). A host is asked in crawl order,
+    ``opts.crawl_delay_ms`` apart, or by its robots Crawl-delay where robots
+    files are respected."""
+    asked = nodes.filter(F.col("reason").isNull() | (F.col("reason") == REASON_ERROR)).select(
+        "crawl_id", "url", "depth", url_host("url").alias("host"), F.lit(started_at).cast("timestamp").alias("arrival"),
+        F.struct("depth", "key", "crawl_id", "url").alias("seq"))
+    delays = (crawl_delays(parse_robots(robots_captures), opts.user_agent)
+              if opts.respect_robots and robots_captures is not None else None)
+    return fetch_schedule(asked, delays, opts.crawl_delay_ms).select("crawl_id", "url", "depth", "host", "start_at")
+
+
 def skip_counts(skips: DataFrame) -> DataFrame:
     """Counters by reason."""
     return skips.groupBy("crawl_id", "reason").agg(F.count(F.lit(1)).alias("n"))

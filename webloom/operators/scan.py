@@ -26,7 +26,9 @@ def segments(df: DataFrame, keys: list[str], order: list[str], rows: int = SEGME
     """``df`` with ``_seg``: numbers that grow with (keys, order), each for
     about ``rows`` rows. Stored once, so that all branches of a scan agree."""
     df = stored(df, f"{name}-rows")
-    n = max(1, -(-df.count() // rows))
+    n = -(-df.count() // rows)
+    if n <= 1:  # all keys together are one segment; windows still deal it out by key
+        return df.withColumn(SEGMENT, F.lit(0))
     return stored(df.repartitionByRange(n, *keys, *order).withColumn(SEGMENT, F.spark_partition_id()), name)
 
 

@@ -8,6 +8,8 @@ number of results), and enrichment scrapes each distinct URL once and joins.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -241,6 +243,35 @@ def filter_results(results: DataFrame, site: str | None = None, after: str | Non
     return r
 
 
+@dataclass
+class SearchResult:
+    queries: DataFrame   # query_id, query, q (the provider's query string), error
+    results: DataFrame   # query_id, position, url, title, description, published_at (+ content, page_...)
+    summary: DataFrame   # query_id, query, total, error
+
+
+def search(queries: DataFrame, serp_captures: DataFrame, captures: DataFrame | None = None,
+           opts: SearchOptions = SearchOptions()) -> SearchResult:
+    """One search with all its options: query strings with site, after and
+    before; the captured result pages parsed, kept to that site and those
+    dates, ranked anew and cut at the limit; the pages themselves attached in
+    ``opts.format`` with ``scrape_content`` (needs ``captures``)."""
+    if opts.scrape_content and captures is None:
+        raise ValueError("scrape_content needs captures")
+    asked = queries.select("query_id", "query", *[
+        F.lit(getattr(opts, name)).cast("string").alias(name) for name in ("site", "after", "before")])
+    built = build_query(asked).select("query_id", "query", "q", "error")
+    narrow = any((opts.site, opts.after, opts.before))
+    found, errors = parse_serps(serp_captures, SearchOptions.MOST if narrow else opts.limit)
+    if narrow:
+        by_rank = Window.partitionBy("query_id").orderBy("position")  # one result page
+        found = (filter_results(found, opts.site, opts.after, opts.before)
+                 .withColumn("position", F.row_number().over(by_rank)).filter(F.col("position") <= opts.limit))
+    summary = search_summary(found, built, errors)
+    results = enrich(found, captures, opts.format) if opts.scrape_content else found
+    return SearchResult(built, results, summary)
+
+
 # ------------------------------------------------------------ corpus search ---
 
 BM25_K1 = 1.2

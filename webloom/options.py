@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 # Output formats, error codes and default limits of the engine.
 FORMATS = ("markdown", "json", "html", "text")
@@ -12,7 +13,6 @@ ERROR_CODES = ("INVALID_URL", "NETWORK_ERROR", "CLOUD_FEATURE", "UNKNOWN")
 DEFAULT_AGENT = "webloom"
 ROBOTS_TTL_SECONDS = 600
 DEFAULT_DELAY_MS = 1000
-SEARCH_DELAY_MS = 1500
 
 
 class WebloomError(ValueError):
@@ -100,6 +100,7 @@ class MapOptions:
 
 @dataclass(frozen=True)
 class SearchOptions:
+    MOST: ClassVar[int] = 50
     limit: int = 10
     scrape_content: bool = False
     format: str = "markdown"
@@ -108,8 +109,8 @@ class SearchOptions:
     before: str | None = None
 
     def __post_init__(self):
-        if not 1 <= self.limit <= 50:
-            raise WebloomError("UNKNOWN", "limit must be between 1 and 50")
+        if not 1 <= self.limit <= self.MOST:
+            raise WebloomError("UNKNOWN", f"limit must be between 1 and {self.MOST}")
         check_format(self.format)
 
     @classmethod

@@ -864,3 +864,26 @@ def context_batch(spark, sf_dir):
     req = fx.pages(spark, sf_dir).select((F.col("page_id") / 30).cast("long").alias("job_id"), "url", F.col("page_id").alias("seq"))
     _, _, summary = batch_scrape(_docs.batch_context_requests(req), _cap(spark, sf_dir), "text")
     return summary.select("job_id", "total", "succeeded")
+
+
+@query("search_options")
+def search_options(spark, sf_dir):
+    """Q1-Q11 through one entry point: a site, a first date, a limit of 3 and
+    the pages attached."""
+    serps = fx.serp_captures(spark, sf_dir)
+    opts = _search.SearchOptions(limit=3, scrape_content=True, format="text", site="example.com", after="2023-03-15")
+    found = _search.search(serps.select("query_id", "query"), serps, _cap(spark, sf_dir), opts)
+    return found.results.join(found.queries.select("query_id", "q"), "query_id").select(
+        "query_id", "q", F.col("position").cast("long").alias("position"), "url", "published_at",
+        F.sha2("content", 256).alias("content"))
+
+
+@query("crawl_schedule")
+def crawl_schedule(spark, sf_dir):
+    """C8 with L1: the crawled URLs of all hosts with the time a polite fetcher
+    asks for them, 500 ms apart or by Crawl-delay."""
+    opts = CrawlOptions(depth=2, max_pages=20, format="text", crawl_delay_ms=500)
+    r = _crawl_run(spark, sf_dir, opts)
+    start = F.timestamp_millis(F.lit(fx.EPOCH_2024_MS))
+    s = _crawl.crawl_schedule(r.nodes, start, opts, fx.robots_captures(spark, sf_dir))
+    return s.select("crawl_id", "url", (F.unix_millis("start_at") - fx.EPOCH_2024_MS).alias("start_ms"))
