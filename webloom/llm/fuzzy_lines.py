@@ -13,13 +13,13 @@ lines are one line with several occurrences and need no comparison.
 
 Band keys are found shared within hash ranges: a task sends each range its
 keys and line hashes as plain arrays, which are sorted there; only keys of two
-or more lines become rows. The bands are compared in two rounds. Near-equal lines
-share most bands, so the first bands link most of them; of the others only
-buckets whose lines are not all in one component yet are compared, and in them
-only lines of different components. This leaves the components as they are. A
-bucket larger than BLOCK members is split into blocks. Only ids, hashes and
-positions are shuffled, the texts of lines only where they share a band with
-another line, and each document once to take its lines out.
+or more lines become rows. Their buckets are sieved by sketches, SKETCH values of
+the signature in a byte each: a line stays in a bucket if another line there
+agrees in at least LEAST of them (a pair at 0.8 misses that about once in a
+million times; unrelated lines that share a band by chance seldom have it). Only then
+are texts compared, exactly. A bucket larger than BLOCK members is split into
+blocks. Only ids, hashes, sketches and positions are shuffled, the texts of lines
+only where they are compared, and each document once to take its lines out.
 
 Rows: one output row per input row, with all columns; ``text`` loses the lines,
 the others stay in order and unchanged. Order of occurrences: doc_id (nulls last), a hash of the row,
@@ -49,8 +49,10 @@ SEEN = 500_000
 FEW = 8
 #: Characters hashed at once.
 CHARS = 1 << 17
-#: Bands of the first round; keys a task holds before it sends them; text bytes for each hash range.
-FIRST_BANDS, KEYS, RANGE_BYTES = 4, 1 << 19, 32 << 20
+#: Keys a task holds before it sends them; text bytes for each hash range.
+KEYS, RANGE_BYTES = 1 << 19, 32 << 20
+#: Values of a sketch, and how many two lines must share to be compared.
+SKETCH, LEAST = 32, 13
 
 
 def trimmed(line: Column) -> Column:
@@ -112,17 +114,15 @@ def _lines(batches):
 
 def _dealt_bands(texts: DataFrame, k: int, bands: int, rows: int, ranges: int, seed: int) -> DataFrame:
     """(part, keys, lines): arrays of band keys (32 bits; the part holds the
-    others) and line hashes, dealt by key over ``ranges`` parts of each round."""
+    others) and line hashes, dealt by key over ``ranges`` parts."""
     seeds = multipliers(bands * rows, seed)
-    later = np.arange(bands) >= FIRST_BANDS
 
     def run(batches):
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush():
             keys, lines = (np.concatenate(x) for x in zip(*held, strict=True))
-            part = (keys.view(np.uint64) >> np.uint64(32)) % np.uint64(ranges) + np.where(
-                np.tile(later, len(keys) // bands), np.uint64(ranges), np.uint64(0))
+            part = (keys >> np.uint64(32)) % np.uint64(ranges)
             order = np.argsort(part, kind="stable")
             part, keys, lines = part[order], keys[order].astype(np.uint32), lines[order]
             start = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
@@ -135,7 +135,7 @@ def _dealt_bands(texts: DataFrame, k: int, bands: int, rows: int, ranges: int, s
         size = 0
         for h, lines in _lines(batches):
             keys = _band_keys(minhash(*shingle_hashes(lines, k), seeds), bands, rows)
-            held.append((keys.ravel().astype(np.int64).view(np.uint64), np.repeat(h, bands)))
+            held.append((keys.view(np.uint64).ravel(), np.repeat(h, bands)))
             size += keys.size
             if size >= KEYS:
                 yield flush()
@@ -147,7 +147,7 @@ def _dealt_bands(texts: DataFrame, k: int, bands: int, rows: int, ranges: int, s
 
 
 def _shared_bands(groups):
-    """(part, band, h): the keys of a part that two or more different lines have."""
+    """(band, h): the keys of a part that two or more different lines have."""
     for table in groups:
         keys = np.frombuffer(b"".join(table["keys"].to_pylist()), dtype=np.uint32)
         lines = np.frombuffer(b"".join(table["lines"].to_pylist()), dtype=np.int64)
@@ -161,8 +161,40 @@ def _shared_bands(groups):
         shared[:-1] |= shared[1:]
         part = table["part"][0].as_py()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(int(shared.sum()), part, dtype=np.int32)),
-             pa.array(keys[shared].astype(np.int64) + (part << 32)), pa.array(lines[shared])], names=["part", "band", "h"])
+            [pa.array(keys[shared].astype(np.int64) + (part << 32)), pa.array(lines[shared])], names=["band", "h"])
+
+
+def _sketched(texts: DataFrame, k: int, bands: int, rows: int, seed: int) -> DataFrame:
+    """(h, lid, line) with ``sketch``: a byte of each of SKETCH values of the signature."""
+    seeds = multipliers(bands * rows, seed)[:SKETCH]
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            low = minhash(*shingle_hashes(batch.column(2).to_pylist(), k), seeds).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([r.tobytes() for r in low], pa.binary())],
+                                             names=["h", "lid", "line", "sketch"])
+
+    return texts.select("h", "lid", "line").mapInArrow(run, "h bigint, lid binary, line string, sketch binary")
+
+
+def _sieved(groups):
+    """The members of blocks that have a partner by their sketches."""
+    for group in groups:
+        m = group.num_rows
+        sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), dtype=np.uint8).reshape(m, SKETCH)
+        across = group["block_a"][0].as_py() != group["block_b"][0].as_py()
+        block = group["block"].to_numpy()
+        near = np.zeros(m, dtype=bool)
+        for i in range(m - 1):
+            agree = (sketch[i + 1:] == sketch[i]).sum(axis=1) >= LEAST
+            if across:
+                agree &= block[i + 1:] != block[i]
+            near[i] |= agree.any()
+            near[i + 1:] |= agree
+        if near.any():
+            yield from group.select(["band", "block_a", "block_b", "block", "lid"]).filter(pa.array(near)).to_batches()
 
 
 def local_components(sets: list[np.ndarray], wanted: np.ndarray, threshold: float) -> list[int]:
@@ -219,23 +251,21 @@ def _few_components(sets: list[np.ndarray], wanted: list[tuple[int, int]], thres
 
 
 def _wanted(group: pa.Table) -> list[tuple[int, int]] | np.ndarray | None:
-    """The pairs of a group to compare: those of different components that share
-    no lower band and, of two blocks, one member of each. A list for FEW
-    members, else a matrix."""
+    """The pairs of a group to compare: those that share no lower band and, of
+    two blocks, one member of each. A list for FEW members, else a matrix."""
     m, band = group.num_rows, group["band"][0].as_py()
     lower = [[b for b in bands if b < band] for bands in group["shared"].to_pylist()]
     block = group["block"].to_pylist() if group["block_a"][0].as_py() != group["block_b"][0].as_py() else None
-    root = group["root"].combine_chunks().dictionary_encode().indices.to_pylist()
     if m <= FEW:
         sets = [set(x) for x in lower]
         return [(i, j) for i in range(m) for j in range(i + 1, m)
-                if root[i] != root[j] and sets[i].isdisjoint(sets[j]) and (block is None or block[i] != block[j])] or None
+                if sets[i].isdisjoint(sets[j]) and (block is None or block[i] != block[j])] or None
     index: dict[int, int] = {}
     numbers = [[index.setdefault(b, len(index)) for b in x] for x in lower]
     met = np.zeros((m, max(1, len(index))), dtype=np.float32)
     for i, x in enumerate(numbers):
         met[i, x] = 1
-    wanted = np.triu((met @ met.T) == 0, 1) & np.not_equal.outer(root, root)
+    wanted = np.triu((met @ met.T) == 0, 1)
     if block is not None:
         wanted &= np.not_equal.outer(block, block)
     return wanted if wanted.any() else None
@@ -279,42 +309,29 @@ def _compare(groups, k: int, threshold: float):
         yield flush()
 
 
-def _round_links(shared: DataFrame, texts: DataFrame, roots: DataFrame, threshold: float, k: int, name: str) -> DataFrame:
-    """(a, b): links that connect the components of one round's buckets (band,
-    h). ``texts``: h, lid, line. ``roots``: lid, root of the lines that are
-    linked already; buckets within one component are left out."""
-    members = shared.join(texts.select("h", "lid"), "h").join(roots, "lid", "left")
-    members = stored(members.select("band", "h", "lid", F.coalesce("root", "lid").alias("root")), f"{name}-members")
-    # Buckets with the same members, as near-equal lines make in most bands, are compared once.
-    open_ = (members.groupBy("band").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("lid", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("lid", F.lit(2))).alias("y"),
-        F.min("root").alias("low"), F.max("root").alias("high"))
-        .where("low < high").groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"))
-    members = stored(members.join(small_enough(stored(open_, f"{name}-open")), "band", "left_semi"), f"{name}-buckets")
-    # Blocks and band lists are made of ids; the texts move once by line and once by block.
-    bands_of = members.groupBy("lid").agg(F.collect_list("band").alias("shared"))
-    rows = blocked(members, "band", "lid", BLOCK).join(bands_of, "lid").join(texts.select("lid", "line"), "lid")
-    return stored(per_group(rows, ["band", "block_a", "block_b"], ["lid"], lambda g: _compare(g, k, threshold),
-                            "a binary, b binary").distinct(), f"{name}-links")
-
-
 def line_links(docs: DataFrame, threshold: float, k: int, bands: int, rows: int, seed: int) -> DataFrame:
     """(a, b): links between different lines (16-byte ids) that connect every
     component of the lines with similarity of at least ``threshold``."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    ranges = 1 + size // RANGE_BYTES
-    shared = stored(per_group(_dealt_bands(docs, k, bands, rows, ranges, seed), ["part"], [], _shared_bands,
-                              "part int, band bigint, h bigint"), "line-bands")
+    shared = stored(per_group(_dealt_bands(docs, k, bands, rows, 1 + size // RANGE_BYTES, seed), ["part"], [], _shared_bands,
+                              "band bigint, h bigint"), "line-bands")
+    # Buckets with the same members, as near-equal lines make in most bands, are compared once.
+    same_members = (shared.groupBy("band").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("x"), F.bit_xor(F.xxhash64("h", F.lit(2))).alias("y"))
+        .groupBy("n", "x", "y").agg(F.min("band").alias("band")).select("band"))
+    shared = stored(shared.join(same_members, "band", "left_semi"), "line-buckets")
     lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).select(trimmed(F.col("line")).alias("line"))
     wanted = small_enough(stored(shared.select("h").distinct(), "line-hashes"))
     texts = (lines.select(F.xxhash64("line").alias("h"), "line").join(wanted, "h", "left_semi")
              .groupBy("h", F.unhex(F.md5("line")).alias("lid")).agg(F.first("line").alias("line")))
-    texts = stored(texts, "line-texts")
-    none = texts.select("lid", F.col("lid").alias("root")).where(F.lit(False))
-    first = _round_links(shared.where(F.col("part") < ranges), texts, none, threshold, k, "first")
-    roots = stored(components(first, "first-components").withColumnRenamed("node", "lid"), "first-roots")
-    second = _round_links(shared.where(F.col("part") >= ranges), texts, small_enough(roots), threshold, k, "second")
-    return first.unionByName(second)
+    texts = stored(_sketched(texts, k, bands, rows, seed), "line-texts")
+    members = shared.join(texts.select("h", "lid", "sketch"), "h").select("band", "lid", "sketch")
+    keys = ["band", "block_a", "block_b"]
+    near = stored(per_group(blocked(stored(members, "line-members"), "band", "lid", BLOCK), keys, [], _sieved,
+                            "band bigint, block_a int, block_b int, block int, lid binary"), "line-partners")
+    bands_of = near.groupBy("lid").agg(F.collect_set("band").alias("shared"))
+    near = near.join(bands_of, "lid").join(texts.select("lid", "line"), "lid")
+    return per_group(near, keys, ["lid"], lambda g: _compare(g, k, threshold), "a binary, b binary").distinct()
 
 
 def dedup_lines(docs: DataFrame, threshold: float = 0.8, k: int = 5, bands: int = 16, rows: int = 5,
