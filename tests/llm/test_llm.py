@@ -444,3 +444,22 @@ def test_pipeline_keeps_one_of_repeated_rows(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
     got = [tuple(r) for r in corpus_pipeline.drop_near_copies(spark, df, SF).collect()]
     assert collections.Counter(got) == collections.Counter([(1, base), (3, other), (4, ""), (4, ""), rows[-3], (6, None), (6, None)])
+
+
+def test_sieve_keeps_every_line_with_a_near_sketch():
+    rng = np.random.default_rng(3)
+    import pyarrow as pa
+    for across in (False, True):
+        base = rng.integers(0, 256, size=(4, fuzzy_lines.SKETCH), dtype=np.uint8)
+        rows = np.concatenate([base, base, rng.integers(0, 256, size=(30, fuzzy_lines.SKETCH), dtype=np.uint8)])
+        for i in range(4):  # agree in just enough, or in one too few, of the values
+            rows[4 + i, :fuzzy_lines.SKETCH - fuzzy_lines.LEAST + i % 2] += np.uint8(1)
+        block = rng.integers(0, 2, size=len(rows)).astype(np.int32)
+        group = pa.table({"band": pa.array([7] * len(rows), pa.int64()), "block_a": pa.array([0] * len(rows), pa.int32()),
+                          "block_b": pa.array([int(across)] * len(rows), pa.int32()), "block": block,
+                          "lid": pa.array([bytes([i]) for i in range(len(rows))], pa.binary()),
+                          "sketch": pa.array([r.tobytes() for r in rows], pa.binary())})
+        got = {x[0] for t in fuzzy_lines._sieved([group]) for x in (v.as_py() for v in t.column("lid"))}
+        want = {i for i in range(len(rows)) for j in range(len(rows)) if i != j and (rows[i] == rows[j]).sum() >= fuzzy_lines.LEAST
+                and (not across or block[i] != block[j])}
+        assert got == want and (across or len(want) == 4)
