@@ -278,7 +278,7 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 #: Documents of a posting block, on average; blocks hold documents of like length.
-BLOCK_DOCS = 16
+BLOCK_DOCS = 32
 #: Length classes per doubling of the length; a class number is below 31 times this.
 LENGTH_CLASSES = 8
 #: Rare postings (as a multiple of the limit) that give the first bound, and
