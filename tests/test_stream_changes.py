@@ -48,3 +48,18 @@ def test_shuffled_stream_equals_the_batch_history(spark):
     batch = snapshot_history(snapshot(spark.createDataFrame(rows, schemas.CAPTURES)).select("url", "fetched_at", "hash")).collect()
     assert not [r for r in got if r.late]
     assert sorted((r.url, r.fetched_at, r.prev_hash, r.hash) for r in got) == sorted(tuple(r) for r in batch)
+
+
+def test_stream_scrape_reads_a_table_of_files_as_it_reads_one_file(spark, tmp_path):
+    from webloom.plans.queries import stream_scrape
+    pages = [(i, f"https://h.example/{i}", f"<html><head><title>T{i}</title></head><body><article><p>one two {i}</p></article></body></html>")
+             for i in range(7)]
+    df = spark.createDataFrame(pages, "page_id bigint, url string, html string")
+    df.repartition(3).write.parquet(str(tmp_path / "many" / "pages.parquet"))
+    df.limit(0).write.parquet(str(tmp_path / "none" / "pages.parquet"))
+    df.coalesce(1).write.parquet(str(tmp_path / "written"))
+    (tmp_path / "one").mkdir()
+    next((tmp_path / "written").glob("part-*.parquet")).rename(tmp_path / "one" / "pages.parquet")
+    want = [(i, f"https://h.example/{i}", f"T{i}", 3) for i in range(7)]
+    for name, rows in (("many", want), ("one", want), ("none", [])):
+        assert sorted(map(tuple, stream_scrape(spark, str(tmp_path / name)).collect())) == rows, name

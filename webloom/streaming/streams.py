@@ -42,6 +42,12 @@ def work_dir(spark: SparkSession, name: str) -> str:
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType,
                 glob: str | None = None, files_per_trigger: int | None = None) -> DataFrame:
+    """A table as a stream of its files. ``path`` is a folder or a single file;
+    Spark streams folders only, so a file is its folder cut down to its name."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(place) and fs.getFileStatus(place).isFile():
+        path, glob = place.getParent().toString(), place.getName()
     r = spark.readStream.schema(schema).format("parquet")
     if glob:
         r = r.option("pathGlobFilter", glob)
