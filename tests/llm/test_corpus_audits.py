@@ -8,6 +8,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,27 @@ def test_audit_of_an_empty_table(spark):
     assert divergence.audit(df).collect() == []
 
 
+def test_counts_of_a_block_move_as_one_row_a_part(monkeypatch):
+    rows = [(lang or "", source or "", text or "") for lang, source, text in audit_rows()]
+    want = collections.Counter((lang, source, t) for lang, source, text in rows for t in TERM.findall(lower(text)))
+    docs = collections.Counter((lang, source, t) for lang, source, text in rows for t in set(TERM.findall(lower(text))))
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i::3], strict=True)], names=["lang", "source", "text"]) for i in range(3)]
+    for parts, held in ((1, 1 << 20), (5, 1 << 20), (5, 1)):
+        monkeypatch.setattr(divergence, "PART_BYTES", held)
+        dealt = [b for batch in batches for b in divergence._counted(iter([batch]), parts)]
+        assert all(b.num_rows <= parts for b in dealt)
+        pieces = pa.Table.from_batches(dealt).sort_by("part").combine_chunks().to_batches()
+        n, most, least = collections.Counter(), collections.Counter(), {}
+        for b in divergence._tokenized(iter(pieces)):
+            for r in b.to_pylist():
+                key = r["lang"], r["source"], r["term"]
+                n[key] += r["n"]
+                most[key] += r["most"]
+                least[key] = max(least.get(key, 0), r["least"])
+        assert n == want
+        assert all(least[k] <= docs[k] <= most[k] for k in want)
+
+
 # -------------------------------------------------------------- suffix dedup
 
 def spans_brute(texts, length):

@@ -1,11 +1,12 @@
 """Source divergence audit by chunk factorization.
 
 A text is a sequence of whitespace chunks (runs between ASCII blanks). Tasks
-count the chunks of their documents: one row for each (lang, source, chunk) of
-a block of texts, with its occurrences and documents. The rows are dealt and
-sorted by chunk, so that each globally distinct chunk is tokenized once and its
-terms are merged with all of its rows. A term is a run of letters A-Z
-(lower-cased) and characters outside ASCII.
+count the chunks of their documents: for each (lang, source, chunk) of a block
+of texts its occurrences and documents, dealt by hash of the chunk over parts and
+moved as plain arrays. A part has all counts of its chunks: each globally
+distinct chunk is tokenized once (again where a part of more than PART_BYTES goes
+on) and its terms are merged with all of its counts. A term is a run of letters
+A-Z (lower-cased) and characters outside ASCII.
 
 Occurrences of a term are sums over its chunks. Its distinct documents lie
 between the sum over sources of the largest chunk's documents and the sum over
@@ -41,8 +42,10 @@ from webloom.llm.common import per_group, require, small_enough, stored
 SEPARATOR = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 SCALE = 1_000_000_000
 #: Bytes of text whose chunks a task counts at once (a longer text is counted
-#: alone), and rows of sorted chunks that it tokenizes at once.
-BLOCK_BYTES, BLOCK_ROWS = 16 << 20, 1 << 16
+#: alone), bytes of text for each part, and bytes of a part that are merged at once.
+BLOCK_BYTES, TEXT_BYTES, PART_BYTES = 8 << 20, 16 << 20, 32 << 20
+#: ASCII characters but letters; those around a chunk do not decide its part.
+MARKS = "".join(chr(c) for c in range(128) if not chr(c).isalpha())
 #: Bits of the bitmap of terms whose documents are listed; more terms only make it less selective.
 BITS = 1 << 24
 #: Terms and sources of one comparison block, and cells of a matrix in it.
@@ -62,17 +65,16 @@ def _blocks(batches, limit: int, size=lambda b: b.column("text").nbytes):
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _chunk_places(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """(document, chunk number, times) of the distinct chunks of each text, and the chunks."""
+def _chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(document, chunk number) of the chunks of each text in order, and the distinct chunks."""
     chunks = pc.ascii_split_whitespace(texts)
-    doc = np.repeat(np.arange(len(texts), dtype=np.int64), pc.list_value_length(chunks).to_numpy())
+    doc = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(chunks).to_numpy())
     encoded = chunks.flatten().dictionary_encode()
-    code, names = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
+    code, names = encoded.indices.to_numpy(), encoded.dictionary
     blank = pc.index(names, "").as_py()
     if blank >= 0:
         doc, code = doc[code != blank], code[code != blank]
-    pair, times = np.unique(doc * max(1, len(names)) + code, return_counts=True)
-    return pair // max(1, len(names)), pair % max(1, len(names)), times, names
+    return doc, code, names
 
 
 def _chunk_terms(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
@@ -88,57 +90,132 @@ def _chunk_terms(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return pair // max(1, len(names)), pair % max(1, len(names)), times, names
 
 
-def _counted(batches):
-    """(lang, source, chunk, n, docs) of each block of texts."""
+def _parts(chunks: pa.Array, parts: int) -> np.ndarray:
+    """The part of each chunk: by its hash without case and outer marks, so
+    that most chunks of a term meet."""
+    core = pc.ascii_trim(pc.ascii_lower(chunks), MARKS).cast(pa.binary()).to_pylist()
+    return (np.array([xxhash.xxh3_64_intdigest(c) for c in core], dtype=np.uint64) % np.uint64(parts)).astype(np.int64)
+
+
+def _counted(batches, parts: int):
+    """(part, langs, sources, chunks, rows) of each block of texts: the groups
+    and chunks of a part, and its counts as columns of 32-bit integers (number
+    of the chunk and of the group in these lists, occurrences, documents)."""
     for table in _blocks(batches, BLOCK_BYTES):
-        doc, code, times, names = _chunk_places(table["text"].combine_chunks())
+        doc, code, names = _chunks(table["text"].combine_chunks())
+        if not len(code):
+            continue
         langs, sources = (table[c].combine_chunks().dictionary_encode() for c in ("lang", "source"))
-        width, n_sources = max(1, len(names)), max(1, len(sources.dictionary))
-        group = langs.indices.to_numpy().astype(np.int64) * n_sources + sources.indices.to_numpy()
-        key = group[doc] * width + code
-        order = np.argsort(key, kind="stable")
-        key, times = key[order], times[order]
-        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, dtype=np.int64)
-        group, code = key[start] // width, key[start] % width
+        n_sources = len(sources.dictionary)
+        groups, group = np.unique(langs.indices.to_numpy().astype(np.int64) * n_sources + sources.indices.to_numpy(),
+                                  return_inverse=True)
+        part_of = _parts(names, parts)
+        by_part = np.argsort(part_of, kind="stable")
+        by_part = by_part[np.bincount(code, minlength=len(names))[by_part] > 0]
+        place = np.zeros(len(names), dtype=np.int64)
+        place[by_part] = np.arange(len(by_part))
+        by_group = np.argsort(group, kind="stable")  # documents numbered by group: one sort brings chunk, group, document
+        rank = np.empty(len(group), dtype=np.int64)
+        rank[by_group] = np.arange(len(group))
+        key = place[code] * len(group)
+        key += rank[doc]
+        key.sort()
+        del doc, code
+        chunk, met = key // len(group), group[by_group][key % len(group)]
+        start = np.flatnonzero(np.concatenate([[True], (chunk[1:] != chunk[:-1]) | (met[1:] != met[:-1])]))
+        n = np.diff(np.append(start, len(key)))
+        docs = np.add.reduceat(np.concatenate([[True], key[1:] != key[:-1]]), start, dtype=np.int64)
+        chunk, met = chunk[start], met[start]
+        del key, start
+        edges = np.searchsorted(part_of[by_part], np.arange(parts + 1))
+        cuts = np.searchsorted(chunk, edges)
+        part = np.repeat(np.arange(parts), np.diff(cuts))
+        used, met = np.unique(part * len(groups) + met, return_inverse=True)
+        bounds = np.searchsorted(used, np.arange(parts + 1) * len(groups))
+        some = groups[used % len(groups)]
+        rows = np.stack([chunk - edges[part], met - bounds[part], n, docs]).astype(np.int32)
+        offsets = pa.array(bounds.astype(np.int32))
         yield pa.RecordBatch.from_arrays(
-            [langs.dictionary.take(pa.array(group // n_sources)), sources.dictionary.take(pa.array(group % n_sources)),
-             names.take(pa.array(code)), pa.array(np.add.reduceat(times, start) if len(start) else times, pa.int64()),
-             pa.array(np.diff(np.append(start, len(key))), pa.int64())],
-            names=["lang", "source", "chunk", "n", "docs"])
+            [pa.array(np.arange(parts, dtype=np.int32)),
+             pa.ListArray.from_arrays(offsets, langs.dictionary.take(pa.array(some // n_sources))),
+             pa.ListArray.from_arrays(offsets, sources.dictionary.take(pa.array(some % n_sources))),
+             pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), names.take(pa.array(by_part))),
+             pa.array([rows[:, i:j].tobytes() for i, j in zip(cuts, cuts[1:], strict=False)], pa.binary())],
+            names=["part", "langs", "sources", "chunks", "rows"]).filter(pa.array(np.diff(cuts) > 0))
+
+
+def _merged(pieces: list[tuple]) -> pa.RecordBatch:
+    """(lang, source, term, n, most, least) of the pieces of a part: each
+    distinct chunk is tokenized, its terms are merged with all of its counts."""
+    langs, sources, chunks = (pa.concat_arrays([p[i] for p in pieces]).dictionary_encode() for i in range(3))
+    rows = [np.frombuffer(p[3], dtype=np.int32).reshape(4, -1) for p in pieces]
+    group_at, chunk_at = (np.cumsum([0, *(len(p[i]) for p in pieces[:-1])]) for i in (0, 2))
+    n_sources, width = len(sources.dictionary), len(chunks.dictionary)
+    groups, group = np.unique(langs.indices.to_numpy().astype(np.int64) * n_sources + sources.indices.to_numpy(),
+                              return_inverse=True)
+    chunk = chunks.indices.to_numpy().astype(np.int64)[np.concatenate([r[0] + at for r, at in zip(rows, chunk_at, strict=True)])]
+    group = group[np.concatenate([r[1] + at for r, at in zip(rows, group_at, strict=True)])]
+    key, (n, docs) = _summed(group * width + chunk, *(np.concatenate([r[i] for r in rows]).astype(np.int64) for i in (2, 3)))
+    group, chunk = key // width, key % width
+    of, code, times, names = _chunk_terms(chunks.dictionary)
+    first = np.searchsorted(of, np.arange(width + 1))
+    many = (first[1:] - first[:-1])[chunk]
+    row = np.repeat(np.arange(len(chunk)), many)
+    word = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + first[chunk][row]
+    key = group[row] * max(1, len(names)) + code[word]
+    n, docs = n[row] * times[word], docs[row]
+    key, (n, most), least = _summed(key, n, docs, largest=docs)
+    group, term = groups[key // max(1, len(names))], key % max(1, len(names))
+    return pa.RecordBatch.from_arrays(
+        [langs.dictionary.take(pa.array(group // n_sources)), sources.dictionary.take(pa.array(group % n_sources)),
+         names.take(pa.array(term)), *map(pa.array, (n, most, least))], names=["lang", "source", "term", "n", "most", "least"])
+
+
+def _summed(key: np.ndarray, *values: np.ndarray, largest: np.ndarray | None = None):
+    """The distinct keys with the sums of ``values``, and the largest of ``largest``."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    start = np.flatnonzero(np.diff(key, prepend=-1))
+    if not len(start):
+        return (key, values) if largest is None else (key, values, largest)
+    sums = tuple(np.add.reduceat(v[order], start) for v in values)
+    return (key[start], sums) if largest is None else (key[start], sums, np.maximum.reduceat(largest[order], start))
 
 
 def _tokenized(batches):
-    """(lang, source, term, n, docs) of rows (chunk, lang, source, n, docs) that
-    are sorted by chunk: a chunk is tokenized where its rows begin."""
-    for table in _blocks(batches, BLOCK_ROWS, lambda b: b.num_rows):
-        runs = table["chunk"].combine_chunks().dictionary_encode()
-        chunk, code, times, names = _chunk_terms(runs.dictionary)
-        first = np.searchsorted(chunk, np.arange(len(runs.dictionary) + 1))
-        of = runs.indices.to_numpy()
-        many = (first[1:] - first[:-1])[of]
-        row = np.repeat(np.arange(len(of)), many)
-        word = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + first[of][row]
-        yield pa.RecordBatch.from_arrays(
-            [table["lang"].combine_chunks().take(pa.array(row)), table["source"].combine_chunks().take(pa.array(row)),
-             names.take(pa.array(code[word])), pa.array(table["n"].to_numpy()[row] * times[word]),
-             pa.array(table["docs"].to_numpy()[row])], names=["lang", "source", "term", "n", "docs"])
+    """``_merged`` of the pieces of each part, from rows that are sorted by part.
+    A part of more than PART_BYTES is merged piece by piece."""
+    held, size, last = [], 0, None
+    for batch in batches:
+        part, rows = batch.column("part").to_pylist(), batch.column("rows")
+        lists = [batch.column(c) for c in ("langs", "sources", "chunks")]
+        for i, p in enumerate(part):
+            if held and (p != last or size >= PART_BYTES):
+                yield _merged(held)
+                held, size = [], 0
+            held.append((*(x[i].values for x in lists), rows[i].as_py()))
+            size += len(held[-1][3]) + held[-1][2].nbytes
+            last = p
+    if held:
+        yield _merged(held)
 
 
 def _listed(batches, bitmap: np.ndarray):
     """(lang, term, id): the documents of the terms that the bitmap has."""
     first = TaskContext.get().partitionId() << 40
     for table in _blocks(batches, BLOCK_BYTES):
-        doc, code, _, names = _chunk_places(table["text"].combine_chunks())
+        doc, code, names = _chunks(table["text"].combine_chunks())
         chunk, term, _, terms = _chunk_terms(names)
         langs = table["lang"].combine_chunks().dictionary_encode()
         lang_of = langs.indices.to_numpy()
-        texts = [t.encode() for t in terms.to_pylist()]
+        hashes = np.array([xxhash.xxh64_intdigest(t, 42) for t in terms.cast(pa.binary()).to_pylist()], dtype=np.uint64)
         for i, lang in enumerate(langs.dictionary.to_pylist()):
-            seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-            bit = np.array([xxhash.xxh64_intdigest(t, seed) for t in texts], dtype=np.uint64) & np.uint64(BITS - 1)
-            some = np.unpackbits(bitmap, bitorder="little")[bit].astype(bool)
-            wanted = some[term]
-            own = lang_of[doc] == i
+            bit = ((hashes ^ np.uint64(xxhash.xxh64_intdigest(lang.encode(), 42))) & np.uint64(BITS - 1)).astype(np.int64)
+            wanted = ((bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1).astype(bool)[term]
+            asked = np.zeros(len(names), dtype=bool)
+            asked[chunk[wanted]] = True
+            own = np.flatnonzero(asked[code])
+            own = own[lang_of[doc[own]] == i]
             order = np.argsort(code[own], kind="stable")
             d, c = doc[own][order], code[own][order]
             lo, hi = np.searchsorted(c, chunk[wanted]), np.searchsorted(c, chunk[wanted], side="right")
@@ -152,7 +229,7 @@ def _listed(batches, bitmap: np.ndarray):
 
 def _bitmap(terms: DataFrame) -> np.ndarray:
     """BITS bits, set at the hashes of (lang, term): at most BITS / 8 bytes, whatever the number of terms."""
-    bit = (F.xxhash64("lang", "term").bitwiseAND(F.lit(BITS - 1)) + 1).alias("bit")
+    bit = (F.xxhash64("lang").bitwiseXOR(F.xxhash64("term")).bitwiseAND(F.lit(BITS - 1)) + 1).alias("bit")
     rows = (terms.select(bit).groupBy(F.bitmap_bucket_number("bit").alias("bucket"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
     out = np.zeros(BITS // 8, dtype=np.uint8)
@@ -165,12 +242,13 @@ def _bitmap(terms: DataFrame) -> np.ndarray:
 def term_counts(docs: DataFrame, min_docs: int) -> tuple[DataFrame, DataFrame]:
     """(lang, source, term, n) with the occurrences of the kept terms, and the kept (lang, term)."""
     texts = docs.select("lang", "source", "text")
-    counted = texts.mapInArrow(_counted, "lang string, source string, chunk string, n bigint, docs bigint")
-    chunks = (counted.repartition("chunk").groupBy("chunk", "lang", "source")
-              .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")).sortWithinPartitions("chunk"))
-    rows = chunks.mapInArrow(_tokenized, "lang string, source string, term string, n bigint, docs bigint")
+    parts = 1 + (texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // TEXT_BYTES
+    counted = texts.mapInArrow(lambda batches: _counted(batches, parts),
+                               "part int, langs array<string>, sources array<string>, chunks array<string>, rows binary")
+    rows = (counted.repartition(parts, "part").sortWithinPartitions("part")
+            .mapInArrow(_tokenized, "lang string, source string, term string, n bigint, most bigint, least bigint"))
     terms = stored(rows.groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("most"), F.max("docs").alias("least")), "source-terms")
+        F.sum("n").alias("n"), F.sum("most").alias("most"), F.max("least").alias("least")), "source-terms")
     bounds = stored(terms.groupBy("lang", "term").agg(F.sum("most").alias("most"), F.sum("least").alias("least"))
                     .where(F.col("most") >= min_docs), "term-bounds")
     unsure = bounds.where(F.col("least") < min_docs).select("lang", "term")
