@@ -463,3 +463,69 @@ def test_sieve_keeps_every_line_with_a_near_sketch():
         want = {i for i in range(len(rows)) for j in range(len(rows)) if i != j and (rows[i] == rows[j]).sum() >= fuzzy_lines.LEAST
                 and (not across or block[i] != block[j])}
         assert got == want and (across or len(want) == 4)
+
+
+def test_buckets_are_sieved_and_named_by_their_members_where_they_are_found():
+    """Of the buckets of a hash range only members with a partner become rows,
+    buckets of equal members are one, large buckets keep all members for their blocks."""
+    import pyarrow as pa
+    far = np.uint64((1 << (fuzzy_lines.SKETCH - fuzzy_lines.LEAST + 1)) - 1)  # a bit more than may differ
+    near = far >> np.uint64(1)
+    keys = np.array([1, 1, 1, 2, 2, 3, 4, 4, 5, 5, 5], dtype=np.uint32)
+    lines = np.array([10, 11, 12, 11, 10, 13, 14, 15, 16, 16, 17], dtype=np.uint64)  # line 16 from two tasks
+    sketches = np.array([0, near, ~np.uint64(0), near, 0, 0, 0, far, 7, 7, 7], dtype=np.uint64)
+    m = fuzzy_lines.BLOCK + 1
+    keys = np.concatenate([keys, np.full(m, 9, dtype=np.uint32)])
+    lines = np.concatenate([lines, np.arange(100, 100 + m, dtype=np.uint64)])
+    sketches = np.concatenate([sketches, np.where(np.arange(m) % 2, ~np.uint64(0), np.uint64(0))])
+    order = np.random.default_rng(1).permutation(len(keys))
+    cut = [order[:100], order[100:]]
+    group = pa.table({"part": [0, 0], **{name: pa.array([x[i].tobytes() for i in cut], pa.binary())
+                                         for name, x in (("keys", keys), ("lines", lines), ("sketches", sketches))}})
+    rows = {tuple(r.values()) for b in fuzzy_lines._shared_bands([group]) for r in b.to_pylist()}
+    buckets = collections.defaultdict(set)
+    for band, h, _, large in rows:
+        buckets[band, large].add(h)
+    assert sorted((large, sorted(x)) for (_, large), x in buckets.items()) == [
+        (False, [10, 11]), (False, [16, 17]), (True, list(range(100, 100 + m)))]
+    assert {(h, s) for _, h, s, large in rows if large} == {(100 + i, -(i % 2)) for i in range(m)}
+
+
+def test_line_shingles_hash_like_spans():
+    from webloom.llm.hashing import prefix, spans
+    rng = random.Random(8)
+    for k in (1, 2, 5):
+        lines = ["".join(rng.choice("ab\u00e9\U0001F600 ") for _ in range(n)) for n in (1, 2, 3, 4, 5, 6, 40, 4, 9, 1, 1)]
+        hashes, at = fuzzy_lines.shingle_hashes(lines, k)
+        for i, line in enumerate(lines):
+            data = np.frombuffer(line.encode("utf-32-le"), dtype=np.uint32)
+            start = np.arange(max(1, len(line) - k + 1))
+            assert hashes[at[i]:at[i + 1]].tolist() == spans(prefix(data), start, np.minimum(start + k, len(line))).tolist()
+
+
+@pytest.mark.parametrize("chars", [100, 3000, 1 << 17])
+def test_groups_compared_at_once_equal_brute_force(monkeypatch, chars):
+    """Groups of 1 to 20 lines, cut over batches; a pair that shares a lower band is left to that band."""
+    import pyarrow as pa
+    monkeypatch.setattr(fuzzy_lines, "CHARS", chars)
+    rng = random.Random(chars)
+    rows, want = [], set()
+    for band in range(80):
+        base, first = [rng.choice("abcdefgh ") for _ in range(rng.randint(4, 150))], len(rows)
+        for i in range(rng.choice([1, 2, 2, 3, 5, 8, 9, 20])):
+            line = list(base)
+            for _ in range(rng.randint(0, 3)):
+                line[rng.randrange(len(line))] = rng.choice("xyz")
+            rows.append((band, f"{''.join(line)}{len(rows):04}", sorted({band, *rng.sample(range(-9, 3), rng.randint(0, 3))})))
+        own = rows[first:]
+        sets = [{x[i:i + 5] for i in range(len(x) - 4)} for _, x, _ in own]
+        pairs = [(i, j) for i in range(len(own)) for j in range(i + 1, len(own)) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])
+                 and not any(b < band for b in set(own[i][2]) & set(own[j][2]))]
+        roots = components_of(len(own), pairs)
+        want |= {(fuzzy_lines.line_id(own[i][1]), fuzzy_lines.line_id(own[roots.index(r)][1])) for i, r in enumerate(roots) if roots.index(r) != i}
+    zero = pa.array([0] * len(rows), pa.int32())
+    table = pa.table({"band": pa.array([r[0] for r in rows], pa.int64()), "block_a": zero, "block_b": zero, "block": zero,
+                      "line": [r[1] for r in rows], "shared": pa.array([r[2] for r in rows], pa.list_(pa.int64()))})
+    got = [x for o in fuzzy_lines._compare(table.to_batches(max_chunksize=7), 5, 0.8)
+           for x in zip(o.column(0).to_pylist(), o.column(1).to_pylist(), strict=True)]
+    assert len(want) > 50 and set(got) == want and len(got) == len(want)
