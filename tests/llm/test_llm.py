@@ -529,3 +529,34 @@ def test_groups_compared_at_once_equal_brute_force(monkeypatch, chars):
     got = [x for o in fuzzy_lines._compare(table.to_batches(max_chunksize=7), 5, 0.8)
            for x in zip(o.column(0).to_pylist(), o.column(1).to_pylist(), strict=True)]
     assert len(want) > 50 and set(got) == want and len(got) == len(want)
+
+
+def test_encoder_remembers_repeated_pieces_only_and_splits_batches(monkeypatch):
+    v = bpe.Vocabulary.load(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    texts = [None, "", *(" ".join(f"xq{i}zj{j}" for j in range(50)) + " again and again" for i in range(60)), "again " * 400]
+    whole = bpe.Encoder(v)
+    want = whole.encode_batch(texts)
+    assert len(want) == len(texts) and " again" in whole.known and len(whole.known) < 600  # of some 3,000 pieces
+    monkeypatch.setattr(bpe, "CHARS", 1_000)
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 100)
+    small, sizes = bpe.Encoder(v), []
+    encode = small._encode
+    monkeypatch.setattr(small, "_encode", lambda part: sizes.append(sum(len(t or "") for t in part)) or encode(part))
+    assert small.encode_batch(texts) == want
+    assert len(small.known) <= 100 and max(sizes) <= max(1_000, *(len(t or "") for t in texts))
+
+
+def test_a_range_of_band_keys_takes_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+    rng, n = np.random.default_rng(5), fuzzy_lines.RANGE_KEYS
+    columns = {"keys": rng.integers(0, 1 << 32, n, dtype=np.uint32), "lines": rng.integers(0, 1 << 63, n, dtype=np.uint64),
+               "sketches": rng.integers(0, 1 << 63, n, dtype=np.uint64)}
+    group = pa.table({c: pa.array([x.tobytes() for x in np.array_split(v, 16)], pa.binary()) for c, v in columns.items()})
+    tracemalloc.start()
+    try:
+        list(fuzzy_lines._shared_bands(iter([group])))
+        assert tracemalloc.get_traced_memory()[1] < 40_000_000
+    finally:
+        tracemalloc.stop()

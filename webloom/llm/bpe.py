@@ -16,6 +16,8 @@ leftmost first, as in the public tokenizer library.
 from __future__ import annotations
 
 import base64
+from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,11 @@ from pyspark.sql import DataFrame, SparkSession
 from webloom.llm.common import require
 
 #: Distinct pieces whose ids are remembered per Python worker (memory bound only).
-CACHE_PIECES = 500_000
+CACHE_PIECES = 100_000
+#: Characters of texts split at once (a longer text is split alone).
+CHARS = 1 << 19
 #: Tree cells merged at once.
-CELLS = 1 << 21
+CELLS = 1 << 18
 NONE = np.iinfo(np.int64).max
 
 
@@ -141,15 +145,29 @@ class Encoder:
         self.known: dict[str, bytes] = {}
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        split, known = self.split, self.known
-        pieces = [split(t) if t else [] for t in texts]
-        new = list({p for doc in pieces for p in doc if p not in known})
-        if new:
-            if len(known) + len(new) > CACHE_PIECES:
-                known.clear()
-                new = list({p for doc in pieces for p in doc})
-            known.update(zip(new, merge_pieces(self.vocab, [p.encode() for p in new]), strict=True))
-        get = known.__getitem__
+        out, held, size = [], [], 0
+        for text in texts:
+            if held and size + len(text or "") > CHARS:
+                out += self._encode(held)
+                held, size = [], 0
+            held.append(text)
+            size += len(text or "")
+        return out + self._encode(held)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
+        """Only pieces that repeat within the texts are remembered: most
+        distinct pieces occur once and would fill the memory."""
+        known = self.known
+        pieces = [self.split(t) if t else [] for t in texts]
+        counts = Counter(chain.from_iterable(pieces))
+        ids = {p: known.get(p) for p in counts}
+        new = [p for p, found in ids.items() if found is None]
+        ids.update(zip(new, merge_pieces(self.vocab, [p.encode() for p in new]), strict=True))
+        if len(known) + len(new) > CACHE_PIECES:
+            known.clear()
+            new = list(ids)
+        known.update((p, ids[p]) for p in new if counts[p] > 1)
+        get = ids.__getitem__
         return [b"".join(map(get, doc)) for doc in pieces]
 
 

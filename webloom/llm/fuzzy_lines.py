@@ -56,7 +56,7 @@ CHARS = 1 << 17
 #: Windows hashed at once, so that they stay in the cache.
 CACHED = 1 << 14
 #: Keys a task holds before it sends them; keys for each hash range.
-KEYS, RANGE_KEYS = 1 << 19, 5 << 19
+KEYS, RANGE_KEYS = 1 << 19, 1 << 19
 #: Values of a sketch, and how many two lines must share to be compared.
 SKETCH, LEAST = 64, 45
 
