@@ -65,10 +65,12 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): little-endian unsigned 32-bit
     token ids, and the digest of the bytes they decode to, which is that of the
-    text (of no bytes for a null text) if the ids are right."""
+    text (of no bytes for a null text) if the ids are right. The ids are stored
+    between the two steps: in one task each would have a Python worker of its
+    own, and an executor twice as many, which stay for the stages that follow."""
     configure(spark)
     vocabulary = bpe.load_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
-    decoded = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    decoded = bpe.decode(stored(bpe.encode(docs, vocabulary), "token-ids"), vocabulary)
     return decoded.select("doc_id", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

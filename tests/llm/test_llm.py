@@ -560,3 +560,10 @@ def test_a_range_of_band_keys_takes_little_memory():
         assert tracemalloc.get_traced_memory()[1] < 40_000_000
     finally:
         tracemalloc.stop()
+
+
+def test_pipeline_tokenizes_with_one_python_worker_a_task(spark, docs):
+    import corpus_pipeline
+    out = corpus_pipeline.tokenize(spark, docs, SF)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert out.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"] and out.count() == len(ROWS)
